@@ -65,3 +65,177 @@ QUERIES: dict[str, Query] = {
         V.strikes(s, d), V.flights(s, d)),
     "strikes_by_month": lambda s, d: R.strikes_by_month(V.strikes(s, d), V.flights(s, d)),
 }
+
+
+# ===================================================================== loads
+from martforge.functions import clean as C  # noqa: E402
+from martforge.operators import keys as K  # noqa: E402
+from martforge.operators import quality as Q  # noqa: E402
+from martforge.plans import sales_load as SL  # noqa: E402
+from martforge.plans import strikes_load as STL  # noqa: E402
+from martforge.sources import csv as CSV  # noqa: E402
+from martforge.sources import sinks as SK  # noqa: E402
+from martforge.sources import xml as X  # noqa: E402
+from martforge.session import scratch_dir  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+
+def _sales_tables(s, d, policy="error"):
+    return SL.load_all(V.raw_txn(s, d), V.raw_rep_records(s, d), V.LINEITEM_ORDER, policy)
+
+
+def _strike_tables(s, d):
+    return STL.load_all(V.raw_strikes(s, d), V.LINEITEM_ORDER)
+
+
+def _typed_txn(df):
+    return df.select(C.parse_us_date("date").alias("date"), "cust", "prod",
+                     C.lenient_int("qty").alias("quantity"),
+                     C.lenient_int("amount").alias("amount"), "country",
+                     C.lenient_int("repID").alias("repID"))
+
+
+def _xml_txn(s, d):
+    xml = X.records_to_xml(V.raw_txn(s, d), "txn", SL.TXN_FIELDS)
+    return X.parse_xml_column(xml, "xml", SL.TXN_FIELDS)
+
+
+def _xml_reps(s, d):
+    xml = X.records_to_xml(V.raw_rep_records(s, d), "rep", SL.REP_FIELDS, attributes=["rID"])
+    return SL.load_reps(X.parse_xml_column(xml, "xml", SL.REP_FIELDS, attributes=["rID"]))
+
+
+def _xml_multi_file(s, d):
+    root = scratch_dir(s, "txn-xml")
+    txn = V.raw_txn(s, d).withColumn(
+        "file", F.concat(F.lit("pharmaSale"), F.year("l_shipdate").cast("string")))
+    X.write_xml_files(txn.select(*SL.TXN_FIELDS, "file"), root, "txn", "sales", "file")
+    # Records under a name that must not match the pattern.
+    decoy = V.raw_rep_records(s, d).select(
+        F.lit("1/1/2000").alias("date"), F.col("firstName").alias("cust"),
+        F.col("lastName").alias("prod"), F.lit("1").alias("qty"), F.lit("1").alias("amount"),
+        F.col("territory").alias("country"), F.lit("0").alias("repID"),
+        F.lit("pharmaReps").alias("file"))
+    X.write_xml_files(decoy, root, "txn", "sales", "file", mode="append")
+    rows = X.read_xml_documents(s, root, "txn", SL.TXN_FIELDS, file_regex=r"pharmaSale.*\.xml")
+    return _typed_txn(rows)
+
+
+def _csv_scan(s, d):
+    root = scratch_dir(s, "strikes-csv")
+    CSV.write_csv_text(V.raw_strikes(s, d).select(*STL.CSV_FIELDS), root)
+    raw = CSV.read_csv_text(s, root, STL.CSV_FIELDS)
+    return raw.select(C.lenient_int("rid", "bigint").alias("rid"),
+                      C.parse_us_date("flight_date").alias("flight_date"),
+                      "origin", "airline", "aircraft",
+                      C.altitude_parse("altitude_ft").alias("altitude"),
+                      "heavy_flag", "sky_conditions",
+                      C.lenient_int("wildlife_struck").alias("wildlife_struck"),
+                      "impact", "damage")
+
+
+PROD_MONTH_SCHEMA = T.StructType([
+    T.StructField("pid", T.IntegerType()), T.StructField("pname", T.StringType()),
+    T.StructField("month", T.StringType()),
+    T.StructField("total_sold_per_month", T.IntegerType())])
+
+
+def _sink_overwrite(s, d):
+    name = scratch_dir(s, "prod_reps")
+    SK.materialize(M.prod_reps(V.reps(s, d)), "prod_reps", path=name)
+    return SK.materialize(M.prod_reps(V.reps(s, d)), "prod_reps", path=name)
+
+
+def _sink_append(s, d):
+    name = scratch_dir(s, "prod_customers")
+    SK.materialize(M.prod_customers(V.customers(s, d)), "prod_customers", path=name)
+    return SK.materialize(M.prod_customers(V.customers(s, d)), "prod_customers",
+                          mode="append", path=name)
+
+
+def _materialize_mart(s, d):
+    return SK.materialize(_prod_month(s, d), "prod_month", schema=PROD_MONTH_SCHEMA,
+                          path=scratch_dir(s, "prod_month"))
+
+
+def _monthly_sales_table(s, d):
+    """M7: monthly_sales saved, then read back."""
+    return SK.materialize(M.monthly_sales(V.sales(s, d), V.products(s, d)), "monthly_sales",
+                          path=scratch_dir(s, "monthly_sales"))
+
+
+def _fk_orphans(s, d):
+    sales = V.sales(s, d, with_customer=True)
+    out = Q.fk_orphan_counts(sales, V.reps(s, d), [("ridFK", "rid")])
+    out = out.unionByName(Q.fk_orphan_counts(sales, V.products(s, d), [("pidFK", "pid")]))
+    return out.unionByName(Q.fk_orphan_counts(sales, V.customers(s, d), [("cidFK", "cid")]))
+
+
+def _union_all(s, d):
+    li = V.table(s, d, "lineitem")
+    open_ = li.where(F.col("l_linestatus") == "O")
+    rest = li.where(~(F.col("l_linestatus") == "O") | F.col("l_linestatus").isNull())
+    parts = [p.select("l_orderkey", "l_linenumber", "l_linestatus") for p in (open_, rest)]
+    return parts[0].unionByName(parts[1])
+
+
+QUERIES.update({
+    # --------------------------------------------------------- scalar parsing
+    "rep_id_parse": lambda s, d: V.raw_rep_records(s, d).select(
+        F.col("rID").alias("raw"), C.rep_id_parse("rID").alias("rid")),
+    "parse_us_date": lambda s, d: V.table(s, d, "orders").select(
+        "o_orderkey",
+        C.parse_us_date(F.date_format("o_orderdate", "M/d/yyyy H:mm")).alias("date")),
+    "lenient_int": lambda s, d: V.table(s, d, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        C.lenient_int(F.col("l_extendedprice").cast("string")).alias("amount")),
+    "altitude_parse": lambda s, d: V.table(s, d, "orders").select(
+        "o_orderkey",
+        C.altitude_parse(F.format_number(F.col("o_totalprice").cast("long"), 0)).alias("altitude")),
+    "null_default": lambda s, d: V.table(s, d, "customer").select(
+        F.col("c_custkey").alias("cid"),
+        C.null_default(F.nullif("c_mktsegment", F.lit("MACHINERY")), "Unknown").alias("segment")),
+    "text_flag": lambda s, d: V.raw_strikes(s, d).select(
+        "l_orderkey", "l_linenumber", C.text_flag("heavy_flag", "Yes").alias("heavy"),
+        C.text_flag("damage", "Caused damage").alias("damage")),
+    # ------------------------------------------------------------ XML / CSV
+    "xml_txn_scan": lambda s, d: _typed_txn(_xml_txn(s, d)),
+    "xml_rep_scan": _xml_reps,
+    "xml_product_scan": lambda s, d: X.leaf_text(_xml_txn(s, d), "prod"),
+    "xml_multi_file": _xml_multi_file,
+    "csv_scan": _csv_scan,
+    # ---------------------------------------------------------------- sinks
+    "sink_overwrite": _sink_overwrite,
+    "sink_append": _sink_append,
+    "materialize_mart": _materialize_mart,
+    "monthly_sales_table": _monthly_sales_table,
+    "txn_row_count": lambda s, d: SK.row_count(_sales_tables(s, d)["salestxn"]),
+    # ------------------------------------------------------- sales load
+    "dim_products": lambda s, d: _sales_tables(s, d)["products"],
+    "dim_customers": lambda s, d: _sales_tables(s, d)["customers"],
+    "dim_reps": lambda s, d: _sales_tables(s, d)["reps"],
+    "cust_reps": lambda s, d: _sales_tables(s, d)["cust_reps"],
+    "fact_sales": lambda s, d: _sales_tables(s, d)["salestxn"],
+    # ---------------------------------------------------- incident load
+    "dim_airports": lambda s, d: _strike_tables(s, d)["airports"],
+    "fact_flights": lambda s, d: _strike_tables(s, d)["flights"],
+    "dim_conditions": lambda s, d: _strike_tables(s, d)["conditions"],
+    "fact_strikes": lambda s, d: _strike_tables(s, d)["strikes"],
+    "flight_origin_lookup": lambda s, d: _strike_tables(s, d)["flights"].select("fid", "origin"),
+    "strike_condition_lookup": lambda s, d: _strike_tables(s, d)["strikes"].select(
+        "sid", "conditions"),
+    "first_strike_per_flight": lambda s, d: STL.first_strike_per_flight(
+        _strike_tables(s, d)["strikes"]),
+    # -------------------------------------------------------------- quality
+    "fk_orphans": _fk_orphans,
+    "pk_duplicates": lambda s, d: Q.pk_duplicates(
+        V.table(s, d, "lineitem"), ["l_orderkey", "l_linenumber"]),
+    "not_null_violations": lambda s, d: Q.not_null_violations(
+        V.sales(s, d, with_customer=True), ["date", "quantity", "ridFK", "pidFK", "cidFK"]),
+    "check_violations": lambda s, d: Q.check_violations(
+        V.flights(s, d), F.col("altitude") > 0).select("fid", "altitude"),
+    "key_policy_first": lambda s, d: K.apply_key_policy(
+        QUERIES["prod_facts"](s, d), "pid", "keep_first", ["year", "quarter", "region"]),
+    "union_all": _union_all,
+})

@@ -171,3 +171,152 @@ SQL: dict[str, str] = {
         "SELECT CAST(SUM(s.numbirds) AS BIGINT) AS birds, strftime(f.date, '%m') AS month "
         "FROM strikes s JOIN flights f ON s.fid = f.fid GROUP BY month"),
 }
+
+
+# ------------------------------------------------------- raw record CTEs
+_LI_ORDER = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
+             "l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate")
+_ORD = ("row_number() OVER (ORDER BY " +
+        ", ".join(c.strip() + " ASC NULLS FIRST" for c in _LI_ORDER.split(",")) + ")")
+
+CTE.update({
+    "raw_txn": (
+        "raw_txn AS (SELECT l.*, CAST(l_shipdate AS DATE) AS date, c_name AS cust, "
+        "p_name AS prod, CAST(trunc(l_quantity) AS INTEGER) AS quantity, "
+        "CAST(trunc(l_extendedprice) AS INTEGER) AS amount, n_name AS country, "
+        "CAST(l_suppkey AS INTEGER) AS repID, " + _ORD + " AS ord "
+        "FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey "
+        "JOIN customer c ON o.o_custkey = c.c_custkey "
+        "LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey "
+        "JOIN part p ON l.l_partkey = p.p_partkey)"),
+    "dim_products": (
+        "dim_products AS (SELECT CAST(row_number() OVER (ORDER BY MIN(ord)) AS BIGINT) AS pid, "
+        "prod AS pname FROM raw_txn GROUP BY prod)"),
+    "dim_customers": (
+        "dim_customers AS (SELECT CAST(100 + row_number() OVER (ORDER BY MIN(ord)) AS BIGINT) "
+        "AS cid, cust AS customer, arg_min(country, ord) AS country FROM raw_txn GROUP BY cust)"),
+    "raw_strikes": (
+        "raw_strikes AS (SELECT l.*, l_orderkey AS fid, CAST(o_orderdate AS DATE) AS fdate, "
+        "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE n_name END AS origin, "
+        "CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN '' WHEN c_mktsegment = 'MACHINERY' "
+        "THEN NULL ELSE c_name END AS airline, o_orderstatus AS aircraft, "
+        "CAST(trunc(o_totalprice) AS INTEGER) AS altitude, "
+        "CASE WHEN o_orderpriority = '1-URGENT' THEN 'Yes' WHEN o_orderpriority = '5-LOW' "
+        "THEN NULL ELSE 'No' END AS heavy_flag, "
+        "CASE WHEN l_returnflag = 'A' THEN 'No Cloud' WHEN l_returnflag = 'N' "
+        "THEN 'Some Cloud' ELSE NULL END AS sky_conditions, "
+        "CAST(trunc(l_quantity) AS INTEGER) AS numbirds, l_linestatus AS impact, "
+        "CASE WHEN l_returnflag = 'R' THEN 'Caused damage' ELSE 'No damage' END AS damage, "
+        + _ORD + " AS ord "
+        "FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey "
+        "LEFT JOIN customer c ON o.o_custkey = c.c_custkey "
+        "LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)"),
+    "dim_airports": (
+        "dim_airports AS (SELECT CAST(row_number() OVER (ORDER BY MIN(ord)) AS BIGINT) AS aid, "
+        "COALESCE(origin, 'unknown') AS airportState, CAST(NULL AS VARCHAR) AS airportCode, "
+        "origin AS origin_raw FROM raw_strikes GROUP BY origin)"),
+    "dim_conditions": (
+        "dim_conditions AS (SELECT CAST(row_number() OVER (ORDER BY MIN(ord)) AS BIGINT) AS cid, "
+        "sky_conditions AS sky_condition, CAST(NULL AS VARCHAR) AS explanation "
+        "FROM raw_strikes GROUP BY sky_conditions)"),
+    "fact_strikes": (
+        "fact_strikes AS (SELECT CAST(r.ord AS BIGINT) AS sid, r.fid, r.numbirds, r.impact, "
+        "CAST(r.damage = 'Caused damage' AS INTEGER) AS damage, r.altitude, "
+        "c.cid AS conditions FROM raw_strikes r LEFT JOIN dim_conditions c "
+        "ON r.sky_conditions IS NOT DISTINCT FROM c.sky_condition)"),
+    "fact_flights": (
+        "fact_flights AS (SELECT f.fid, f.fdate AS date, a.aid AS origin, "
+        "COALESCE(f.airline, 'Unknown') AS airline, COALESCE(f.aircraft, 'Unknown') AS aircraft, "
+        "f.altitude, CAST(f.heavy_flag = 'Yes' AS INTEGER) AS heavy "
+        "FROM (SELECT *, row_number() OVER (PARTITION BY fid ORDER BY ord) AS rn "
+        "FROM raw_strikes) f LEFT JOIN dim_airports a ON f.origin = a.origin_raw "
+        "WHERE f.rn = 1)"),
+    "fact_sales": (
+        "fact_sales AS (SELECT CAST(t.ord AS BIGINT) AS tid, t.date, t.quantity, t.amount, "
+        "t.repID AS ridFK, p.pid AS pidFK, c.cid AS cidFK FROM raw_txn t "
+        "JOIN dim_products p ON t.prod = p.pname JOIN dim_customers c ON t.cust = c.customer)"),
+})
+DEPS.update({
+    "dim_products": ("raw_txn",), "dim_customers": ("raw_txn",),
+    "dim_airports": ("raw_strikes",), "dim_conditions": ("raw_strikes",),
+    "fact_strikes": ("raw_strikes", "dim_conditions"),
+    "fact_flights": ("raw_strikes", "dim_airports"),
+    "fact_sales": ("raw_txn", "dim_products", "dim_customers"),
+})
+
+_TXN_TYPED = "SELECT date, cust, prod, quantity, amount, country, repID FROM raw_txn"
+
+SQL.update({
+    "rep_id_parse": "SELECT 'r' || CAST(s_suppkey AS VARCHAR) AS raw, "
+                    "CAST(s_suppkey AS INTEGER) AS rid FROM supplier",
+    "parse_us_date": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date FROM orders",
+    "lenient_int": "SELECT l_orderkey, l_linenumber, "
+                   "CAST(trunc(l_extendedprice) AS INTEGER) AS amount FROM lineitem",
+    "altitude_parse": "SELECT o_orderkey, CAST(trunc(o_totalprice) AS INTEGER) AS altitude "
+                      "FROM orders",
+    "null_default": "SELECT c_custkey AS cid, COALESCE(NULLIF(c_mktsegment, 'MACHINERY'), "
+                    "'Unknown') AS segment FROM customer",
+    "text_flag": with_("raw_strikes") + (
+        "SELECT l_orderkey, l_linenumber, CAST(heavy_flag = 'Yes' AS INTEGER) AS heavy, "
+        "CAST(damage = 'Caused damage' AS INTEGER) AS damage FROM raw_strikes"),
+    "xml_txn_scan": with_("raw_txn") + _TXN_TYPED,
+    "xml_rep_scan": with_("reps") + (
+        "SELECT CAST(rid AS INTEGER) AS rid, fname, lname, region FROM reps"),
+    "xml_product_scan": with_("raw_txn") + "SELECT prod AS text FROM raw_txn",
+    "xml_multi_file": with_("raw_txn") + _TXN_TYPED,
+    "csv_scan": with_("raw_strikes") + (
+        "SELECT fid AS rid, fdate AS flight_date, origin, airline, aircraft, altitude, "
+        "heavy_flag, sky_conditions, numbirds AS wildlife_struck, impact, damage "
+        "FROM raw_strikes"),
+    "sink_overwrite": with_("reps") + "SELECT rid, fname, lname FROM reps",
+    "sink_append": with_("customers") + (
+        "SELECT cid, customer, country FROM customers UNION ALL "
+        "SELECT cid, customer, country FROM customers"),
+    "materialize_mart": with_("products", "salestxn") + (
+        "SELECT CAST(pid AS INTEGER) AS pid, pname, month, "
+        "CAST(total_sold_per_month AS INTEGER) AS total_sold_per_month FROM ("
+        + _PROD_MONTH + ")"),
+    "monthly_sales_table": with_("products", "salestxn") + (
+        "SELECT pname, month, total_sold_per_month FROM (" + _PROD_MONTH + ")"),
+    "txn_row_count": with_("fact_sales") + "SELECT COUNT(*) AS count FROM fact_sales",
+    "dim_products": with_("dim_products") + "SELECT pid, pname FROM dim_products",
+    "dim_customers": with_("dim_customers") + "SELECT cid, customer, country FROM dim_customers",
+    "dim_reps": with_("reps") + "SELECT CAST(rid AS INTEGER) AS rid, fname, lname, region FROM reps",
+    "cust_reps": with_("fact_sales") + "SELECT DISTINCT cidFK AS cid, ridFK AS rid FROM fact_sales",
+    "fact_sales": with_("fact_sales") + "SELECT * FROM fact_sales",
+    "dim_airports": with_("dim_airports") + (
+        "SELECT aid, airportState, airportCode FROM dim_airports"),
+    "fact_flights": with_("fact_flights") + "SELECT * FROM fact_flights",
+    "dim_conditions": with_("dim_conditions") + "SELECT * FROM dim_conditions",
+    "fact_strikes": with_("fact_strikes") + "SELECT * FROM fact_strikes",
+    "flight_origin_lookup": with_("fact_flights") + "SELECT fid, origin FROM fact_flights",
+    "strike_condition_lookup": with_("fact_strikes") + "SELECT sid, conditions FROM fact_strikes",
+    "first_strike_per_flight": with_("fact_strikes") + (
+        "SELECT sid, fid, numbirds, impact, damage, altitude, conditions FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY fid ORDER BY sid) AS rn FROM fact_strikes) "
+        "WHERE rn = 1"),
+    "fk_orphans": with_("salestxn_c", "reps", "products", "customers") + (
+        "SELECT 'ridFK' AS fk, COUNT(*) AS orphans FROM salestxn_c s WHERE ridFK IS NOT NULL "
+        "AND NOT EXISTS (SELECT 1 FROM reps r WHERE r.rid = s.ridFK) UNION ALL "
+        "SELECT 'pidFK', COUNT(*) FROM salestxn_c s WHERE pidFK IS NOT NULL "
+        "AND NOT EXISTS (SELECT 1 FROM products p WHERE p.pid = s.pidFK) UNION ALL "
+        "SELECT 'cidFK', COUNT(*) FROM salestxn_c s WHERE cidFK IS NOT NULL "
+        "AND NOT EXISTS (SELECT 1 FROM customers c WHERE c.cid = s.cidFK)"),
+    "pk_duplicates": "SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem "
+                     "GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1",
+    "not_null_violations": with_("salestxn_c") + (
+        "SELECT * FROM (SELECT 'date' AS \"column\", COUNT(*) FILTER (WHERE date IS NULL) AS nulls "
+        "FROM salestxn_c UNION ALL SELECT 'quantity', COUNT(*) FILTER (WHERE quantity IS NULL) "
+        "FROM salestxn_c UNION ALL SELECT 'ridFK', COUNT(*) FILTER (WHERE ridFK IS NULL) "
+        "FROM salestxn_c UNION ALL SELECT 'pidFK', COUNT(*) FILTER (WHERE pidFK IS NULL) "
+        "FROM salestxn_c UNION ALL SELECT 'cidFK', COUNT(*) FILTER (WHERE cidFK IS NULL) "
+        "FROM salestxn_c)"),
+    "check_violations": with_("flights") + (
+        "SELECT fid, altitude FROM flights WHERE NOT (altitude > 0)"),
+    "key_policy_first": with_("products", "reps", "salestxn") + (
+        "SELECT pid, pname, total_sold, year, quarter, region, total_sold_per_region FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY pid ORDER BY year ASC NULLS FIRST, "
+        "quarter ASC NULLS FIRST, region ASC NULLS FIRST) AS rn FROM (" + _PROD_FACTS + ")) "
+        "WHERE rn = 1"),
+    "union_all": "SELECT l_orderkey, l_linenumber, l_linestatus FROM lineitem",
+})

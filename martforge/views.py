@@ -133,3 +133,84 @@ def sky_condition_of(flag: Column) -> Column:
     return (F.when(flag == "A", F.lit("No Cloud"))
             .when(flag == "N", F.lit("Some Cloud"))
             .otherwise(F.lit(None).cast("string")))
+
+
+# ------------------------------------------------- raw input records (text)
+# The source pipelines start from text records (XML sales files, a CSV of
+# incidents).  These views rebuild such records from the Parquet tables, all
+# values as text, with the columns that fix the original record order.
+
+LINEITEM_ORDER = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                  "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+                  "l_linestatus", "l_shipdate"]
+
+
+def raw_txn(spark: SparkSession, d: str) -> DataFrame:
+    """Sales records as in the XML files: date (M/d/yyyy), cust, prod, qty,
+    amount, country, repID, all text; plus the lineitem order columns."""
+    li = table(spark, d, "lineitem")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    n = fixed_dim(table(spark, d, "nation").select("n_nationkey", "n_name"))
+    p = table(spark, d, "part").select("p_partkey", "p_name")
+    j = (li.join(o, li.l_orderkey == o.o_orderkey)
+         .join(c, F.col("o_custkey") == c.c_custkey)
+         .join(n, F.col("c_nationkey") == n.n_nationkey, "left")
+         .join(p, li.l_partkey == p.p_partkey))
+    return j.select(
+        *LINEITEM_ORDER,
+        F.date_format("l_shipdate", "M/d/yyyy").alias("date"),
+        F.col("c_name").alias("cust"),
+        F.col("p_name").alias("prod"),
+        F.col("l_quantity").cast("int").cast("string").alias("qty"),
+        F.col("l_extendedprice").cast("string").alias("amount"),
+        F.col("n_name").alias("country"),
+        F.col("l_suppkey").cast("string").alias("repID"))
+
+
+def raw_rep_records(spark: SparkSession, d: str) -> DataFrame:
+    """Rep records as in the reps XML: rID attribute (``r`` + id), firstName,
+    lastName, territory."""
+    r = reps(spark, d)
+    return r.select(F.concat(F.lit("r"), F.col("rid").cast("string")).alias("rID"),
+                    F.col("fname").alias("firstName"), F.col("lname").alias("lastName"),
+                    F.col("region").alias("territory"))
+
+
+def raw_strikes(spark: SparkSession, d: str) -> DataFrame:
+    """Incident records as in the CSV: one per lineitem (a strike), its order
+    is the flight.  Text columns; missing values are null (written as NA).
+
+    Mapping (fixed values): origin is the customer's nation, missing for
+    pending orders (status 'P'); airline is the customer name, blank for the
+    HOUSEHOLD segment and missing for MACHINERY; heavy_flag is Yes for
+    1-URGENT, missing for 5-LOW, else No; damage is 'Caused damage' for
+    return flag R, else 'No damage'.
+    """
+    li = table(spark, d, "lineitem")
+    o = table(spark, d, "orders")
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey",
+                                           "c_mktsegment")
+    n = fixed_dim(table(spark, d, "nation").select("n_nationkey", "n_name"))
+    j = (li.join(o, li.l_orderkey == o.o_orderkey)
+         .join(c, F.col("o_custkey") == c.c_custkey, "left")
+         .join(n, F.col("c_nationkey") == n.n_nationkey, "left"))
+    null = F.lit(None).cast("string")
+    return j.select(
+        *LINEITEM_ORDER,
+        F.col("l_orderkey").cast("string").alias("rid"),
+        F.date_format("o_orderdate", "M/d/yyyy H:mm").alias("flight_date"),
+        F.when(F.col("o_orderstatus") == "P", null).otherwise(F.col("n_name")).alias("origin"),
+        F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(""))
+        .when(F.col("c_mktsegment") == "MACHINERY", null)
+        .otherwise(F.col("c_name")).alias("airline"),
+        F.col("o_orderstatus").alias("aircraft"),
+        F.format_number(F.col("o_totalprice").cast("long"), 0).alias("altitude_ft"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Yes"))
+        .when(F.col("o_orderpriority") == "5-LOW", null)
+        .otherwise(F.lit("No")).alias("heavy_flag"),
+        sky_condition_of(F.col("l_returnflag")).alias("sky_conditions"),
+        F.col("l_quantity").cast("int").cast("string").alias("wildlife_struck"),
+        F.col("l_linestatus").alias("impact"),
+        F.when(F.col("l_returnflag") == "R", F.lit("Caused damage"))
+        .otherwise(F.lit("No damage")).alias("damage"))
