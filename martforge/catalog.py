@@ -239,3 +239,116 @@ QUERIES.update({
         QUERIES["prod_facts"](s, d), "pid", "keep_first", ["year", "quarter", "region"]),
     "union_all": _union_all,
 })
+
+
+# ==================================================================== upsert
+from martforge.operators import upsert as U  # noqa: E402
+
+
+def _upsert(s, d):
+    t = _strike_tables(s, d)
+    return U.record_strikes(V.strike_batch(s, d), t["airports"], t["flights"], t["strikes"],
+                            t["conditions"], ["bord"])
+
+
+QUERIES.update({
+    "upsert_airports": lambda s, d: _upsert(s, d)["airports"],
+    "upsert_flights": lambda s, d: _upsert(s, d)["flights"],
+    "upsert_strikes": lambda s, d: _upsert(s, d)["strikes"],
+})
+
+
+# ==================================================================== people
+from martforge.operators import people as P  # noqa: E402
+
+
+def _raw_people(s, d):
+    return V.person_records(s, d)
+
+
+def _split(s, d):
+    r = _raw_people(s, d)
+    name, desc = C.name_desc_split(C.strip_footnotes("Name"))
+    return r.select("row_index", name.alias("name"), desc.alias("desc"))
+
+
+def _people(s, d):
+    return P.monarch_clean(_raw_people(s, d))
+
+
+def _unsorted_people(s, d):
+    return P.finish_people(P.clean_people(_raw_people(s, d)))
+
+
+QUERIES.update({
+    "union_missing_cols": _raw_people,
+    "strip_footnotes": lambda s, d: _raw_people(s, d).select(
+        "row_index", C.strip_footnotes("Name").alias("Name")),
+    "name_desc_split": _split,
+    "dedupe_words": lambda s, d: _split(s, d).select(
+        "row_index", C.dedupe_words("name").alias("Name")),
+    "date_range_extract": lambda s, d: _split(s, d).select(
+        "row_index", C.date_range_extract("desc").alias("dates")),
+    "reign_parse": lambda s, d: _unsorted_people(s, d).select("row_index", "start", "end"),
+    "year_extract": lambda s, d: _unsorted_people(s, d).select("row_index", "Birth", "Death"),
+    "claim_parse": lambda s, d: _raw_people(s, d).select(
+        "row_index", C.claim_parent(C.claim_of("Claim")).alias("Claim")),
+    "claim_relation": lambda s, d: _unsorted_people(s, d).select("row_index", "ClaimRelation"),
+    "glued_name_cut": lambda s, d: _unsorted_people(s, d).select("row_index", "Claim"),
+    "char_set_trim": lambda s, d: _unsorted_people(s, d).select(
+        "row_index", C.char_set_trim("Name", P.FIRST_REIGN).alias("Name")),
+    "reject_rows": lambda s, d: P.reject_rows(_raw_people(s, d), P.SOURCE_REJECT_POSITIONS),
+    "point_overrides": lambda s, d: P.point_overrides(
+        _unsorted_people(s, d).select("row_index", "Name", "dates", "Claim"),
+        P.overrides_frame(s, P.SOURCE_OVERRIDES)),
+    "monarch_clean": _people,
+    "monarch_order": lambda s, d: _people(s, d).select("idx", "row_index", "start"),
+    "lineage": lambda s, d: P.lineage(_people(s, d)),
+    "second_reign": lambda s, d: P.second_reign(_people(s, d)),
+    "reign_segments": lambda s, d: P.reign_segments(_people(s, d)),
+    "year_span": lambda s, d: P.year_span(_people(s, d)),
+    "year_grid": lambda s, d: P.year_grid(_people(s, d)),
+    "timeline_layout": lambda s, d: P.timeline_layout(_people(s, d)),
+    "lineage_edges": lambda s, d: P.lineage_edges(_people(s, d)),
+})
+
+
+# ====================================================================== html
+from martforge.sources import html as H  # noqa: E402
+
+
+def _nation_documents(s, d):
+    """One HTML page per region: a ``wikitable`` of its nations (with a Claim
+    column for even region keys) and a table of another class."""
+    n = V.table(s, d, "nation")
+    cell = lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))
+    even = (F.col("n_regionkey") % 2) == 0
+    row = F.concat(F.lit("<tr>"), cell(F.col("n_name")),
+                   cell(F.col("n_nationkey").cast("string")),
+                   cell(F.col("n_regionkey").cast("string")),
+                   F.when(even, cell(F.concat(F.lit("Son of "), F.col("n_name"))))
+                   .otherwise(F.lit("")), F.lit("</tr>"))
+    # nation is a fixed 25-row table: at most 25 rows per group.
+    rows = (n.select("n_regionkey", F.struct("n_nationkey", row.alias("tr")).alias("r"))
+            .groupBy("n_regionkey").agg(F.array_sort(F.collect_list("r")).alias("rs")))
+    header = F.concat(F.lit("<tr><th>Name</th><th>Birth</th><th>Death</th>"),
+                      F.when((F.col("n_regionkey") % 2) == 0, F.lit("<th>Claim</th>"))
+                      .otherwise(F.lit("")), F.lit("</tr>"))
+    html = F.concat(F.lit("<html><body><table class=\"wikitable sortable\">"), header,
+                    F.array_join(F.transform("rs", lambda r: r["tr"]), ""),
+                    F.lit("</table><table class=\"infobox\"><tr><th>Name</th></tr>"
+                          "<tr><td>decoy</td></tr></table></body></html>"))
+    return rows.select(F.col("n_regionkey").alias("doc_id"), html.alias("html"))
+
+
+def _html_table_extract(s, d):
+    t = H.html_tables(_nation_documents(s, d), "html", "wikitable", keep=["doc_id"])
+    return t.select("doc_id", "table_no", "row_no", H.table_column("Name"),
+                    H.table_column("Birth"), H.table_column("Death"), H.table_column("Claim"))
+
+
+QUERIES.update({
+    "html_table_extract": _html_table_extract,
+    "html_list_items": lambda s, d: H.html_links(V.table(s, d, "pages"), "html",
+                                                 keep=["page_id"]),
+})

@@ -320,3 +320,230 @@ SQL.update({
         "WHERE rn = 1"),
     "union_all": "SELECT l_orderkey, l_linenumber, l_linestatus FROM lineitem",
 })
+
+
+# ------------------------------------------------------------------ upsert
+CTE.update({
+    "batch": (
+        "batch AS (SELECT s.s_suppkey AS bord, DATE '2023-06-24' + s.s_nationkey AS date, "
+        "CASE WHEN s.s_acctbal >= 0 THEN n.n_name ELSE r.r_name END AS origin, "
+        "'Airplane' AS aircraft, CAST(trunc(abs(s.s_acctbal)) AS INTEGER) AS altitude, "
+        "s.s_nationkey + 1 AS numbirds, CASE WHEN s.s_acctbal >= 5000 THEN 'No Cloud' "
+        "WHEN s.s_acctbal >= 0 THEN 'Some Cloud' ELSE NULL END AS conditions "
+        "FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey "
+        "LEFT JOIN region r ON n.n_regionkey = r.r_regionkey)"),
+    "airports2": (
+        "airports2 AS (SELECT aid, airportState, airportCode FROM dim_airports UNION ALL "
+        "SELECT CAST((SELECT MAX(aid) FROM dim_airports) + row_number() OVER "
+        "(ORDER BY MIN(bord)) AS BIGINT) AS aid, COALESCE(origin, 'unknown') AS airportState, "
+        "CAST(NULL AS VARCHAR) AS airportCode FROM batch "
+        "WHERE COALESCE(origin, 'unknown') NOT IN (SELECT airportState FROM dim_airports) "
+        "GROUP BY COALESCE(origin, 'unknown'))"),
+    "bf": (
+        "bf AS (SELECT b.*, a.aid AS origin_id FROM batch b LEFT JOIN (SELECT airportState, "
+        "MIN(aid) AS aid FROM airports2 GROUP BY airportState) a "
+        "ON COALESCE(b.origin, 'unknown') = a.airportState)"),
+    "flights2": (
+        "flights2 AS (SELECT fid, date, origin, airline, aircraft, altitude, heavy "
+        "FROM fact_flights UNION ALL SELECT CAST((SELECT MAX(fid) FROM fact_flights) + "
+        "row_number() OVER (ORDER BY first_ord) AS BIGINT) AS fid, date, origin_id AS origin, "
+        "'Unknown' AS airline, aircraft, altitude, 0 AS heavy FROM (SELECT date, origin_id, "
+        "aircraft, MIN(bord) AS first_ord, arg_min(altitude, bord) AS altitude FROM bf "
+        "GROUP BY date, origin_id, aircraft) k WHERE NOT EXISTS (SELECT 1 FROM fact_flights f "
+        "WHERE f.date IS NOT DISTINCT FROM k.date AND f.origin IS NOT DISTINCT FROM k.origin_id "
+        "AND f.aircraft IS NOT DISTINCT FROM k.aircraft))"),
+    "strikes2": (
+        "strikes2 AS (SELECT sid, fid, numbirds, impact, damage, altitude, conditions "
+        "FROM fact_strikes UNION ALL SELECT CAST((SELECT MAX(sid) FROM fact_strikes) + "
+        "row_number() OVER (ORDER BY b.bord) AS BIGINT) AS sid, k.fid, "
+        "CAST(b.numbirds AS INTEGER) AS numbirds, 'N/A' AS impact, 0 AS damage, b.altitude, "
+        "c.cid AS conditions FROM bf b LEFT JOIN (SELECT date, origin, aircraft, MIN(fid) AS fid "
+        "FROM flights2 GROUP BY date, origin, aircraft) k ON k.date IS NOT DISTINCT FROM b.date "
+        "AND k.origin IS NOT DISTINCT FROM b.origin_id AND k.aircraft IS NOT DISTINCT FROM "
+        "b.aircraft LEFT JOIN (SELECT sky_condition, MIN(cid) AS cid FROM dim_conditions "
+        "GROUP BY sky_condition) c ON b.conditions IS NOT DISTINCT FROM c.sky_condition)"),
+})
+DEPS.update({
+    "airports2": ("raw_strikes", "dim_airports", "batch"),
+    "bf": ("raw_strikes", "dim_airports", "batch", "airports2"),
+    "flights2": ("raw_strikes", "dim_airports", "batch", "airports2", "bf", "fact_flights"),
+    "strikes2": ("raw_strikes", "dim_airports", "dim_conditions", "batch", "airports2", "bf",
+                 "fact_flights", "flights2", "fact_strikes"),
+})
+SQL.update({
+    "upsert_airports": with_("airports2") + "SELECT * FROM airports2",
+    "upsert_flights": with_("flights2") + "SELECT * FROM flights2",
+    "upsert_strikes": with_("strikes2") + "SELECT * FROM strikes2",
+})
+
+
+# ------------------------------------------------------------------ people
+def _code(k: str) -> str:
+    t = f"translate(lpad(CAST({k} AS VARCHAR), 6, '0'), '0123456789', 'aeioubcdfg')"
+    return f"(upper(substr({t}, 1, 1)) || substr({t}, 2))"
+
+
+_SEGNAME = "(upper(substr(lower(c_mktsegment), 1, 1)) || substr(lower(c_mktsegment), 2))"
+_PNAME = (f"CASE WHEN c_mktsegment = 'BUILDING' THEN {_code('c_custkey')} || ' ' || "
+          f"{_code('c_custkey')} || ' the ' || {_SEGNAME} ELSE {_code('c_custkey')} || "
+          f"' the ' || {_SEGNAME} END")
+_LD = "strftime({}, '%-d %B %Y')"
+_NOTE = "'[' || CAST(c_nationkey AS VARCHAR) || ']'"
+_BIRTH = "(year(d1) - 18 - c_nationkey)"
+_BIRTH_T = (f"CASE WHEN c_acctbal < 0 THEN 'c. ' || CAST({_BIRTH} AS VARCHAR) || '[a]' "
+            f"ELSE CAST({_BIRTH} AS VARCHAR) END")
+_DEATH_T = ("strftime(d2, '%-d %B ') || CAST(year(d2) + CASE WHEN c_acctbal > 5000 THEN 5 "
+            "ELSE 0 END AS VARCHAR)")
+_CLAIM = (f"CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'Son of ' || {_code('c_custkey - 1')} "
+          f"WHEN c_mktsegment = 'BUILDING' THEN 'Daughter of ' || {_code('c_custkey - 1')} || "
+          f"' the ' || lower(c_mktsegment) WHEN c_mktsegment = 'FURNITURE' THEN "
+          f"'Great-grandson of ' || {_code('c_custkey - 1')} || {_SEGNAME} "
+          f"WHEN c_mktsegment = 'HOUSEHOLD' THEN 'Grandson/son of ' || {_code('c_custkey - 1')} "
+          f"END")
+_START1 = ("CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN CAST(year(d1) AS VARCHAR) ELSE "
+           + _LD.format("d1") + " END")
+_END1 = _LD.format("CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN d1 + INTERVAL 12 MONTH ELSE d2 END")
+_NAME1 = (f"CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN '(1st reign) ' ELSE '' END || {_PNAME} || "
+          f"{_NOTE} || CASE WHEN d1 IS NULL THEN '' ELSE ' ' || {_START1} || ' – ' || {_END1} END")
+_NAME2 = (f"'(2nd reign) ' || {_PNAME} || {_NOTE} || ' ' || "
+          + _LD.format("d2 - INTERVAL 12 MONTH") + " || ' – ' || " + _LD.format("d2"))
+_SPLIT = r"(?:\s\d|\[\d+\])"
+
+CTE.update({
+    "pbase": (
+        "pbase AS (SELECT c.*, o.d1, o.d2 FROM customer c LEFT JOIN (SELECT o_custkey, "
+        "MIN(CAST(o_orderdate AS DATE)) AS d1, MAX(CAST(o_orderdate AS DATE)) AS d2 "
+        "FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey)"),
+    "raw_people": (
+        "raw_people AS (SELECT CAST(row_number() OVER (ORDER BY c_custkey, part) - 1 AS BIGINT) "
+        "AS row_index, Name, Birth, Death, CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL "
+        "ELSE Claim END AS Claim FROM ("
+        f"SELECT c_custkey, 0 AS part, c_mktsegment, {_NAME1} AS Name, {_BIRTH_T} AS Birth, "
+        f"{_DEATH_T} AS Death, {_CLAIM} AS Claim FROM pbase UNION ALL "
+        f"SELECT c_custkey, 1 AS part, c_mktsegment, {_NAME2} AS Name, {_BIRTH_T} AS Birth, "
+        f"{_DEATH_T} AS Death, {_CLAIM} AS Claim FROM pbase "
+        "WHERE c_mktsegment = 'HOUSEHOLD' AND d1 IS NOT NULL))"),
+    "psplit": (
+        "psplit AS (SELECT row_index, CASE WHEN regexp_matches(n0, '" + _SPLIT + "') THEN "
+        "regexp_extract(n0, '^(.*?)" + _SPLIT + "', 1) ELSE n0 END AS name, "
+        "CASE WHEN regexp_matches(n0, '" + _SPLIT + "') THEN "
+        "regexp_replace(n0, '^.*?" + _SPLIT + "', '') ELSE NULL END AS \"desc\", "
+        "Birth, Death, Claim FROM (SELECT *, regexp_replace(Name, '\\[.*?\\]', '', 'g') AS n0 "
+        "FROM raw_people))"),
+    "pclean": (
+        "pclean AS (SELECT row_index, array_to_string(list_filter(l, lambda x, i: "
+        "list_position(l, x) = i), ' ') AS Name, \"desc\", d2 AS dates, "
+        "TRY_CAST(trim(string_split(trim(d2), '–')[1]) AS INTEGER) AS start, "
+        "TRY_CAST(trim(string_split(trim(d2), '–')[2]) AS INTEGER) AS \"end\", "
+        "TRY_CAST(NULLIF(regexp_extract(Birth, '(\\d{3,4})', 1), '') AS INTEGER) AS Birth, "
+        "TRY_CAST(NULLIF(regexp_extract(Death, '(\\d{3,4})', 1), '') AS INTEGER) AS Death, "
+        "regexp_replace(NULLIF(regexp_extract(cl, '(?i)(?:Son|Daughter)\\s+of\\s+(\\w+\\s*"
+        "(?:[IV]+|of\\s+\\w+|the\\s+\\w+)*)', 1), ''), '^(.*?[^ IV])[A-Z].*$', '\\1') AS Claim, "
+        "NULLIF(regexp_extract(cl, '(?i)(\\w*(?:-\\w+)*(?:Son|Daughter))\\s+', 1), '') "
+        "AS ClaimRelation FROM (SELECT *, regexp_replace(dates, '\\s+\\d{0,2}\\s+\\w*\\s+', ' ', "
+        "'g') AS d2 FROM (SELECT *, list_filter(string_split_regex(name, '\\s+'), lambda x: "
+        "x <> '') AS l, NULLIF(regexp_extract(\"desc\", '(\\s*\\d{3,4}\\s*(?:–\\s*\\d{0,2}\\s*"
+        "\\w*\\s*\\d{3,4})?)', 1), '') AS dates, regexp_replace(Claim, '/.*?of', 'of', 'g') "
+        "AS cl FROM psplit)))"),
+    "people": (
+        "people AS (SELECT CAST(row_number() OVER (ORDER BY start ASC NULLS LAST, row_index) - 1 "
+        "AS BIGINT) AS idx, * FROM pclean)"),
+    "second": (
+        "second AS (SELECT f.idx, MIN(s.idx) AS partner_idx FROM people f JOIN people s "
+        "ON s.Name = '(2nd reign) ' || trim(f.Name, '(1st reign)') "
+        "WHERE contains(f.Name, '(1st reign)') AND COALESCE(f.Death - f.\"end\" <> 0, TRUE) "
+        "GROUP BY f.idx)"),
+    "lineage": (
+        "lineage AS (SELECT c.idx AS child_idx, MIN(p.idx) AS parent_idx FROM people c "
+        "JOIN people p ON contains(lower(p.Name), lower(c.Claim)) "
+        "WHERE c.Claim IS NOT NULL AND length(c.Claim) > 0 GROUP BY c.idx)"),
+    "b0": "b0 AS (SELECT MAX(Birth) AS b0 FROM people WHERE idx = 0)",
+    "layout": (
+        "layout AS (SELECT idx, CAST(Birth - (SELECT b0 FROM b0) + 10 AS INTEGER) AS x, "
+        "CAST(600 - 10 * idx AS INTEGER) AS lane FROM people)"),
+})
+_P = ("raw_people", "psplit", "pclean", "people")
+DEPS.update({
+    "raw_people": ("pbase",), "psplit": ("pbase", "raw_people"),
+    "pclean": ("pbase", "raw_people", "psplit"),
+    "people": ("pbase",) + _P[:-1],
+    "second": ("pbase",) + _P, "lineage": ("pbase",) + _P, "b0": ("pbase",) + _P,
+    "layout": ("pbase",) + _P + ("b0",),
+})
+
+_SEGMENTS = (
+    "SELECT idx, seg_no, kind, CAST(length AS INTEGER) AS length FROM ("
+    "SELECT p.idx, 0 AS seg_no, 'before' AS kind, p.start - p.Birth AS length, TRUE AS keep "
+    "FROM rows_ p UNION ALL SELECT idx, 1, 'reign', \"end\" - start, TRUE FROM rows_ "
+    "UNION ALL SELECT idx, 2, 'between', start2 - \"end\", partner_idx IS NOT NULL FROM rows_ "
+    "UNION ALL SELECT idx, 3, 'reign', end2 - start2, partner_idx IS NOT NULL FROM rows_ "
+    "UNION ALL SELECT idx, 4, 'after', Death - ae, COALESCE(Death - ae <> 0, TRUE) FROM rows_) "
+    "WHERE keep")
+_ROWS = (
+    "rows_ AS (SELECT p.idx, p.Birth, p.Death, p.start, p.\"end\", s.partner_idx, "
+    "q.start AS start2, q.\"end\" AS end2, CASE WHEN s.partner_idx IS NOT NULL THEN q.\"end\" "
+    "ELSE p.\"end\" END AS ae FROM people p LEFT JOIN second s ON p.idx = s.idx "
+    "LEFT JOIN people q ON q.idx = s.partner_idx "
+    "WHERE p.idx NOT IN (SELECT partner_idx FROM second))")
+
+SQL.update({
+    "union_missing_cols": with_("raw_people") + "SELECT * FROM raw_people",
+    "strip_footnotes": with_("raw_people") + (
+        "SELECT row_index, regexp_replace(Name, '\\[.*?\\]', '', 'g') AS Name FROM raw_people"),
+    "name_desc_split": with_("psplit") + "SELECT row_index, name, \"desc\" FROM psplit",
+    "dedupe_words": with_("pclean") + "SELECT row_index, Name FROM pclean",
+    "date_range_extract": with_("pclean") + "SELECT row_index, dates FROM pclean",
+    "reign_parse": with_("pclean") + "SELECT row_index, start, \"end\" FROM pclean",
+    "year_extract": with_("pclean") + "SELECT row_index, Birth, Death FROM pclean",
+    "claim_parse": with_("raw_people") + (
+        "SELECT row_index, NULLIF(regexp_extract(regexp_replace(Claim, '/.*?of', 'of', 'g'), "
+        "'(?i)(?:Son|Daughter)\\s+of\\s+(\\w+\\s*(?:[IV]+|of\\s+\\w+|the\\s+\\w+)*)', 1), '') "
+        "AS Claim FROM raw_people"),
+    "claim_relation": with_("pclean") + "SELECT row_index, ClaimRelation FROM pclean",
+    "glued_name_cut": with_("pclean") + "SELECT row_index, Claim FROM pclean",
+    "char_set_trim": with_("pclean") + (
+        "SELECT row_index, trim(Name, '(1st reign)') AS Name FROM pclean"),
+    "reject_rows": with_("raw_people") + (
+        "SELECT CAST(row_number() OVER (ORDER BY row_index) - 1 AS BIGINT) AS row_index, Name, "
+        "Birth, Death, Claim FROM raw_people WHERE row_index NOT IN (18, 25, 48)"),
+    "point_overrides": with_("pclean") + (
+        "SELECT row_index, CASE WHEN row_index = 0 THEN 'Alfred the Great' ELSE Name END AS Name, "
+        "CASE WHEN row_index = 29 THEN '1307 – 1327' WHEN row_index = 3 THEN '927 – 939' "
+        "ELSE dates END AS dates, CASE WHEN row_index = 10 THEN NULL WHEN row_index = 45 "
+        "THEN 'spouse' ELSE Claim END AS Claim FROM pclean"),
+    "monarch_clean": with_("people") + "SELECT * FROM people",
+    "monarch_order": with_("people") + "SELECT idx, row_index, start FROM people",
+    "lineage": with_("lineage") + "SELECT * FROM lineage",
+    "second_reign": with_("second") + "SELECT * FROM second",
+    "reign_segments": with_("second") + ", " + _ROWS + "\n" + _SEGMENTS,
+    "year_span": with_("people") + (
+        "SELECT MIN(Birth) AS min_birth, MAX(Death) AS max_death, "
+        "MAX(Death) - MIN(Birth) + 20 AS date_range FROM people"),
+    "year_grid": with_("b0") + (
+        "SELECT CAST(c * 100 + 25 * j AS INTEGER) AS year, k AS kind, "
+        "CAST(c * 100 + 25 * j - (SELECT b0 FROM b0) AS INTEGER) AS x FROM "
+        "(SELECT unnest(range(8, CAST(8 + round_even((MAX(Death) - MIN(Birth) + 20) / 100.0, 0) "
+        "AS INTEGER) + 1)) AS c FROM people) "
+        "CROSS JOIN (VALUES (0, 'century'), (1, 'quarter'), (2, 'half'), (3, 'quarter')) m(j, k)"),
+    "timeline_layout": with_("layout") + "SELECT * FROM layout",
+    "lineage_edges": with_("lineage", "layout") + (
+        "SELECT l.child_idx, l.parent_idx, c.lane AS child_lane, p.lane AS parent_lane, "
+        "p.x AS parent_x FROM lineage l JOIN layout c ON c.idx = l.child_idx "
+        "JOIN layout p ON p.idx = l.parent_idx"),
+})
+
+
+# -------------------------------------------------------------------- html
+SQL.update({
+    "html_table_extract": (
+        "SELECT n_regionkey AS doc_id, 0 AS table_no, CAST(row_number() OVER (PARTITION BY "
+        "n_regionkey ORDER BY n_nationkey) - 1 AS INTEGER) AS row_no, n_name AS Name, "
+        "CAST(n_nationkey AS VARCHAR) AS Birth, CAST(n_regionkey AS VARCHAR) AS Death, "
+        "CASE WHEN n_regionkey % 2 = 0 THEN 'Son of ' || n_name END AS Claim FROM nation"),
+    "html_list_items": (
+        "SELECT page_id, CAST(generate_subscripts(h, 1) - 1 AS INTEGER) AS item_no, "
+        "unnest(h) AS href, unnest(t) AS text FROM (SELECT page_id, "
+        "regexp_extract_all(html, '<li><a href=\"([^\"]*)\">([^<]*)</a></li>', 1) AS h, "
+        "regexp_extract_all(html, '<li><a href=\"([^\"]*)\">([^<]*)</a></li>', 2) AS t "
+        "FROM pages)"),
+})

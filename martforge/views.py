@@ -214,3 +214,104 @@ def raw_strikes(spark: SparkSession, d: str) -> DataFrame:
         F.col("l_linestatus").alias("impact"),
         F.when(F.col("l_returnflag") == "R", F.lit("Caused damage"))
         .otherwise(F.lit("No damage")).alias("damage"))
+
+
+def strike_batch(spark: SparkSession, d: str) -> DataFrame:
+    """A batch of new incidents, one per supplier (upsert input).
+
+    Mapping (fixed values): date = 2023-06-24 plus the nation key in days;
+    origin = the supplier's nation, or its region name (a new airport) when
+    the account balance is negative; aircraft 'Airplane'; altitude = the
+    truncated absolute balance; numbirds = nation key + 1; sky condition
+    'No Cloud' from a balance of 5000, 'Some Cloud' from 0, else missing.
+    """
+    s = table(spark, d, "supplier")
+    nr = regions_of_nations(spark, d)
+    j = s.join(nr, s.s_nationkey == nr.n_nationkey, "left")
+    bal = F.col("s_acctbal")
+    return j.select(
+        F.col("s_suppkey").alias("bord"),
+        F.date_add(F.lit("2023-06-24").cast("date"), F.col("s_nationkey")).alias("date"),
+        F.when(bal >= 0, F.col("n_name")).otherwise(F.col("r_name")).alias("origin"),
+        F.lit("Airplane").alias("aircraft"),
+        F.abs(bal).cast("int").alias("altitude"),
+        (F.col("s_nationkey") + 1).alias("numbirds"),
+        F.when(bal >= 5000, F.lit("No Cloud")).when(bal >= 0, F.lit("Some Cloud"))
+        .otherwise(F.lit(None).cast("string")).alias("conditions"))
+
+
+# ----------------------------------------------------- person records (C)
+
+def _cap(c: Column) -> Column:
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, 1 << 20))
+
+
+def _code(key: Column) -> Column:
+    """A letters-only name for a customer key (digits mapped to letters)."""
+    return _cap(F.translate(F.lpad(key.cast("string"), 6, "0"), "0123456789", "aeioubcdfg"))
+
+
+def _long_date(c: Column) -> Column:
+    return F.date_format(c, "d MMMM yyyy")
+
+
+def person_records(spark: SparkSession, d: str) -> DataFrame:
+    """Scraped-style person rows (row_index, Name, Birth, Death, Claim).
+
+    One row per customer, reign = its first and last order dates; a second
+    row for the HOUSEHOLD segment (a second reign).  Built as two frames, one
+    without a Claim column (MACHINERY), unioned by name with the missing
+    column added as null (P13).  Mapping (fixed values): the name is a
+    letters-only code of the key plus ``the <Segment>``, doubled first word
+    for BUILDING; AUTOMOBILE reigns start with a bare year; birth = first
+    year - 18 - nation key, ``c. <year>[a]`` for a negative balance; death =
+    last year (+5 for a balance over 5000); claims by segment: AUTOMOBILE
+    ``Son of <code of key-1>``, BUILDING ``Daughter of <code> the <segment>``,
+    FURNITURE ``Great-grandson of <code><Segment>`` (glued), HOUSEHOLD
+    ``Grandson/son of <code>``.
+    """
+    c = table(spark, d, "customer")
+    o = (table(spark, d, "orders")
+         .groupBy("o_custkey")
+         .agg(F.min(F.to_date("o_orderdate")).alias("d1"),
+              F.max(F.to_date("o_orderdate")).alias("d2")))
+    j = c.join(o, c.c_custkey == o.o_custkey, "left")
+    seg = F.col("c_mktsegment")
+    segname = _cap(F.lower(seg))
+    code = _code(F.col("c_custkey"))
+    pcode = _code(F.col("c_custkey") - 1)
+    pname = F.when(seg == "BUILDING", F.concat(code, F.lit(" "), code, F.lit(" the "), segname)) \
+        .otherwise(F.concat(code, F.lit(" the "), segname))
+    household = seg == "HOUSEHOLD"
+    note = F.concat(F.lit("["), F.col("c_nationkey").cast("string"), F.lit("]"))
+    start1 = F.when(seg == "AUTOMOBILE", F.year("d1").cast("string")).otherwise(_long_date(F.col("d1")))
+    end1 = _long_date(F.when(household, F.add_months("d1", 12)).otherwise(F.col("d2")))
+    span1 = F.when(F.col("d1").isNull(), F.lit("")).otherwise(
+        F.concat(F.lit(" "), start1, F.lit(" – "), end1))
+    name1 = F.concat(F.when(household, F.lit("(1st reign) ")).otherwise(F.lit("")),
+                     pname, note, span1)
+    name2 = F.concat(F.lit("(2nd reign) "), pname, note, F.lit(" "),
+                     _long_date(F.add_months("d2", -12)), F.lit(" – "), _long_date(F.col("d2")))
+    birth = F.year("d1") - 18 - F.col("c_nationkey")
+    birth_t = F.when(F.col("c_acctbal") < 0, F.concat(F.lit("c. "), birth.cast("string"), F.lit("[a]"))) \
+        .otherwise(birth.cast("string"))
+    death = F.year("d2") + F.when(F.col("c_acctbal") > 5000, F.lit(5)).otherwise(F.lit(0))
+    death_t = F.concat(F.date_format("d2", "d MMMM "), death.cast("string"))
+    claim = (F.when(seg == "AUTOMOBILE", F.concat(F.lit("Son of "), pcode))
+             .when(seg == "BUILDING", F.concat(F.lit("Daughter of "), pcode, F.lit(" the "),
+                                                F.lower(seg)))
+             .when(seg == "FURNITURE", F.concat(F.lit("Great-grandson of "), pcode, segname))
+             .when(household, F.concat(F.lit("Grandson/son of "), pcode)))
+    first = j.select("c_custkey", F.lit(0).alias("part"), seg.alias("_seg"),
+                     name1.alias("Name"), birth_t.alias("Birth"), death_t.alias("Death"),
+                     claim.alias("Claim"))
+    second = j.where(household & F.col("d1").isNotNull()).select(
+        "c_custkey", F.lit(1).alias("part"), seg.alias("_seg"), name2.alias("Name"),
+        birth_t.alias("Birth"), death_t.alias("Death"), claim.alias("Claim"))
+    both = first.unionByName(second)
+    with_claim = both.where(~(F.col("_seg") == "MACHINERY") | F.col("_seg").isNull())
+    without_claim = both.where(F.col("_seg") == "MACHINERY").drop("Claim")
+    rows = with_claim.unionByName(without_claim, allowMissingColumns=True)
+    from martforge.operators.keys import dense_ids
+    ids = dense_ids(rows, ["c_custkey"], "row_index", offset=-1, tie_breaker="part")
+    return ids.select("row_index", "Name", "Birth", "Death", "Claim")
