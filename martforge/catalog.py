@@ -17,10 +17,6 @@ from martforge.operators import reports as R
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _base(spark, d):
-    return M.sales_base(V.sales(spark, d))
-
-
 def _rep_facts(spark, d):
     return M.rep_facts(V.sales(spark, d), V.products(spark, d), V.reps(spark, d))
 
@@ -31,26 +27,28 @@ def _prod_month(spark, d):
 
 QUERIES: dict[str, Query] = {
     # ---------------------------------------------------------------- marts
-    "prod_total": lambda s, d: M.prod_total(_base(s, d), V.products(s, d)),
-    "prod_quarter": lambda s, d: M.prod_quarter(_base(s, d), V.products(s, d)),
-    "prod_region": lambda s, d: M.prod_region(_base(s, d), V.products(s, d), V.reps(s, d)),
-    "rep_total": lambda s, d: M.rep_total(_base(s, d), V.reps(s, d)),
-    "rep_quarter": lambda s, d: M.rep_quarter(_base(s, d), V.reps(s, d)),
+    "prod_total": lambda s, d: M.prod_total(V.sales(s, d), V.products(s, d)),
+    "prod_quarter": lambda s, d: M.prod_quarter(V.sales(s, d), V.products(s, d)),
+    "prod_region": lambda s, d: M.prod_region(V.sales(s, d), V.products(s, d), V.reps(s, d)),
+    "rep_total": lambda s, d: M.rep_total(V.sales(s, d), V.reps(s, d)),
+    "rep_quarter": lambda s, d: M.rep_quarter(V.sales(s, d), V.reps(s, d)),
     "rep_product_total": lambda s, d: M.rep_product_total(
-        _base(s, d), V.products(s, d), V.reps(s, d)),
+        V.sales(s, d), V.products(s, d), V.reps(s, d)),
     "prod_facts": lambda s, d: M.prod_facts(V.sales(s, d), V.products(s, d), V.reps(s, d)),
     "prod_facts_three_scans": lambda s, d: M.prod_facts(
         V.sales(s, d), V.products(s, d), V.reps(s, d), shared_base=False),
     "rep_facts": _rep_facts,
+    "rep_facts_three_scans": lambda s, d: M.rep_facts(
+        V.sales(s, d), V.products(s, d), V.reps(s, d), shared_base=False),
     "prod_month": _prod_month,
     "monthly_sales": lambda s, d: M.monthly_sales(V.sales(s, d), V.products(s, d)),
     "prod_total_by_name": lambda s, d: M.prod_total_by_name(V.sales(s, d), V.products(s, d)),
-    "prod_quarter_named": lambda s, d: M.prod_quarter_named(_base(s, d), V.products(s, d)),
+    "prod_quarter_named": lambda s, d: M.prod_quarter_named(V.sales(s, d), V.products(s, d)),
     "prod_region_named": lambda s, d: M.prod_region_named(
-        _base(s, d), V.products(s, d), V.reps(s, d)),
-    "rep_quarter_named": lambda s, d: M.rep_quarter_named(_base(s, d), V.reps(s, d)),
+        V.sales(s, d), V.products(s, d), V.reps(s, d)),
+    "rep_quarter_named": lambda s, d: M.rep_quarter_named(V.sales(s, d), V.reps(s, d)),
     "rep_product_named": lambda s, d: M.rep_product_named(
-        _base(s, d), V.products(s, d), V.reps(s, d)),
+        V.sales(s, d), V.products(s, d), V.reps(s, d)),
     "prod_reps": lambda s, d: M.prod_reps(V.reps(s, d)),
     "prod_customers": lambda s, d: M.prod_customers(V.customers(s, d)),
     "rep_product": lambda s, d: M.rep_product(V.sales(s, d), V.products(s, d)),
@@ -81,12 +79,12 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 
-def _sales_tables(s, d, policy="error"):
-    return SL.load_all(V.raw_txn(s, d), V.raw_rep_records(s, d), V.LINEITEM_ORDER, policy)
+def _sales(s, d, policy="error"):
+    return SL.SalesLoad(V.raw_txn(s, d), V.raw_rep_records(s, d), V.LINEITEM_ORDER, policy)
 
 
-def _strike_tables(s, d):
-    return STL.load_all(V.raw_strikes(s, d), V.LINEITEM_ORDER)
+def _strikes(s, d):
+    return STL.StrikesLoad(V.raw_strikes(s, d), V.LINEITEM_ORDER)
 
 
 def _typed_txn(df):
@@ -210,23 +208,23 @@ QUERIES.update({
     "sink_append": _sink_append,
     "materialize_mart": _materialize_mart,
     "monthly_sales_table": _monthly_sales_table,
-    "txn_row_count": lambda s, d: SK.row_count(_sales_tables(s, d)["salestxn"]),
+    "txn_row_count": lambda s, d: SK.row_count(_sales(s, d).salestxn),
     # ------------------------------------------------------- sales load
-    "dim_products": lambda s, d: _sales_tables(s, d)["products"],
-    "dim_customers": lambda s, d: _sales_tables(s, d)["customers"],
-    "dim_reps": lambda s, d: _sales_tables(s, d)["reps"],
-    "cust_reps": lambda s, d: _sales_tables(s, d)["cust_reps"],
-    "fact_sales": lambda s, d: _sales_tables(s, d)["salestxn"],
+    "dim_products": lambda s, d: _sales(s, d).products,
+    "dim_customers": lambda s, d: _sales(s, d).customers,
+    "dim_reps": lambda s, d: _sales(s, d).reps,
+    "cust_reps": lambda s, d: _sales(s, d).cust_reps,
+    "fact_sales": lambda s, d: _sales(s, d).salestxn,
     # ---------------------------------------------------- incident load
-    "dim_airports": lambda s, d: _strike_tables(s, d)["airports"],
-    "fact_flights": lambda s, d: _strike_tables(s, d)["flights"],
-    "dim_conditions": lambda s, d: _strike_tables(s, d)["conditions"],
-    "fact_strikes": lambda s, d: _strike_tables(s, d)["strikes"],
-    "flight_origin_lookup": lambda s, d: _strike_tables(s, d)["flights"].select("fid", "origin"),
-    "strike_condition_lookup": lambda s, d: _strike_tables(s, d)["strikes"].select(
+    "dim_airports": lambda s, d: _strikes(s, d).airports,
+    "fact_flights": lambda s, d: _strikes(s, d).flights,
+    "dim_conditions": lambda s, d: _strikes(s, d).conditions,
+    "fact_strikes": lambda s, d: _strikes(s, d).strikes,
+    "flight_origin_lookup": lambda s, d: _strikes(s, d).flights.select("fid", "origin"),
+    "strike_condition_lookup": lambda s, d: _strikes(s, d).strikes.select(
         "sid", "conditions"),
     "first_strike_per_flight": lambda s, d: STL.first_strike_per_flight(
-        _strike_tables(s, d)["strikes"]),
+        _strikes(s, d).strikes),
     # -------------------------------------------------------------- quality
     "fk_orphans": _fk_orphans,
     "pk_duplicates": lambda s, d: Q.pk_duplicates(
@@ -246,9 +244,9 @@ from martforge.operators import upsert as U  # noqa: E402
 
 
 def _upsert(s, d):
-    t = _strike_tables(s, d)
-    return U.record_strikes(V.strike_batch(s, d), t["airports"], t["flights"], t["strikes"],
-                            t["conditions"], ["bord"])
+    t = _strikes(s, d)
+    return U.record_strikes(V.strike_batch(s, d), t.airports, t.flights, t.strikes,
+                            t.conditions, ["bord"])
 
 
 QUERIES.update({

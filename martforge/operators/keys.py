@@ -56,17 +56,26 @@ def row_hash(df: DataFrame) -> Column:
 
 def dense_ids(df: DataFrame, order_cols: Sequence, id_col: str = "id",
               offset: int = 0, num_partitions: int | None = None,
-              tie_breaker: str | None = None, path: str | None = None) -> DataFrame:
+              tie_breaker: str | None = None, path: str | None = None,
+              stage_input: bool = False) -> DataFrame:
     """Add ``id_col`` = offset + 1..n following ``order_cols``.
 
     ``tie_breaker`` names a column that makes the order total (e.g. a source
     position); by default a hash of the whole row is used.  The tagged rows
     are written to ``path`` (default: a fresh folder under the checkpoint
     folder) and the result reads them back.
+
+    Spark's range partitioner samples its input in a job of its own, so an
+    expensive input (joins, parsing) would be computed twice;
+    ``stage_input=True`` writes it once first and samples the written copy.
     """
     spark = df.sparkSession
     n = num_partitions or _num_partitions(spark)
     work = df
+    if stage_input:
+        staged_path = scratch_dir(spark, "dense-input")
+        df.write.mode("overwrite").parquet(staged_path)
+        work = spark.read.parquet(staged_path)
     tb = tie_breaker
     if tb is None:
         tb = "_dense_tb"

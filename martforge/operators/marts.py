@@ -1,16 +1,30 @@
 """Sales marts: product and rep totals by quarter, region, product and month.
 
-All aggregates are integer ``SUM(quantity)``, which is distributive, so the
-multi-block mart queries are computed from ONE pre-aggregate of the fact
-table by (pid, rid, year, quarter) instead of three scans of it:
-
-* the pre-aggregate runs with map-side partial aggregation, so a hot product
-  or rep collapses on the map side before any shuffle;
-* every later step (roll-ups, the dimension joins, the fan-out joins) works on
-  aggregated rows whose count per key is bounded by rids x quarters, not by
-  the number of transactions;
-* dimension joins are plain joins: AQE broadcasts the dimension only when its
-  measured size is under the broadcast threshold, otherwise it shuffles.
+All aggregates are integer ``SUM(quantity)``, which is distributive, so each
+multi-block mart is computed from pre-aggregates of the fact table taken at
+the grain that actually shrinks it, instead of one fact scan per block:
+
+* ``(pid, rid)`` feeds the per-region block AND, rolled up, the per-product
+  total: the fact is aggregated to one row per product and rep BEFORE it
+  meets the reps dimension, so the dimension join shuffles that aggregate,
+  not the transactions, and the total needs no fact scan of its own;
+* the per-quarter block only needs its distinct (pid, year, quarter) keys
+  (its sum is never selected), a partial-aggregated distinct.
+
+At 1000x scale the reps dimension is not broadcastable, so the original
+three-block form would shuffle every transaction by rid for the region join
+and shuffle the fact twice more for the other blocks; this form shuffles the
+fact twice (keys, and the (pid, rid) pre-aggregate) plus aggregates.  When
+the dimension IS small enough to broadcast (the local bench), the three-scan
+form avoids one shuffle and can be faster.
+
+Every pre-aggregate runs with map-side partial aggregation, so a product or
+rep holding a large share of the rows collapses before any shuffle; all
+later steps work on aggregated rows whose count per key is bounded (quarters
+x regions per product).  Dimension joins are plain joins: AQE broadcasts the
+dimension only when its size is under the broadcast threshold and shuffles
+otherwise.  ``shared_base=False`` gives the three-scan form of the original
+query for comparison.
 
 Dimension keys (products.pid, reps.rid) are assumed unique, as their declared
 primary keys say; ``quality.pk_duplicates`` checks it.
@@ -39,13 +53,29 @@ def month_label(date_col: str = "date"):
     return F.date_format(date_col, "yyyy-MM")
 
 
+def _pre(sales: DataFrame, *keys: str) -> DataFrame:
+    """Pre-aggregate the fact: keys -> qty = SUM(quantity)."""
+    named = {"pid": F.col("pidFK").alias("pid"), "rid": F.col("ridFK").alias("rid"),
+             "year": F.year("date").alias("year"), "quarter": F.quarter("date").alias("quarter")}
+    return (sales.select(*[named[k] for k in keys], "quantity")
+            .groupBy(*keys).agg(F.sum("quantity").alias("qty")))
+
+
 def sales_base(sales: DataFrame) -> DataFrame:
     """Pre-aggregate: (pid, rid, year, quarter) -> qty = SUM(quantity)."""
-    return (with_period(sales)
-            .select(F.col("pidFK").alias("pid"), F.col("ridFK").alias("rid"),
-                    "year", "quarter", "quantity")
-            .groupBy("pid", "rid", "year", "quarter")
-            .agg(F.sum("quantity").alias("qty")))
+    return _pre(sales, "pid", "rid", "year", "quarter")
+
+
+def _dim_join(agg: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Inner join of a pre-aggregate with a dimension on ``key``.
+
+    Written as a null-safe match against the dimension's non-null keys: the
+    same rows as a plain inner equi-join, but Catalyst infers no
+    ``key IS NOT NULL`` filter into the aggregate's input, so an aggregate
+    used by several blocks stays one plan and its exchange is reused.
+    """
+    d = dim.where(F.col(key).isNotNull()).withColumnRenamed(key, "_dk")
+    return agg.join(d, agg[key].eqNullSafe(d["_dk"])).drop("_dk")
 
 
 def _fact_keys(sales: DataFrame) -> DataFrame:
@@ -56,23 +86,24 @@ def _fact_keys(sales: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------- product side
 
-def prod_total(base: DataFrame, products: DataFrame) -> DataFrame:
+def prod_total(sales: DataFrame, products: DataFrame) -> DataFrame:
     """A1: (pid, pname) -> total_sold."""
-    return (base.groupBy("pid").agg(F.sum("qty").alias("total_sold"))
+    return (_pre(sales, "pid").withColumnRenamed("qty", "total_sold")
             .join(products, "pid")
             .select("pid", "pname", "total_sold"))
 
 
-def prod_quarter(base: DataFrame, products: DataFrame) -> DataFrame:
+def prod_quarter(sales: DataFrame, products: DataFrame) -> DataFrame:
     """A2: (pid, year, quarter) -> total_sold_per_quarter_and_year."""
-    return (base.join(products.select("pid"), "pid", "left_semi")
-            .groupBy("pid", "year", "quarter")
-            .agg(F.sum("qty").alias("total_sold_per_quarter_and_year")))
+    return (_pre(sales, "pid", "year", "quarter")
+            .join(products.select("pid"), "pid", "left_semi")
+            .withColumnRenamed("qty", "total_sold_per_quarter_and_year"))
 
 
-def prod_region(base: DataFrame, products: DataFrame, reps: DataFrame) -> DataFrame:
+def prod_region(sales: DataFrame, products: DataFrame, reps: DataFrame) -> DataFrame:
     """A3: (pid, region) -> total_sold_per_region (orphan reps dropped)."""
-    return (base.join(reps.select("rid", "region"), "rid")
+    return (_pre(sales, "pid", "rid")
+            .join(reps.select("rid", "region"), "rid")
             .join(products.select("pid"), "pid", "left_semi")
             .groupBy("pid", "region")
             .agg(F.sum("qty").alias("total_sold_per_region")))
@@ -85,14 +116,22 @@ def prod_facts(sales: DataFrame, products: DataFrame, reps: DataFrame,
     ``shared_base=False`` computes the three blocks from three scans of the
     fact table, as the original query is written (for comparison).
     """
-    base = sales_base(sales) if shared_base else _fact_keys(sales)
-    total = base.groupBy("pid").agg(F.sum("qty").alias("total_sold")).join(products, "pid")
-    # A2's sum is never selected: only its (pid, year, quarter) keys matter.
-    quarters = base.select("pid", "year", "quarter").distinct()
-    regions = (base.join(reps.select("rid", "region"), "rid")
+    if shared_base:
+        by_rep = _pre(sales, "pid", "rid")
+        total = by_rep.groupBy("pid").agg(F.sum("qty").alias("total_sold"))
+        quarters = sales.select(F.col("pidFK").alias("pid"), F.year("date").alias("year"),
+                                F.quarter("date").alias("quarter")).distinct()
+    else:
+        base = _fact_keys(sales)
+        total = base.groupBy("pid").agg(F.sum("qty").alias("total_sold"))
+        # A2's sum is never selected: only its (pid, year, quarter) keys matter.
+        quarters = base.select("pid", "year", "quarter").distinct()
+        by_rep = base
+    regions = (_dim_join(by_rep, reps.select("rid", "region"), "rid")
                .groupBy("pid", "region")
                .agg(F.sum("qty").alias("total_sold_per_region")))
-    return (total.join(quarters, "pid", "left")
+    return (total.join(products, "pid")
+            .join(quarters, "pid", "left")
             .join(regions, "pid", "left")
             .select("pid", "pname", "total_sold", "year", "quarter",
                     "region", "total_sold_per_region"))
@@ -127,15 +166,15 @@ def prod_total_by_name(sales: DataFrame, products: DataFrame) -> DataFrame:
             .select("pid", "pname", "total_sold"))
 
 
-def prod_quarter_named(base: DataFrame, products: DataFrame) -> DataFrame:
+def prod_quarter_named(sales: DataFrame, products: DataFrame) -> DataFrame:
     """M8: (pid, pname, year, quarter) -> total_sold_per_quarter_and_year."""
-    return (prod_quarter(base, products).join(products, "pid")
+    return (prod_quarter(sales, products).join(products, "pid")
             .select("pid", "pname", "year", "quarter", "total_sold_per_quarter_and_year"))
 
 
-def prod_region_named(base: DataFrame, products: DataFrame, reps: DataFrame) -> DataFrame:
+def prod_region_named(sales: DataFrame, products: DataFrame, reps: DataFrame) -> DataFrame:
     """M8: (pid, pname, region) -> total_sold_per_region."""
-    return (prod_region(base, products, reps).join(products, "pid")
+    return (prod_region(sales, products, reps).join(products, "pid")
             .select("pid", "pname", "region", "total_sold_per_region"))
 
 
@@ -157,53 +196,65 @@ def rep_product(sales: DataFrame, products: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------- rep side
 
-def rep_total(base: DataFrame, reps: DataFrame) -> DataFrame:
+def rep_total(sales: DataFrame, reps: DataFrame) -> DataFrame:
     """A4: (rid, fname, lname) -> total_sold."""
-    return (base.groupBy("rid").agg(F.sum("qty").alias("total_sold"))
+    return (_pre(sales, "rid").withColumnRenamed("qty", "total_sold")
             .join(reps.select("rid", "fname", "lname"), "rid")
             .select("rid", "fname", "lname", "total_sold"))
 
 
-def rep_quarter(base: DataFrame, reps: DataFrame) -> DataFrame:
+def rep_quarter(sales: DataFrame, reps: DataFrame) -> DataFrame:
     """A5: (rid, year, quarter) -> total_sold_per_quarter_and_year."""
-    return (base.join(reps.select("rid"), "rid", "left_semi")
-            .groupBy("rid", "year", "quarter")
-            .agg(F.sum("qty").alias("total_sold_per_quarter_and_year")))
+    return (_pre(sales, "rid", "year", "quarter")
+            .join(reps.select("rid"), "rid", "left_semi")
+            .withColumnRenamed("qty", "total_sold_per_quarter_and_year"))
 
 
-def rep_product_total(base: DataFrame, products: DataFrame, reps: DataFrame) -> DataFrame:
+def rep_product_total(sales: DataFrame, products: DataFrame, reps: DataFrame) -> DataFrame:
     """(rid, pname) -> total_sold_per_product."""
-    return (base.join(products, "pid")
+    return (_pre(sales, "rid", "pid")
+            .join(products, "pid")
             .join(reps.select("rid"), "rid", "left_semi")
             .groupBy("rid", "pname")
             .agg(F.sum("qty").alias("total_sold_per_product")))
 
 
-def rep_quarter_named(base: DataFrame, reps: DataFrame) -> DataFrame:
+def rep_quarter_named(sales: DataFrame, reps: DataFrame) -> DataFrame:
     """M8: (rid, fname, lname, year, quarter) -> total_sold_per_quarter_and_year."""
-    return (rep_quarter(base, reps).join(reps.select("rid", "fname", "lname"), "rid")
+    return (rep_quarter(sales, reps).join(reps.select("rid", "fname", "lname"), "rid")
             .select("rid", "fname", "lname", "year", "quarter",
                     "total_sold_per_quarter_and_year"))
 
 
-def rep_product_named(base: DataFrame, products: DataFrame, reps: DataFrame) -> DataFrame:
+def rep_product_named(sales: DataFrame, products: DataFrame, reps: DataFrame) -> DataFrame:
     """M8: (rid, fname, lname, pname) -> total_sold_per_product."""
-    return (rep_product_total(base, products, reps)
+    return (rep_product_total(sales, products, reps)
             .join(reps.select("rid", "fname", "lname"), "rid")
             .select("rid", "fname", "lname", "pname", "total_sold_per_product"))
 
 
 def rep_facts(sales: DataFrame, products: DataFrame, reps: DataFrame,
               shared_base: bool = True) -> DataFrame:
-    """M6: A4 LEFT JOIN A5 LEFT JOIN A6 on rid (fan-out; see module doc)."""
-    base = sales_base(sales) if shared_base else _fact_keys(sales)
-    total = (base.groupBy("rid").agg(F.sum("qty").alias("total_sold"))
-             .join(reps.select("rid", "fname", "lname"), "rid"))
-    quarters = base.select("rid", "year", "quarter").distinct()
-    per_product = (base.join(products, "pid")
+    """M6: A4 LEFT JOIN A5 LEFT JOIN A6 on rid (fan-out; see module doc).
+
+    Shared form: (rid, pid) feeds A6 before the products join and, rolled
+    up, A4; A5 is the distinct (rid, year, quarter) keys.
+    """
+    if shared_base:
+        by_product = _pre(sales, "rid", "pid")
+        total = by_product.groupBy("rid").agg(F.sum("qty").alias("total_sold"))
+        quarters = sales.select(F.col("ridFK").alias("rid"), F.year("date").alias("year"),
+                                F.quarter("date").alias("quarter")).distinct()
+    else:
+        base = _fact_keys(sales)
+        total = base.groupBy("rid").agg(F.sum("qty").alias("total_sold"))
+        quarters = base.select("rid", "year", "quarter").distinct()
+        by_product = base
+    per_product = (_dim_join(by_product, products, "pid")
                    .groupBy("rid", "pname")
                    .agg(F.sum("qty").alias("total_sold_per_product")))
-    return (total.join(quarters, "rid", "left")
+    return (total.join(reps.select("rid", "fname", "lname"), "rid")
+            .join(quarters, "rid", "left")
             .join(per_product, "rid", "left")
             .select("rid", "fname", "lname", "total_sold", "year", "quarter",
                     "pname", "total_sold_per_product"))

@@ -114,6 +114,7 @@ SQL: dict[str, str] = {
     "prod_facts": with_("products", "reps", "salestxn") + _PROD_FACTS,
     "prod_facts_three_scans": with_("products", "reps", "salestxn") + _PROD_FACTS,
     "rep_facts": with_("products", "reps", "salestxn") + _REP_FACTS,
+    "rep_facts_three_scans": with_("products", "reps", "salestxn") + _REP_FACTS,
     "prod_month": with_("products", "salestxn") + _PROD_MONTH,
     "monthly_sales": with_("products", "salestxn") + (
         "SELECT pname, month, total_sold_per_month FROM (" + _PROD_MONTH + ")"),

@@ -12,7 +12,9 @@ sources), cached by the caller if reused, and every step is a set operation:
   policy (default ``error``: an unmatched name aborts the load, as it does
   in the source);
 * cust_reps: distinct (cid, rid) pairs (D3);
-* salestxn: ``tid`` 1..n in record order, distributed (D6).
+* salestxn: ``tid`` 1..n in record order, distributed (D6); it is assigned
+  first, and the numbered records are staged as a table that every other
+  step reads (first appearance = smallest tid).
 
 "Record order" is given by ``order_cols`` (file and position for real files,
 the source table's columns for the test views).
@@ -32,8 +34,14 @@ TXN_FIELDS = ["date", "cust", "prod", "qty", "amount", "country", "repID"]
 REP_FIELDS = ["rID", "firstName", "lastName", "territory"]
 
 
-def _with_order(txn: DataFrame, order_cols: Sequence[str]) -> DataFrame:
-    return txn.withColumn("_ord", F.struct(*[F.col(c) for c in order_cols]))
+def stage_records(txn: DataFrame, order_cols: Sequence[str]) -> DataFrame:
+    """Number the records 1..n in record order (``tid``, D6).
+
+    ``dense_ids`` writes its result as a table in the checkpoint folder, so
+    the returned DataFrame reads the staged records: every later step reads
+    them instead of re-parsing the input, and first appearance is min(tid).
+    """
+    return K.dense_ids(txn, list(order_cols), "tid")
 
 
 def load_reps(rep_records: DataFrame) -> DataFrame:
@@ -44,24 +52,22 @@ def load_reps(rep_records: DataFrame) -> DataFrame:
                               F.col("territory").alias("region"))
 
 
-def load_products(txn: DataFrame, order_cols: Sequence[str]) -> DataFrame:
+def load_products(staged: DataFrame) -> DataFrame:
     """products(pid, pname): distinct product names, pid 1..n by first use."""
-    t = _with_order(txn, order_cols)
-    return (K.dense_key(t, "prod", "_ord", "pid", offset=0)
+    return (K.dense_key(staged, "prod", "tid", "pid", offset=0)
             .select("pid", F.col("prod").alias("pname")))
 
 
-def load_customers(txn: DataFrame, order_cols: Sequence[str]) -> DataFrame:
+def load_customers(staged: DataFrame) -> DataFrame:
     """customers(cid, customer, country): first row per name, cid 101..."""
-    t = _with_order(txn, order_cols)
-    return (K.dense_key(t, "cust", "_ord", "cid", offset=100, value_cols=["country"])
+    return (K.dense_key(staged, "cust", "tid", "cid", offset=100, value_cols=["country"])
             .select("cid", F.col("cust").alias("customer"), "country"))
 
 
-def resolve_keys(txn: DataFrame, products: DataFrame, customers: DataFrame,
+def resolve_keys(staged: DataFrame, products: DataFrame, customers: DataFrame,
                  reps: DataFrame, policy: str = "error") -> DataFrame:
     """Attach pid, cid, rid to every record by natural key."""
-    t = txn.withColumn("_rep_no", C.lenient_int("repID"))
+    t = staged.withColumn("_rep_no", C.lenient_int("repID"))
     t = K.lookup_key(t, customers, "cust", "customer", "cid", policy=policy)
     t = K.lookup_key(t, products, "prod", "pname", "pid", policy=policy)
     t = K.lookup_key(t, reps, "_rep_no", "rid", "rid", policy=policy)
@@ -73,26 +79,65 @@ def load_cust_reps(resolved: DataFrame) -> DataFrame:
     return resolved.select("cid", "rid").distinct()
 
 
-def load_sales(resolved: DataFrame, order_cols: Sequence[str]) -> DataFrame:
+def load_sales(resolved: DataFrame) -> DataFrame:
     """salestxn(tid, date, quantity, amount, ridFK, pidFK, cidFK)."""
-    typed = resolved.select(
-        *order_cols,
+    return resolved.select(
+        "tid",
         C.parse_us_date("date").alias("date"),
         C.lenient_int("qty").alias("quantity"),
         C.lenient_int("amount").alias("amount"),
         F.col("rid").alias("ridFK"), F.col("pid").alias("pidFK"),
         F.col("cid").alias("cidFK"))
-    with_ids = K.dense_ids(typed, list(order_cols), "tid")
-    return with_ids.select("tid", "date", "quantity", "amount", "ridFK", "pidFK", "cidFK")
+
+
+class SalesLoad:
+    """The five tables, built on demand from one staging of the records."""
+
+    def __init__(self, txn: DataFrame, rep_records: DataFrame, order_cols: Sequence[str],
+                 policy: str = "error"):
+        self._txn, self._reps_raw = txn, rep_records
+        self._order, self._policy = list(order_cols), policy
+        self._cache: dict[str, DataFrame] = {}
+
+    def _get(self, name, build):
+        if name not in self._cache:
+            self._cache[name] = build()
+        return self._cache[name]
+
+    @property
+    def staged(self):
+        return self._get("staged", lambda: stage_records(
+            self._txn.select(*self._order, *TXN_FIELDS), self._order))
+
+    @property
+    def products(self):
+        return self._get("products", lambda: load_products(self.staged))
+
+    @property
+    def customers(self):
+        return self._get("customers", lambda: load_customers(self.staged))
+
+    @property
+    def reps(self):
+        return self._get("reps", lambda: load_reps(self._reps_raw))
+
+    @property
+    def resolved(self):
+        return self._get("resolved", lambda: resolve_keys(
+            self.staged, self.products, self.customers, self.reps, self._policy))
+
+    @property
+    def cust_reps(self):
+        return load_cust_reps(self.resolved)
+
+    @property
+    def salestxn(self):
+        return load_sales(self.resolved)
 
 
 def load_all(txn: DataFrame, rep_records: DataFrame, order_cols: Sequence[str],
              policy: str = "error") -> dict[str, DataFrame]:
     """All five tables from one read of the records."""
-    products = load_products(txn, order_cols)
-    customers = load_customers(txn, order_cols)
-    reps = load_reps(rep_records)
-    resolved = resolve_keys(txn, products, customers, reps, policy)
-    return {"products": products, "customers": customers, "reps": reps,
-            "cust_reps": load_cust_reps(resolved),
-            "salestxn": load_sales(resolved, order_cols)}
+    s = SalesLoad(txn, rep_records, order_cols, policy)
+    return {"products": s.products, "customers": s.customers, "reps": s.reps,
+            "cust_reps": s.cust_reps, "salestxn": s.salestxn}

@@ -14,6 +14,9 @@ Each record is one strike on one flight (``rid``).  Steps:
 * conditions: distinct sky conditions, null included, 1..n (D4, D5);
 * strikes: sid 1..n in record order (D6), condition id looked up where
   null matches null (J4 / Q5), damage flag (P7).
+
+``sid`` is assigned first; the numbered records are written once (the
+staging table) and every table reads them; first appearance = smallest sid.
 """
 
 from __future__ import annotations
@@ -30,32 +33,32 @@ CSV_FIELDS = ["rid", "flight_date", "origin", "airline", "aircraft", "altitude_f
               "heavy_flag", "sky_conditions", "wildlife_struck", "impact", "damage"]
 
 
-def _ordered(raw: DataFrame, order_cols: Sequence[str]) -> DataFrame:
-    return raw.withColumn("_ord", F.struct(*[F.col(c) for c in order_cols]))
+def stage_records(raw: DataFrame, order_cols: Sequence[str]) -> DataFrame:
+    """Number the records 1..n (``sid``) and stage them as a written table."""
+    return K.dense_ids(raw.select(*order_cols, *CSV_FIELDS), list(order_cols), "sid")
 
 
-def load_airports(raw: DataFrame, order_cols: Sequence[str]) -> DataFrame:
-    """airports(aid, airportState, airportCode)."""
-    firsts = K.first_per_key(_ordered(raw, order_cols), "origin", "_ord", [])
-    ids = K.dense_ids(firsts, ["first_order"], "aid")
+def load_airports(staged: DataFrame) -> DataFrame:
+    """airports(aid, airportState, airportCode) (+ the raw origin for look-ups)."""
+    firsts = K.first_per_key(staged, "origin", "sid", [])
+    ids = K.dense_ids(firsts, ["first_order"], "aid", tie_breaker="first_order")
     return ids.select("aid", C.null_default("origin", "unknown").alias("airportState"),
                       C.typed_null("string").alias("airportCode"),
                       F.col("origin").alias("_origin_raw"))
 
 
-def load_conditions(raw: DataFrame, order_cols: Sequence[str]) -> DataFrame:
+def load_conditions(staged: DataFrame) -> DataFrame:
     """conditions(cid, sky_condition, explanation)."""
-    firsts = K.first_per_key(_ordered(raw, order_cols), "sky_conditions", "_ord", [])
-    ids = K.dense_ids(firsts, ["first_order"], "cid")
+    firsts = K.first_per_key(staged, "sky_conditions", "sid", [])
+    ids = K.dense_ids(firsts, ["first_order"], "cid", tie_breaker="first_order")
     return ids.select("cid", F.col("sky_conditions").alias("sky_condition"),
                       C.typed_null("string").alias("explanation"))
 
 
-def load_flights(raw: DataFrame, airports: DataFrame, order_cols: Sequence[str],
-                 match_unknown: bool = False) -> DataFrame:
+def load_flights(staged: DataFrame, airports: DataFrame, match_unknown: bool = False) -> DataFrame:
     """flights(fid, date, origin, airline, aircraft, altitude, heavy)."""
-    typed = raw.select(
-        *order_cols,
+    typed = staged.select(
+        "sid",
         C.lenient_int("rid", "bigint").alias("fid"),
         C.parse_us_date("flight_date").alias("date"),
         F.col("origin").alias("_origin"),
@@ -63,7 +66,7 @@ def load_flights(raw: DataFrame, airports: DataFrame, order_cols: Sequence[str],
         C.null_default("aircraft", "Unknown").alias("aircraft"),
         C.altitude_parse("altitude_ft").alias("altitude"),
         C.text_flag("heavy_flag", "Yes").alias("heavy"))
-    first = K.apply_key_policy(typed, "fid", "keep_first", order_cols)
+    first = K.apply_key_policy(typed, "fid", "keep_first", ["sid"])
     nat = "_origin_raw" if not match_unknown else "airportState"
     src = first if not match_unknown else first.withColumn(
         "_origin", C.null_default("_origin", "unknown"))
@@ -72,10 +75,10 @@ def load_flights(raw: DataFrame, airports: DataFrame, order_cols: Sequence[str],
     return looked.select("fid", "date", "origin", "airline", "aircraft", "altitude", "heavy")
 
 
-def load_strikes(raw: DataFrame, conditions: DataFrame, order_cols: Sequence[str]) -> DataFrame:
+def load_strikes(staged: DataFrame, conditions: DataFrame) -> DataFrame:
     """strikes(sid, fid, numbirds, impact, damage, altitude, conditions)."""
-    typed = raw.select(
-        *order_cols,
+    typed = staged.select(
+        "sid",
         C.lenient_int("rid", "bigint").alias("fid"),
         C.lenient_int("wildlife_struck").alias("numbirds"),
         F.col("impact"),
@@ -84,9 +87,7 @@ def load_strikes(raw: DataFrame, conditions: DataFrame, order_cols: Sequence[str
         F.col("sky_conditions"))
     looked = K.lookup_key(typed, conditions, "sky_conditions", "sky_condition", "cid",
                           out_col="conditions", policy="null", null_safe=True)
-    with_ids = K.dense_ids(looked, list(order_cols), "sid")
-    return with_ids.select("sid", "fid", "numbirds", "impact", "damage", "altitude",
-                           "conditions")
+    return looked.select("sid", "fid", "numbirds", "impact", "damage", "altitude", "conditions")
 
 
 def first_strike_per_flight(strikes: DataFrame) -> DataFrame:
@@ -94,13 +95,46 @@ def first_strike_per_flight(strikes: DataFrame) -> DataFrame:
     return K.apply_key_policy(strikes, "fid", "keep_first", ["sid"])
 
 
+class StrikesLoad:
+    """The four tables, built on demand from one staging of the records."""
+
+    def __init__(self, raw: DataFrame, order_cols: Sequence[str], match_unknown: bool = False):
+        self._raw, self._order, self._match = raw, list(order_cols), match_unknown
+        self._cache: dict[str, DataFrame] = {}
+
+    def _get(self, name, build):
+        if name not in self._cache:
+            self._cache[name] = build()
+        return self._cache[name]
+
+    @property
+    def staged(self):
+        return self._get("staged", lambda: stage_records(self._raw, self._order))
+
+    @property
+    def airports_full(self):
+        return self._get("airports", lambda: load_airports(self.staged))
+
+    @property
+    def airports(self):
+        return self.airports_full.drop("_origin_raw")
+
+    @property
+    def conditions(self):
+        return self._get("conditions", lambda: load_conditions(self.staged))
+
+    @property
+    def flights(self):
+        return self._get("flights", lambda: load_flights(
+            self.staged, self.airports_full, self._match))
+
+    @property
+    def strikes(self):
+        return self._get("strikes", lambda: load_strikes(self.staged, self.conditions))
+
+
 def load_all(raw: DataFrame, order_cols: Sequence[str],
              match_unknown: bool = False) -> dict[str, DataFrame]:
-    airports = load_airports(raw, order_cols)
-    conditions = load_conditions(raw, order_cols)
-    return {
-        "airports": airports.drop("_origin_raw"),
-        "flights": load_flights(raw, airports, order_cols, match_unknown),
-        "conditions": conditions,
-        "strikes": load_strikes(raw, conditions, order_cols),
-    }
+    s = StrikesLoad(raw, order_cols, match_unknown)
+    return {"airports": s.airports, "flights": s.flights,
+            "conditions": s.conditions, "strikes": s.strikes}
