@@ -493,7 +493,9 @@ SQL.update({
         "SELECT row_index, regexp_replace(Name, '\\[.*?\\]', '', 'g') AS Name FROM raw_people"),
     "name_desc_split": with_("psplit") + "SELECT row_index, name, \"desc\" FROM psplit",
     "dedupe_words": with_("pclean") + "SELECT row_index, Name FROM pclean",
-    "date_range_extract": with_("pclean") + "SELECT row_index, dates FROM pclean",
+    "date_range_extract": with_("psplit") + (
+        "SELECT row_index, NULLIF(regexp_extract(\"desc\", '(\\s*\\d{3,4}\\s*(?:–\\s*"
+        "\\d{0,2}\\s*\\w*\\s*\\d{3,4})?)', 1), '') AS dates FROM psplit"),
     "reign_parse": with_("pclean") + "SELECT row_index, start, \"end\" FROM pclean",
     "year_extract": with_("pclean") + "SELECT row_index, Birth, Death FROM pclean",
     "claim_parse": with_("raw_people") + (

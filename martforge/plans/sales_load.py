@@ -106,8 +106,9 @@ class SalesLoad:
 
     @property
     def staged(self):
+        extra = [c for c in self._order if c not in TXN_FIELDS]
         return self._get("staged", lambda: stage_records(
-            self._txn.select(*self._order, *TXN_FIELDS), self._order))
+            self._txn.select(*extra, *TXN_FIELDS), self._order))
 
     @property
     def products(self):

@@ -35,7 +35,8 @@ CSV_FIELDS = ["rid", "flight_date", "origin", "airline", "aircraft", "altitude_f
 
 def stage_records(raw: DataFrame, order_cols: Sequence[str]) -> DataFrame:
     """Number the records 1..n (``sid``) and stage them as a written table."""
-    return K.dense_ids(raw.select(*order_cols, *CSV_FIELDS), list(order_cols), "sid")
+    extra = [c for c in order_cols if c not in CSV_FIELDS]
+    return K.dense_ids(raw.select(*extra, *CSV_FIELDS), list(order_cols), "sid")
 
 
 def load_airports(staged: DataFrame) -> DataFrame:
