@@ -350,3 +350,12 @@ QUERIES.update({
     "html_list_items": lambda s, d: H.html_links(V.table(s, d, "pages"), "html",
                                                  keep=["page_id"]),
 })
+
+
+# ================================================================== previews
+QUERIES.update({
+    # O3: the source previews tables with an unordered LIMIT; ordered by key here.
+    "preview": lambda s, d: R.preview(_strikes(s, d).flights, "fid", 5),
+    "strike_ids": lambda s, d: _strikes(s, d).strikes.select("sid", "fid"),
+    "rep_customer": lambda s, d: M.prod_customers(V.customers(s, d)),
+})

@@ -303,3 +303,25 @@ def lineage_edges(people: DataFrame, idx: str = "idx", height: int = 600,
                            F.col("lane").alias("parent_lane"))
     return edges.join(child, "child_idx").join(parent, "parent_idx") \
         .select("child_idx", "parent_idx", "child_lane", "parent_lane", "parent_x")
+
+
+def lineage_token_blocked(people: DataFrame, idx: str = "idx", name: str = "Name",
+                          claim: str = "Claim") -> DataFrame:
+    """Opt-in approximation of ``lineage``: candidates share the claim's FIRST
+    WORD as a whole word of the name, then ``contains`` is verified.
+
+    Cheaper on long names, but a claim found only inside a word (``ed`` in
+    ``alfred``) is missed; ``lineage`` is the exact form.
+    """
+    word = r"[^\p{L}\p{N}]+"
+    names = people.select(F.col(idx).alias("p_idx"), F.lower(F.col(name)).alias("p_name"))
+    tokens = names.select("p_idx", "p_name",
+                          F.explode(F.array_distinct(F.split("p_name", word))).alias("tok"))
+    claims = (people.select(F.col(idx).alias("c_idx"), F.lower(F.col(claim)).alias("c_claim"))
+              .where(F.col("c_claim").isNotNull() & (F.length("c_claim") > 0))
+              .withColumn("tok", F.get(F.filter(F.split("c_claim", word),
+                                                lambda t: t != F.lit("")), 0)))
+    pairs = (claims.join(tokens.where(F.col("tok") != ""), "tok")
+             .where(F.contains(F.col("p_name"), F.col("c_claim"))))
+    return (pairs.groupBy("c_idx").agg(F.min("p_idx").alias("parent_idx"))
+            .select(F.col("c_idx").alias("child_idx"), "parent_idx"))

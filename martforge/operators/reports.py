@@ -108,3 +108,9 @@ def strikes_by_month(strikes: DataFrame, flights: DataFrame) -> DataFrame:
             .groupBy(F.date_format("date", "MM").alias("month"))
             .agg(F.sum("birds").alias("birds"))
             .select("birds", "month"))
+
+
+def preview(df: DataFrame, key: str | list[str], n: int = 5) -> DataFrame:
+    """O3: the first ``n`` rows by key (the source's unordered ``LIMIT n``)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return df.orderBy(*[F.col(k).asc_nulls_last() for k in keys]).limit(n)

@@ -51,7 +51,8 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]):
 def record_strikes(batch: DataFrame, airports: DataFrame, flights: DataFrame,
                    strikes: DataFrame, conditions: DataFrame,
                    order_cols: Sequence[str]) -> dict[str, DataFrame]:
-    """-> {"airports", "flights", "strikes"} after adding ``batch``."""
+    """-> {"airports", "flights", "strikes"} after adding ``batch``, plus the
+    added rows alone as ``new_airports``, ``new_flights``, ``new_strikes``."""
     b = batch.withColumn("_bord", F.struct(*[F.col(c) for c in order_cols])) \
              .withColumn("_state", F.coalesce(F.col("origin"), F.lit("unknown")))
 
@@ -95,4 +96,6 @@ def record_strikes(batch: DataFrame, airports: DataFrame, flights: DataFrame,
                            F.col("altitude").cast("int").alias("altitude"),
                            F.col("cid").alias("conditions")))
     strikes2 = strikes.select(*new_strikes.columns).unionByName(new_strikes)
-    return {"airports": airports2, "flights": flights2, "strikes": strikes2}
+    return {"airports": airports2, "flights": flights2, "strikes": strikes2,
+            "new_airports": new_airports, "new_flights": new_flights,
+            "new_strikes": new_strikes}

@@ -550,3 +550,11 @@ SQL.update({
         "regexp_extract_all(html, '<li><a href=\"([^\"]*)\">([^<]*)</a></li>', 2) AS t "
         "FROM pages)"),
 })
+
+
+SQL.update({
+    "preview": with_("fact_flights") + (
+        "SELECT * FROM fact_flights ORDER BY fid ASC NULLS LAST LIMIT 5"),
+    "strike_ids": with_("fact_strikes") + "SELECT sid, fid FROM fact_strikes",
+    "rep_customer": with_("customers") + "SELECT cid, customer, country FROM customers",
+})
