@@ -57,7 +57,7 @@ def row_hash(df: DataFrame) -> Column:
 def dense_ids(df: DataFrame, order_cols: Sequence, id_col: str = "id",
               offset: int = 0, num_partitions: int | None = None,
               tie_breaker: str | None = None, path: str | None = None,
-              stage_input: bool = False) -> DataFrame:
+              stage_input: bool = False, keep_order_cols: bool = True) -> DataFrame:
     """Add ``id_col`` = offset + 1..n following ``order_cols``.
 
     ``tie_breaker`` names a column that makes the order total (e.g. a source
@@ -68,6 +68,8 @@ def dense_ids(df: DataFrame, order_cols: Sequence, id_col: str = "id",
     Spark's range partitioner samples its input in a job of its own, so an
     expensive input (joins, parsing) would be computed twice;
     ``stage_input=True`` writes it once first and samples the written copy.
+    ``keep_order_cols=False`` leaves the order columns out of the written
+    table when only the id is needed afterwards.
     """
     spark = df.sparkSession
     n = num_partitions or _num_partitions(spark)
@@ -86,6 +88,8 @@ def dense_ids(df: DataFrame, order_cols: Sequence, id_col: str = "id",
               .withColumn("_dense_part", F.spark_partition_id())
               .withColumn("_dense_pos", F.monotonically_increasing_id()
                           .bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
+    if not keep_order_cols:
+        tagged = tagged.drop(*[c for c in order_cols if isinstance(c, str)])
     target = path or scratch_dir(spark, "dense-ids")
     tagged.write.mode("overwrite").parquet(target)
     written = spark.read.parquet(target)

@@ -41,7 +41,7 @@ def stage_records(txn: DataFrame, order_cols: Sequence[str]) -> DataFrame:
     the returned DataFrame reads the staged records: every later step reads
     them instead of re-parsing the input, and first appearance is min(tid).
     """
-    return K.dense_ids(txn, list(order_cols), "tid")
+    return K.dense_ids(txn, list(order_cols), "tid", keep_order_cols=False)
 
 
 def load_reps(rep_records: DataFrame) -> DataFrame:
