@@ -28,6 +28,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from martforge.session import scratch_dir
@@ -108,6 +109,46 @@ def dense_ids(df: DataFrame, order_cols: Sequence, id_col: str = "id",
     return out.drop(*drop)
 
 
+def dense_ids_by_int_key(df: DataFrame, key: str, id_col: str = "id", offset: int = 0,
+                         bucket_size: int = 1 << 20) -> DataFrame:
+    """Dense ids ``offset + 1..n`` in the order of a UNIQUE non-negative integer key.
+
+    With a known integer domain no sampling and no written table are needed:
+    rows are bucketed by value (``key // bucket_size``, so a bucket holds at
+    most ``bucket_size`` rows whatever the skew), numbered with ``row_number``
+    inside their bucket, and offset by the prefix sum of the bucket counts
+    (one row per non-empty bucket).  Every step depends only on values, so a
+    re-evaluation gives the same ids.
+    """
+    b = df.withColumn("_ib", F.floor(F.col(key) / F.lit(bucket_size)).cast("long"))
+    counts = b.groupBy("_ib").agg(F.count(F.lit(1)).alias("_in"))
+    w = Window.orderBy("_ib").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_ib", F.coalesce(F.sum("_in").over(w), F.lit(0)).alias("_ioff"))
+    within = Window.partitionBy("_ib").orderBy(F.col(key))
+    return (b.withColumn("_ir", F.row_number().over(within))
+            .join(offsets, "_ib")
+            .withColumn(id_col, (F.col("_ioff") + F.col("_ir") + F.lit(offset)).cast("long"))
+            .drop("_ib", "_ir", "_ioff"))
+
+
+def ids_from_positions(df: DataFrame, group_col: str, pos_col: str, id_col: str = "id",
+                       offset: int = 0) -> DataFrame:
+    """D6 for records read from files: id = (rows of earlier files) + pos + 1.
+
+    ``pos_col`` must be the dense 0-based position inside ``group_col`` (as
+    ``posexplode`` gives).  Needs no sort and no range shuffle: one count per
+    file, a prefix sum over the files (one row per file), and a join.
+    """
+    counts = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("_fn"))
+    w = Window.orderBy(F.col(group_col).asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = counts.select(group_col, F.coalesce(F.sum("_fn").over(w), F.lit(0)).alias("_foff"))
+    return (df.join(offsets, df[group_col].eqNullSafe(offsets[group_col]))
+            .drop(offsets[group_col])
+            .withColumn(id_col, (F.col("_foff") + F.col(pos_col) + F.lit(offset + 1)).cast("long"))
+            .drop("_foff"))
+
+
 def first_per_key(df: DataFrame, key: str | Sequence[str], order_col: str,
                   value_cols: Sequence[str]) -> DataFrame:
     """One row per key, the other columns taken from the FIRST row.
@@ -128,9 +169,16 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order_col: str,
 def dense_key(df: DataFrame, key: str | Sequence[str], order_col: str,
               id_col: str, offset: int = 0,
               value_cols: Sequence[str] = ()) -> DataFrame:
-    """D1 + D5: distinct keys numbered offset + 1..n by first appearance."""
+    """D1 + D5: distinct keys numbered offset + 1..n by first appearance.
+
+    When ``order_col`` is an integer record id (the usual case: the records
+    were numbered first), the first ids are unique integers and are ranked
+    with ``dense_ids_by_int_key``; otherwise with ``dense_ids``.
+    """
     firsts = first_per_key(df, key, order_col, value_cols)
     keys = [key] if isinstance(key, str) else list(key)
+    if isinstance(df.schema[order_col].dataType, (T.LongType, T.IntegerType)):
+        return dense_ids_by_int_key(firsts, "first_order", id_col, offset).drop("first_order")
     return dense_ids(firsts, ["first_order"], id_col, offset,
                      tie_breaker=keys[0]).drop("first_order")
 

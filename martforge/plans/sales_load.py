@@ -37,11 +37,24 @@ REP_FIELDS = ["rID", "firstName", "lastName", "territory"]
 def stage_records(txn: DataFrame, order_cols: Sequence[str]) -> DataFrame:
     """Number the records 1..n in record order (``tid``, D6).
 
-    ``dense_ids`` writes its result as a table in the checkpoint folder, so
-    the returned DataFrame reads the staged records: every later step reads
-    them instead of re-parsing the input, and first appearance is min(tid).
+    Records read from files with their position (``_file``, ``_pos``) are
+    numbered from per-file counts, with no sort; any other order uses
+    ``dense_ids``.  Either way the numbered records are written once as a
+    table in the checkpoint folder and every later step reads them
+    (first appearance = smallest tid).
     """
-    return K.dense_ids(txn, list(order_cols), "tid", keep_order_cols=False)
+    order = list(order_cols)
+    if order == ["_file", "_pos"]:
+        numbered = K.ids_from_positions(txn, "_file", "_pos", "tid").drop("_file", "_pos")
+        return write_staged(numbered)
+    return K.dense_ids(txn, order, "tid", keep_order_cols=False)
+
+
+def write_staged(df: DataFrame) -> DataFrame:
+    from martforge.session import scratch_dir
+    path = scratch_dir(df.sparkSession, "staged-records")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def load_reps(rep_records: DataFrame) -> DataFrame:

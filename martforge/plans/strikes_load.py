@@ -41,8 +41,7 @@ def stage_records(raw: DataFrame, order_cols: Sequence[str]) -> DataFrame:
 
 def load_airports(staged: DataFrame) -> DataFrame:
     """airports(aid, airportState, airportCode) (+ the raw origin for look-ups)."""
-    firsts = K.first_per_key(staged, "origin", "sid", [])
-    ids = K.dense_ids(firsts, ["first_order"], "aid", tie_breaker="first_order")
+    ids = K.dense_key(staged, "origin", "sid", "aid")
     return ids.select("aid", C.null_default("origin", "unknown").alias("airportState"),
                       C.typed_null("string").alias("airportCode"),
                       F.col("origin").alias("_origin_raw"))
@@ -50,8 +49,7 @@ def load_airports(staged: DataFrame) -> DataFrame:
 
 def load_conditions(staged: DataFrame) -> DataFrame:
     """conditions(cid, sky_condition, explanation)."""
-    firsts = K.first_per_key(staged, "sky_conditions", "sid", [])
-    ids = K.dense_ids(firsts, ["first_order"], "cid", tie_breaker="first_order")
+    ids = K.dense_key(staged, "sky_conditions", "sid", "cid")
     return ids.select("cid", F.col("sky_conditions").alias("sky_condition"),
                       C.typed_null("string").alias("explanation"))
 

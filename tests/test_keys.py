@@ -86,3 +86,20 @@ def test_quality_checks(spark):
     alt = spark.createDataFrame([(0,), (5,), (None,)], "altitude int")
     bad = Q.check_violations(alt, F.col("altitude") > 0).collect()
     assert [r.altitude for r in bad] == [0]           # null passes a CHECK
+
+
+def test_dense_ids_by_int_key_small_buckets(spark):
+    keys = [7, 3, 1000003, 50, 9, 2000001]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    out = K.dense_ids_by_int_key(df, "k", "id", offset=100, bucket_size=4)
+    got = sorted((r.k, r.id) for r in out.collect())
+    assert got == [(k, 101 + i) for i, k in enumerate(sorted(keys))]
+
+
+def test_ids_from_positions(spark):
+    rows = [("b.xml", 0), ("a.xml", 1), ("a.xml", 0), ("b.xml", 1), ("b.xml", 2)]
+    df = spark.createDataFrame(rows, "_file string, _pos int")
+    out = K.ids_from_positions(df, "_file", "_pos", "tid")
+    got = sorted((r._file, r._pos, r.tid) for r in out.collect())
+    assert got == [("a.xml", 0, 1), ("a.xml", 1, 2), ("b.xml", 0, 3), ("b.xml", 1, 4),
+                   ("b.xml", 2, 5)]
