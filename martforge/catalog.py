@@ -61,7 +61,8 @@ QUERIES: dict[str, Query] = {
     "above_avg_airlines": lambda s, d: R.above_avg_airlines(V.strikes(s, d), V.flights(s, d)),
     "avg_strikes_per_airline": lambda s, d: R.avg_strikes_per_airline(
         V.strikes(s, d), V.flights(s, d)),
-    "strikes_by_month": lambda s, d: R.strikes_by_month(V.strikes(s, d), V.flights(s, d)),
+    "strikes_by_month": lambda s, d: R.strikes_by_month(
+        V.strikes(s, d), V.flights(s, d, with_customer=False)),
 }
 
 

@@ -21,11 +21,12 @@ def top_reps(rep_facts: DataFrame, k: int = 5) -> DataFrame:
     """M9: five best reps by units (total_sold), from the rep_facts mart.
 
     The source groups by rid and selects bare fname, lname, total_sold, all
-    constant per rid; they are taken with ``max``.
+    constant per rid (reps has one row per rid), so they join the grouping
+    key and total_sold is taken with ``max`` (a hash aggregate; no string
+    aggregation buffers).
     """
-    per_rep = (rep_facts.groupBy("rid")
-               .agg(F.max("fname").alias("fname"), F.max("lname").alias("lname"),
-                    F.max("total_sold").alias("units")))
+    per_rep = (rep_facts.groupBy("rid", "fname", "lname")
+               .agg(F.max("total_sold").alias("units")))
     return (per_rep.where(F.col("units").isNotNull())
             .orderBy(F.desc("units"), F.asc("rid")).limit(k)
             .select("fname", "lname", "units"))

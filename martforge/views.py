@@ -132,17 +132,20 @@ def airports(spark: SparkSession, d: str) -> DataFrame:
         F.col("n_nationkey").alias("aid"), F.col("n_name").alias("airportState")))
 
 
-def flights(spark: SparkSession, d: str) -> DataFrame:
+def flights(spark: SparkSession, d: str, with_customer: bool = True) -> DataFrame:
+    """Flights; ``with_customer=False`` skips the customer join (no origin /
+    airline columns) for reports that only need the flight's own columns."""
     o = table(spark, d, "orders")
+    own = [F.col("o_orderkey").alias("fid"), F.to_date("o_orderdate").alias("date"),
+           F.col("o_orderstatus").alias("aircraft"),
+           F.col("o_totalprice").cast("int").alias("altitude"),
+           (F.col("o_orderpriority") == "1-URGENT").cast("int").alias("heavy")]
+    if not with_customer:
+        return o.select(*own)
     c = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
     return (o.join(c, o.o_custkey == c.c_custkey, "left")
-            .select(F.col("o_orderkey").alias("fid"),
-                    F.to_date("o_orderdate").alias("date"),
-                    F.col("c_nationkey").alias("origin"),
-                    F.col("c_name").alias("airline"),
-                    F.col("o_orderstatus").alias("aircraft"),
-                    F.col("o_totalprice").cast("int").alias("altitude"),
-                    (F.col("o_orderpriority") == "1-URGENT").cast("int").alias("heavy")))
+            .select(own[0], own[1], F.col("c_nationkey").alias("origin"),
+                    F.col("c_name").alias("airline"), *own[2:]))
 
 
 def strikes(spark: SparkSession, d: str) -> DataFrame:
