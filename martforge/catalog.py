@@ -316,40 +316,46 @@ QUERIES.update({
 from martforge.sources import html as H  # noqa: E402
 
 
-def _nation_documents(s, d):
-    """One HTML page per region: a ``wikitable`` of its nations (with a Claim
-    column for even region keys) and a table of another class."""
-    n = V.table(s, d, "nation")
-    cell = lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))
-    even = (F.col("n_regionkey") % 2) == 0
-    row = F.concat(F.lit("<tr>"), cell(F.col("n_name")),
-                   cell(F.col("n_nationkey").cast("string")),
-                   cell(F.col("n_regionkey").cast("string")),
-                   F.when(even, cell(F.concat(F.lit("Son of "), F.col("n_name"))))
-                   .otherwise(F.lit("")), F.lit("</tr>"))
-    # nation is a fixed 25-row table: at most 25 rows per group.
-    rows = (n.select("n_regionkey", F.struct("n_nationkey", row.alias("tr")).alias("r"))
-            .groupBy("n_regionkey").agg(F.array_sort(F.collect_list("r")).alias("rs")))
+def _parallelism(s):
+    return int(s.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _line_documents(s, d):
+    """One small HTML page per line item (no grouping): a ``wikitable`` with
+    two body rows -- the Name cell spans both (``rowspan``) -- and a Claim
+    column for closed lines (status F), plus a table of another class."""
+    li = V.table(s, d, "lineitem")
+    cell = lambda c: F.concat(F.lit("<td>"), c.cast("string"), F.lit("</td>"))
+    closed = F.col("l_linestatus") == "F"
+    claim1 = F.when(closed, cell(F.concat(F.lit("Son of "), F.col("l_returnflag")))) \
+        .otherwise(F.lit(""))
+    claim2 = F.when(closed, cell(F.concat(F.lit("Daughter of "), F.col("l_shipmode_or_flag")))) \
+        .otherwise(F.lit(""))
     header = F.concat(F.lit("<tr><th>Name</th><th>Birth</th><th>Death</th>"),
-                      F.when((F.col("n_regionkey") % 2) == 0, F.lit("<th>Claim</th>"))
-                      .otherwise(F.lit("")), F.lit("</tr>"))
-    html = F.concat(F.lit("<html><body><table class=\"wikitable sortable\">"), header,
-                    F.array_join(F.transform("rs", lambda r: r["tr"]), ""),
+                      F.when(closed, F.lit("<th>Claim</th>")).otherwise(F.lit("")), F.lit("</tr>"))
+    row1 = F.concat(F.lit("<tr><td rowspan=\"2\">Part "), F.col("l_partkey").cast("string"),
+                    F.lit("</td>"), cell(F.col("l_quantity").cast("int")),
+                    cell(F.year("l_shipdate")), claim1, F.lit("</tr>"))
+    row2 = F.concat(F.lit("<tr>"), cell(F.col("l_linenumber")), cell(F.month("l_shipdate")),
+                    claim2, F.lit("</tr>"))
+    html = F.concat(F.lit("<html><body><table class=\"wikitable sortable\">"), header, row1, row2,
                     F.lit("</table><table class=\"infobox\"><tr><th>Name</th></tr>"
                           "<tr><td>decoy</td></tr></table></body></html>"))
-    return rows.select(F.col("n_regionkey").alias("doc_id"), html.alias("html"))
+    return (li.withColumn("l_shipmode_or_flag", F.col("l_linestatus"))
+            .select("l_orderkey", "l_linenumber", html.alias("html")))
 
 
 def _html_table_extract(s, d):
-    t = H.html_tables(_nation_documents(s, d), "html", "wikitable", keep=["doc_id"])
-    return t.select("doc_id", "table_no", "row_no", H.table_column("Name"),
+    t = H.html_tables(_line_documents(s, d), "html", "wikitable",
+                      keep=["l_orderkey", "l_linenumber"], partitions=_parallelism(s))
+    return t.select("l_orderkey", "l_linenumber", "table_no", "row_no", H.table_column("Name"),
                     H.table_column("Birth"), H.table_column("Death"), H.table_column("Claim"))
 
 
 QUERIES.update({
     "html_table_extract": _html_table_extract,
     "html_list_items": lambda s, d: H.html_links(V.table(s, d, "pages"), "html",
-                                                 keep=["page_id"]),
+                                                 keep=["page_id"], partitions=_parallelism(s)),
 })
 
 
