@@ -275,7 +275,7 @@ def strike_batch(spark: SparkSession, d: str) -> DataFrame:
 # ----------------------------------------------------- person records (C)
 
 def _cap(c: Column) -> Column:
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, 1 << 20))
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.substr(c, F.lit(2)))
 
 
 def _code(key: Column) -> Column:
