@@ -105,7 +105,9 @@ def _xml_reps(s, d):
     return SL.load_reps(X.parse_xml_column(xml, "xml", SL.REP_FIELDS, attributes=["rID"]))
 
 
-def _xml_multi_file(s, d):
+def _write_txn_files(s, d):
+    """Sales records as XML files, one folder per ship year named
+    ``pharmaSale<year>``, plus records under a name the pattern must skip."""
     root = scratch_dir(s, "txn-xml")
     txn = V.raw_txn(s, d).withColumn(
         "file", F.concat(F.lit("pharmaSale"), F.year("l_shipdate").cast("string")))
@@ -117,10 +119,23 @@ def _xml_multi_file(s, d):
         F.col("territory").alias("country"), F.lit("0").alias("repID"),
         F.lit("pharmaReps").alias("file"))
     X.write_xml_files(decoy, root, "txn", "sales", "file", mode="append")
+    return root
+
+
+def _xml_multi_file(s, d):
+    """S1 + S4, exact order: whole documents, (file, position)."""
+    root = _write_txn_files(s, d)
     rows = X.read_xml_documents(s, root, "txn", SL.TXN_FIELDS, file_regex=r"pharmaSale.*\.xml")
     return _typed_txn(rows)
 
 
+def _xml_rowtag_multi_file(s, d):
+    """S1 + S4, scalable: Spark's row-tag reader splits the files."""
+    root = _write_txn_files(s, d)
+    rows = X.read_xml_records(s, root, "txn", SL.TXN_FIELDS, file_regex=r"pharmaSale.*\.xml")
+    return _typed_txn(rows)
+
+
 def _csv_scan(s, d):
     root = scratch_dir(s, "strikes-csv")
     CSV.write_csv_text(V.raw_strikes(s, d).select(*STL.CSV_FIELDS), root)
@@ -203,6 +218,7 @@ QUERIES.update({
     "xml_rep_scan": _xml_reps,
     "xml_product_scan": lambda s, d: X.leaf_text(_xml_txn(s, d), "prod"),
     "xml_multi_file": _xml_multi_file,
+    "xml_rowtag_multi_file": _xml_rowtag_multi_file,
     "csv_scan": _csv_scan,
     # ---------------------------------------------------------------- sinks
     "sink_overwrite": _sink_overwrite,

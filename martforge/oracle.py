@@ -265,6 +265,7 @@ SQL.update({
         "SELECT CAST(rid AS INTEGER) AS rid, fname, lname, region FROM reps"),
     "xml_product_scan": with_("raw_txn") + "SELECT prod AS text FROM raw_txn",
     "xml_multi_file": with_("raw_txn") + _TXN_TYPED,
+    "xml_rowtag_multi_file": with_("raw_txn") + _TXN_TYPED,
     "csv_scan": with_("raw_strikes") + (
         "SELECT fid AS rid, fdate AS flight_date, origin, airline, aircraft, altitude, "
         "heavy_flag, sky_conditions, numbirds AS wildlife_struck, impact, damage "
