@@ -177,9 +177,11 @@ def lineage(people: DataFrame, idx: str = "idx", name: str = "Name", claim: str
             .agg(F.min_by("g", F.struct(F.coalesce("df", F.lit(0)), F.col("g"))).alias("g")))
     long_pairs = rare.join(name_grams, "g").select("c_idx", "c_claim", "p_idx", "p_name")
 
-    # Short claims: whole claim against the names' substrings of that length.
+    # Short claims: whole claim against the names' substrings of that length
+    # (skipped after a one-row existence probe when there are none).
     short_pairs = None
-    for n in range(1, Q):
+    has_short = claims.where(F.length("c_claim") < Q).limit(1).count() > 0
+    for n in (range(1, Q) if has_short else ()):
         short = claims.where(F.length("c_claim") == n).withColumnRenamed("c_claim", "g")
         subs = names.select("p_idx", "p_name", F.explode(_grams(F.col("p_name"), n)).alias("g"))
         part = short.join(subs, "g").select("c_idx", F.col("g").alias("c_claim"),
