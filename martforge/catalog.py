@@ -382,3 +382,41 @@ QUERIES.update({
     "strike_ids": lambda s, d: _strikes(s, d).strikes.select("sid", "fid"),
     "rep_customer": lambda s, d: M.prod_customers(V.customers(s, d)),
 })
+
+
+# ================================================= person pipeline from HTML
+def _person_documents(s, d):
+    """One HTML page per person record: a one-row ``wikitable``, with a Claim
+    column only where the record has one (the claim-less table kind)."""
+    raw = _raw_people(s, d)
+    esc = lambda c: F.coalesce(F.regexp_replace(F.regexp_replace(
+        c, "&", "&amp;"), "<", "&lt;"), F.lit(""))
+    cell = lambda c: F.concat(F.lit("<td>"), esc(c), F.lit("</td>"))
+    has_claim = F.col("Claim").isNotNull()
+    html = F.concat(
+        F.lit("<html><body><table class=\"wikitable\"><tr><th>Name</th><th>Birth</th>"
+              "<th>Death</th>"),
+        F.when(has_claim, F.lit("<th>Claim</th>")).otherwise(F.lit("")), F.lit("</tr><tr>"),
+        cell(F.col("Name")), cell(F.col("Birth")), cell(F.col("Death")),
+        F.when(has_claim, cell(F.col("Claim"))).otherwise(F.lit("")),
+        F.lit("</tr></table></body></html>"))
+    return raw.select(F.col("row_index").alias("doc_no"), html.alias("html"))
+
+
+def _monarch_from_html(s, d):
+    t = H.html_tables(_person_documents(s, d), "html", "wikitable", keep=["doc_no"],
+                      partitions=_parallelism(s))
+    empty_null = lambda n: F.nullif(H.table_column(n), F.lit("")).alias(n)
+    raw = K.dense_ids(
+        t.select("doc_no", "table_no", "row_no", empty_null("Name"), empty_null("Birth"),
+                 empty_null("Death"), empty_null("Claim")),
+        ["doc_no", "table_no", "row_no"], "row_index", offset=-1, tie_breaker="row_no")
+    early = [o for o in P.SOURCE_OVERRIDES if o[1] in ("Name", "dates")]
+    late = [o for o in P.SOURCE_OVERRIDES if o[1] == "Claim"]
+    return P.monarch_clean(raw.select("row_index", "Name", "Birth", "Death", "Claim"),
+                           rejects=P.SOURCE_REJECT_POSITIONS,
+                           early_overrides=P.overrides_frame(s, early),
+                           late_overrides=P.overrides_frame(s, late))
+
+
+QUERIES.update({"monarch_from_html": _monarch_from_html})

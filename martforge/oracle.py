@@ -564,3 +564,48 @@ SQL.update({
     "strike_ids": with_("fact_strikes") + "SELECT sid, fid FROM fact_strikes",
     "rep_customer": with_("customers") + "SELECT cid, customer, country FROM customers",
 })
+
+
+# ------------------------------------------ person pipeline from HTML
+_DATES_RE = "(\\s*\\d{3,4}\\s*(?:–\\s*\\d{0,2}\\s*\\w*\\s*\\d{3,4})?)"
+_PARENT_RE = ("(?i)(?:Son|Daughter)\\s+of\\s+(\\w+\\s*(?:[IV]+|of\\s+\\w+|"
+              "the\\s+\\w+)*)")
+_REL_RE = "(?i)(\\w*(?:-\\w+)*(?:Son|Daughter))\\s+"
+CTE.update({
+    "mr_raw": (
+        "mr_raw AS (SELECT CAST(row_number() OVER (ORDER BY row_index) - 1 AS BIGINT) "
+        "AS row_index, Name, Birth, Death, Claim FROM raw_people "
+        "WHERE row_index NOT IN (18, 25, 48))"),
+    "mr_split": CTE["psplit"].replace("psplit AS", "mr_split AS").replace(
+        "FROM raw_people", "FROM mr_raw"),
+    "mr_pre": (
+        "mr_pre AS (SELECT row_index, CASE WHEN row_index = 0 THEN 'Alfred the Great' ELSE "
+        "array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ' ') END AS Name, "
+        "\"desc\", Birth, Death, Claim, CASE WHEN row_index = 29 THEN '1307 – 1327' "
+        "WHEN row_index = 3 THEN '927 – 939' ELSE NULLIF(regexp_extract(\"desc\", '" + _DATES_RE
+        + "', 1), '') END AS dates FROM (SELECT *, list_filter(string_split_regex(name, '\\s+'), "
+        "lambda x: x <> '') AS l FROM mr_split))"),
+    "mr_fin": (
+        "mr_fin AS (SELECT row_index, Name, \"desc\", d2 AS dates, "
+        "TRY_CAST(trim(string_split(trim(d2), '–')[1]) AS INTEGER) AS start, "
+        "TRY_CAST(trim(string_split(trim(d2), '–')[2]) AS INTEGER) AS \"end\", "
+        "TRY_CAST(NULLIF(regexp_extract(Birth, '(\\d{3,4})', 1), '') AS INTEGER) AS Birth, "
+        "TRY_CAST(NULLIF(regexp_extract(Death, '(\\d{3,4})', 1), '') AS INTEGER) AS Death, "
+        "CASE WHEN row_index = 10 THEN NULL WHEN row_index = 45 THEN 'spouse' ELSE "
+        "regexp_replace(NULLIF(regexp_extract(cl, '" + _PARENT_RE + "', 1), ''), "
+        "'^(.*?[^ IV])[A-Z].*$', '\\1') END AS Claim, "
+        "NULLIF(regexp_extract(cl, '" + _REL_RE + "', 1), '') AS ClaimRelation "
+        "FROM (SELECT *, regexp_replace(dates, '\\s+\\d{0,2}\\s+\\w*\\s+', ' ', 'g') AS d2, "
+        "regexp_replace(Claim, '/.*?of', 'of', 'g') AS cl FROM mr_pre))"),
+})
+DEPS.update({
+    "mr_raw": ("pbase", "raw_people"),
+    "mr_split": ("pbase", "raw_people", "mr_raw"),
+    "mr_pre": ("pbase", "raw_people", "mr_raw", "mr_split"),
+    "mr_fin": ("pbase", "raw_people", "mr_raw", "mr_split", "mr_pre"),
+})
+SQL.update({
+    "monarch_from_html": with_("mr_fin") + (
+        "SELECT CAST(row_number() OVER (ORDER BY start ASC NULLS LAST, row_index) - 1 AS BIGINT) "
+        "AS idx, * FROM mr_fin"),
+})
