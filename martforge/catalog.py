@@ -345,7 +345,7 @@ def _line_documents(s, d):
     closed = F.col("l_linestatus") == "F"
     claim1 = F.when(closed, cell(F.concat(F.lit("Son of "), F.col("l_returnflag")))) \
         .otherwise(F.lit(""))
-    claim2 = F.when(closed, cell(F.concat(F.lit("Daughter of "), F.col("l_shipmode_or_flag")))) \
+    claim2 = F.when(closed, cell(F.concat(F.lit("Daughter of "), F.col("l_linestatus")))) \
         .otherwise(F.lit(""))
     header = F.concat(F.lit("<tr><th>Name</th><th>Birth</th><th>Death</th>"),
                       F.when(closed, F.lit("<th>Claim</th>")).otherwise(F.lit("")), F.lit("</tr>"))
@@ -357,8 +357,7 @@ def _line_documents(s, d):
     html = F.concat(F.lit("<html><body><table class=\"wikitable sortable\">"), header, row1, row2,
                     F.lit("</table><table class=\"infobox\"><tr><th>Name</th></tr>"
                           "<tr><td>decoy</td></tr></table></body></html>"))
-    return (li.withColumn("l_shipmode_or_flag", F.col("l_linestatus"))
-            .select("l_orderkey", "l_linenumber", html.alias("html")))
+    return li.select("l_orderkey", "l_linenumber", html.alias("html"))
 
 
 def _html_table_extract(s, d):
