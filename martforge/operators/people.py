@@ -12,13 +12,10 @@ The sort by reign start (O4) numbers rows with ``keys.dense_ids``.
 Lineage (J9): a child's parent is the lowest-numbered row whose name
 contains the child's claim, case-insensitively (self allowed).  That is a
 substring ("theta") join.  It is computed exactly without a nested-loop
-join: every claim of length >= Q contains each of its Q-grams, so a name
-containing the claim contains the claim's RAREST Q-gram.  Names are exploded
-into their distinct lower-case Q-grams, gram frequencies are counted, each
-claim is joined on its rarest gram only, and candidates are verified with
-``contains``.  Claims shorter than Q are joined on the whole claim against
-names' substrings of that length.  The result is identical to a full
-containment scan.
+join (see ``lineage``): short claims are grams themselves and are resolved
+from a per-gram minimum, longer claims join on their rarest 6-gram and are
+verified with ``contains``.  The result is identical to a full containment
+scan.
 """
 
 from __future__ import annotations
@@ -31,7 +28,7 @@ from pyspark.sql import functions as F
 from martforge.functions import clean as C
 from martforge.operators import keys as K
 
-Q = 3  # gram length for the lineage join
+QMAX = 6  # longest gram used by the lineage join
 
 # Fixed values of the source cleaning: row positions dropped as invalid and
 # point corrections, as (row position, column, value).
@@ -155,43 +152,59 @@ def _grams(text: Column, n: int) -> Column:
 
 
 def lineage(people: DataFrame, idx: str = "idx", name: str = "Name", claim: str = "Claim",
-            earlier_only: bool = False) -> DataFrame:
+            earlier_only: bool = False, qmax: int = QMAX) -> DataFrame:
     """(child idx, parent idx) -- lowest row whose name contains the claim.
 
-    Exact (equal to a full containment scan); see module doc.
-    ``earlier_only`` restricts parents to rows before the child.
+    Exact (equal to a full containment scan):
+
+    * a claim of length L <= ``qmax`` is itself one of the L-grams of every
+      name containing it, so its parent is the lowest row index among names
+      having that gram -- a pre-aggregate per gram, joined once per claim;
+      no (claim, name) pairs are formed;
+    * a longer claim is joined with the names sharing its RAREST
+      ``qmax``-gram (frequencies counted over the names), and the candidates
+      are verified with ``contains``.
+
+    Only the gram lengths some claim needs are exploded.  ``earlier_only``
+    restricts parents to rows before the child (then candidates are verified
+    pairwise for short claims too).
     """
-    names = people.select(F.col(idx).alias("p_idx"), F.lower(F.col(name)).alias("p_name")) \
-                  .where(F.col("p_name").isNotNull())
-    claims = people.select(F.col(idx).alias("c_idx"), F.lower(F.col(claim)).alias("c_claim")) \
-                   .where(F.col("c_claim").isNotNull() & (F.length("c_claim") > 0))
-
-    # Long claims: join on the claim's rarest Q-gram.
-    name_grams = names.select("p_idx", "p_name", F.explode(_grams(F.col("p_name"), Q)).alias("g"))
-    freq = name_grams.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
-    long_claims = claims.where(F.length("c_claim") >= Q)
-    claim_grams = long_claims.select("c_idx", "c_claim",
-                                     F.explode(_grams(F.col("c_claim"), Q)).alias("g"))
-    rare = (claim_grams.join(freq, "g", "left")
-            .groupBy("c_idx", "c_claim")
-            .agg(F.min_by("g", F.struct(F.coalesce("df", F.lit(0)), F.col("g"))).alias("g")))
-    long_pairs = rare.join(name_grams, "g").select("c_idx", "c_claim", "p_idx", "p_name")
-
-    # Short claims: whole claim against the names' substrings of that length
-    # (skipped after a one-row existence probe when there are none).
-    short_pairs = None
-    has_short = claims.where(F.length("c_claim") < Q).limit(1).count() > 0
-    for n in (range(1, Q) if has_short else ()):
-        short = claims.where(F.length("c_claim") == n).withColumnRenamed("c_claim", "g")
-        subs = names.select("p_idx", "p_name", F.explode(_grams(F.col("p_name"), n)).alias("g"))
-        part = short.join(subs, "g").select("c_idx", F.col("g").alias("c_claim"),
-                                            "p_idx", "p_name")
-        short_pairs = part if short_pairs is None else short_pairs.unionByName(part)
-
-    pairs = long_pairs.unionByName(short_pairs) if short_pairs is not None else long_pairs
-    pairs = pairs.where(F.contains(F.col("p_name"), F.col("c_claim")))
-    if earlier_only:
-        pairs = pairs.where(F.col("p_idx") < F.col("c_idx"))
+    names = (people.select(F.col(idx).alias("p_idx"), F.lower(F.col(name)).alias("p_name"))
+             .where(F.col("p_name").isNotNull()))
+    claims = (people.select(F.col(idx).alias("c_idx"), F.lower(F.col(claim)).alias("c_claim"))
+              .where(F.col("c_claim").isNotNull() & (F.length("c_claim") > 0))
+              .withColumn("_len", F.length("c_claim")))
+    # Distinct gram lengths in use: at most qmax small integers.
+    lengths = sorted(r[0] for r in claims.select(F.least("_len", F.lit(qmax))).distinct().collect())
+    parts = []
+    for q in lengths:
+        grams = names.select("p_idx", "p_name", F.explode(_grams(F.col("p_name"), q)).alias("g"))
+        # One aggregate per gram: lowest row holding it, and how many rows do.
+        stats = grams.groupBy("g").agg(F.min("p_idx").alias("first_p"),
+                                       F.count(F.lit(1)).alias("df"))
+        whole = claims.where(F.col("_len") == q).select("c_idx", F.col("c_claim").alias("g"))
+        if earlier_only:
+            parts.append(whole.join(grams, "g").where(F.col("p_idx") < F.col("c_idx"))
+                         .select("c_idx", "p_idx"))
+        else:
+            parts.append(whole.join(stats, "g").select("c_idx", F.col("first_p").alias("p_idx")))
+        if q == qmax:
+            longer = claims.where(F.col("_len") > qmax)
+            claim_grams = longer.select("c_idx", "c_claim",
+                                        F.explode(_grams(F.col("c_claim"), q)).alias("g"))
+            rare = (claim_grams.join(stats.select("g", "df"), "g", "left")
+                    .groupBy("c_idx", "c_claim")
+                    .agg(F.min_by("g", F.struct(F.coalesce("df", F.lit(0)), F.col("g"))).alias("g")))
+            cand = (rare.join(grams, "g")
+                    .where(F.contains(F.col("p_name"), F.col("c_claim"))))
+            if earlier_only:
+                cand = cand.where(F.col("p_idx") < F.col("c_idx"))
+            parts.append(cand.select("c_idx", "p_idx"))
+    if not parts:
+        return people.sparkSession.createDataFrame([], "child_idx long, parent_idx long")
+    pairs = parts[0]
+    for p in parts[1:]:
+        pairs = pairs.unionByName(p)
     return (pairs.groupBy("c_idx").agg(F.min("p_idx").alias("parent_idx"))
             .select(F.col("c_idx").alias("child_idx"), "parent_idx"))
 
@@ -213,9 +226,11 @@ def second_reign(people: DataFrame, idx: str = "idx", literal: bool = False) ->
               .select(F.col(idx).alias("idx"),
                       F.concat(F.lit(SECOND_REIGN_PREFIX),
                                C.char_set_trim("Name", FIRST_REIGN, literal)).alias("_key")))
-    seconds = people.select(F.col(idx).alias("partner_idx"), F.col("Name").alias("_key"))
-    return (firsts.join(seconds, "_key")
-            .groupBy("idx").agg(F.min("partner_idx").alias("partner_idx")))
+    # One row per name on the partner side (its lowest index): the join then
+    # emits at most one row per first-reign row, whatever the name counts.
+    seconds = (people.groupBy(F.col("Name").alias("_key"))
+               .agg(F.min(F.col(idx)).alias("partner_idx")))
+    return firsts.join(seconds, "_key").select("idx", "partner_idx")
 
 
 # ----------------------------------------------------------------- segments

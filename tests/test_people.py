@@ -104,3 +104,11 @@ def test_reject_and_overrides(spark, raw):
     out = {r.row_index: r for r in P.point_overrides(raw, ov).collect()}
     assert out[0].Name == "Alfred the Great" and out[1].Claim is None
     assert out[2].Name.startswith("(1st reign)")
+
+
+def test_lineage_earlier_only(spark):
+    df = spark.createDataFrame(
+        [(0, "Ann Lee", "bo"), (1, "Bo Kim", "ann lee"), (2, "Cy Bo", "bo")],
+        "idx long, Name string, Claim string")
+    assert sorted(tuple(r) for r in P.lineage(df).collect()) == [(0, 1), (1, 0), (2, 1)]
+    assert sorted(tuple(r) for r in P.lineage(df, earlier_only=True).collect()) == [(1, 0), (2, 1)]
