@@ -176,30 +176,34 @@ def lineage(people: DataFrame, idx: str = "idx", name: str = "Name", claim: str
               .withColumn("_len", F.length("c_claim")))
     # Distinct gram lengths in use: at most qmax small integers.
     lengths = sorted(r[0] for r in claims.select(F.least("_len", F.lit(qmax))).distinct().collect())
+    if not lengths:
+        return people.sparkSession.createDataFrame([], "child_idx long, parent_idx long")
+    # One explode for every length in use, one aggregate per gram: the lowest
+    # row holding it and how many rows do (grams of different lengths are
+    # different strings, so they never mix).
+    all_grams = F.concat(*[_grams(F.col("p_name"), q) for q in lengths])
+    grams = names.select("p_idx", "p_name", F.explode(all_grams).alias("g"))
+    stats = grams.groupBy("g").agg(F.min("p_idx").alias("first_p"),
+                                   F.count(F.lit(1)).alias("df"))
     parts = []
-    for q in lengths:
-        grams = names.select("p_idx", "p_name", F.explode(_grams(F.col("p_name"), q)).alias("g"))
-        # One aggregate per gram: lowest row holding it, and how many rows do.
-        stats = grams.groupBy("g").agg(F.min("p_idx").alias("first_p"),
-                                       F.count(F.lit(1)).alias("df"))
-        whole = claims.where(F.col("_len") == q).select("c_idx", F.col("c_claim").alias("g"))
+    whole = claims.where(F.col("_len") <= qmax).select("c_idx", F.col("c_claim").alias("g"))
+    if earlier_only:
+        parts.append(whole.join(grams, "g").where(F.col("p_idx") < F.col("c_idx"))
+                     .select("c_idx", "p_idx"))
+    else:
+        parts.append(whole.join(stats, "g").select("c_idx", F.col("first_p").alias("p_idx")))
+    if qmax in lengths:
+        longer = claims.where(F.col("_len") > qmax)
+        claim_grams = longer.select("c_idx", "c_claim",
+                                    F.explode(_grams(F.col("c_claim"), qmax)).alias("g"))
+        rare = (claim_grams.join(stats.select("g", "df"), "g", "left")
+                .groupBy("c_idx", "c_claim")
+                .agg(F.min_by("g", F.struct(F.coalesce("df", F.lit(0)), F.col("g"))).alias("g")))
+        cand = (rare.join(grams.where(F.length("g") == qmax), "g")
+                .where(F.contains(F.col("p_name"), F.col("c_claim"))))
         if earlier_only:
-            parts.append(whole.join(grams, "g").where(F.col("p_idx") < F.col("c_idx"))
-                         .select("c_idx", "p_idx"))
-        else:
-            parts.append(whole.join(stats, "g").select("c_idx", F.col("first_p").alias("p_idx")))
-        if q == qmax:
-            longer = claims.where(F.col("_len") > qmax)
-            claim_grams = longer.select("c_idx", "c_claim",
-                                        F.explode(_grams(F.col("c_claim"), q)).alias("g"))
-            rare = (claim_grams.join(stats.select("g", "df"), "g", "left")
-                    .groupBy("c_idx", "c_claim")
-                    .agg(F.min_by("g", F.struct(F.coalesce("df", F.lit(0)), F.col("g"))).alias("g")))
-            cand = (rare.join(grams, "g")
-                    .where(F.contains(F.col("p_name"), F.col("c_claim"))))
-            if earlier_only:
-                cand = cand.where(F.col("p_idx") < F.col("c_idx"))
-            parts.append(cand.select("c_idx", "p_idx"))
+            cand = cand.where(F.col("p_idx") < F.col("c_idx"))
+        parts.append(cand.select("c_idx", "p_idx"))
     if not parts:
         return people.sparkSession.createDataFrame([], "child_idx long, parent_idx long")
     pairs = parts[0]
