@@ -344,6 +344,13 @@ def person_records(spark: SparkSession, d: str) -> DataFrame:
     with_claim = both.where(~(F.col("_seg") == "MACHINERY") | F.col("_seg").isNull())
     without_claim = both.where(F.col("_seg") == "MACHINERY").drop("Claim")
     rows = with_claim.unionByName(without_claim, allowMissingColumns=True)
-    from martforge.operators.keys import dense_ids
-    ids = dense_ids(rows, ["c_custkey"], "row_index", offset=-1, tie_breaker="part")
-    return ids.select("row_index", "Name", "Birth", "Death", "Claim")
+    from martforge.operators.keys import dense_ids_by_int_key
+    from martforge.session import scratch_dir
+    # (customer key, part) is unique: number rows by the integer key*2+part
+    # (no range sample), then write the records once so later steps read
+    # them instead of rebuilding them.
+    keyed = rows.withColumn("_rk", F.col("c_custkey") * 2 + F.col("part"))
+    ids = dense_ids_by_int_key(keyed, "_rk", "row_index", offset=-1)
+    path = scratch_dir(spark, "person-records")
+    ids.select("row_index", "Name", "Birth", "Death", "Claim").write.parquet(path)
+    return spark.read.parquet(path)
