@@ -419,3 +419,20 @@ def _monarch_from_html(s, d):
 
 
 QUERIES.update({"monarch_from_html": _monarch_from_html})
+
+
+# ======================================= incident reports on the loaded tables
+def _loaded_reports(s, d):
+    t = _strikes(s, d)
+    return t.strikes, t.flights, t.airports
+
+
+QUERIES.update({
+    # M12 over M13: the reports as the source runs them, on the normalised
+    # tables (a flight whose origin was missing has no airport: Q3).
+    "strikes_by_state_loaded": lambda s, d: R.strikes_by_state(
+        *_loaded_reports(s, d), count_col="sid"),
+    "above_avg_airlines_loaded": lambda s, d: R.above_avg_airlines(
+        *_loaded_reports(s, d)[:2], count_col="sid"),
+    "strikes_by_month_loaded": lambda s, d: R.strikes_by_month(*_loaded_reports(s, d)[:2]),
+})

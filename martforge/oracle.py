@@ -609,3 +609,21 @@ SQL.update({
         "SELECT CAST(row_number() OVER (ORDER BY start ASC NULLS LAST, row_index) - 1 AS BIGINT) "
         "AS idx, * FROM mr_fin"),
 })
+
+
+# ------------------------------------- incident reports on the loaded tables
+_LOADED_BY_AIRLINE = (
+    "SELECT CAST(COUNT(s.sid) AS BIGINT) AS strikCount, f.airline FROM fact_strikes s "
+    "JOIN fact_flights f ON s.fid = f.fid GROUP BY f.airline")
+SQL.update({
+    "strikes_by_state_loaded": with_("fact_strikes", "fact_flights") + (
+        "SELECT CAST(COUNT(s.sid) AS BIGINT) AS strikCount, a.airportState FROM fact_strikes s "
+        "JOIN fact_flights f ON s.fid = f.fid JOIN dim_airports a ON f.origin = a.aid "
+        "GROUP BY a.airportState ORDER BY strikCount DESC, airportState ASC NULLS LAST LIMIT 10"),
+    "above_avg_airlines_loaded": with_("fact_strikes", "fact_flights") + (
+        "SELECT strikCount, airline FROM (" + _LOADED_BY_AIRLINE + ") c WHERE strikCount > "
+        "(SELECT AVG(strikCount) FROM (" + _LOADED_BY_AIRLINE + "))"),
+    "strikes_by_month_loaded": with_("fact_strikes", "fact_flights") + (
+        "SELECT CAST(SUM(s.numbirds) AS BIGINT) AS birds, strftime(f.date, '%m') AS month "
+        "FROM fact_strikes s JOIN fact_flights f ON s.fid = f.fid GROUP BY month"),
+})
