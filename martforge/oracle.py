@@ -627,3 +627,24 @@ SQL.update({
         "SELECT CAST(SUM(s.numbirds) AS BIGINT) AS birds, strftime(f.date, '%m') AS month "
         "FROM fact_strikes s JOIN fact_flights f ON s.fid = f.fid GROUP BY month"),
 })
+
+
+# ------------------------------------------ sales marts on the loaded tables
+CTE["dim_reps"] = ("dim_reps AS (SELECT CAST(rid AS INTEGER) AS rid, fname, lname, region "
+                   "FROM reps)")
+DEPS["dim_reps"] = ("reps",)
+
+
+def _on_loaded(sql: str) -> str:
+    return (sql.replace("FROM salestxn ", "FROM fact_sales ")
+            .replace("JOIN salestxn ", "JOIN fact_sales ")
+            .replace("JOIN products ", "JOIN dim_products ")
+            .replace("FROM products ", "FROM dim_products ")
+            .replace("JOIN reps ", "JOIN dim_reps ")
+            .replace("FROM reps ", "FROM dim_reps "))
+
+
+SQL.update({
+    "prod_facts_loaded": with_("fact_sales", "reps", "dim_reps") + _on_loaded(_PROD_FACTS),
+    "rep_facts_loaded": with_("fact_sales", "reps", "dim_reps") + _on_loaded(_REP_FACTS),
+})
