@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.llm import bpe
+from martforge.llm import bpe, simhash
 from martforge.llm.common import read
 
 #: The tokenizer file of op6 and of the pipeline's last stage.
@@ -20,6 +20,11 @@ def op6_bpe_codec(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode(read(spark, d, "documents"), tokenizer_path(), keep_ids=False)
 
 
+def op3_simhash_pivots(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, d, "documents"), words=3, max_bits=2)
+
+
 QUERIES = {
+    "op3_simhash_pivots": op3_simhash_pivots,
     "op6_bpe_codec": op6_bpe_codec,
 }
