@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.llm import bpe, simhash
+from martforge.llm import bpe, pii, simhash
 from martforge.llm.common import read
 
 #: The tokenizer file of op6 and of the pipeline's last stage.
@@ -16,6 +16,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op5_pii(spark: SparkSession, d: str) -> DataFrame:
+    return pii.find_pii(read(spark, d, "documents"))
+
+
 def op6_bpe_codec(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode(read(spark, d, "documents"), tokenizer_path(), keep_ids=False)
 
@@ -26,5 +30,6 @@ def op3_simhash_pivots(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "op3_simhash_pivots": op3_simhash_pivots,
+    "op5_pii": op5_pii,
     "op6_bpe_codec": op6_bpe_codec,
 }
