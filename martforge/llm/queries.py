@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.llm import bpe, pii, simhash
+from martforge.llm import bpe, pii, quality, simhash
 from martforge.llm.common import read
 
 #: The tokenizer file of op6 and of the pipeline's last stage.
@@ -16,6 +16,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op4_quality_fm(spark: SparkSession, d: str) -> DataFrame:
+    docs = read(spark, d, "documents")
+    return quality.score(docs, quality.train(docs, read(spark, d, "labels")))
+
+
 def op5_pii(spark: SparkSession, d: str) -> DataFrame:
     return pii.find_pii(read(spark, d, "documents"))
 
@@ -30,6 +35,7 @@ def op3_simhash_pivots(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "op3_simhash_pivots": op3_simhash_pivots,
+    "op4_quality_fm": op4_quality_fm,
     "op5_pii": op5_pii,
     "op6_bpe_codec": op6_bpe_codec,
 }
