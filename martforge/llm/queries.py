@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.llm import bpe, pii, quality, simhash
+from martforge.llm import bpe, lines, pii, quality, simhash
 from martforge.llm.common import read
 
 #: The tokenizer file of op6 and of the pipeline's last stage.
@@ -33,9 +33,14 @@ def op3_simhash_pivots(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, d, "documents"), words=3, max_bits=2)
 
 
+def op9_fuzzy_lines(spark: SparkSession, d: str) -> DataFrame:
+    return lines.line_report(read(spark, d, "documents"))
+
+
 QUERIES = {
     "op3_simhash_pivots": op3_simhash_pivots,
     "op4_quality_fm": op4_quality_fm,
     "op5_pii": op5_pii,
     "op6_bpe_codec": op6_bpe_codec,
+    "op9_fuzzy_lines": op9_fuzzy_lines,
 }
