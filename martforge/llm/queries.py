@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.llm import bpe, lines, pii, quality, simhash
+from martforge.llm import bpe, decontaminate, lines, pii, quality, simhash
 from martforge.llm.common import read
 
 #: The tokenizer file of op6 and of the pipeline's last stage.
@@ -37,10 +37,15 @@ def op9_fuzzy_lines(spark: SparkSession, d: str) -> DataFrame:
     return lines.line_report(read(spark, d, "documents"))
 
 
+def op10_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, d, "documents"), read(spark, d, "benchmark"))
+
+
 QUERIES = {
     "op3_simhash_pivots": op3_simhash_pivots,
     "op4_quality_fm": op4_quality_fm,
     "op5_pii": op5_pii,
     "op6_bpe_codec": op6_bpe_codec,
     "op9_fuzzy_lines": op9_fuzzy_lines,
+    "op10_decontaminate": op10_decontaminate,
 }
