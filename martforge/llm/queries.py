@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.llm import bpe, decontaminate, lines, pii, quality, simhash, wrappers
+from martforge.llm import bpe, decontaminate, lines, lm, pii, quality, simhash, wrappers
 from martforge.llm.common import read
 
 #: The tokenizer file of op6 and of the pipeline's last stage.
@@ -33,6 +33,10 @@ def op3_simhash_pivots(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, d, "documents"), words=3, max_bits=2)
 
 
+def op7_log_frequency_lm(spark: SparkSession, d: str) -> DataFrame:
+    return lm.score(read(spark, d, "documents"))
+
+
 def op8_html_wrappers(spark: SparkSession, d: str) -> DataFrame:
     return wrappers.extract(read(spark, d, "pages"))
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op4_quality_fm": op4_quality_fm,
     "op5_pii": op5_pii,
     "op6_bpe_codec": op6_bpe_codec,
+    "op7_log_frequency_lm": op7_log_frequency_lm,
     "op8_html_wrappers": op8_html_wrappers,
     "op9_fuzzy_lines": op9_fuzzy_lines,
     "op10_decontaminate": op10_decontaminate,
