@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martforge.llm import bpe, decontaminate, lines, lm, pii, quality, simhash, wrappers
+from martforge.llm import bpe, decontaminate, lines, lm, pii, quality, simhash, vptree, wrappers
 from martforge.llm.common import read
 
 #: The tokenizer file of op6 and of the pipeline's last stage.
@@ -29,6 +30,10 @@ def op6_bpe_codec(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode(read(spark, d, "documents"), tokenizer_path(), keep_ids=False)
 
 
+def op1_vantage_point_trees(spark: SparkSession, d: str) -> DataFrame:
+    return vptree.nearest(read(spark, d, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op3_simhash_pivots(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, d, "documents"), words=3, max_bits=2)
 
@@ -50,6 +55,7 @@ def op10_decontaminate(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_vantage_point_trees": op1_vantage_point_trees,
     "op3_simhash_pivots": op3_simhash_pivots,
     "op4_quality_fm": op4_quality_fm,
     "op5_pii": op5_pii,
