@@ -1,3 +1,56 @@
 """DuckDB SQL of the registered queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+_CALLS = """
+u AS (SELECT DISTINCT conv_id, turn, text, length(text) AS n, CAST(to_json(text) AS VARCHAR) AS q
+      FROM conversations WHERE role = 'user' AND text IS NOT NULL),
+c0 AS (SELECT conv_id, turn, 'call_' || turn AS call_id, n,
+       CASE WHEN n % 13 = 0 THEN 'lookup' WHEN n % 3 = 0 THEN 'search' WHEN n % 3 = 1 THEN 'translate' ELSE 'count' END AS name,
+       CASE WHEN n % 3 = 0 THEN '{"filters":{"a":[true,null,{"b":-2,"y":"x"}],"z":1},"limit":'
+                 || CASE WHEN n % 5 = 0 THEN '"' || (n % 50) || '"' ELSE CAST(n % 50 AS VARCHAR) END
+                 || CASE WHEN n % 7 = 0 THEN '' ELSE ',"query":' || q END || '}'
+            WHEN n % 3 = 1 THEN '{' || CASE WHEN n % 7 = 0 THEN '' ELSE '"text":' || q || ',' END
+                 || '"to":"de"' || CASE WHEN n % 4 = 0 THEN ',"tone":"x"' ELSE '' END || '}'
+            ELSE '{"strict":false,"text":' || CASE WHEN n % 8 = 0 THEN '7' ELSE q END || ',"words":[3,1,"x"]}' END AS body,
+       CASE WHEN n % 9 = 0 THEN turn + 2 WHEN n % 2 = 0 AND turn >= 2 THEN turn - 2 END AS needs
+      FROM u),
+c1 AS (SELECT conv_id, turn, call_id, n, name, needs,
+       CASE WHEN n % 11 = 0 THEN NULL ELSE body END AS arguments,
+       CASE WHEN n % 11 = 0 THEN ['json'] WHEN n % 13 = 0 THEN ['tool']
+            WHEN n % 3 = 0 THEN list_concat(CASE WHEN n % 7 = 0 THEN ['missing:query'] ELSE [] END, CASE WHEN n % 5 = 0 THEN ['type:limit'] ELSE [] END)
+            WHEN n % 3 = 1 THEN list_concat(CASE WHEN n % 7 = 0 THEN ['missing:text'] ELSE [] END,
+                                            CASE WHEN n % 4 = 0 THEN ['unknown:tone'] ELSE [] END)
+            ELSE CASE WHEN n % 8 = 0 THEN ['type:text'] ELSE [] END END AS faults
+       FROM c0),
+c AS (SELECT c1.*, row_number() OVER (PARTITION BY conv_id, turn ORDER BY name, arguments NULLS FIRST, faults, needs) AS pick FROM c1),
+f AS (SELECT * FROM c WHERE pick = 1 AND conv_id IS NOT NULL),
+e AS (SELECT a.conv_id, a.turn, a.needs, b.turn AS there FROM f a LEFT JOIN f b ON a.conv_id = b.conv_id AND a.needs = b.turn WHERE a.needs IS NOT NULL),
+odd AS (SELECT DISTINCT conv_id FROM e WHERE there >= turn),
+w AS (SELECT f.conv_id, f.turn, 1 AS wave FROM f JOIN odd USING (conv_id)
+      WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.conv_id = f.conv_id AND e.turn = f.turn AND e.there IS NOT NULL)
+      UNION ALL SELECT e.conv_id, e.turn, w.wave + 1 FROM w JOIN e ON e.conv_id = w.conv_id AND e.there = w.turn),
+r AS (SELECT conv_id, 'call_' || (turn - 1) AS call_id, turn, text FROM conversations WHERE role = 'assistant'),
+r1 AS (SELECT conv_id, call_id, min(turn) AS result_turn, min(text) AS content FROM r GROUP BY ALL),
+l AS (SELECT f.*, list_sort(list_concat(faults, CASE WHEN e.turn IS NOT NULL AND e.there IS NULL THEN ['after:call_' || e.needs] ELSE [] END)) AS errs,
+             CASE WHEN odd.conv_id IS NULL THEN 0 ELSE w.wave END AS wave, r1.result_turn, r1.content
+      FROM f LEFT JOIN e ON e.conv_id = f.conv_id AND e.turn = f.turn LEFT JOIN odd ON odd.conv_id = f.conv_id
+      LEFT JOIN w ON w.conv_id = f.conv_id AND w.turn = f.turn LEFT JOIN r1 ON r1.conv_id = f.conv_id AND r1.call_id = f.call_id)
+"""
+
+OP2 = f"""
+WITH RECURSIVE {_CALLS}
+SELECT conv_id, turn, CAST(0 AS INTEGER) AS call_index, call_id, name,
+       CASE WHEN len(errs) > 0 THEN 'invalid' WHEN wave IS NULL THEN 'cycle' WHEN result_turn IS NULL THEN 'no_result' ELSE 'ok' END AS status,
+       array_to_string(errs, ',') AS errors, arguments, result_turn, CAST(wave AS INTEGER) AS wave,
+       '{{"arguments":' || coalesce(arguments, 'null') || ',"id":"' || call_id || '","name":"' || name || '","result":'
+           || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || '}}' AS message
+FROM l
+UNION ALL
+SELECT conv_id, turn, 0, call_id, name, 'duplicate', array_to_string(list_sort(faults), ','), arguments, NULL, NULL, NULL
+FROM c WHERE pick > 1
+UNION ALL
+SELECT DISTINCT r.conv_id, r.turn, NULL, r.call_id, NULL, 'orphan', '', NULL, r.turn, NULL,
+       '{{"id":"' || r.call_id || '","result":' || coalesce(CAST(to_json(r.text) AS VARCHAR), 'null') || '}}'
+FROM r WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.conv_id = r.conv_id AND f.call_id = r.call_id)
+"""
+
+SQL: dict[str, str] = {"op2_tool_calls": OP2}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.llm import bpe, decontaminate, lines, lm, pii, quality, simhash, vptree, wrappers
+from martforge.llm import bpe, decontaminate, lines, lm, pii, quality, simhash, tool_calls, vptree, wrappers
 from martforge.llm.common import read
 
 #: The tokenizer file of op6 and of the pipeline's last stage.
@@ -34,6 +34,10 @@ def op1_vantage_point_trees(spark: SparkSession, d: str) -> DataFrame:
     return vptree.nearest(read(spark, d, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op2_tool_calls(spark: SparkSession, d: str) -> DataFrame:
+    return tool_calls.link_tool_calls(*tool_calls.calls_of(read(spark, d, "conversations")), tool_calls.SCHEMAS)
+
+
 def op3_simhash_pivots(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, d, "documents"), words=3, max_bits=2)
 
@@ -56,6 +60,7 @@ def op10_decontaminate(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "op1_vantage_point_trees": op1_vantage_point_trees,
+    "op2_tool_calls": op2_tool_calls,
     "op3_simhash_pivots": op3_simhash_pivots,
     "op4_quality_fm": op4_quality_fm,
     "op5_pii": op5_pii,
