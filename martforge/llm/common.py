@@ -14,7 +14,7 @@ from martforge.session import ensure_checkpoint_dir
 
 #: Bytes of text that a Python task works on at once (numpy temporaries are a
 #: small multiple of it); one text may be longer and is then a chunk by itself.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

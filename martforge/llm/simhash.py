@@ -18,6 +18,8 @@ PIVOTS = 16
 #: Distinct fingerprints that a bucket may hold for its pairs to be formed;
 #: a larger bucket is linked through shared one-bit neighbours instead.
 BUCKET = 64
+#: Shingles whose bits are counted at once.
+BLOCK = 1 << 15
 
 
 def pivots(n: int = PIVOTS) -> list[int]:
@@ -41,13 +43,13 @@ def fingerprint_texts(texts: list[bytes], words: int, seed: int = 42) -> np.ndar
     at = np.arange(len(own)) - first[own] + first_word[own]
     cut = map(joined.__getitem__, map(slice, start[at].tolist(), stop[at + span[own] - 1].tolist()))
     h = np.fromiter(map(xxhash.xxh64_intdigest, cut, repeat(seed)), "<u8", len(own))
-    out = np.zeros(len(split), np.int64)
-    full = np.flatnonzero(shingles)
-    if len(full):
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones = np.add.reduceat(bits, first[full], axis=0, dtype=np.int64)
-        out[full] = np.packbits(2 * ones > shingles[full, None], axis=1, bitorder="little").view("<i8")[:, 0]
-    return out
+    ones = np.zeros((len(split), 64), np.int64)
+    for s in range(0, len(own), BLOCK):
+        part = own[s:s + BLOCK]
+        starts = np.flatnonzero(np.diff(part, prepend=-1))
+        bits = np.unpackbits(h[s:s + BLOCK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones[part[starts]] += np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > shingles[:, None], axis=1, bitorder="little").view("<i8")[:, 0]
 
 
 def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
