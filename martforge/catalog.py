@@ -87,6 +87,10 @@ def _sales(s, d, policy="error"):
     return SL.SalesLoad(V.raw_txn(s, d), V.raw_rep_records(s, d), V.LINEITEM_ORDER, policy)
 
 
+def _sales_with_gaps(s, d, policy):
+    return SL.SalesLoad(V.raw_txn_with_gaps(s, d), V.raw_rep_records(s, d), V.LINEITEM_ORDER, policy)
+
+
 def _strikes(s, d):
     return STL.StrikesLoad(V.raw_strikes(s, d), V.LINEITEM_ORDER)
 
@@ -95,7 +99,7 @@ def _typed_txn(df):
     return df.select(C.parse_us_date("date").alias("date"), "cust", "prod",
                      C.lenient_int("qty").alias("quantity"),
                      C.lenient_int("amount").alias("amount"), "country",
-                     C.lenient_int("repID").alias("repID"))
+                     C.lenient_int("repID", "bigint").alias("repID"))
 
 
 def _xml_txn(s, d):
@@ -109,19 +113,20 @@ def _xml_reps(s, d):
 
 
 def _write_txn_files(s, d):
-    """Sales records as XML files, one folder per ship year named
-    ``pharmaSale<year>``, plus records under a name the pattern must skip."""
+    """Sales records as XML files named ``pharmaSale<year>-<n>.xml``, each
+    record inside an ``entry`` element below the root, plus records that the
+    name pattern must skip, in a folder whose own name matches it."""
     root = scratch_dir(s, "txn-xml")
-    txn = V.raw_txn(s, d).withColumn(
-        "file", F.concat(F.lit("pharmaSale"), F.year("l_shipdate").cast("string")))
-    X.write_xml_files(txn.select(*SL.TXN_FIELDS, "file"), root, "txn", "sales", "file")
-    # Records under a name that must not match the pattern.
+    txn = V.raw_txn(s, d).select(
+        F.struct(*SL.TXN_FIELDS).alias("txn"),
+        F.concat(F.lit("pharmaSale"), F.year("l_shipdate").cast("string")).alias("file"))
+    X.write_xml_files(txn, root, "entry", "sales", "file")
     decoy = V.raw_rep_records(s, d).select(
         F.lit("1/1/2000").alias("date"), F.col("firstName").alias("cust"),
         F.col("lastName").alias("prod"), F.lit("1").alias("qty"), F.lit("1").alias("amount"),
         F.col("territory").alias("country"), F.lit("0").alias("repID"),
         F.lit("pharmaReps").alias("file"))
-    X.write_xml_files(decoy, root, "txn", "sales", "file", mode="append")
+    X.write_xml_files(decoy, f"{root}/pharmaSale.xml", "txn", "sales", "file")
     return root
 
 
@@ -141,7 +146,11 @@ def _xml_rowtag_multi_file(s, d):
 
 def _csv_scan(s, d):
     root = scratch_dir(s, "strikes-csv")
-    CSV.write_csv_text(V.raw_strikes(s, d).select(*STL.CSV_FIELDS), root)
+    # Aircraft names with quotes, commas and line ends, as real files have them.
+    n = F.col("l_linenumber") % 3
+    odd = (F.when(n == 0, F.concat(F.lit('A "'), F.col("aircraft"), F.lit('", old')))
+           .when(n == 1, F.concat(F.col("aircraft"), F.lit("\nsecond line"))).otherwise(F.col("aircraft")))
+    CSV.write_csv_text(V.raw_strikes(s, d).withColumn("aircraft", odd).select(*STL.CSV_FIELDS), root)
     raw = CSV.read_csv_text(s, root, STL.CSV_FIELDS)
     return raw.select(C.lenient_int("rid", "bigint").alias("rid"),
                       C.parse_us_date("flight_date").alias("flight_date"),
@@ -152,10 +161,25 @@ def _csv_scan(s, d):
                       "impact", "damage")
 
 
+def _odd_date():
+    """Order dates as text, some of them no dates (by o_orderkey mod 6)."""
+    n = F.col("o_orderkey") % 6
+    return (F.when(n == 0, F.concat(F.lit("2/30/"), F.year("o_orderdate").cast("string")))
+            .when(n == 1, "13/1/2020").when(n == 2, "soon").when(n == 3, "")
+            .otherwise(F.date_format("o_orderdate", "M/d/yyyy H:mm")))
+
+
+def _odd_amount():
+    """Prices as text, some of them no numbers (by l_linenumber)."""
+    n, price = F.col("l_linenumber"), F.col("l_extendedprice").cast("string")
+    return (F.when(n == 1, "abc").when(n == 2, "NaN").when(n == 3, "").when(n == 4, "99999999999")
+            .when(n == 5, F.concat(F.lit(" -"), price, F.lit(" "))).otherwise(price))
+
+
 PROD_MONTH_SCHEMA = T.StructType([
-    T.StructField("pid", T.IntegerType()), T.StructField("pname", T.StringType()),
+    T.StructField("pid", T.LongType()), T.StructField("pname", T.StringType()),
     T.StructField("month", T.StringType()),
-    T.StructField("total_sold_per_month", T.IntegerType())])
+    T.StructField("total_sold_per_month", T.LongType())])
 
 
 def _sink_overwrite(s, d):
@@ -183,10 +207,32 @@ def _monthly_sales_table(s, d):
 
 
 def _fk_orphans(s, d):
-    sales = V.sales(s, d, with_customer=True)
+    sales = V.sales_with_gaps(s, d)
     out = Q.fk_orphan_counts(sales, V.reps(s, d), [("ridFK", "rid")])
     out = out.unionByName(Q.fk_orphan_counts(sales, V.products(s, d), [("pidFK", "pid")]))
-    return out.unionByName(Q.fk_orphan_counts(sales, V.customers(s, d), [("cidFK", "cid")]))
+    with_customer = V.sales_with_gaps(s, d, with_customer=True)  # the only check that needs orders
+    return out.unionByName(Q.fk_orphan_counts(with_customer, V.customers(s, d), [("cidFK", "cid")]))
+
+
+def _key_policy_append(s, d):
+    """D8 over two appends: customers with even keys, then all of them; a key
+    that the table holds stays as it is (its country was set to null)."""
+    name, c = scratch_dir(s, "customers-appended"), V.customers(s, d)
+    first = c.where(F.col("cid") % 2 == 0).withColumn("country", F.lit(None).cast("string"))
+    for part in (first, c):
+        table = SK.materialize(part, "customers", mode="append", key="cid", key_policy="keep_first",
+                               order_cols=["customer"], path=name)
+    return table
+
+
+def _schema_listing(s, d):
+    """The columns of the loaded flights, with the number of values in each."""
+    flights = _strikes(s, d).flights
+    counts = flights.agg(*[F.count(c).alias(c) for c in flights.columns])
+    stack = ", ".join(f"'{c}', `{c}`" for c in flights.columns)
+    return (SK.describe(flights).select("cid", "name", "type")
+            .join(counts.selectExpr(f"stack({len(flights.columns)}, {stack}) AS (name, n_values)"), "name")
+            .select("cid", "name", "type", "n_values"))
 
 
 def _union_all(s, d):
@@ -203,10 +249,10 @@ QUERIES.update({
         F.col("rID").alias("raw"), C.rep_id_parse("rID").alias("rid")),
     "parse_us_date": lambda s, d: V.table(s, d, "orders").select(
         "o_orderkey",
-        C.parse_us_date(F.date_format("o_orderdate", "M/d/yyyy H:mm")).alias("date")),
+        C.parse_us_date(_odd_date()).alias("date")),
     "lenient_int": lambda s, d: V.table(s, d, "lineitem").select(
         "l_orderkey", "l_linenumber",
-        C.lenient_int(F.col("l_extendedprice").cast("string")).alias("amount")),
+        C.lenient_int(_odd_amount()).alias("amount")),
     "altitude_parse": lambda s, d: V.table(s, d, "orders").select(
         "o_orderkey",
         C.altitude_parse(F.format_number(F.col("o_totalprice").cast("long"), 0)).alias("altitude")),
@@ -228,13 +274,18 @@ QUERIES.update({
     "sink_append": _sink_append,
     "materialize_mart": _materialize_mart,
     "monthly_sales_table": _monthly_sales_table,
-    "txn_row_count": lambda s, d: SK.row_count(_sales(s, d).salestxn),
+    # Every record becomes one row of the table (an unmatched one aborts the load).
+    "txn_row_count": lambda s, d: SK.row_count(_sales(s, d).records),
+    "key_policy_append": _key_policy_append,
+    "schema_listing": _schema_listing,
     # ------------------------------------------------------- sales load
     "dim_products": lambda s, d: _sales(s, d).products,
     "dim_customers": lambda s, d: _sales(s, d).customers,
     "dim_reps": lambda s, d: _sales(s, d).reps,
     "cust_reps": lambda s, d: _sales(s, d).cust_reps,
     "fact_sales": lambda s, d: _sales(s, d).salestxn,
+    "fact_sales_orphans_null": lambda s, d: _sales_with_gaps(s, d, "null").salestxn,
+    "fact_sales_orphans_drop": lambda s, d: _sales_with_gaps(s, d, "drop").salestxn,
     # ---------------------------------------------------- incident load
     "dim_airports": lambda s, d: _strikes(s, d).airports,
     "fact_flights": lambda s, d: _strikes(s, d).flights,
@@ -250,9 +301,14 @@ QUERIES.update({
     "pk_duplicates": lambda s, d: Q.pk_duplicates(
         V.table(s, d, "lineitem"), ["l_orderkey", "l_linenumber"]),
     "not_null_violations": lambda s, d: Q.not_null_violations(
-        V.sales(s, d, with_customer=True), ["date", "quantity", "ridFK", "pidFK", "cidFK"]),
+        V.sales_with_gaps(s, d, with_customer=True), ["date", "quantity", "ridFK", "pidFK", "cidFK"]),
+    # Altitudes above a plateau, so that the rules have something to find.
     "check_violations": lambda s, d: Q.check_violations(
-        V.flights(s, d), F.col("altitude") > 0).select("fid", "altitude"),
+        V.flights(s, d).withColumn("altitude", F.col("altitude") - 100_000),
+        F.col("altitude") > 0).select("fid", "altitude"),
+    "check_violations_strikes": lambda s, d: Q.check_violations(
+        V.strikes(s, d).withColumn("altitude", F.col("altitude") - 20_000),
+        F.col("altitude") >= 0).select("fid", "numbirds", "altitude"),
     "key_policy_first": lambda s, d: K.apply_key_policy(
         QUERIES["prod_facts"](s, d), "pid", "keep_first", ["year", "quarter", "region"]),
     "union_all": _union_all,
@@ -332,45 +388,42 @@ QUERIES.update({
 # ====================================================================== html
 
 
-def _parallelism(s):
-    return int(s.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _line_documents(s, d):
-    """One small HTML page per line item (no grouping): a ``wikitable`` with
-    two body rows -- the Name cell spans both (``rowspan``) -- and a Claim
-    column for closed lines (status F), plus a table of another class."""
+    """One small HTML page per line item (no grouping): a table of another
+    class, then a ``wikitable`` with two header rows and two body rows.  The
+    Name cell spans both rows and holds hidden text.  Closed lines (status F)
+    have a Claim column whose cell spans into a second row that is too short
+    to reach it.  Even line numbers leave the table unclosed."""
     li = V.table(s, d, "lineitem")
     cell = lambda c: F.concat(F.lit("<td>"), c.cast("string"), F.lit("</td>"))
     closed = F.col("l_linestatus") == "F"
-    claim1 = F.when(closed, cell(F.concat(F.lit("Son of "), F.col("l_returnflag")))) \
-        .otherwise(F.lit(""))
-    claim2 = F.when(closed, cell(F.concat(F.lit("Daughter of "), F.col("l_linestatus")))) \
+    claim1 = F.when(closed, F.concat(F.lit("<td rowspan=\"2\">Son of "), F.col("l_returnflag"), F.lit("</td>"))) \
         .otherwise(F.lit(""))
-    header = F.concat(F.lit("<tr><th>Name</th><th>Birth</th><th>Death</th>"),
+    last = F.when(closed, F.lit("")).otherwise(cell(F.month("l_shipdate")))
+    header = F.concat(F.lit("<tr><th rowspan=\"2\">Name</th><th>Birth</th><th rowspan=\"2\">Death</th>"),
+                      F.when(closed, F.lit("<th>Claim</th>")).otherwise(F.lit("")), F.lit("</tr><tr><th>year</th>"),
                       F.when(closed, F.lit("<th>Claim</th>")).otherwise(F.lit("")), F.lit("</tr>"))
-    row1 = F.concat(F.lit("<tr><td rowspan=\"2\">Part "), F.col("l_partkey").cast("string"),
-                    F.lit("</td>"), cell(F.col("l_quantity").cast("int")),
+    row1 = F.concat(F.lit("<tr><td rowspan=\"2\">Part <span style=\"display: none\">no. <b>x</b></span>"),
+                    F.col("l_partkey").cast("string"), F.lit("</td>"), cell(F.col("l_quantity").cast("int")),
                     cell(F.year("l_shipdate")), claim1, F.lit("</tr>"))
-    row2 = F.concat(F.lit("<tr>"), cell(F.col("l_linenumber")), cell(F.month("l_shipdate")),
-                    claim2, F.lit("</tr>"))
-    html = F.concat(F.lit("<html><body><table class=\"wikitable sortable\">"), header, row1, row2,
-                    F.lit("</table><table class=\"infobox\"><tr><th>Name</th></tr>"
-                          "<tr><td>decoy</td></tr></table></body></html>"))
+    row2 = F.concat(F.lit("<tr>"), cell(F.col("l_linenumber")), last, F.lit("</tr>"))
+    end = F.when(F.col("l_linenumber") % 2 == 0, F.lit("")).otherwise(F.lit("</table></body></html>"))
+    html = F.concat(F.lit("<html><body><table class=\"infobox\"><tr><th>Name</th></tr><tr><td>decoy</td></tr></table>"
+                          "<table class=\"wikitable sortable\">"), header, row1, row2, end)
     return li.select("l_orderkey", "l_linenumber", html.alias("html"))
 
 
 def _html_table_extract(s, d):
     t = H.html_tables(_line_documents(s, d), "html", "wikitable",
-                      keep=["l_orderkey", "l_linenumber"], partitions=_parallelism(s))
+                      keep=["l_orderkey", "l_linenumber"])
     return t.select("l_orderkey", "l_linenumber", "table_no", "row_no", H.table_column("Name"),
-                    H.table_column("Birth"), H.table_column("Death"), H.table_column("Claim"))
+                    H.table_column("Birth year").alias("Birth"), H.table_column("Death"), H.table_column("Claim"))
 
 
 QUERIES.update({
     "html_table_extract": _html_table_extract,
     "html_list_items": lambda s, d: H.html_links(V.table(s, d, "pages"), "html",
-                                                 keep=["page_id"], partitions=_parallelism(s)),
+                                                 keep=["page_id"]),
 })
 
 
@@ -403,8 +456,7 @@ def _person_documents(s, d):
 
 
 def _monarch_from_html(s, d):
-    t = H.html_tables(_person_documents(s, d), "html", "wikitable", keep=["doc_no"],
-                      partitions=_parallelism(s))
+    t = H.html_tables(_person_documents(s, d), "html", "wikitable", keep=["doc_no"])
     empty_null = lambda n: F.nullif(H.table_column(n), F.lit("")).alias(n)
     raw = K.dense_ids(
         t.select("doc_no", "table_no", "row_no", empty_null("Name"), empty_null("Birth"),

@@ -55,8 +55,8 @@ def lenient_int(c, to: str = "int") -> Column:
 
 
 def rep_id_parse(c, prefix: str = "r") -> Column:
-    """``r345`` -> 345 (first ``r`` removed, lenient int)."""
-    return lenient_int(strip_first(c, prefix))
+    """``r345`` -> 345 (first ``r`` removed, lenient 64-bit int)."""
+    return lenient_int(strip_first(c, prefix), "bigint")
 
 
 def parse_us_date(c) -> Column:

@@ -166,15 +166,20 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order_col: str,
     return agg.select(*keys, "first_order", *[F.col("_first." + c).alias(c) for c in value_cols])
 
 
-def dense_key(df: DataFrame, key: str | Sequence[str], order_col: str,
+def dense_key(df: DataFrame, key: str | Sequence[str], order_col: str | Sequence[str],
               id_col: str, offset: int = 0,
               value_cols: Sequence[str] = ()) -> DataFrame:
     """D1 + D5: distinct keys numbered offset + 1..n by first appearance.
 
-    When ``order_col`` is an integer record id (the usual case: the records
-    were numbered first), the first ids are unique integers and are ranked
-    with ``dense_ids_by_int_key``; otherwise with ``dense_ids``.
+    When ``order_col`` is an integer record id (the records were numbered
+    first), the first ids are unique integers and are ranked with
+    ``dense_ids_by_int_key``.  Otherwise, as with several order columns of
+    records that nobody has numbered, the DISTINCT keys are ranked by their
+    first order values with ``dense_ids``: the records themselves are only
+    aggregated (partially before the shuffle), not sorted or written.
     """
+    if not isinstance(order_col, str):
+        df, order_col = df.withColumn("_order", F.struct(*order_col)), "_order"
     firsts = first_per_key(df, key, order_col, value_cols)
     keys = [key] if isinstance(key, str) else list(key)
     if isinstance(df.schema[order_col].dataType, (T.LongType, T.IntegerType)):
@@ -185,7 +190,7 @@ def dense_key(df: DataFrame, key: str | Sequence[str], order_col: str,
 
 def lookup_key(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str,
                key_col: str, out_col: str | None = None, policy: str = "null",
-               null_safe: bool = False) -> DataFrame:
+               null_safe: bool = False, raw_col: str | None = None) -> DataFrame:
     """Replace a natural key by the dimension's surrogate key.
 
     The dimension must hold one row per natural key (deduplicate it first
@@ -194,7 +199,9 @@ def lookup_key(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str,
     makes the job fail with ``OrphanKeyError`` in its message (the source
     load aborts on an unmatched name); the test runs inside the same job.
     ``null_safe`` lets null match a null natural key (R ``match``);
-    otherwise null never matches.
+    otherwise null never matches, so under ``error`` and ``drop`` a null (or
+    unparsable) key is unmatched like any other.  ``raw_col`` names the
+    column to show in the message (the text that a key was parsed from).
     """
     out_col = out_col or key_col
     d = dim.select(F.col(dim_col).alias("_lk_nat"), F.col(key_col).alias("_lk_key"))
@@ -204,13 +211,12 @@ def lookup_key(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str,
     joined = fact.join(d, cond, how).drop("_lk_nat")
     if policy == "error":
         # Checked lazily, inside the same job: no extra pass over the facts.
-        unmatched = F.col("_lk_key").isNull()
-        if not null_safe:
-            unmatched = unmatched & F.col(fact_col).isNotNull()
+        shown = raw_col or fact_col
         joined = joined.withColumn(
             "_lk_key",
-            F.when(unmatched, F.raise_error(F.concat(
-                F.lit(f"OrphanKeyError: {fact_col}="), F.col(fact_col).cast("string"),
+            F.when(F.col("_lk_key").isNull(), F.raise_error(F.concat(
+                F.lit(f"OrphanKeyError: {shown}="),
+                F.coalesce(F.col(shown).cast("string"), F.lit("NULL")),
                 F.lit(f" has no match in {dim_col}"))).cast(d.schema["_lk_key"].dataType))
             .otherwise(F.col("_lk_key")))
     elif policy not in ("null", "drop"):

@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from martforge.functions import clean as C
 from martforge.operators import keys as K
 
-QMAX = 6  # longest gram used by the lineage join
+QMAX = 6   # longest gram used by the lineage join
+SALTS = 4  # parts over which the rows of one gram are spread
 
 # Fixed values of the source cleaning: row positions dropped as invalid and
 # point corrections, as (row position, column, value).
@@ -52,7 +53,7 @@ def reject_rows(df: DataFrame, positions: DataFrame | Sequence[int],
     spark = df.sparkSession
     if not isinstance(positions, DataFrame):
         positions = spark.createDataFrame([(int(p),) for p in positions], f"{index_col} long")
-    kept = df.join(F.broadcast(positions.select(index_col).distinct()), index_col, "left_anti")
+    kept = df.join(positions.select(index_col).distinct(), index_col, "left_anti")
     return renumber(kept, [index_col], index_col)
 
 
@@ -69,19 +70,19 @@ def point_overrides(df: DataFrame, overrides: DataFrame, index_col: str = "row_i
 
     ``overrides`` has (row_index, column, value, is_null); ``is_null`` marks a
     correction TO null (a plain null value would mean "no correction").
-    Columns are text.  One broadcast-sized left join per corrected column.
+    Columns are text.  The corrections of a row become one map, so there is
+    one left join, whatever the columns; of several corrections of a cell one
+    (the largest value, null last) holds.
     """
-    cols = [r[0] for r in overrides.select("column").distinct().collect()]
-    out = df
-    for c in cols:
-        o = (overrides.where(F.col("column") == c)
-             .select(F.col(index_col), F.col("value").alias("_ov"),
-                     F.coalesce(F.col("is_null"), F.lit(False)).alias("_ovnull")))
-        out = (out.join(F.broadcast(o), index_col, "left")
-               .withColumn(c, F.when(F.col("_ovnull"), F.lit(None).cast("string"))
-                           .otherwise(F.coalesce(F.col("_ov"), F.col(c).cast("string"))))
-               .drop("_ov", "_ovnull"))
-    return out
+    fix = F.struct(F.col("value").alias("v"), F.coalesce(F.col("is_null"), F.lit(False)).alias("n"))
+    per_cell = overrides.groupBy(index_col, "column").agg(F.max(fix).alias("f"))
+    per_row = per_cell.groupBy(index_col).agg(F.map_from_entries(F.collect_list(F.struct("column", "f"))).alias("_ov"))
+    out = df.join(per_row, index_col, "left")
+    text = [f.name for f in df.schema.fields if f.name != index_col and f.dataType.simpleString() == "string"]
+    for c in text:
+        f = F.try_element_at("_ov", F.lit(c))
+        out = out.withColumn(c, F.when(f["n"], F.lit(None).cast("string")).otherwise(F.coalesce(f["v"], F.col(c))))
+    return out.drop("_ov")
 
 
 def overrides_frame(spark, rows: Sequence[tuple]) -> DataFrame:
@@ -155,25 +156,32 @@ def lineage(people: DataFrame, idx: str = "idx", name: str = "Name", claim: str
             earlier_only: bool = False, qmax: int = QMAX) -> DataFrame:
     """(child idx, parent idx) -- lowest row whose name contains the claim.
 
-    Exact (equal to a full containment scan):
+    Exact (equal to a full containment scan), over DISTINCT claim texts and
+    distinct names (a name stands for its lowest row), so that a thousand
+    equal claims are one:
 
     * a claim of length L <= ``qmax`` is itself one of the L-grams of every
       name containing it, so its parent is the lowest row index among names
       having that gram -- a pre-aggregate per gram, joined once per claim;
       no (claim, name) pairs are formed;
-    * a longer claim is joined with the names sharing its RAREST
-      ``qmax``-gram (frequencies counted over the names), and the candidates
-      are verified with ``contains``.
+    * a longer claim is looked up by its two RAREST ``qmax``-grams
+      (frequencies counted over the names): a name must hold both, so the
+      candidates are those of the pair's intersection, joined on the name's
+      row and only then verified with ``contains``.  Grams travel with row
+      numbers only; names are fetched for candidates.  A gram of a third of
+      the names is met by few claims (those with no rarer gram); their rows
+      are spread over ``SALTS`` parts.
 
     Only the gram lengths some claim needs are exploded.  ``earlier_only``
-    restricts parents to rows before the child (then candidates are verified
-    pairwise for short claims too).
+    restricts parents to rows before the child (then the candidates of short
+    claims are rows, too, and repeated names aren't merged).
     """
-    names = (people.select(F.col(idx).alias("p_idx"), F.lower(F.col(name)).alias("p_name"))
-             .where(F.col("p_name").isNotNull()))
-    claims = (people.select(F.col(idx).alias("c_idx"), F.lower(F.col(claim)).alias("c_claim"))
-              .where(F.col("c_claim").isNotNull() & (F.length("c_claim") > 0))
-              .withColumn("_len", F.length("c_claim")))
+    rows = (people.select(F.col(idx).alias("p_idx"), F.lower(F.col(name)).alias("p_name"))
+            .where(F.col("p_name").isNotNull()))
+    names = rows if earlier_only else rows.groupBy("p_name").agg(F.min("p_idx").alias("p_idx"))
+    children = (people.select(F.col(idx).alias("c_idx"), F.lower(F.col(claim)).alias("c_claim"))
+                .where(F.col("c_claim").isNotNull() & (F.length("c_claim") > 0)))
+    claims = children.select("c_claim").distinct().withColumn("_len", F.length("c_claim"))
     # Distinct gram lengths in use: at most qmax small integers.
     lengths = sorted(r[0] for r in claims.select(F.least("_len", F.lit(qmax))).distinct().collect())
     if not lengths:
@@ -181,36 +189,46 @@ def lineage(people: DataFrame, idx: str = "idx", name: str = "Name", claim: str
     # One explode for every length in use, one aggregate per gram: the lowest
     # row holding it and how many rows do (grams of different lengths are
     # different strings, so they never mix).
-    all_grams = F.concat(*[_grams(F.col("p_name"), q) for q in lengths])
-    grams = names.select("p_idx", "p_name", F.explode(all_grams).alias("g"))
-    stats = grams.groupBy("g").agg(F.min("p_idx").alias("first_p"),
-                                   F.count(F.lit(1)).alias("df"))
-    parts = []
-    whole = claims.where(F.col("_len") <= qmax).select("c_idx", F.col("c_claim").alias("g"))
+    grams = names.select("p_idx", F.explode(F.concat(*[_grams(F.col("p_name"), q) for q in lengths])).alias("g"))
+    stats = grams.groupBy("g").agg(F.min("p_idx").alias("first_p"), F.count(F.lit(1)).alias("df"))
+    whole = claims.where(F.col("_len") <= qmax).select("c_claim", F.col("c_claim").alias("g"))
     if earlier_only:
-        parts.append(whole.join(grams, "g").where(F.col("p_idx") < F.col("c_idx"))
-                     .select("c_idx", "p_idx"))
+        found = [whole.join(grams, "g").select("c_claim", "p_idx")]
     else:
-        parts.append(whole.join(stats, "g").select("c_idx", F.col("first_p").alias("p_idx")))
+        found = [whole.join(stats, "g").select("c_claim", F.col("first_p").alias("p_idx"))]
     if qmax in lengths:
-        longer = claims.where(F.col("_len") > qmax)
-        claim_grams = longer.select("c_idx", "c_claim",
-                                    F.explode(_grams(F.col("c_claim"), qmax)).alias("g"))
-        rare = (claim_grams.join(stats.select("g", "df"), "g", "left")
-                .groupBy("c_idx", "c_claim")
-                .agg(F.min_by("g", F.struct(F.coalesce("df", F.lit(0)), F.col("g"))).alias("g")))
-        cand = (rare.join(grams.where(F.length("g") == qmax), "g")
-                .where(F.contains(F.col("p_name"), F.col("c_claim"))))
-        if earlier_only:
-            cand = cand.where(F.col("p_idx") < F.col("c_idx"))
-        parts.append(cand.select("c_idx", "p_idx"))
-    if not parts:
-        return people.sparkSession.createDataFrame([], "child_idx long, parent_idx long")
-    pairs = parts[0]
-    for p in parts[1:]:
-        pairs = pairs.unionByName(p)
-    return (pairs.groupBy("c_idx").agg(F.min("p_idx").alias("parent_idx"))
-            .select(F.col("c_idx").alias("child_idx"), "parent_idx"))
+        found.append(_long_claims(claims.where(F.col("_len") > qmax).select("c_claim"), names,
+                                  grams.where(F.length("g") == qmax), stats, qmax))
+    parents = found[0]
+    for p in found[1:]:
+        parents = parents.unionByName(p)
+    if earlier_only:
+        return (children.join(parents, "c_claim").where(F.col("p_idx") < F.col("c_idx"))
+                .groupBy(F.col("c_idx").alias("child_idx")).agg(F.min("p_idx").alias("parent_idx")))
+    lowest = parents.groupBy("c_claim").agg(F.min("p_idx").alias("parent_idx"))
+    return children.join(lowest, "c_claim").select(F.col("c_idx").alias("child_idx"), "parent_idx")
+
+
+def _long_claims(claims: DataFrame, names: DataFrame, grams: DataFrame, stats: DataFrame, q: int) -> DataFrame:
+    """(c_claim, p_idx) of the names that contain a claim longer than ``q``."""
+    ranked = (claims.select("c_claim", F.explode(_grams(F.col("c_claim"), q)).alias("g"))
+              .join(stats.select("g", "df"), "g", "left")
+              .groupBy("c_claim")
+              .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "g"))).alias("rare")))
+    # A claim with a gram that no name holds has no parent.
+    rare = (ranked.where(F.col("rare")[0]["df"] > 0)
+            .select("c_claim", F.col("rare")[0]["g"].alias("g1"),
+                    F.coalesce(F.try_element_at("rare", F.lit(2))["g"], F.col("rare")[0]["g"]).alias("g2")))
+    salt = F.pmod(F.xxhash64("p_idx"), F.lit(SALTS)).cast("int")
+    spread = grams.withColumn("salt", salt)
+    asked = rare.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # Distinct gram pairs are met with names once, however many claims share them.
+    pairs = asked.select("g1", "g2", "salt").distinct()
+    first = pairs.join(spread.withColumnRenamed("g", "g1"), ["g1", "salt"])
+    both = first.join(grams.withColumnRenamed("g", "g2"), ["g2", "p_idx"], "left_semi").select("g1", "g2", "p_idx")
+    held = both.join(names, "p_idx")
+    return (rare.join(held, ["g1", "g2"]).where(F.contains(F.col("p_name"), F.col("c_claim")))
+            .select("c_claim", "p_idx"))
 
 
 # ------------------------------------------------------------ second reigns
@@ -222,11 +240,11 @@ def second_reign(people: DataFrame, idx: str = "idx", literal: bool = False) ->
     ends, as the source does (``Stephen`` -> ``Steph``, which then finds no
     partner); ``literal=True`` strips the exact prefix instead.  Only rows
     with a non-zero life after the first reign are considered, as in the
-    source.  Output (idx, partner_idx) for the first partner found (lowest
+    source (an unknown life after it is not zero, like ``NaN != 0``).  Output (idx, partner_idx) for the first partner found (lowest
     index).
     """
     firsts = (people.where(F.contains(F.col("Name"), F.lit(FIRST_REIGN))
-                           & ((F.col("Death") - F.col("end")) != 0))
+                           & F.coalesce((F.col("Death") - F.col("end")) != 0, F.lit(True)))
               .select(F.col(idx).alias("idx"),
                       F.concat(F.lit(SECOND_REIGN_PREFIX),
                                C.char_set_trim("Name", FIRST_REIGN, literal)).alias("_key")))
@@ -286,16 +304,19 @@ def _first_birth(people: DataFrame, idx: str) -> Column:
     return people.where(F.col(idx) == 0).select(F.max("Birth")).scalar()
 
 
-def year_grid(people: DataFrame, first_century: int = 8, idx: str = "idx") -> DataFrame:
+def year_grid(people: DataFrame, first_century: int | None = None, idx: str = "idx") -> DataFrame:
     """Century lines and 25-year marks, x relative to the first birth.
 
     Centuries ``first_century .. first_century + round(span / 100)`` (Python
     rounds half to even: ``bround``); within each, marks at +25, +50 (the
-    labelled one) and +75.
+    labelled one) and +75.  The first century is that of the earliest birth
+    (8 for the source's own persons, who are born from 847 on); no known
+    birth or death gives no rows.
     """
-    span = year_span(people).select("date_range")
-    hi = F.lit(first_century) + F.bround(F.col("date_range") / F.lit(100)).cast("int")
-    centuries = span.select(F.explode(F.sequence(F.lit(first_century), hi)).alias("c"))
+    span = year_span(people).where(F.col("date_range").isNotNull())
+    low = F.floor(F.col("min_birth") / F.lit(100)).cast("int") if first_century is None else F.lit(first_century)
+    hi = low + F.bround(F.col("date_range") / F.lit(100)).cast("int")
+    centuries = span.select(F.explode(F.sequence(low, hi)).alias("c"))
     marks = centuries.select(F.explode(F.array(*[
         F.named_struct(F.lit("year"), F.col("c") * 100 + F.lit(25 * j),
                        F.lit("kind"), F.lit(k))
@@ -306,17 +327,24 @@ def year_grid(people: DataFrame, first_century: int = 8, idx: str = "idx") -> Da
 
 
 def timeline_layout(people: DataFrame, idx: str = "idx", height: int = 600,
-                    lane_step: int = 10, margin: int = 10) -> DataFrame:
-    """x = birth - first birth + margin, lane y = height - step * idx."""
+                    lane_step: int = 10, margin: int = 10,
+                    pairs: DataFrame | None = None) -> DataFrame:
+    """x = birth - first birth + margin, lane y = height - step * idx.
+
+    The second reign of a pair is drawn on the first one's lane and gets none
+    of its own (W6)."""
     b0 = _first_birth(people, idx)
-    return people.select(F.col(idx).alias("idx"),
-                         (F.col("Birth") - b0 + F.lit(margin)).cast("int").alias("x"),
-                         (F.lit(height) - F.lit(lane_step) * F.col(idx)).cast("int").alias("lane"))
+    pairs = second_reign(people, idx) if pairs is None else pairs
+    drawn = people.join(pairs.select(F.col("partner_idx").alias(idx)), idx, "left_anti")
+    return drawn.select(F.col(idx).alias("idx"),
+                         (F.col("Birth") - b0 + F.lit(margin)).cast("long").alias("x"),
+                         (F.lit(height) - F.lit(lane_step) * F.col(idx)).cast("long").alias("lane"))
 
 
 def lineage_edges(people: DataFrame, idx: str = "idx", height: int = 600,
                   lane_step: int = 10, margin: int = 10) -> DataFrame:
-    """Lineage with both lanes and the parent's x, for drawing."""
+    """Lineage with both lanes and the parent's x, for drawing; no edge
+    from or to the second reign of a pair (W6)."""
     layout = timeline_layout(people, idx, height, lane_step, margin)
     edges = lineage(people, idx)
     child = layout.select(F.col("idx").alias("child_idx"), F.col("lane").alias("child_lane"))

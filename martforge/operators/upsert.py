@@ -73,7 +73,10 @@ def record_strikes(batch: DataFrame, airports: DataFrame, flights: DataFrame,
     fkeys = (bf.groupBy(*FLIGHT_KEY)
              .agg(F.min("_bord").alias("first_order"),
                   F.min_by("altitude", F.col("_bord")).alias("altitude")))
-    existing = flights.select(*FLIGHT_KEY)
+    # Only the flights that the batch can meet take part in what follows.
+    wanted = fkeys.select(*FLIGHT_KEY)
+    met = flights.join(wanted, _null_safe_on(flights, wanted, FLIGHT_KEY), "left_semi")
+    existing = met.select(*FLIGHT_KEY)
     missing_f = fkeys.join(existing, _null_safe_on(fkeys, existing, FLIGHT_KEY), "left_anti")
     new_flights = (K.dense_ids(missing_f, ["first_order"], "_rel")
                    .select(_max_plus(flights, "fid", "_rel").alias("fid"), "date", "origin",
@@ -83,7 +86,7 @@ def record_strikes(batch: DataFrame, airports: DataFrame, flights: DataFrame,
     flights2 = flights.select(*new_flights.columns).unionByName(new_flights)
 
     # -- strikes: one per batch row
-    fid_of = flights2.groupBy(*FLIGHT_KEY).agg(F.min("fid").alias("fid"))
+    fid_of = met.select(*new_flights.columns).unionByName(new_flights).groupBy(*FLIGHT_KEY).agg(F.min("fid").alias("fid"))
     bs = bf.join(fid_of, _null_safe_on(bf, fid_of, FLIGHT_KEY), "left")
     bs = bs.select(*[bf[c] for c in bf.columns], fid_of["fid"])
     cid_of = conditions.groupBy(F.col("sky_condition")).agg(F.min("cid").alias("cid"))

@@ -29,7 +29,7 @@ CTE = {
         "CAST(trunc(l_quantity) AS INTEGER) AS quantity, "
         "CAST(trunc(l_extendedprice) AS INTEGER) AS amount, "
         "l_suppkey AS ridFK, l_partkey AS pidFK, o_custkey AS cidFK "
-        "FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"),
+        "FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey)"),
     "airports": "airports AS (SELECT n_nationkey AS aid, n_name AS airportState FROM nation)",
     "flights": (
         "flights AS (SELECT o.o_orderkey AS fid, CAST(o.o_orderdate AS DATE) AS date, "
@@ -60,114 +60,111 @@ def with_(*names: str) -> str:
     return "WITH " + ",\n".join(CTE[n] for n in seen) + "\n"
 
 
-_PROD_TOTAL = (
-    "SELECT p.pid, p.pname, CAST(SUM(s.quantity) AS BIGINT) AS total_sold "
-    "FROM salestxn s JOIN products p ON p.pid = s.pidFK GROUP BY p.pid, p.pname")
-_PROD_QUARTER = (
-    "SELECT p.pid, CAST(year(st.date) AS INTEGER) AS year, "
-    "CAST(quarter(st.date) AS INTEGER) AS quarter, "
-    "CAST(SUM(st.quantity) AS BIGINT) AS total_sold_per_quarter_and_year "
-    "FROM products p JOIN salestxn st ON p.pid = st.pidFK GROUP BY 1, 2, 3")
-_PROD_REGION = (
-    "SELECT p.pid, r.region, CAST(SUM(st.quantity) AS BIGINT) AS total_sold_per_region "
-    "FROM products p JOIN salestxn st ON p.pid = st.pidFK "
-    "JOIN reps r ON st.ridFK = r.rid GROUP BY p.pid, r.region")
-_REP_TOTAL = (
-    "SELECT r.rid, r.fname, r.lname, CAST(SUM(st.quantity) AS BIGINT) AS total_sold "
-    "FROM reps r JOIN salestxn st ON r.rid = st.ridFK GROUP BY r.rid, r.fname, r.lname")
-_REP_QUARTER = (
-    "SELECT r.rid, CAST(year(st.date) AS INTEGER) AS year, "
-    "CAST(quarter(st.date) AS INTEGER) AS quarter, "
-    "CAST(SUM(st.quantity) AS BIGINT) AS total_sold_per_quarter_and_year "
-    "FROM reps r JOIN salestxn st ON r.rid = st.ridFK GROUP BY 1, 2, 3")
-_REP_PRODUCT = (
-    "SELECT r.rid, p.pname, CAST(SUM(st.quantity) AS BIGINT) AS total_sold_per_product "
-    "FROM reps r JOIN salestxn st ON r.rid = st.ridFK "
-    "JOIN products p ON st.pidFK = p.pid GROUP BY r.rid, p.pname")
-_PROD_MONTH = (
-    "SELECT MIN(p.pid) AS pid, p.pname, strftime(st.date, '%Y-%m') AS month, "
-    "CAST(SUM(st.quantity) AS BIGINT) AS total_sold_per_month "
-    "FROM products p JOIN salestxn st ON p.pid = st.pidFK GROUP BY p.pname, month")
-_PROD_FACTS = (
-    "SELECT ts.pid, ts.pname, ts.total_sold, qy.year, qy.quarter, rg.region, "
-    "rg.total_sold_per_region FROM (" + _PROD_TOTAL + ") ts "
-    "LEFT JOIN (" + _PROD_QUARTER + ") qy ON ts.pid = qy.pid "
-    "LEFT JOIN (" + _PROD_REGION + ") rg ON ts.pid = rg.pid")
-_REP_FACTS = (
-    "SELECT rt.rid, rt.fname, rt.lname, rt.total_sold, qy.year, qy.quarter, "
-    "pt.pname, pt.total_sold_per_product FROM (" + _REP_TOTAL + ") rt "
-    "LEFT JOIN (" + _REP_QUARTER + ") qy ON rt.rid = qy.rid "
-    "LEFT JOIN (" + _REP_PRODUCT + ") pt ON rt.rid = pt.rid")
-
-_STRIKES_BY_AIRLINE = (
-    "SELECT CAST(COUNT(*) AS BIGINT) AS strikCount, f.airline FROM strikes s "
-    "JOIN flights f ON s.fid = f.fid GROUP BY f.airline")
+def _grains(suffix: str, fact: str, products: str, reps: str) -> None:
+    """One aggregate of the fact per grain; region and product-name totals are
+    rolled up from the (pid, rid) grain.  Null keys are left out, as no
+    dimension row has one."""
+    period = "CAST(year(date) AS INTEGER) AS year, CAST(quarter(date) AS INTEGER) AS quarter"
+    total = "CAST(SUM(quantity) AS BIGINT)"
+    rolled = "CAST(SUM(units) AS BIGINT)"
+    grain = {
+        "by_pid": f"SELECT pidFK AS pid, {total} AS total_sold FROM {fact} GROUP BY ALL",
+        "by_pid_quarter": f"SELECT pidFK AS pid, {period}, {total} AS total_sold_per_quarter_and_year "
+                          f"FROM {fact} GROUP BY ALL",
+        "by_rid": f"SELECT ridFK AS rid, {total} AS total_sold FROM {fact} GROUP BY ALL",
+        "by_rid_quarter": f"SELECT ridFK AS rid, {period}, {total} AS total_sold_per_quarter_and_year "
+                          f"FROM {fact} GROUP BY ALL",
+        "by_both": f"SELECT pidFK AS pid, ridFK AS rid, {total} AS units FROM {fact} GROUP BY ALL",
+        "by_pid_region": f"SELECT pid, region, {rolled} AS total_sold_per_region "
+                         f"FROM by_both{suffix} JOIN {reps} USING (rid) GROUP BY ALL",
+        "by_rid_name": f"SELECT rid, pname, {rolled} AS total_sold_per_product "
+                       f"FROM by_both{suffix} JOIN {products} USING (pid) GROUP BY ALL",
+        "by_pid_month": f"SELECT pidFK AS pid, strftime(date, '%Y-%m') AS month, {total} AS units "
+                        f"FROM {fact} GROUP BY ALL",
+        "by_name_month": f"SELECT MIN(pid) AS pid, pname, month, {rolled} AS total_sold_per_month "
+                         f"FROM by_pid_month{suffix} JOIN {products} USING (pid) GROUP BY pname, month",
+        "pfacts": "SELECT pid, pname, total_sold, year, quarter, region, total_sold_per_region "
+                  f"FROM by_pid{suffix} JOIN {products} USING (pid) LEFT JOIN by_pid_quarter{suffix} USING (pid) "
+                  f"LEFT JOIN by_pid_region{suffix} USING (pid)",
+        "rfacts": "SELECT rid, fname, lname, total_sold, year, quarter, pname, total_sold_per_product "
+                  f"FROM by_rid{suffix} JOIN {reps} USING (rid) LEFT JOIN by_rid_quarter{suffix} USING (rid) "
+                  f"LEFT JOIN by_rid_name{suffix} USING (rid)",
+    }
+    below = {"by_pid_region": ["by_both"], "by_rid_name": ["by_both"], "by_name_month": ["by_pid_month"],
+             "pfacts": ["by_pid", "by_pid_quarter", "by_both", "by_pid_region"],
+             "rfacts": ["by_rid", "by_rid_quarter", "by_both", "by_rid_name"]}
+    for name, sql in grain.items():
+        CTE[name + suffix] = f"{name}{suffix} AS ({sql})"
+        dims = [d for d in (products, reps) if d in sql or name in ("pfacts", "rfacts")]
+        DEPS[name + suffix] = (*DEPS.get(fact, ()), fact, *[x for d in dims for x in (*DEPS.get(d, ()), d)],
+                               *[n + suffix for n in below.get(name, [])])
+
+
+_grains("", "salestxn", "products", "reps")
+CTE["by_airline"] = ("by_airline AS (SELECT CAST(SUM(n) AS BIGINT) AS strikCount, airline FROM (SELECT fid, "
+                     "COUNT(*) AS n FROM strikes GROUP BY fid) JOIN flights USING (fid) GROUP BY airline)")
+DEPS["by_airline"] = ("strikes", "flights")
 
 SQL: dict[str, str] = {
     # ---------------------------------------------------------------- marts
-    "prod_total": with_("products", "salestxn") + _PROD_TOTAL,
-    "prod_quarter": with_("products", "salestxn") + _PROD_QUARTER,
-    "prod_region": with_("products", "reps", "salestxn") + _PROD_REGION,
-    "rep_total": with_("reps", "salestxn") + _REP_TOTAL,
-    "rep_quarter": with_("reps", "salestxn") + _REP_QUARTER,
-    "rep_product_total": with_("products", "reps", "salestxn") + _REP_PRODUCT,
-    "prod_facts": with_("products", "reps", "salestxn") + _PROD_FACTS,
-    "prod_facts_three_scans": with_("products", "reps", "salestxn") + _PROD_FACTS,
-    "rep_facts": with_("products", "reps", "salestxn") + _REP_FACTS,
-    "rep_facts_three_scans": with_("products", "reps", "salestxn") + _REP_FACTS,
-    "prod_month": with_("products", "salestxn") + _PROD_MONTH,
-    "monthly_sales": with_("products", "salestxn") + (
-        "SELECT pname, month, total_sold_per_month FROM (" + _PROD_MONTH + ")"),
-    "prod_total_by_name": with_("products", "salestxn") + (
-        "SELECT MIN(p.pid) AS pid, p.pname, CAST(SUM(s.quantity) AS BIGINT) AS total_sold "
-        "FROM salestxn s JOIN products p ON p.pid = s.pidFK GROUP BY p.pname"),
-    "prod_quarter_named": with_("products", "salestxn") + (
-        "SELECT p.pid, p.pname, CAST(year(st.date) AS INTEGER) AS year, "
-        "CAST(quarter(st.date) AS INTEGER) AS quarter, "
-        "CAST(SUM(st.quantity) AS BIGINT) AS total_sold_per_quarter_and_year "
-        "FROM products p JOIN salestxn st ON p.pid = st.pidFK GROUP BY 1, 2, 3, 4"),
-    "prod_region_named": with_("products", "reps", "salestxn") + (
-        "SELECT p.pid, p.pname, r.region, "
-        "CAST(SUM(st.quantity) AS BIGINT) AS total_sold_per_region "
-        "FROM products p JOIN salestxn st ON p.pid = st.pidFK "
-        "JOIN reps r ON st.ridFK = r.rid GROUP BY p.pid, p.pname, r.region"),
-    "rep_quarter_named": with_("reps", "salestxn") + (
-        "SELECT r.rid, r.fname, r.lname, CAST(year(st.date) AS INTEGER) AS year, "
-        "CAST(quarter(st.date) AS INTEGER) AS quarter, "
-        "CAST(SUM(st.quantity) AS BIGINT) AS total_sold_per_quarter_and_year "
-        "FROM reps r JOIN salestxn st ON r.rid = st.ridFK GROUP BY 1, 2, 3, 4, 5"),
-    "rep_product_named": with_("products", "reps", "salestxn") + (
-        "SELECT r.rid, r.fname, r.lname, p.pname, "
-        "CAST(SUM(st.quantity) AS BIGINT) AS total_sold_per_product "
-        "FROM reps r JOIN salestxn st ON r.rid = st.ridFK "
-        "JOIN products p ON st.pidFK = p.pid GROUP BY r.rid, r.fname, r.lname, p.pname"),
+    "prod_total": with_("products", "by_pid") + (
+        "SELECT pid, pname, total_sold FROM by_pid JOIN products USING (pid)"),
+    "prod_quarter": with_("products", "by_pid_quarter") + (
+        "SELECT * FROM by_pid_quarter SEMI JOIN products USING (pid)"),
+    "prod_region": with_("products", "by_pid_region") + (
+        "SELECT * FROM by_pid_region SEMI JOIN products USING (pid)"),
+    "rep_total": with_("reps", "by_rid") + (
+        "SELECT rid, fname, lname, total_sold FROM by_rid JOIN reps USING (rid)"),
+    "rep_quarter": with_("reps", "by_rid_quarter") + (
+        "SELECT * FROM by_rid_quarter SEMI JOIN reps USING (rid)"),
+    "rep_product_total": with_("reps", "by_rid_name") + (
+        "SELECT * FROM by_rid_name SEMI JOIN reps USING (rid)"),
+    "prod_facts": with_("pfacts") + "SELECT * FROM pfacts",
+    "prod_facts_three_scans": with_("pfacts") + "SELECT * FROM pfacts",
+    "rep_facts": with_("rfacts") + "SELECT * FROM rfacts",
+    "rep_facts_three_scans": with_("rfacts") + "SELECT * FROM rfacts",
+    "prod_month": with_("by_name_month") + "SELECT * FROM by_name_month",
+    "monthly_sales": with_("by_name_month") + (
+        "SELECT pname, month, total_sold_per_month FROM by_name_month"),
+    "prod_total_by_name": with_("products", "by_pid") + (
+        "SELECT MIN(pid) AS pid, pname, CAST(SUM(total_sold) AS BIGINT) AS total_sold "
+        "FROM by_pid JOIN products USING (pid) GROUP BY pname"),
+    "prod_quarter_named": with_("products", "by_pid_quarter") + (
+        "SELECT pid, pname, year, quarter, total_sold_per_quarter_and_year "
+        "FROM by_pid_quarter JOIN products USING (pid)"),
+    "prod_region_named": with_("products", "by_pid_region") + (
+        "SELECT pid, pname, region, total_sold_per_region FROM by_pid_region JOIN products USING (pid)"),
+    "rep_quarter_named": with_("reps", "by_rid_quarter") + (
+        "SELECT rid, fname, lname, year, quarter, total_sold_per_quarter_and_year "
+        "FROM by_rid_quarter JOIN reps USING (rid)"),
+    "rep_product_named": with_("reps", "by_rid_name") + (
+        "SELECT rid, fname, lname, pname, total_sold_per_product FROM by_rid_name JOIN reps USING (rid)"),
     "prod_reps": with_("reps") + "SELECT rid, fname, lname FROM reps",
     "prod_customers": with_("customers") + "SELECT cid, customer, country FROM customers",
     "rep_product": with_("products", "salestxn") + (
         "SELECT pid, quantity, amount FROM salestxn "
         "JOIN products ON salestxn.pidFK = products.pid"),
     # -------------------------------------------------------------- reports
-    "top_reps": with_("products", "reps", "salestxn") + (
-        "SELECT fname, lname, units FROM (SELECT rid, MAX(fname) AS fname, "
-        "MAX(lname) AS lname, MAX(total_sold) AS units FROM (" + _REP_FACTS + ") "
-        "GROUP BY rid) WHERE units IS NOT NULL ORDER BY units DESC, rid ASC LIMIT 5"),
-    "month_levels": with_("products", "salestxn") + (
+    "top_reps": with_("reps", "by_rid") + (
+        "SELECT fname, lname, total_sold AS units FROM by_rid JOIN reps USING (rid) "
+        "WHERE total_sold IS NOT NULL ORDER BY total_sold DESC, rid ASC LIMIT 5"),
+    "month_levels": with_("by_name_month") + (
         "SELECT month, CAST(row_number() OVER (ORDER BY first_pname NULLS FIRST, month) "
-        "AS INTEGER) AS level FROM (SELECT month, MIN(pname) AS first_pname FROM ("
-        + _PROD_MONTH + ") WHERE month IS NOT NULL GROUP BY month)"),
-    "month_total": with_("products", "salestxn") + (
-        "SELECT month, CAST(SUM(total_sold_per_month) AS BIGINT) AS total_sold FROM ("
-        + _PROD_MONTH + ") GROUP BY month"),
+        "AS INTEGER) AS level FROM (SELECT month, MIN(pname) AS first_pname "
+        "FROM by_name_month WHERE month IS NOT NULL GROUP BY month)"),
+    "month_total": with_("by_name_month") + (
+        "SELECT month, CAST(SUM(total_sold_per_month) AS BIGINT) AS total_sold "
+        "FROM by_name_month GROUP BY month"),
     "strikes_by_state": with_("strikes", "flights", "airports") + (
         "SELECT CAST(COUNT(*) AS BIGINT) AS strikCount, a.airportState FROM strikes s "
         "JOIN flights f ON s.fid = f.fid JOIN airports a ON f.origin = a.aid "
         "GROUP BY a.airportState ORDER BY strikCount DESC, airportState ASC NULLS LAST "
         "LIMIT 10"),
-    "above_avg_airlines": with_("strikes", "flights") + (
-        "SELECT strikCount, airline FROM (" + _STRIKES_BY_AIRLINE + ") c "
-        "WHERE strikCount > (SELECT AVG(strikCount) FROM (" + _STRIKES_BY_AIRLINE + "))"),
-    "avg_strikes_per_airline": with_("strikes", "flights") + (
-        "SELECT AVG(strikCount) AS avStrikeCount FROM (" + _STRIKES_BY_AIRLINE + ")"),
+    "above_avg_airlines": with_("by_airline") + (
+        "SELECT strikCount, airline FROM by_airline "
+        "WHERE strikCount > (SELECT AVG(strikCount) FROM by_airline)"),
+    "avg_strikes_per_airline": with_("by_airline") + (
+        "SELECT AVG(strikCount) AS avStrikeCount FROM by_airline"),
     "strikes_by_month": with_("strikes", "flights") + (
         "SELECT CAST(SUM(s.numbirds) AS BIGINT) AS birds, strftime(f.date, '%m') AS month "
         "FROM strikes s JOIN flights f ON s.fid = f.fid GROUP BY month"),
@@ -185,17 +182,33 @@ CTE.update({
         "raw_txn AS (SELECT l.*, CAST(l_shipdate AS DATE) AS date, c_name AS cust, "
         "p_name AS prod, CAST(trunc(l_quantity) AS INTEGER) AS quantity, "
         "CAST(trunc(l_extendedprice) AS INTEGER) AS amount, n_name AS country, "
-        "CAST(l_suppkey AS INTEGER) AS repID, " + _ORD + " AS ord "
-        "FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey "
-        "JOIN customer c ON o.o_custkey = c.c_custkey "
+        "l_suppkey AS repID, " + _ORD + " AS ord "
+        "FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey "
+        "LEFT JOIN customer c ON o.o_custkey = c.c_custkey "
         "LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey "
-        "JOIN part p ON l.l_partkey = p.p_partkey)"),
+        "LEFT JOIN part p ON l.l_partkey = p.p_partkey)"),
     "dim_products": (
         "dim_products AS (SELECT CAST(row_number() OVER (ORDER BY MIN(ord)) AS BIGINT) AS pid, "
         "prod AS pname FROM raw_txn GROUP BY prod)"),
     "dim_customers": (
         "dim_customers AS (SELECT CAST(100 + row_number() OVER (ORDER BY MIN(ord)) AS BIGINT) "
         "AS cid, cust AS customer, arg_min(country, ord) AS country FROM raw_txn GROUP BY cust)"),
+    "gaps": (
+        "gaps AS (SELECT CASE WHEN quantity % 11 <> 0 THEN date END AS date, quantity, amount, "
+        "CASE WHEN quantity % 10 = 1 THEN ridFK + 1000000000000 WHEN quantity % 10 <> 0 THEN ridFK END AS ridFK, "
+        "CASE WHEN quantity % 7 = 0 THEN pidFK + 1000000000000 ELSE pidFK END AS pidFK, "
+        "CASE WHEN quantity % 5 = 1 THEN cidFK + 1000000000000 WHEN quantity % 5 <> 0 THEN cidFK END AS cidFK "
+        "FROM salestxn_c)"),
+    "gap_txn": (
+        "gap_txn AS (SELECT ord, date, quantity, amount, prod, country, CASE WHEN l_linenumber <> 3 THEN cust END "
+        "AS cust, CASE WHEN l_linenumber > 2 THEN repID END AS repID FROM raw_txn)"),
+    "gap_customers": (
+        "gap_customers AS (SELECT CAST(100 + row_number() OVER (ORDER BY MIN(ord)) AS BIGINT) AS cid, "
+        "cust AS customer FROM gap_txn GROUP BY cust)"),
+    "gaps_loaded": (
+        "gaps_loaded AS (SELECT CAST(t.ord AS BIGINT) AS tid, t.date, t.quantity, t.amount, r.rid AS ridFK, "
+        "p.pid AS pidFK, c.cid AS cidFK FROM gap_txn t LEFT JOIN dim_products p ON t.prod = p.pname "
+        "LEFT JOIN gap_customers c ON t.cust = c.customer LEFT JOIN reps r ON t.repID = r.rid)"),
     "raw_strikes": (
         "raw_strikes AS (SELECT l.*, l_orderkey AS fid, CAST(o_orderdate AS DATE) AS fdate, "
         "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE n_name END AS origin, "
@@ -238,6 +251,8 @@ CTE.update({
         "JOIN dim_products p ON t.prod = p.pname JOIN dim_customers c ON t.cust = c.customer)"),
 })
 DEPS.update({
+    "gaps": ("salestxn_c",), "gap_txn": ("raw_txn",), "gap_customers": ("raw_txn", "gap_txn"),
+    "gaps_loaded": ("reps", "raw_txn", "dim_products", "gap_txn", "gap_customers"),
     "dim_products": ("raw_txn",), "dim_customers": ("raw_txn",),
     "dim_airports": ("raw_strikes",), "dim_conditions": ("raw_strikes",),
     "fact_strikes": ("raw_strikes", "dim_conditions"),
@@ -249,10 +264,12 @@ _TXN_TYPED = "SELECT date, cust, prod, quantity, amount, country, repID FROM raw
 
 SQL.update({
     "rep_id_parse": "SELECT 'r' || CAST(s_suppkey AS VARCHAR) AS raw, "
-                    "CAST(s_suppkey AS INTEGER) AS rid FROM supplier",
-    "parse_us_date": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date FROM orders",
+                    "s_suppkey AS rid FROM supplier",
+    "parse_us_date": "SELECT o_orderkey, CASE WHEN o_orderkey % 6 >= 4 THEN CAST(o_orderdate AS DATE) END "
+                     "AS date FROM orders",
     "lenient_int": "SELECT l_orderkey, l_linenumber, "
-                   "CAST(trunc(l_extendedprice) AS INTEGER) AS amount FROM lineitem",
+                   "CAST(CASE WHEN l_linenumber < 5 THEN NULL WHEN l_linenumber = 5 THEN -trunc(l_extendedprice) "
+                   "ELSE trunc(l_extendedprice) END AS INTEGER) AS amount FROM lineitem",
     "altitude_parse": "SELECT o_orderkey, CAST(trunc(o_totalprice) AS INTEGER) AS altitude "
                       "FROM orders",
     "null_default": "SELECT c_custkey AS cid, COALESCE(NULLIF(c_mktsegment, 'MACHINERY'), "
@@ -262,30 +279,42 @@ SQL.update({
         "CAST(damage = 'Caused damage' AS INTEGER) AS damage FROM raw_strikes"),
     "xml_txn_scan": with_("raw_txn") + _TXN_TYPED,
     "xml_rep_scan": with_("reps") + (
-        "SELECT CAST(rid AS INTEGER) AS rid, fname, lname, region FROM reps"),
+        "SELECT rid, fname, lname, region FROM reps"),
     "xml_product_scan": with_("raw_txn") + "SELECT prod AS text FROM raw_txn",
     "xml_multi_file": with_("raw_txn") + _TXN_TYPED,
     "xml_rowtag_multi_file": with_("raw_txn") + _TXN_TYPED,
     "csv_scan": with_("raw_strikes") + (
-        "SELECT fid AS rid, fdate AS flight_date, origin, airline, aircraft, altitude, "
-        "heavy_flag, sky_conditions, numbirds AS wildlife_struck, impact, damage "
+        "SELECT fid AS rid, fdate AS flight_date, origin, airline, CASE l_linenumber % 3 "
+        "WHEN 0 THEN 'A \"' || aircraft || '\", old' WHEN 1 THEN aircraft || chr(10) || 'second line' "
+        "ELSE aircraft END AS aircraft, altitude, heavy_flag, sky_conditions, numbirds AS wildlife_struck, impact, damage "
         "FROM raw_strikes"),
     "sink_overwrite": with_("reps") + "SELECT rid, fname, lname FROM reps",
     "sink_append": with_("customers") + (
         "SELECT cid, customer, country FROM customers UNION ALL "
         "SELECT cid, customer, country FROM customers"),
-    "materialize_mart": with_("products", "salestxn") + (
-        "SELECT CAST(pid AS INTEGER) AS pid, pname, month, "
-        "CAST(total_sold_per_month AS INTEGER) AS total_sold_per_month FROM ("
-        + _PROD_MONTH + ")"),
-    "monthly_sales_table": with_("products", "salestxn") + (
-        "SELECT pname, month, total_sold_per_month FROM (" + _PROD_MONTH + ")"),
-    "txn_row_count": with_("fact_sales") + "SELECT COUNT(*) AS count FROM fact_sales",
+    "materialize_mart": with_("by_name_month") + "SELECT * FROM by_name_month",
+    "monthly_sales_table": with_("by_name_month") + (
+        "SELECT pname, month, total_sold_per_month FROM by_name_month"),
+    "txn_row_count": "SELECT COUNT(*) AS count FROM lineitem",
     "dim_products": with_("dim_products") + "SELECT pid, pname FROM dim_products",
     "dim_customers": with_("dim_customers") + "SELECT cid, customer, country FROM dim_customers",
-    "dim_reps": with_("reps") + "SELECT CAST(rid AS INTEGER) AS rid, fname, lname, region FROM reps",
+    "dim_reps": with_("reps") + "SELECT rid, fname, lname, region FROM reps",
     "cust_reps": with_("fact_sales") + "SELECT DISTINCT cidFK AS cid, ridFK AS rid FROM fact_sales",
     "fact_sales": with_("fact_sales") + "SELECT * FROM fact_sales",
+    "fact_sales_orphans_null": with_("gaps_loaded") + "SELECT * FROM gaps_loaded",
+    "fact_sales_orphans_drop": with_("gaps_loaded") + (
+        "SELECT * FROM gaps_loaded WHERE ridFK IS NOT NULL AND cidFK IS NOT NULL"),
+    "key_policy_append": with_("customers") + (
+        "SELECT cid, customer, CASE WHEN cid % 2 <> 0 THEN country END AS country FROM customers"),
+    "schema_listing": with_("fact_flights") + (
+        "SELECT CAST(i AS INTEGER) AS cid, name, type, n_values FROM (VALUES "
+        "(0, 'fid', 'bigint'), (1, 'date', 'date'), (2, 'origin', 'bigint'), (3, 'airline', 'string'), "
+        "(4, 'aircraft', 'string'), (5, 'altitude', 'int'), (6, 'heavy', 'int')) v(i, name, type) JOIN "
+        "(UNPIVOT (SELECT COUNT(fid) AS fid, COUNT(date) AS date, COUNT(origin) AS origin, COUNT(airline) AS airline, "
+        "COUNT(aircraft) AS aircraft, COUNT(altitude) AS altitude, COUNT(heavy) AS heavy FROM fact_flights) "
+        "ON COLUMNS(*) INTO NAME name VALUE n_values) USING (name)"),
+    "check_violations_strikes": with_("strikes") + (
+        "SELECT fid, numbirds, CAST(altitude - 20000 AS INTEGER) AS altitude FROM strikes WHERE NOT (altitude - 20000 >= 0)"),
     "dim_airports": with_("dim_airports") + (
         "SELECT aid, airportState, airportCode FROM dim_airports"),
     "fact_flights": with_("fact_flights") + "SELECT * FROM fact_flights",
@@ -297,28 +326,28 @@ SQL.update({
         "SELECT sid, fid, numbirds, impact, damage, altitude, conditions FROM ("
         "SELECT *, row_number() OVER (PARTITION BY fid ORDER BY sid) AS rn FROM fact_strikes) "
         "WHERE rn = 1"),
-    "fk_orphans": with_("salestxn_c", "reps", "products", "customers") + (
-        "SELECT 'ridFK' AS fk, COUNT(*) AS orphans FROM salestxn_c s WHERE ridFK IS NOT NULL "
+    "fk_orphans": with_("gaps", "reps", "products", "customers") + (
+        "SELECT 'ridFK' AS fk, COUNT(*) AS orphans FROM gaps s WHERE ridFK IS NOT NULL "
         "AND NOT EXISTS (SELECT 1 FROM reps r WHERE r.rid = s.ridFK) UNION ALL "
-        "SELECT 'pidFK', COUNT(*) FROM salestxn_c s WHERE pidFK IS NOT NULL "
+        "SELECT 'pidFK', COUNT(*) FROM gaps s WHERE pidFK IS NOT NULL "
         "AND NOT EXISTS (SELECT 1 FROM products p WHERE p.pid = s.pidFK) UNION ALL "
-        "SELECT 'cidFK', COUNT(*) FROM salestxn_c s WHERE cidFK IS NOT NULL "
+        "SELECT 'cidFK', COUNT(*) FROM gaps s WHERE cidFK IS NOT NULL "
         "AND NOT EXISTS (SELECT 1 FROM customers c WHERE c.cid = s.cidFK)"),
     "pk_duplicates": "SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem "
                      "GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1",
-    "not_null_violations": with_("salestxn_c") + (
+    "not_null_violations": with_("gaps") + (
         "SELECT * FROM (SELECT 'date' AS \"column\", COUNT(*) FILTER (WHERE date IS NULL) AS nulls "
-        "FROM salestxn_c UNION ALL SELECT 'quantity', COUNT(*) FILTER (WHERE quantity IS NULL) "
-        "FROM salestxn_c UNION ALL SELECT 'ridFK', COUNT(*) FILTER (WHERE ridFK IS NULL) "
-        "FROM salestxn_c UNION ALL SELECT 'pidFK', COUNT(*) FILTER (WHERE pidFK IS NULL) "
-        "FROM salestxn_c UNION ALL SELECT 'cidFK', COUNT(*) FILTER (WHERE cidFK IS NULL) "
-        "FROM salestxn_c)"),
+        "FROM gaps UNION ALL SELECT 'quantity', COUNT(*) FILTER (WHERE quantity IS NULL) "
+        "FROM gaps UNION ALL SELECT 'ridFK', COUNT(*) FILTER (WHERE ridFK IS NULL) "
+        "FROM gaps UNION ALL SELECT 'pidFK', COUNT(*) FILTER (WHERE pidFK IS NULL) "
+        "FROM gaps UNION ALL SELECT 'cidFK', COUNT(*) FILTER (WHERE cidFK IS NULL) "
+        "FROM gaps)"),
     "check_violations": with_("flights") + (
-        "SELECT fid, altitude FROM flights WHERE NOT (altitude > 0)"),
-    "key_policy_first": with_("products", "reps", "salestxn") + (
+        "SELECT fid, CAST(altitude - 100000 AS INTEGER) AS altitude FROM flights WHERE NOT (altitude - 100000 > 0)"),
+    "key_policy_first": with_("pfacts") + (
         "SELECT pid, pname, total_sold, year, quarter, region, total_sold_per_region FROM ("
         "SELECT *, row_number() OVER (PARTITION BY pid ORDER BY year ASC NULLS FIRST, "
-        "quarter ASC NULLS FIRST, region ASC NULLS FIRST) AS rn FROM (" + _PROD_FACTS + ")) "
+        "quarter ASC NULLS FIRST, region ASC NULLS FIRST) AS rn FROM pfacts) "
         "WHERE rn = 1"),
     "union_all": "SELECT l_orderkey, l_linenumber, l_linestatus FROM lineitem",
 })
@@ -381,7 +410,8 @@ SQL.update({
 
 # ------------------------------------------------------------------ people
 def _code(k: str) -> str:
-    t = f"translate(lpad(CAST({k} AS VARCHAR), 6, '0'), '0123456789', 'aeioubcdfg')"
+    n = f"CAST({k} AS VARCHAR)"
+    t = f"translate(lpad({n}, CAST(greatest(6, length({n})) AS INTEGER), '0'), '0123456789', 'aeioubcdfg')"
     return f"(upper(substr({t}, 1, 1)) || substr({t}, 2))"
 
 
@@ -461,8 +491,9 @@ CTE.update({
         "WHERE c.Claim IS NOT NULL AND length(c.Claim) > 0 GROUP BY c.idx)"),
     "b0": "b0 AS (SELECT MAX(Birth) AS b0 FROM people WHERE idx = 0)",
     "layout": (
-        "layout AS (SELECT idx, CAST(Birth - (SELECT b0 FROM b0) + 10 AS INTEGER) AS x, "
-        "CAST(600 - 10 * idx AS INTEGER) AS lane FROM people)"),
+        "layout AS (SELECT idx, CAST(Birth - (SELECT b0 FROM b0) + 10 AS BIGINT) AS x, "
+        "CAST(600 - 10 * idx AS BIGINT) AS lane FROM people "
+        "WHERE idx NOT IN (SELECT partner_idx FROM second))"),
 })
 _P = ("raw_people", "psplit", "pclean", "people")
 DEPS.update({
@@ -470,7 +501,7 @@ DEPS.update({
     "pclean": ("pbase", "raw_people", "psplit"),
     "people": ("pbase",) + _P[:-1],
     "second": ("pbase",) + _P, "lineage": ("pbase",) + _P, "b0": ("pbase",) + _P,
-    "layout": ("pbase",) + _P + ("b0",),
+    "layout": ("pbase",) + _P + ("b0", "second"),
 })
 
 _SEGMENTS = (
@@ -526,8 +557,8 @@ SQL.update({
     "year_grid": with_("b0") + (
         "SELECT CAST(c * 100 + 25 * j AS INTEGER) AS year, k AS kind, "
         "CAST(c * 100 + 25 * j - (SELECT b0 FROM b0) AS INTEGER) AS x FROM "
-        "(SELECT unnest(range(8, CAST(8 + round_even((MAX(Death) - MIN(Birth) + 20) / 100.0, 0) "
-        "AS INTEGER) + 1)) AS c FROM people) "
+        "(SELECT unnest(range(lo, CAST(lo + round_even(span / 100.0, 0) AS INTEGER) + 1)) AS c FROM "
+        "(SELECT CAST(floor(MIN(Birth) / 100.0) AS INTEGER) AS lo, MAX(Death) - MIN(Birth) + 20 AS span FROM people)) "
         "CROSS JOIN (VALUES (0, 'century'), (1, 'quarter'), (2, 'half'), (3, 'quarter')) m(j, k)"),
     "timeline_layout": with_("layout") + "SELECT * FROM layout",
     "lineage_edges": with_("lineage", "layout") + (
@@ -547,8 +578,8 @@ SQL.update({
         "CASE WHEN l_linestatus = 'F' THEN 'Son of ' || l_returnflag END AS Claim "
         "FROM lineitem UNION ALL "
         "SELECT l_orderkey, l_linenumber, 0, 1, 'Part ' || CAST(l_partkey AS VARCHAR), "
-        "CAST(l_linenumber AS VARCHAR), CAST(month(l_shipdate) AS VARCHAR), "
-        "CASE WHEN l_linestatus = 'F' THEN 'Daughter of ' || l_linestatus END FROM lineitem"),
+        "CAST(l_linenumber AS VARCHAR), CASE WHEN l_linestatus = 'F' THEN 'Son of ' || l_returnflag "
+        "ELSE CAST(month(l_shipdate) AS VARCHAR) END, NULL FROM lineitem"),
     "html_list_items": (
         "SELECT page_id, CAST(generate_subscripts(h, 1) - 1 AS INTEGER) AS item_no, "
         "unnest(h) AS href, unnest(t) AS text FROM (SELECT page_id, "
@@ -630,21 +661,10 @@ SQL.update({
 
 
 # ------------------------------------------ sales marts on the loaded tables
-CTE["dim_reps"] = ("dim_reps AS (SELECT CAST(rid AS INTEGER) AS rid, fname, lname, region "
-                   "FROM reps)")
+CTE["dim_reps"] = "dim_reps AS (SELECT rid, fname, lname, region FROM reps)"
 DEPS["dim_reps"] = ("reps",)
-
-
-def _on_loaded(sql: str) -> str:
-    return (sql.replace("FROM salestxn ", "FROM fact_sales ")
-            .replace("JOIN salestxn ", "JOIN fact_sales ")
-            .replace("JOIN products ", "JOIN dim_products ")
-            .replace("FROM products ", "FROM dim_products ")
-            .replace("JOIN reps ", "JOIN dim_reps ")
-            .replace("FROM reps ", "FROM dim_reps "))
-
-
+_grains("_loaded", "fact_sales", "dim_products", "dim_reps")
 SQL.update({
-    "prod_facts_loaded": with_("fact_sales", "reps", "dim_reps") + _on_loaded(_PROD_FACTS),
-    "rep_facts_loaded": with_("fact_sales", "reps", "dim_reps") + _on_loaded(_REP_FACTS),
+    "prod_facts_loaded": with_("pfacts_loaded") + "SELECT * FROM pfacts_loaded",
+    "rep_facts_loaded": with_("rfacts_loaded") + "SELECT * FROM rfacts_loaded",
 })

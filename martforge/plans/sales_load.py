@@ -12,9 +12,11 @@ sources), cached by the caller if reused, and every step is a set operation:
   policy (default ``error``: an unmatched name aborts the load, as it does
   in the source);
 * cust_reps: distinct (cid, rid) pairs (D3);
-* salestxn: ``tid`` 1..n in record order, distributed (D6); it is assigned
-  first, and the numbered records are staged as a table that every other
-  step reads (first appearance = smallest tid).
+* salestxn: ``tid`` 1..n in record order, distributed (D6); the numbered
+  records are staged once as a table, and within one load the dimensions are
+  taken from it (first appearance = smallest tid).  A dimension asked for by
+  itself only aggregates the records: nothing is numbered or written but its
+  own distinct keys.
 
 "Record order" is given by ``order_cols`` (file and position for real files,
 the source table's columns for the test views).
@@ -47,7 +49,8 @@ def stage_records(txn: DataFrame, order_cols: Sequence[str]) -> DataFrame:
     if order == ["_file", "_pos"]:
         numbered = K.ids_from_positions(txn, "_file", "_pos", "tid").drop("_file", "_pos")
         return write_staged(numbered)
-    return K.dense_ids(txn, order, "tid", keep_order_cols=False)
+    # The records may be the result of joins: written once, then sampled and sorted.
+    return K.dense_ids(txn, order, "tid", keep_order_cols=False, stage_input=True)
 
 
 def write_staged(df: DataFrame) -> DataFrame:
@@ -65,25 +68,25 @@ def load_reps(rep_records: DataFrame) -> DataFrame:
                               F.col("territory").alias("region"))
 
 
-def load_products(staged: DataFrame) -> DataFrame:
+def load_products(records: DataFrame, order: str | Sequence[str] = "tid") -> DataFrame:
     """products(pid, pname): distinct product names, pid 1..n by first use."""
-    return (K.dense_key(staged, "prod", "tid", "pid", offset=0)
+    return (K.dense_key(records, "prod", order, "pid", offset=0)
             .select("pid", F.col("prod").alias("pname")))
 
 
-def load_customers(staged: DataFrame) -> DataFrame:
+def load_customers(records: DataFrame, order: str | Sequence[str] = "tid") -> DataFrame:
     """customers(cid, customer, country): first row per name, cid 101..."""
-    return (K.dense_key(staged, "cust", "tid", "cid", offset=100, value_cols=["country"])
+    return (K.dense_key(records, "cust", order, "cid", offset=100, value_cols=["country"])
             .select("cid", F.col("cust").alias("customer"), "country"))
 
 
 def resolve_keys(staged: DataFrame, products: DataFrame, customers: DataFrame,
                  reps: DataFrame, policy: str = "error") -> DataFrame:
     """Attach pid, cid, rid to every record by natural key."""
-    t = staged.withColumn("_rep_no", C.lenient_int("repID"))
+    t = staged.withColumn("_rep_no", C.lenient_int("repID", "bigint"))
     t = K.lookup_key(t, customers, "cust", "customer", "cid", policy=policy)
     t = K.lookup_key(t, products, "prod", "pname", "pid", policy=policy)
-    t = K.lookup_key(t, reps, "_rep_no", "rid", "rid", policy=policy)
+    t = K.lookup_key(t, reps, "_rep_no", "rid", "rid", policy=policy, raw_col="repID")
     return t.drop("_rep_no")
 
 
@@ -118,18 +121,27 @@ class SalesLoad:
         return self._cache[name]
 
     @property
-    def staged(self):
+    def records(self):
+        """The records as given, with their order columns."""
         extra = [c for c in self._order if c not in TXN_FIELDS]
-        return self._get("staged", lambda: stage_records(
-            self._txn.select(*extra, *TXN_FIELDS), self._order))
+        return self._txn.select(*extra, *TXN_FIELDS)
+
+    @property
+    def staged(self):
+        return self._get("staged", lambda: stage_records(self.records, self._order))
+
+    def _source(self):
+        """What a dimension is taken from: the numbered records if this load
+        has made them, else the records as given."""
+        return (self.staged, "tid") if "staged" in self._cache else (self.records, self._order)
 
     @property
     def products(self):
-        return self._get("products", lambda: load_products(self.staged))
+        return self._get("products", lambda: load_products(*self._source()))
 
     @property
     def customers(self):
-        return self._get("customers", lambda: load_customers(self.staged))
+        return self._get("customers", lambda: load_customers(*self._source()))
 
     @property
     def reps(self):
@@ -142,7 +154,11 @@ class SalesLoad:
 
     @property
     def cust_reps(self):
-        return load_cust_reps(self.resolved)
+        if "resolved" in self._cache:
+            return load_cust_reps(self.resolved)
+        # Distinct natural keys first: a pair's many sales meet the look-ups once.
+        keys = self.records.select("cust", "prod", "repID").distinct()
+        return load_cust_reps(resolve_keys(keys, self.products, self.customers, self.reps, self._policy))
 
     @property
     def salestxn(self):

@@ -15,8 +15,10 @@ Each record is one strike on one flight (``rid``).  Steps:
 * strikes: sid 1..n in record order (D6), condition id looked up where
   null matches null (J4 / Q5), damage flag (P7).
 
-``sid`` is assigned first; the numbered records are written once (the
-staging table) and every table reads them; first appearance = smallest sid.
+``sid`` numbers the records; the numbered records are written once (the
+staging table) and within one load every table reads them; first appearance
+= smallest sid.  Airports, conditions and flights asked for by themselves
+only aggregate the records, which are neither numbered nor written.
 """
 
 from __future__ import annotations
@@ -36,28 +38,31 @@ CSV_FIELDS = ["rid", "flight_date", "origin", "airline", "aircraft", "altitude_f
 def stage_records(raw: DataFrame, order_cols: Sequence[str]) -> DataFrame:
     """Number the records 1..n (``sid``) and stage them as a written table."""
     extra = [c for c in order_cols if c not in CSV_FIELDS]
-    return K.dense_ids(raw.select(*extra, *CSV_FIELDS), list(order_cols), "sid")
+    # The records may be the result of joins: written once, then sampled and sorted.
+    return K.dense_ids(raw.select(*extra, *CSV_FIELDS), list(order_cols), "sid", stage_input=True)
 
 
-def load_airports(staged: DataFrame) -> DataFrame:
+def load_airports(records: DataFrame, order: str | Sequence[str] = "sid") -> DataFrame:
     """airports(aid, airportState, airportCode) (+ the raw origin for look-ups)."""
-    ids = K.dense_key(staged, "origin", "sid", "aid")
+    ids = K.dense_key(records, "origin", order, "aid")
     return ids.select("aid", C.null_default("origin", "unknown").alias("airportState"),
                       C.typed_null("string").alias("airportCode"),
                       F.col("origin").alias("_origin_raw"))
 
 
-def load_conditions(staged: DataFrame) -> DataFrame:
+def load_conditions(records: DataFrame, order: str | Sequence[str] = "sid") -> DataFrame:
     """conditions(cid, sky_condition, explanation)."""
-    ids = K.dense_key(staged, "sky_conditions", "sid", "cid")
+    ids = K.dense_key(records, "sky_conditions", order, "cid")
     return ids.select("cid", F.col("sky_conditions").alias("sky_condition"),
                       C.typed_null("string").alias("explanation"))
 
 
-def load_flights(staged: DataFrame, airports: DataFrame, match_unknown: bool = False) -> DataFrame:
+def load_flights(records: DataFrame, airports: DataFrame, match_unknown: bool = False,
+                 order: str | Sequence[str] = "sid") -> DataFrame:
     """flights(fid, date, origin, airline, aircraft, altitude, heavy)."""
-    typed = staged.select(
-        "sid",
+    order = [order] if isinstance(order, str) else list(order)
+    typed = records.select(
+        F.struct(*order).alias("_order"),
         C.lenient_int("rid", "bigint").alias("fid"),
         C.parse_us_date("flight_date").alias("date"),
         F.col("origin").alias("_origin"),
@@ -65,7 +70,7 @@ def load_flights(staged: DataFrame, airports: DataFrame, match_unknown: bool = F
         C.null_default("aircraft", "Unknown").alias("aircraft"),
         C.altitude_parse("altitude_ft").alias("altitude"),
         C.text_flag("heavy_flag", "Yes").alias("heavy"))
-    first = K.apply_key_policy(typed, "fid", "keep_first", ["sid"])
+    first = K.apply_key_policy(typed, "fid", "keep_first", ["_order"])
     nat = "_origin_raw" if not match_unknown else "airportState"
     src = first if not match_unknown else first.withColumn(
         "_origin", C.null_default("_origin", "unknown"))
@@ -110,9 +115,14 @@ class StrikesLoad:
     def staged(self):
         return self._get("staged", lambda: stage_records(self._raw, self._order))
 
+    def _source(self):
+        """What airports, conditions and flights are taken from: the numbered
+        records if this load has made them, else the records as given."""
+        return (self.staged, "sid") if "staged" in self._cache else (self._raw, self._order)
+
     @property
     def airports_full(self):
-        return self._get("airports", lambda: load_airports(self.staged))
+        return self._get("airports", lambda: load_airports(*self._source()))
 
     @property
     def airports(self):
@@ -120,12 +130,13 @@ class StrikesLoad:
 
     @property
     def conditions(self):
-        return self._get("conditions", lambda: load_conditions(self.staged))
+        return self._get("conditions", lambda: load_conditions(*self._source()))
 
     @property
     def flights(self):
+        records, order = self._source()
         return self._get("flights", lambda: load_flights(
-            self.staged, self.airports_full, self._match))
+            records, self.airports_full, self._match, order))
 
     @property
     def strikes(self):

@@ -9,6 +9,7 @@ that shared folder, never in a machine-local temporary folder.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -47,7 +48,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return ``spark.checkpoint.dir``; set a local one only when it is unset."""
+    """Return ``spark.checkpoint.dir``; set a local one only when it is unset.
+
+    A folder of this machine is of use only where all tasks run on it, so with
+    any but a ``local`` master an unset folder is an error.
+    """
     sc = spark.sparkContext
     active = sc.getCheckpointDir()
     if active:
@@ -57,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
     # Unset: only in tests and local runs.
+    if not re.match(r"local($|\[)", sc.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="martforge-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -64,7 +71,4 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(ensure_checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex[:12]}")

@@ -4,6 +4,8 @@ R treats only ``NA`` as missing and keeps blank text as ``""``; Spark's CSV
 reader does the opposite by default (blank -> null, ``NA`` stays text).  The
 file is read with every column as text (header names kept, nothing inferred,
 so no extra pass over the data) and then:  null -> ``""``, ``"NA"`` -> null.
+Quotes inside quoted text are doubled, as ``read.csv`` and spreadsheets write
+them, and quoted text may hold line ends.
 """
 
 from __future__ import annotations
@@ -22,15 +24,23 @@ def r_missing(c: str):
 
 
 def read_csv_text(spark: SparkSession, path: str,
-                  columns: Sequence[str] | None = None) -> DataFrame:
-    """All-text CSV scan with a header row; ``columns`` selects by name."""
+                  columns: Sequence[str] | None = None, multi_line: bool = True) -> DataFrame:
+    """All-text CSV scan with a header row; ``columns`` selects by name.
+
+    With ``multi_line`` (the default, as in ``read.csv``) quoted text may hold
+    line ends, and a file is read by one task; set it to False for large files
+    known to have one record per line, which Spark then splits.  A record
+    that does not fit the header makes the job fail instead of losing text.
+    """
     df = (spark.read.option("header", "true").option("inferSchema", "false")
-          .option("multiLine", "false").csv(path))
+          .option("escape", '"').option("mode", "FAILFAST")
+          .option("multiLine", str(multi_line).lower()).csv(path))
     cols = list(columns) if columns else df.columns
     return df.select(*[r_missing(c) for c in cols])
 
 
 def write_csv_text(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write text columns as CSV with a header; nulls written as ``NA``."""
-    (df.write.option("header", "true").option("nullValue", "NA")
+    """Write text columns as CSV with a header; nulls written as ``NA``,
+    quotes doubled."""
+    (df.write.option("header", "true").option("nullValue", "NA").option("escape", '"')
      .option("emptyValue", '""').mode(mode).csv(path))

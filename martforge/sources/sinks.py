@@ -25,36 +25,62 @@ def table_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "martforge-tables", name)
 
 
-def cast_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+def cast_to_schema(df: DataFrame, schema: T.StructType, lenient: bool = False) -> DataFrame:
     """Select the declared columns in order, cast to their declared types.
 
-    A declared column missing from the query becomes a typed null; a value
-    that does not fit the declared type becomes null (``try_cast``).
+    A declared column missing from the query becomes a typed null.  A value
+    that does not fit the declared type makes the job fail, whatever the
+    session's ANSI setting; with ``lenient`` it becomes null.
     """
     have = set(df.columns)
     cols = []
     for f in schema.fields:
         if f.name in have:
-            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
+            fitted = F.col(f.name).try_cast(f.dataType)
+            if not lenient:
+                misfit = F.col(f.name).isNotNull() & fitted.isNull()
+                fitted = F.when(misfit, F.raise_error(F.concat(
+                    F.lit(f"value of {f.name} does not fit {f.dataType.simpleString()}: "),
+                    F.col(f.name).cast("string"))).cast(f.dataType)).otherwise(fitted)
+            cols.append(fitted.alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return df.select(*cols)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether something is stored at ``path`` (any file system Spark knows)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def materialize(df: DataFrame, name: str, schema: T.StructType | None = None,
                 mode: str = "overwrite", key: str | Sequence[str] | None = None,
                 key_policy: str = "keep_all", order_cols: Sequence | None = None,
-                path: str | None = None) -> DataFrame:
+                path: str | None = None, lenient: bool = False) -> DataFrame:
     """Write ``df`` as table ``name`` and return the table.
 
     ``mode`` is ``overwrite`` (drop and recreate: rerunnable, S13) or
-    ``append``.  ``key_policy`` applies to ``key`` (see keys.apply_key_policy).
+    ``append``.  ``key_policy`` applies to ``key`` (see keys.apply_key_policy);
+    when appending it also covers the rows already in the table: with
+    ``keep_first`` a key that the table holds is not added again, with
+    ``error`` it makes the job fail (null keys match null keys).
     """
     spark = df.sparkSession
-    out = cast_to_schema(df, schema) if schema is not None else df
+    out = cast_to_schema(df, schema, lenient) if schema is not None else df
+    target = path or table_path(spark, name)
     if key is not None:
         out = apply_key_policy(out, key, key_policy, order_cols)
-    target = path or table_path(spark, name)
+        if mode == "append" and key_policy != "keep_all" and table_exists(spark, target):
+            keys = [key] if isinstance(key, str) else list(key)
+            have = spark.read.parquet(target).select(*keys).distinct()
+            both = None
+            for k in keys:
+                e = out[k].eqNullSafe(have[k])
+                both = e if both is None else both & e
+            if key_policy == "error" and not out.join(have, both, "left_semi").isEmpty():
+                raise ValueError(f"key {keys} already in {name}")
+            out = out.join(have, both, "left_anti")
     out.write.mode(mode).parquet(target)
     return spark.read.parquet(target)
 

@@ -1,20 +1,17 @@
 """XML record sources (S1-S4) on Spark's built-in XML data source.
 
-Two readers:
-
-``read_xml_records``   the scalable one: Spark's ``rowTag`` reader splits and
-                       parallelises the files; every element named ``row_tag``
-                       becomes a row, child elements become string columns,
-                       attributes arrive as ``_<name>``.  Rows carry their file
-                       (``_file``) but not their position inside it.
-``read_xml_documents`` exact document order: each file is read whole
-                       (``wholetext``) and its ``row_tag`` children are
-                       ``posexplode``-d, giving ``_file`` and ``_pos``.  One
-                       document must fit in one row (one task per file).
-
-``file_regex`` keeps only files whose path below ``path`` matches the
-unanchored regex (like listing a folder with a name pattern); the filter is
-on ``_metadata.file_path``, which Spark applies while listing files.
+Two readers, both on Spark's ``rowTag`` reader: every element named
+``row_tag``, at any depth, becomes a row, child elements become string
+columns, attributes arrive as ``_<name>``.  Files are streamed, one task per
+file.  Malformed XML makes the job fail (``FAILFAST``), it loses no records.
+
+``read_xml_records``   rows carry their file (``_file``), in no order.
+``read_xml_documents`` exact order: adds ``_pos``, the position in the file;
+                       the parsed rows are written once below the checkpoint
+                       folder, so each file is parsed once.
+
+``file_regex`` keeps only files whose own name matches the unanchored regex
+(like listing a folder with a name pattern); folder names don't matter.
 """
 
 from __future__ import annotations
@@ -25,25 +22,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martforge.session import scratch_dir
+
 
 def string_schema(fields: Sequence[str]) -> T.StructType:
     """All-text schema: XML values arrive as text and are typed afterwards."""
     return T.StructType([T.StructField(f, T.StringType(), True) for f in fields])
 
 
-def _relative_path(root: str) -> Column:
-    root = root.rstrip("/")
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return F.regexp_replace(F.col("_metadata.file_path"),
-                            r"^(file:)?\Q" + root + r"\E/?", "")
-
-
-def _filter_files(df: DataFrame, root: str, file_regex: str | None) -> DataFrame:
+def _filter_files(df: DataFrame, file_regex: str | None) -> DataFrame:
     df = df.withColumn("_file", F.col("_metadata.file_path"))
-    if file_regex:
-        df = df.where(_relative_path(root).rlike(file_regex))
-    return df
+    return df.where(F.col("_metadata.file_name").rlike(file_regex)) if file_regex else df
 
 
 def read_xml_records(spark: SparkSession, path: str, row_tag: str,
@@ -52,30 +41,24 @@ def read_xml_records(spark: SparkSession, path: str, row_tag: str,
     """One row per ``row_tag`` element, all columns text."""
     schema = fields if isinstance(fields, T.StructType) else string_schema(fields)
     df = (spark.read.format("xml").option("rowTag", row_tag)
+          .option("mode", "FAILFAST").option("multiLine", "true")
           .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.xml*")
           .schema(schema).load(path))
-    return _filter_files(df, path, file_regex)
+    return _filter_files(df, file_regex)
 
 
 def read_xml_documents(spark: SparkSession, path: str, row_tag: str,
                        fields: Sequence[str] | T.StructType,
                        file_regex: str | None = None) -> DataFrame:
     """S1 / S4 with exact order: adds ``_file`` and ``_pos`` (0-based)."""
-    schema = fields if isinstance(fields, T.StructType) else string_schema(fields)
-    doc_schema = T.StructType([T.StructField(row_tag, T.ArrayType(schema), True)])
-    docs = (spark.read.option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.xml*").text(path, wholetext=True))
-    docs = _filter_files(docs, path, file_regex)
-    parsed = docs.select("_file", F.from_xml(strip_prolog(F.col("value")),
-                                             doc_schema).alias("_doc"))
-    rows = parsed.select("_file", F.posexplode(F.col("_doc." + row_tag)).alias("_pos", "_r"))
-    return rows.select(*[F.col("_r." + f.name).alias(f.name) for f in schema.fields],
-                       "_file", "_pos")
-
-
-def strip_prolog(c: Column) -> Column:
-    """Drop an ``<?xml ...?>`` declaration so the root element leads the text."""
-    return F.regexp_replace(c, r"^\s*<\?xml[^>]*\?>\s*", "")
+    df = read_xml_records(spark, path, row_tag, fields, file_regex)
+    target = scratch_dir(spark, "xml-rows")
+    # A file is read by one task from start to end, so this id follows its order.
+    df.withColumn("_seq", F.monotonically_increasing_id()).write.parquet(target)
+    rows = spark.read.parquet(target)
+    first = rows.groupBy("_file").agg(F.min("_seq").alias("_first"))
+    return (rows.join(first, "_file").withColumn("_pos", F.col("_seq") - F.col("_first"))
+            .select(*df.columns, "_pos"))
 
 
 def leaf_text(df: DataFrame, element: str) -> DataFrame:
@@ -109,8 +92,23 @@ def parse_xml_column(df: DataFrame, column: str, fields: Sequence[str],
 
 def write_xml_files(df: DataFrame, path: str, row_tag: str, root_tag: str,
                     file_col: str | None = None, mode: str = "overwrite") -> None:
-    """Write records as XML documents; ``file_col`` makes one folder per value."""
+    """Write records as XML documents.
+
+    With ``file_col`` the files of each of its values are named after it
+    (``<value>-<n>.xml``), in one folder; it has few values.
+    """
     w = df.write.format("xml").option("rowTag", row_tag).option("rootTag", root_tag).mode(mode)
-    if file_col:
-        w = w.partitionBy(file_col)
-    w.save(path)
+    if not file_col:
+        w.save(path)
+        return
+    spark = df.sparkSession
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    parts = scratch_dir(spark, "xml-parts")
+    w.mode("errorifexists").partitionBy(file_col).save(parts)
+    fs = jvm_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if mode == "overwrite":
+        fs.delete(jvm_path(path), True)
+    fs.mkdirs(jvm_path(path))
+    for n, part in enumerate(fs.globStatus(jvm_path(f"{parts}/{file_col}=*/part-*"))):
+        value = part.getPath().getParent().getName().split("=", 1)[1]
+        fs.rename(part.getPath(), jvm_path(f"{path}/{value}-{n:05d}.xml"))

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martforge.operators.upsert import record_strikes
-from martforge.session import scratch_dir
 
 TABLES = ("airports", "flights", "strikes", "conditions")
 
@@ -59,9 +58,14 @@ def upsert_batch(batch: DataFrame, epoch_id: int, root: str, order_cols: Sequenc
 
 def upsert_stream(stream: DataFrame, root: str, order_cols: Sequence[str],
                   checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
-    """Start a query that upserts every micro-batch of ``stream``."""
-    spark = stream.sparkSession
-    ckpt = checkpoint or scratch_dir(spark, "upsert-stream-checkpoint")
+    """Start a query that upserts every micro-batch of ``stream``.
+
+    The query's progress is kept beside the tables (``root``/_checkpoint)
+    unless ``checkpoint`` names another lasting folder: epochs must go on
+    where they stopped, or a restart would replace earlier epochs' rows.  One
+    table folder therefore belongs to one stream.
+    """
+    ckpt = checkpoint or f"{root}/_checkpoint"
     writer = (stream.writeStream
               .foreachBatch(lambda df, e: upsert_batch(df, e, root, order_cols))
               .option("checkpointLocation", ckpt))

@@ -34,19 +34,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_MATERIALIZED: dict[tuple[str, str, str], str] = {}
+_MATERIALIZED: dict[tuple, str] = {}
 
 
-def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def _files(spark: SparkSession, path: str) -> int:
+    """A hash of the files at ``path``: names, lengths and modification times."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, listing = [], fs.listFiles(p, True)
+    while listing.hasNext():
+        f = listing.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hash(tuple(sorted(found)))
+
+
+def materialized(spark: SparkSession, sf_dir: str, name: str, inputs: tuple[str, ...], build) -> DataFrame:
     """A dimension view built from several tables, written once per session.
 
     Joined views carry a useless size estimate (Spark multiplies the input
     sizes of a join), which can make the planner broadcast the FACT side of a
     later join.  Written once under the checkpoint folder, the dimension has
-    its true size, and later queries read it instead of re-joining.
+    its true size, and later queries read it instead of re-joining.  A change
+    of an input's files (names, sizes, times) makes it anew.
     """
     from martforge.session import scratch_dir
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name,
+           *[_files(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in inputs])
     path = _MATERIALIZED.get(key)
     if path is None:
         path = scratch_dir(spark, f"view-{name}")
@@ -88,7 +101,7 @@ def _reps(spark: SparkSession, d: str) -> DataFrame:
 
 
 def reps(spark: SparkSession, d: str) -> DataFrame:
-    return materialized(spark, d, "reps", lambda: _reps(spark, d))
+    return materialized(spark, d, "reps", ("supplier", "nation", "region"), lambda: _reps(spark, d))
 
 
 def _customers(spark: SparkSession, d: str) -> DataFrame:
@@ -101,7 +114,7 @@ def _customers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, d: str) -> DataFrame:
-    return materialized(spark, d, "customers", lambda: _customers(spark, d))
+    return materialized(spark, d, "customers", ("customer", "nation"), lambda: _customers(spark, d))
 
 
 def _ship_date() -> Column:
@@ -109,7 +122,8 @@ def _ship_date() -> Column:
 
 
 def sales(spark: SparkSession, d: str, with_customer: bool = False) -> DataFrame:
-    """salestxn without tid.  ``with_customer`` adds cidFK via orders."""
+    """salestxn without tid.  ``with_customer`` adds cidFK via orders (a sale
+    whose order is missing stays, with a null cidFK)."""
     li = table(spark, d, "lineitem")
     cols = [
         _ship_date().alias("date"),
@@ -121,10 +135,39 @@ def sales(spark: SparkSession, d: str, with_customer: bool = False) -> DataFrame
     if not with_customer:
         return li.select(*cols)
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    return (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    return (li.join(o, li.l_orderkey == o.o_orderkey, "left")
             .select(*cols, F.col("o_custkey").alias("cidFK")))
 
 
+def sales_with_gaps(spark: SparkSession, d: str, with_customer: bool = False) -> DataFrame:
+    """Sales with broken references and missing values, for the checks.
+
+    Mapping (fixed values), by the quantity q: no date if q mod 11 is 0; no
+    rep if q mod 10 is 0, an unknown one if it is 1; an unknown product if
+    q mod 7 is 0; no customer if q mod 5 is 0, an unknown one if it is 1.
+    """
+    q, far = F.col("quantity"), F.lit(10 ** 12)
+    df = (sales(spark, d, with_customer)
+          .withColumn("date", F.when(q % 11 != 0, F.col("date")))
+          .withColumn("ridFK", F.when(q % 10 == 1, F.col("ridFK") + far).when(q % 10 != 0, F.col("ridFK")))
+          .withColumn("pidFK", F.when(q % 7 == 0, F.col("pidFK") + far).otherwise(F.col("pidFK"))))
+    if with_customer:
+        df = df.withColumn("cidFK", F.when(q % 5 == 1, F.col("cidFK") + far).when(q % 5 != 0, F.col("cidFK")))
+    return df
+
+
+def raw_txn_with_gaps(spark: SparkSession, d: str) -> DataFrame:
+    """Sales records of which some name no known rep or no customer.
+
+    Mapping (fixed values), by l_linenumber: rep ``abc`` for 1, a rep number
+    above 2^31 that nobody has for 2, no customer name for 3.
+    """
+    n = F.col("l_linenumber")
+    return (raw_txn(spark, d)
+            .withColumn("repID", F.when(n == 1, "abc").when(n == 2, "99999999999").otherwise(F.col("repID")))
+            .withColumn("cust", F.when(n != 3, F.col("cust"))))
+
+
 # ---------------------------------------------------------- bird strikes (B)
 
 def airports(spark: SparkSession, d: str) -> DataFrame:
@@ -179,16 +222,17 @@ LINEITEM_ORDER = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_qua
 
 def raw_txn(spark: SparkSession, d: str) -> DataFrame:
     """Sales records as in the XML files: date (M/d/yyyy), cust, prod, qty,
-    amount, country, repID, all text; plus the lineitem order columns."""
+    amount, country, repID, all text; plus the lineitem order columns.  A sale
+    whose order, customer or part is missing stays, with a null name."""
     li = table(spark, d, "lineitem")
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = fixed_dim(table(spark, d, "nation").select("n_nationkey", "n_name"))
     p = table(spark, d, "part").select("p_partkey", "p_name")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-         .join(c, F.col("o_custkey") == c.c_custkey)
+    j = (li.join(o, li.l_orderkey == o.o_orderkey, "left")
+         .join(c, F.col("o_custkey") == c.c_custkey, "left")
          .join(n, F.col("c_nationkey") == n.n_nationkey, "left")
-         .join(p, li.l_partkey == p.p_partkey))
+         .join(p, li.l_partkey == p.p_partkey, "left"))
     return j.select(
         *LINEITEM_ORDER,
         F.date_format("l_shipdate", "M/d/yyyy").alias("date"),
@@ -280,7 +324,9 @@ def _cap(c: Column) -> Column:
 
 def _code(key: Column) -> Column:
     """A letters-only name for a customer key (digits mapped to letters)."""
-    return _cap(F.translate(F.lpad(key.cast("string"), 6, "0"), "0123456789", "aeioubcdfg"))
+    digits = key.cast("string")
+    padded = F.lpad(digits, F.greatest(F.lit(6), F.length(digits)), F.lit("0"))
+    return _cap(F.translate(padded, "0123456789", "aeioubcdfg"))
 
 
 def _long_date(c: Column) -> Column:

@@ -14,15 +14,15 @@ def test_materialize_casts_and_policies(spark, tmp_path):
                                "pid long, pname string, total long")
     path = str(tmp_path / "t")
     out = SK.materialize(df, "t", schema=SCHEMA, key="pid", key_policy="keep_first",
-                         order_cols=["pname"], path=path)
+                         order_cols=["pname"], path=path, lenient=True)
     got = sorted(tuple(r) for r in out.collect())
-    # keep_first by pname; a value that does not fit INT becomes null; the
+    # keep_first by pname; a value that does not fit INT becomes null when lenient; the
     # declared column missing from the query is a typed null.
     assert got == [(1, "a", 5, None), (2, "c", None, None)]
     assert out.schema == SCHEMA
-    again = SK.materialize(df, "t", schema=SCHEMA, path=path)            # overwrite
+    again = SK.materialize(df, "t", schema=SCHEMA, path=path, lenient=True)            # overwrite
     assert again.count() == 3
-    more = SK.materialize(df, "t", schema=SCHEMA, mode="append", path=path)
+    more = SK.materialize(df, "t", schema=SCHEMA, mode="append", path=path, lenient=True)
     assert more.count() == 6
     assert SK.row_count(more).first()["count"] == 6
     listing = [tuple(r) for r in SK.describe(more).collect()]

@@ -36,3 +36,20 @@ def test_stream_upsert_is_incremental_and_idempotent(spark, tmp_path):
     S.upsert_batch(batch, 0, root, ["bord"])
     t2 = S.read_tables(spark, root)
     assert t2["strikes"].count() == 6 and t2["airports"].count() == 4
+
+
+def test_a_restart_goes_on_after_the_earlier_epochs(spark, tmp_path):
+    p = tmp_path / "birds.csv"
+    p.write_text(CSV_TEXT)
+    load = STL.StrikesLoad(CSV.read_csv_text(spark, str(p), STL.CSV_FIELDS), ["rid"])
+    root = str(tmp_path / "tables")
+    S.init_tables({"airports": load.airports, "flights": load.flights,
+                   "strikes": load.strikes, "conditions": load.conditions}, root)
+    for n, state in enumerate(("Texas", "Utah")):  # another source folder each time, no checkpoint named
+        inbox = str(tmp_path / f"inbox{n}")
+        spark.createDataFrame([(1, dt.date(2023, 6, 24), state, "Airplane", 1000, 12 + n, "No Cloud")], SCHEMA).write.parquet(f"{inbox}/b")
+        S.upsert_stream(spark.readStream.schema(SCHEMA).parquet(f"{inbox}/*"), root, ["bord"]).awaitTermination(300)
+    t = S.read_tables(spark, root)
+    assert sorted((r.sid, r.numbirds) for r in t["strikes"].where("sid > 4").collect()) == [(5, 12), (6, 13)]
+    states = [(r.aid, r.airportState) for r in t["airports"].collect()]
+    assert {"Texas", "Utah"} <= {s for _, s in states} and len({a for a, _ in states}) == len(states)
