@@ -49,9 +49,13 @@ QUERIES: dict[str, Query] = {
     "rep_product_total": lambda s, d: M.rep_product_total(
         V.sales(s, d), V.products(s, d), V.reps(s, d)),
     "prod_facts": lambda s, d: M.prod_facts(V.sales(s, d), V.products(s, d), V.reps(s, d)),
+    "prod_facts_shared": lambda s, d: M.prod_facts(
+        V.sales(s, d), V.products(s, d), V.reps(s, d), shared_base=True),
     "prod_facts_three_scans": lambda s, d: M.prod_facts(
         V.sales(s, d), V.products(s, d), V.reps(s, d), shared_base=False),
     "rep_facts": _rep_facts,
+    "rep_facts_shared": lambda s, d: M.rep_facts(
+        V.sales(s, d), V.products(s, d), V.reps(s, d), shared_base=True),
     "rep_facts_three_scans": lambda s, d: M.rep_facts(
         V.sales(s, d), V.products(s, d), V.reps(s, d), shared_base=False),
     "prod_month": _prod_month,

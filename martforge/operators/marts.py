@@ -1,30 +1,20 @@
 """Sales marts: product and rep totals by quarter, region, product and month.
 
-All aggregates are integer ``SUM(quantity)``, which is distributive, so each
-multi-block mart is computed from pre-aggregates of the fact table taken at
-the grain that actually shrinks it, instead of one fact scan per block:
-
-* ``(pid, rid)`` feeds the per-region block AND, rolled up, the per-product
-  total: the fact is aggregated to one row per product and rep BEFORE it
-  meets the reps dimension, so the dimension join shuffles that aggregate,
-  not the transactions, and the total needs no fact scan of its own;
-* the per-quarter block only needs its distinct (pid, year, quarter) keys
-  (its sum is never selected), a partial-aggregated distinct.
-
-At 1000x scale the reps dimension is not broadcastable, so the original
-three-block form would shuffle every transaction by rid for the region join
-and shuffle the fact twice more for the other blocks; this form shuffles the
-fact twice (keys, and the (pid, rid) pre-aggregate) plus aggregates.  When
-the dimension IS small enough to broadcast (the local bench), the three-scan
-form avoids one shuffle and can be faster.
+All aggregates are integer ``SUM(quantity)``, computed per block with map-side
+partial aggregation.  ``prod_facts`` and ``rep_facts`` take each of their
+three blocks from a scan of the fact table by default.  ``shared_base=True``
+takes two of them from one (pid, rid) pre-aggregate instead; it was meant to
+move less data where no dimension can be broadcast, but measured with
+broadcasts off (sf0.1) it shuffles more, as (pid, rid) hardly reduces the
+fact: 31 MB against 22 MB for ``prod_facts``, 23 MB against 14 MB for
+``rep_facts``.  It pays only where reps sell few products very often.
 
 Every pre-aggregate runs with map-side partial aggregation, so a product or
 rep holding a large share of the rows collapses before any shuffle; all
 later steps work on aggregated rows whose count per key is bounded (quarters
 x regions per product).  Dimension joins are plain joins: AQE broadcasts the
 dimension only when its size is under the broadcast threshold and shuffles
-otherwise.  ``shared_base=False`` gives the three-scan form of the original
-query for comparison.
+otherwise.
 
 Dimension keys (products.pid, reps.rid) are assumed unique, as their declared
 primary keys say; ``quality.pk_duplicates`` checks it.
@@ -110,11 +100,11 @@ def prod_region(sales: DataFrame, products: DataFrame, reps: DataFrame) -> DataF
 
 
 def prod_facts(sales: DataFrame, products: DataFrame, reps: DataFrame,
-               shared_base: bool = True) -> DataFrame:
+               shared_base: bool = False) -> DataFrame:
     """M3: A1 LEFT JOIN A2 LEFT JOIN A3 on pid (fan-out; see module doc).
 
-    ``shared_base=False`` computes the three blocks from three scans of the
-    fact table, as the original query is written (for comparison).
+    ``shared_base=True`` computes the total and the regions from one
+    (pid, rid) pre-aggregate.
     """
     if shared_base:
         by_rep = _pre(sales, "pid", "rid")
@@ -234,7 +224,7 @@ def rep_product_named(sales: DataFrame, products: DataFrame, reps: DataFrame) ->
 
 
 def rep_facts(sales: DataFrame, products: DataFrame, reps: DataFrame,
-              shared_base: bool = True) -> DataFrame:
+              shared_base: bool = False) -> DataFrame:
     """M6: A4 LEFT JOIN A5 LEFT JOIN A6 on rid (fan-out; see module doc).
 
     Shared form: (rid, pid) feeds A6 before the products join and, rolled

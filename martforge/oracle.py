@@ -120,6 +120,8 @@ SQL: dict[str, str] = {
     "rep_product_total": with_("reps", "by_rid_name") + (
         "SELECT * FROM by_rid_name SEMI JOIN reps USING (rid)"),
     "prod_facts": with_("pfacts") + "SELECT * FROM pfacts",
+    "prod_facts_shared": with_("pfacts") + "SELECT * FROM pfacts",
+    "rep_facts_shared": with_("rfacts") + "SELECT * FROM rfacts",
     "prod_facts_three_scans": with_("pfacts") + "SELECT * FROM pfacts",
     "rep_facts": with_("rfacts") + "SELECT * FROM rfacts",
     "rep_facts_three_scans": with_("rfacts") + "SELECT * FROM rfacts",

@@ -94,7 +94,7 @@ def test_orphan_policy_drop(spark, folder):
 def test_marts_on_loaded_tables(spark, folder):
     s = _load(spark, folder, "drop")
     facts = M.prod_facts(s.salestxn, s.products, s.reps)
-    three = M.prod_facts(s.salestxn, s.products, s.reps, shared_base=False)
+    three = M.prod_facts(s.salestxn, s.products, s.reps, shared_base=True)
     assert sorted(map(tuple, facts.collect()), key=repr) == sorted(map(tuple, three.collect()), key=repr)
     totals = {r.pname: r.total_sold for r in M.prod_total(s.salestxn, s.products).collect()}
     assert totals == {"Alpha": 5, "Beta": 9, "Gamma": 1}

@@ -41,7 +41,7 @@ def test_hot_product_and_rep(spark):
         for pid in total for (y, qq) in quarters[pid] for reg in regions_of[pid])
     got = sorted(tuple(r) for r in M.prod_facts(sales, products, reps).collect())
     assert got == expect
-    three = sorted(tuple(r) for r in M.prod_facts(sales, products, reps, shared_base=False).collect())
+    three = sorted(tuple(r) for r in M.prod_facts(sales, products, reps, shared_base=True).collect())
     assert three == expect
 
 
@@ -50,7 +50,7 @@ def test_pre_aggregation_before_exchange(spark):
     products = spark.createDataFrame([(p, "x") for p in range(1, 41)], "pid long, pname string")
     reps = spark.createDataFrame([(r, "f", "l", "reg") for r in range(1, 10)],
                                  "rid long, fname string, lname string, region string")
-    plan = M.prod_facts(sales, products, reps)._jdf.queryExecution().executedPlan().toString()
+    plan = M.prod_facts(sales, products, reps, shared_base=True)._jdf.queryExecution().executedPlan().toString()
     lines = plan.splitlines()
     found = [i for i, line in enumerate(lines)
              if "Exchange hashpartitioning(pid" in line and "rid" in line]
