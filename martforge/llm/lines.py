@@ -18,6 +18,11 @@ BINS = BANDS * ROWS
 #: A line is compared with its bucket's first line and with this many before it.
 WINDOW = 8
 
+#: Bits of the filter in front of the candidates' texts (16 MB).
+FILTER = 1 << 27
+#: Characters hashed at once (small enough for a processor's cache).
+PIECE = 1 << 16
+
 _RNG = np.random.default_rng(9)
 _LETTER = _RNG.integers(1, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
 _ROW = _RNG.integers(1, 1 << 63, BINS, dtype=np.uint64) | np.uint64(1)
@@ -35,6 +40,25 @@ def shingles(line: str) -> set[str]:
     return {line[i:i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))}
 
 
+def _shingle_hashes(text: str) -> np.ndarray:
+    """Hash of the shingle at each position (of no meaning in a line's last
+    ``SHINGLE`` - 1): the hashes of two overlapping halves, each made of the
+    hashes of its own halves."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    c = np.concatenate((c, np.zeros(SHINGLE, np.uint64)))
+    n, width = len(c) - SHINGLE, 1
+    while width < SHINGLE:
+        step = min(width, SHINGLE - width)
+        h = c[:len(c) - step] * _LETTER[width]
+        h += c[step:]
+        c, width = h, width + step
+    x = c[:n]
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(29)
+    return x
+
+
 def signatures(lines: list[str]) -> np.ndarray:
     """Band hashes (lines x BANDS, int64).
 
@@ -44,27 +68,32 @@ def signatures(lines: list[str]) -> np.ndarray:
     """
     padded = [t if len(t) >= SHINGLE else t.ljust(SHINGLE, "\0") for t in lines]
     sizes = np.fromiter(map(len, padded), np.int64, len(padded))
-    code = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    x = np.zeros(len(code) - SHINGLE + 1, np.uint64)
-    for j in range(SHINGLE):
-        x += code[j:len(code) - SHINGLE + 1 + j] * _LETTER[j]
-    row = np.repeat(np.arange(len(padded)), sizes)
-    own = np.arange(len(code)) - np.repeat(np.cumsum(sizes) - sizes, sizes) <= np.repeat(sizes - SHINGLE, sizes)
-    x, row = _mix(x[own[:len(x)]]), row[own]
-    cell = row * BINS + (((x >> np.uint64(40)) * np.uint64(BINS)) >> np.uint64(24)).astype(np.int64)
     least = np.full(len(padded) * BINS, _EMPTY)
-    np.minimum.at(least, cell, x & np.uint64((1 << 40) - 1))
+    for s, e in chunks(padded, limit=PIECE):
+        own = sizes[s:e]
+        x = _shingle_hashes("".join(padded[s:e]))
+        cell = (x >> np.uint64(40)).astype(np.int64)
+        cell *= BINS
+        cell >>= 24
+        cell += np.repeat(np.arange(s * BINS, e * BINS, BINS), own)
+        x &= np.uint64((1 << 40) - 1)
+        # The last positions of a line would reach into the next one.
+        x[(np.cumsum(own)[:, None] - np.arange(1, SHINGLE)).ravel()] = _EMPTY
+        np.minimum.at(least, cell, x)
     least = least.reshape(-1, BINS)
     holes = np.flatnonzero((least == _EMPTY).any(1))
     if len(holes):
         given = least[holes]
-        full = given.copy()
+        row, column = np.nonzero(given == _EMPTY)
+        lent = np.full(len(row), _EMPTY)
+        left = np.arange(len(row))
         for donor in _DONOR:
-            empty = full == _EMPTY
-            if not empty.any():
+            lent[left] = given[row[left], donor[column[left]]]
+            left = left[lent[left] == _EMPTY]
+            if not len(left):
                 break
-            full[empty] = given[:, donor][empty]
-        least[holes] = np.where(full == _EMPTY, given.min(1)[:, None], full)
+        lent[left] = given.min(1)[row[left]]
+        least[holes[row], column] = lent
     mixed = _mix(least * _ROW + _ROW[::-1])
     return _mix(mixed.reshape(len(padded), BANDS, ROWS).sum(2, dtype=np.uint64)
                 + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
@@ -182,15 +211,33 @@ def _occurrences(docs: DataFrame, id_col: str) -> DataFrame:
     return docs.select(id_col, "text").mapInArrow(run, f"`{id_col}` {kind}, line_no int, h long")
 
 
-def _line_texts(docs: DataFrame) -> DataFrame:
+def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(h, line), one row for each of the ``wanted`` hashes.
+
+    A bit set of ``FILTER`` bits, of that size whatever the corpus, holds the
+    wanted hashes' low parts, so that most other lines aren't sent at all;
+    the join decides.
+    """
+    slot = F.pmod("h", F.lit(FILTER))
+    words = (wanted.groupBy(F.floor(slot / 64).cast("int").alias("at"))
+             .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(h, {FILTER}) % 64 as int))")).alias("bits")).toArrow())
+    bits = np.zeros(FILTER // 64, np.int64)
+    bits[words.column("at").to_numpy()] = words.column("bits").to_numpy()
+    sent = docs.sparkSession.sparkContext.broadcast(bits.view(np.uint8))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maybe = sent.value
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for s, e in chunks(texts):
                 lines = list({line for t in texts[s:e] for _, line in _lines(t)})
-                yield pa.RecordBatch.from_arrays([pa.array(map(line_hash, lines), pa.int64()), pa.array(lines, pa.string())], ["h", "line"])
+                h = np.fromiter(map(line_hash, lines), np.int64, len(lines))
+                at = h % FILTER
+                keep = np.flatnonzero(maybe[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+                yield pa.RecordBatch.from_arrays([pa.array(h[keep]), pa.array([lines[i] for i in keep], pa.string())], ["h", "line"])
 
-    return docs.select("text").mapInArrow(run, "h long, line string")
+    return (docs.select("text").mapInArrow(run, "h long, line string").join(wanted, "h", "left_semi")
+            .groupBy("h").agg(F.first("line").alias("line")))
 
 
 def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -207,13 +254,15 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     pairs = stage(_bands(own).repartition("band").sortWithinPartitions("band", "h").mapInArrow(_bucket_pairs, "a long, b long")
                   .distinct(), "line-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-    texts = stage(_line_texts(own).join(wanted, "h", "left_semi").groupBy("h").agg(F.first("line").alias("line")), "line-texts")
+    texts = stage(_line_texts(own, stage(wanted, "line-wanted")), "line-texts")
     roots = connected_components(_similar(pairs, texts, similarity), "line-components")
     seen = stage(_occurrences(own, id_col).distinct(), "line-occurrences")
     nodes = (seen.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct(id_col, "line_no")).alias("first"))
              .join(roots.withColumnRenamed("node", "h"), "h", "left").filter("n > 1 or root is not null")
              .select("h", "first", F.coalesce("root", "h").alias("root")))
-    first = nodes.groupBy("root").agg(F.min("first").alias("kept"))
+    nodes = stage(nodes, "line-nodes")
+    # Written, so that the join below may split a component with very many lines.
+    first = stage(nodes.groupBy("root").agg(F.min("first").alias("kept")), "line-first")
     kept = nodes.join(first, "root").select("h", "kept")
     return (seen.join(kept, "h").filter(F.struct(id_col, "line_no") != F.col("kept")).select(id_col, "line_no"))
 
