@@ -287,8 +287,20 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
     """``docs`` (all rows, all columns) without the lines of ``repeated_lines``;
     a text that loses all its lines becomes empty, a null text stays null."""
     gone = _removed_by_doc(docs, similarity, id_col, text_col).withColumnRenamed("removed", "_removed")
-    kept = F.expr(f"concat_ws('\\n', transform(filter(transform(split(`{text_col}`, '\\n', -1), (t, i) -> struct(t, i)), "
-                  "x -> not array_contains(_removed, x.i)), x -> x.t))")
-    return (docs.join(gone, id_col, "left")
-            .withColumn(text_col, F.when(F.col("_removed").isNull() | F.col(text_col).isNull(), F.col(text_col)).otherwise(kept))
-            .select(*docs.columns))
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = batch.columns[:-1]
+            out = []
+            for text, removed in zip(columns[place], batch.column(len(columns))):
+                text = text.as_py()
+                if text is not None and removed.is_valid:
+                    drop = set(removed.as_py())
+                    text = "\n".join(t for i, t in enumerate(text.split("\n")) if i not in drop)
+                out.append(text)
+            columns[place] = pa.array(out, columns[place].type)
+            yield pa.RecordBatch.from_arrays(columns, docs_columns)
+
+    docs_columns = docs.columns
+    return docs.join(gone, id_col, "left").select(*docs.columns, "_removed").mapInArrow(run, docs.schema)
