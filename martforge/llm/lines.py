@@ -15,8 +15,11 @@ from martforge.llm.common import chunks, connected_components, stage
 #: Characters in a shingle; signature bands and rows; least Jaccard similarity.
 SHINGLE, BANDS, ROWS, SIMILARITY = 7, 14, 5, 0.8
 BINS = BANDS * ROWS
-#: A line is compared with its bucket's first line and with this many before it.
+#: A line is compared with its bucket's first line and with this many before it;
+#: the lines of larger buckets are joined exactly besides.
 WINDOW = 8
+#: Slots of the shingle counts that order a prefix; lines of a block; 64-bit words of a parity sketch.
+SLOTS, CELL, PARITY = 1 << 18, 256, 4
 
 #: Bits of the filter in front of the candidates' texts (16 MB).
 FILTER = 1 << 27
@@ -130,6 +133,8 @@ def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     line with the bucket's first and with the ``WINDOW`` lines before it.
     All pairs of a bucket of up to ``WINDOW`` + 2 lines; from a larger one a
     number in proportion to its lines.  Keeps a few rows whatever the bucket.
+    ``crowd`` marks pairs of a bucket's lines beyond ``WINDOW`` + 1; those
+    pairs hold every line of such a bucket.
     """
     tail_band = tail_h = np.zeros(0, np.int64)     # the open bucket's last lines
     head: int | None = None                        # its first line, if that is not among them
@@ -144,23 +149,27 @@ def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             continue
         starts = np.flatnonzero(np.concatenate(([True], band[1:] != band[:-1])))
         first = np.repeat(starts, np.diff(np.append(starts, len(band))))
-        left, right = [], []
+        left, right, crowd = [], [], []
         i = np.arange(len(band))
+        many = (i - first > WINDOW) | ((first == 0) & (head is not None))
         for step in range(1, WINDOW + 1):
             at = i[(i >= old) & (i - step >= first)]
             left.append(h[at - step])
             right.append(h[at])
+            crowd.append(many[at])
         at = i[(i >= old) & (i - first > WINDOW) & ((first > 0) | (head is None))]
         left.append(h[first[at]])
         right.append(h[at])
+        crowd.append(many[at])
         if head is not None:  # the open bucket's first line went by in an earlier batch
             end = starts[1] if len(starts) > 1 else len(band)
             at = i[old:end]
             left.append(np.full(len(at), head))
             right.append(h[at])
-        out = np.unique(np.stack((np.concatenate(left), np.concatenate(right)), 1), axis=0)
+            crowd.append(many[at])
+        out = np.unique(np.stack((np.concatenate(left), np.concatenate(right), np.concatenate(crowd)), 1), axis=0)
         if len(out):
-            yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1]), pa.array(out[:, 2] > 0)], ["a", "b", "crowd"])
         begin, last = starts[-1], max(starts[-1], len(band) - WINDOW)
         if last > begin and (len(starts) > 1 or head is None):
             head = int(h[begin])
@@ -169,6 +178,156 @@ def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         tail_band, tail_h = band[last:], h[last:]
 
 
+def _shingle_sets(lines: list[str]) -> Iterator[np.ndarray]:
+    """Hashes of each line's shingles, sorted."""
+    padded = [t if len(t) >= SHINGLE else t.ljust(SHINGLE, "\0") for t in lines]
+    for s, e in chunks(padded, limit=PIECE):
+        x, at = _shingle_hashes("".join(padded[s:e])), 0
+        for t in padded[s:e]:
+            yield np.unique(x[at:at + len(t) - SHINGLE + 1])
+            at += len(t)
+
+
+def _slot(x: np.ndarray) -> np.ndarray:
+    return (x & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def _prefixes(lines: DataFrame, similarity: float) -> DataFrame:
+    """(token, h, root, n, p0..) of ``lines`` (h, root, line): the rarest
+    shingles of each line, so many that lines of that similarity share one;
+    the number of its shingles and the parities of their hashes' classes.
+
+    Rarity is the count of a shingle's slot, gathered over all the lines: one
+    order for all, of a size that doesn't grow.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for x in _shingle_sets(batch.column(0).to_pylist()):
+                np.add.at(total, _slot(x), 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["slot", "n"])
+
+    got = lines.select("line").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(SLOTS, np.int64)
+    often[got.column("slot").to_numpy()] = got.column("n").to_numpy()
+    sent = lines.sparkSession.sparkContext.broadcast(often)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rank = sent.value
+        for batch in batches:
+            texts = batch.column(2).to_pylist()
+            for s, e in chunks(texts):
+                tokens, sizes, sums = [], [], []
+                for x in _shingle_sets(texts[s:e]):
+                    own = len(x) - int(np.ceil(similarity * len(x) - 1e-6)) + 1
+                    tokens.append(x[np.lexsort((x, rank[_slot(x)]))[:own]])
+                    sizes.append(len(x))
+                    odd = np.bincount((x >> np.uint64(40)).astype(np.int64) % (64 * PARITY), minlength=64 * PARITY) & 1
+                    sums.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+                of = np.repeat(np.arange(s, e), [len(t) for t in tokens])
+                sums = np.stack(sums)[of - s]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(tokens).view(np.int64)), batch.column(0).take(pa.array(of)), batch.column(1).take(pa.array(of)),
+                     pa.array(np.array(sizes, np.int32)[of - s]), *(pa.array(sums[:, i]) for i in range(PARITY))],
+                    ["token", "h", "root", "n", *(f"p{i}" for i in range(PARITY))])
+
+    return lines.select("h", "root", "line").mapInArrow(
+        run, "token long, h long, root long, n int, " + ", ".join(f"p{i} long" for i in range(PARITY)))
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each token dealt to cells of two blocks, so that any two
+    lines of unlike roots meet in a cell.  A root with more than ``CELL`` lines
+    has blocks of its own, which don't meet each other."""
+    for batch in batches:
+        token, h = (batch.column(i).to_numpy().view(np.uint64) for i in range(2))
+        root, light, heavy = batch.column(2).to_numpy(), batch.column("light").to_numpy(), batch.column("heavy")
+        rows, cells = [], []
+        plain = (light <= CELL) & (heavy.value_lengths().to_numpy() == 0)
+        rows.append(np.flatnonzero(plain))
+        cells.append(token[plain])
+        spread = _mix(h)
+        for r in np.flatnonzero(~plain).tolist():
+            at, size = 0, -(-int(light[r]) // CELL)
+            total, own = size, None
+            for big in heavy[r].as_py():
+                wide = -(-big["n"] // CELL)
+                if big["root"] == root[r]:
+                    own = total, wide
+                total += wide
+            if own:
+                at, size = own
+            block = at + int(spread[r] % np.uint64(size))
+            other = np.arange(total)
+            other = other[(other < at) | (other >= at + size)] if own else other[other != block]
+            if total == 1:
+                other = np.zeros(1, np.int64)
+            low, high = np.minimum(other, block).astype(np.uint64), np.maximum(other, block).astype(np.uint64)
+            rows.append(np.full(len(other), r))
+            cells.append(_mix(token[r] + low * _LETTER[0] + high * _LETTER[1]))
+        at = pa.array(np.concatenate(rows))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells).view(np.int64)), *(c.take(at) for c in batch.columns[1:4 + PARITY])],
+                                         ["cell", "h", "root", "n", *(f"p{i}" for i in range(PARITY))])
+
+
+def _cell_pairs(similarity: float):
+    """Pairs of lines of unlike roots in a cell, from rows in cell order, that
+    their numbers of shingles and parities allow to be so similar."""
+    share = (1 - similarity) / (1 + similarity)  # of both lines' shingles may differ
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_rows: list[np.ndarray] | None = None
+        for batch in batches:
+            rows = [c.to_numpy() for c in batch.columns]
+            if open_rows is not None:
+                rows = [np.concatenate(x) for x in zip(open_rows, rows)]
+            starts = np.flatnonzero(np.concatenate(([True], rows[0][1:] != rows[0][:-1])))
+            yield from pairs([c[:starts[-1]] for c in rows])
+            open_rows = [c[starts[-1]:] for c in rows]
+        if open_rows is not None:
+            yield from pairs(open_rows)
+
+    def pairs(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        cell, h, root, n, *sums = rows
+        if not len(cell):
+            return
+        starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+        first = np.repeat(starts, np.diff(np.append(starts, len(cell))))
+        at, step, found = np.arange(len(cell)), 0, []
+        while len(at):
+            step += 1
+            at = at[at - step >= first[at]]
+            x = at[root[at] != root[at - step]]
+            x = x[np.minimum(n[x], n[x - step]) >= similarity * np.maximum(n[x], n[x - step]) - 1e-6]
+            apart = sum((np.bitwise_count(p[x] ^ p[x - step]).astype(np.int64) for p in (s.view(np.uint64) for s in sums)), np.zeros(len(x), np.int64))
+            x = x[apart <= share * (n[x].astype(np.int64) + n[x - step]) + 1e-6]
+            if len(x):
+                found.append(np.stack((np.minimum(h[x], h[x - step]), np.maximum(h[x], h[x - step])), 1))
+        if found:
+            out = np.unique(np.concatenate(found), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["a", "b"])
+
+    return run
+
+
+def _crowd_pairs(lines: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): all pairs of ``lines`` (h, root, line) of unlike roots that may
+    be so similar, no pair of that similarity left out: an indexed join over
+    rarest-shingle prefixes whose long lists are spread over many tasks."""
+    tokens = stage(_prefixes(lines, similarity), "line-prefixes")
+    each = tokens.groupBy("token", "root").agg(F.count("*").alias("n"))
+    big = F.col("n") > CELL
+    lists = (each.groupBy("token").agg(F.count("*").alias("roots"), F.coalesce(F.sum(F.when(~big, F.col("n"))), F.lit(0)).alias("light"),
+                                       F.sort_array(F.collect_list(F.when(big, F.struct("root", "n")))).alias("heavy"))
+             .filter("roots > 1").drop("roots"))
+    parts = [f"p{i}" for i in range(PARITY)]
+    dealt = (tokens.join(stage(lists, "line-lists"), "token").select("token", "h", "root", "n", *parts, "light", "heavy")
+             .mapInArrow(_cells, "cell long, h long, root long, n int, " + ", ".join(f"{p} long" for p in parts)))
+    return (dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(_cell_pairs(similarity), "a long, b long").distinct())
+
+
 def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose shingle sets have at least that Jaccard similarity."""
 
@@ -251,11 +410,18 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     row is the same document, not a second occurrence.
     """
     own = docs.filter(F.col(id_col).isNotNull()).select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    pairs = stage(_bands(own).repartition("band").sortWithinPartitions("band", "h").mapInArrow(_bucket_pairs, "a long, b long")
-                  .distinct(), "line-pairs")
+    pairs = stage(_bands(own).repartition("band").sortWithinPartitions("band", "h").mapInArrow(_bucket_pairs, "a long, b long, crowd boolean")
+                  .groupBy("a", "b").agg(F.max("crowd").alias("crowd")), "line-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
     texts = stage(_line_texts(own, stage(wanted, "line-wanted")), "line-texts")
-    roots = connected_components(_similar(pairs, texts, similarity), "line-components")
+    roots = connected_components(_similar(pairs.drop("crowd"), texts, similarity), "line-components")
+    crowd = pairs.filter("crowd").select(F.explode(F.array("a", "b")).alias("h")).distinct()
+    crowd = stage(crowd.join(roots.withColumnRenamed("node", "h"), "h", "left").join(texts, "h")
+                  .select("h", F.coalesce("root", "h").alias("root"), "line"), "line-crowd")
+    if not crowd.isEmpty():
+        more = stage(_similar(_crowd_pairs(crowd, similarity), texts, similarity), "line-more")
+        if not more.isEmpty():
+            roots = connected_components(roots.select(F.col("node").alias("src"), F.col("root").alias("dst")).unionByName(more), "line-components")
     seen = stage(_occurrences(own, id_col).distinct(), "line-occurrences")
     nodes = (seen.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct(id_col, "line_no")).alias("first"))
              .join(roots.withColumnRenamed("node", "h"), "h", "left").filter("n > 1 or root is not null")

@@ -101,3 +101,18 @@ def test_large_group_of_near_copies(spark):
         rows.append((i, " ".join(own)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert docs.count() - L.repeated_lines(docs).count() == 1
+
+
+@pytest.mark.parametrize("cell", [8, 256])
+def test_template_lines_that_do_not_all_link(spark, monkeypatch, cell):
+    monkeypatch.setattr(L, "CELL", cell, raising=False)
+    rng = random.Random(9)
+    name = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    lines = []
+    for _ in range(200):
+        own = f"Permission to use this software is granted to all by {name(11)} under the terms of the licence below"
+        lines += [own, name(9) + own[9:]]
+    rows = list(enumerate(lines))
+    got = sorted((r.doc_id, r.line_no) for r in L.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    want, edges = brute(rows)
+    assert len(edges) == 200 and got == want
