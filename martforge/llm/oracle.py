@@ -53,4 +53,53 @@ SELECT DISTINCT r.conv_id, r.turn, NULL, r.call_id, NULL, 'orphan', '', NULL, r.
 FROM r WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.conv_id = r.conv_id AND f.call_id = r.call_id)
 """
 
-SQL: dict[str, str] = {"op2_tool_calls": OP2}
+OP11 = r"""
+WITH t AS (SELECT doc_id, coalesce(CAST(source AS VARCHAR), '') AS part, coalesce(text, '') AS text,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first FROM t GROUP BY text),
+marks AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+          FROM labels GROUP BY doc_id),
+m AS (SELECT t.part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+      list_filter([CASE WHEN len(w) < 50 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' END,
+                   CASE WHEN 100 * length(regexp_replace(t.text, '[^A-Z]', '', 'g')) > 5 * length(t.text) THEN 'C' END,
+                   CASE WHEN regexp_matches(t.text, '[#$%&*|]') THEN 'D' END, CASE WHEN first < t.doc_id THEN 'E' END], lambda x: x IS NOT NULL) AS fails
+      FROM t JOIN firsts ON firsts.text = t.text LEFT JOIN marks ON marks.doc_id = t.doc_id),
+cells AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+orders AS (SELECT a.c || b.c || c.c || d.c || e.c AS o FROM l a, l b, l c, l d, l e
+           WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+steps AS (SELECT o, step, substr(o, step, 1) AS f, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: instr(o, x) < step) AS before
+          FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+s AS (SELECT part, o, step, f,
+      sum(CASE WHEN NOT list_has_any(fails, before) AND NOT list_contains(fails, f) THEN n ELSE 0 END) AS kept,
+      sum(CASE WHEN NOT list_has_any(fails, before) AND list_contains(fails, f) THEN n ELSE 0 END) AS removed,
+      sum(CASE WHEN list_has_any(fails, before) AND list_contains(fails, f) THEN n ELSE 0 END) AS redundant,
+      sum(CASE WHEN fails = [f] THEN n ELSE 0 END) AS unique_fails,
+      sum(CASE WHEN NOT list_has_any(fails, before) AND list_contains(fails, f) THEN good ELSE 0 END) AS good_lost,
+      sum(CASE WHEN NOT list_has_any(fails, before) AND list_contains(fails, f) THEN toxic ELSE 0 END) AS toxic_lost
+      FROM cells, steps GROUP BY part, o, step, f)
+SELECT part, o AS filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM s
+"""
+
+OP13 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w, row_number() OVER () AS r FROM documents WHERE doc_id IS NOT NULL),
+b AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark WHERE item_id IS NOT NULL),
+g AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+v AS (SELECT DISTINCT term FROM b),
+c AS (SELECT r, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf
+      FROM (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM d) SEMI JOIN v USING (term) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM c GROUP BY term),
+x AS (SELECT r, doc_id, term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT)
+             * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))) AS points
+      FROM c JOIN df USING (term), g),
+s AS (SELECT item_id, r, doc_id, CAST(sum(points) AS BIGINT) AS score FROM x JOIN b USING (term) GROUP BY ALL),
+k AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+SQL: dict[str, str] = {"op2_tool_calls": OP2, "op11_filter_audit": OP11, "op13_ranked_search": OP13}

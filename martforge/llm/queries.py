@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.llm import bpe, decontaminate, lines, lm, pii, quality, simhash, tool_calls, vptree, wrappers
+from martforge.llm import audit, bpe, decontaminate, fingerprints, lines, lm, pii, quality, ranked, simhash, tool_calls, vptree, wrappers
 from martforge.llm.common import read
 
 #: The tokenizer file of op6 and of the pipeline's last stage.
@@ -58,6 +58,18 @@ def op10_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.leaks(read(spark, d, "documents"), read(spark, d, "benchmark"))
 
 
+def op11_filter_audit(spark: SparkSession, d: str) -> DataFrame:
+    return audit.audit_filters(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
+def op12_bottom_k(spark: SparkSession, d: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(read(spark, d, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, d: str) -> DataFrame:
+    return ranked.search(read(spark, d, "documents"), read(spark, d, "benchmark"))
+
+
 QUERIES = {
     "op1_vantage_point_trees": op1_vantage_point_trees,
     "op2_tool_calls": op2_tool_calls,
@@ -69,4 +81,7 @@ QUERIES = {
     "op8_html_wrappers": op8_html_wrappers,
     "op9_fuzzy_lines": op9_fuzzy_lines,
     "op10_decontaminate": op10_decontaminate,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_bottom_k": op12_bottom_k,
+    "op13_ranked_search": op13_ranked_search,
 }
