@@ -120,6 +120,13 @@ def neighbours(docs: DataFrame, id_col: str) -> DataFrame:
             .select("id", "chars", F.when(F.col("rank") == 1, top).otherwise(F.col("below")).alias("next")))
 
 
+def _key(value: Column, name: str = "") -> list[Column]:
+    """A null-safe join key as two columns without nulls, so that groups and
+    joins by it are dealt alike and share a shuffle."""
+    start = name and name + "_"
+    return [F.coalesce(value, F.lit(0)).alias(start + "key"), value.isNull().alias(start + "none")]
+
+
 def edit_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, words: int = WORDS) -> DataFrame:
     """(id, text, edited, next_sketch) for every row of ``docs``.
 
@@ -132,19 +139,22 @@ def edit_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text with the smallest SHA-256 of theirs; each row is returned.  A single
     document is its own next one.  An empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ring = neighbours(rows.select("id", F.length("text").alias("chars")), "id")
-    given = rows.alias("d").join(ring.alias("r"), F.col("d.id").eqNullSafe(F.col("r.next"))).select(
-        F.col("r.id").alias("owner"), F.struct(
-            F.unhex(F.sha2("d.text", 256)).alias("sha"), F.expr("substring(d.text, 1, cast(r.chars div 3 as int))").alias("head"),
-            sketch(F.col("d.text"), k, words).alias("sketch")).alias("next"))
+    text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    # The same columns on both sides of what follows, so that the texts are shuffled once.
+    rows = docs.select(*_key(F.col(id_col)), text)
+    ring = neighbours(docs.select(F.col(id_col).alias("id"), F.length(text).alias("chars")), "id")
+    ring = ring.select(*_key(F.col("next")), *_key(F.col("id"), "owner"), "chars")
+    given = rows.join(ring, ["key", "none"]).select(
+        "owner_key", "owner_none", F.struct(
+            F.unhex(F.sha2("text", 256)).alias("sha"), F.expr("substring(text, 1, cast(chars div 3 as int))").alias("head"),
+            sketch(F.col("text"), k, words).alias("sketch")).alias("next"))
     # One row for each id, unless ids repeat: then the tasks keep the least before the shuffle.
-    given = given.groupBy("owner").agg(F.min("next").alias("next"))
-    third = F.expr("cast(length(d.text) div 3 as int)")
-    kept = F.substring("d.text", F.lit(1), F.length("d.text") - third)
-    return (rows.alias("d").join(given.alias("g"), F.col("d.id").eqNullSafe(F.col("g.owner")))
-            .select("d.id", "d.text", F.concat(kept, F.substring(F.col("g.next.head"), F.lit(1), third)).alias("edited"),
-                    F.col("g.next.sketch").alias("next_sketch")))
+    given = given.groupBy(F.col("owner_key").alias("key"), F.col("owner_none").alias("none")).agg(F.min("next").alias("next"))
+    third = F.expr("cast(length(text) div 3 as int)")
+    kept = F.substring("text", F.lit(1), F.length("text") - third)
+    return (rows.join(given, ["key", "none"])
+            .select(F.when(~F.col("none"), F.col("key")).alias("id"), "text", F.concat(kept, F.substring(F.col("next.head"), F.lit(1), third)).alias("edited"),
+                    F.col("next.sketch").alias("next_sketch")))
 
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, words: int = WORDS) -> DataFrame:
