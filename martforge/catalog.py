@@ -27,6 +27,7 @@ from martforge.sources import csv as CSV
 from martforge.sources import html as H
 from martforge.sources import sinks as SK
 from martforge.sources import xml as X
+from martforge.streaming import upsert_stream as US
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +59,9 @@ QUERIES: dict[str, Query] = {
         V.sales(s, d), V.products(s, d), V.reps(s, d), shared_base=True),
     "rep_facts_three_scans": lambda s, d: M.rep_facts(
         V.sales(s, d), V.products(s, d), V.reps(s, d), shared_base=False),
+    # The nested marts (one scan of the fact), unnested as a reader does.
+    "prod_facts_unnested": lambda s, d: M.unnest_mart(M.prod_mart(V.sales(s, d), V.products(s, d), V.reps(s, d))),
+    "rep_facts_unnested": lambda s, d: M.unnest_mart(M.rep_mart(V.sales(s, d), V.products(s, d), V.reps(s, d))),
     "prod_month": _prod_month,
     "monthly_sales": lambda s, d: M.monthly_sales(V.sales(s, d), V.products(s, d)),
     "prod_total_by_name": lambda s, d: M.prod_total_by_name(V.sales(s, d), V.products(s, d)),
@@ -72,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "rep_product": lambda s, d: M.rep_product(V.sales(s, d), V.products(s, d)),
     # -------------------------------------------------------------- reports
     "top_reps": lambda s, d: R.top_reps(_rep_facts(s, d)),
+    "top_reps_nested": lambda s, d: M.top_of_mart(M.rep_mart(V.sales(s, d), V.products(s, d), V.reps(s, d))),
     "month_levels": lambda s, d: R.month_levels(_prod_month(s, d)),
     "month_total": lambda s, d: R.month_total(_prod_month(s, d)),
     "strikes_by_state": lambda s, d: R.strikes_by_state(
@@ -88,15 +93,15 @@ QUERIES: dict[str, Query] = {
 
 
 def _sales(s, d, policy="error"):
-    return SL.SalesLoad(V.raw_txn(s, d), V.raw_rep_records(s, d), V.LINEITEM_ORDER, policy)
+    return SL.SalesLoad(V.raw_txn(s, d), V.raw_rep_records(s, d), V.LINEITEM_ORDER, policy, V.table(s, d, "lineitem"))
 
 
 def _sales_with_gaps(s, d, policy):
-    return SL.SalesLoad(V.raw_txn_with_gaps(s, d), V.raw_rep_records(s, d), V.LINEITEM_ORDER, policy)
+    return SL.SalesLoad(V.raw_txn_with_gaps(s, d), V.raw_rep_records(s, d), V.LINEITEM_ORDER, policy, V.table(s, d, "lineitem"))
 
 
 def _strikes(s, d):
-    return STL.StrikesLoad(V.raw_strikes(s, d), V.LINEITEM_ORDER)
+    return STL.StrikesLoad(V.raw_strikes(s, d), V.LINEITEM_ORDER, order_source=V.table(s, d, "lineitem"))
 
 
 def _typed_txn(df):
@@ -148,14 +153,20 @@ def _xml_rowtag_multi_file(s, d):
     return _typed_txn(rows)
 
 
-def _csv_scan(s, d):
+def _xml_split_files(s, d):
+    """S1 + S4, exact order, each file read by as many tasks as it has splits."""
+    root = _write_txn_files(s, d)
+    return _typed_txn(X.read_xml_split(s, root, "txn", SL.TXN_FIELDS, file_regex=r"pharmaSale.*\.xml"))
+
+
+def _csv_scan(s, d, read=CSV.read_csv_text):
     root = scratch_dir(s, "strikes-csv")
     # Aircraft names with quotes, commas and line ends, as real files have them.
     n = F.col("l_linenumber") % 3
     odd = (F.when(n == 0, F.concat(F.lit('A "'), F.col("aircraft"), F.lit('", old')))
            .when(n == 1, F.concat(F.col("aircraft"), F.lit("\nsecond line"))).otherwise(F.col("aircraft")))
     CSV.write_csv_text(V.raw_strikes(s, d).withColumn("aircraft", odd).select(*STL.CSV_FIELDS), root)
-    raw = CSV.read_csv_text(s, root, STL.CSV_FIELDS)
+    raw = read(s, root, STL.CSV_FIELDS)
     return raw.select(C.lenient_int("rid", "bigint").alias("rid"),
                       C.parse_us_date("flight_date").alias("flight_date"),
                       "origin", "airline", "aircraft",
@@ -165,6 +176,19 @@ def _csv_scan(s, d):
                       "impact", "damage")
 
 
+def _csv_fill(s, d):
+    """S5 with ``fill``: records as text, those of even line numbers without
+    their last field, those of line numbers 4 and 6 without the last two."""
+    root = scratch_dir(s, "short-csv")
+    n = F.col("l_linenumber")
+    short = F.concat_ws(",", F.col("l_orderkey").cast("string"), n.cast("string"), F.col("l_returnflag"),
+                        F.when(~n.isin(4, 6), F.col("l_linestatus")), F.when(n % 2 == 1, F.date_format("l_shipdate", "yyyy-MM-dd")))
+    # Written with another separator, so that the commas stay as they are.
+    header = "l_orderkey,l_linenumber,l_returnflag,l_linestatus,shipped"
+    V.table(s, d, "lineitem").select(short.alias(header)).write.option("header", "true").option("sep", "\t").csv(root)
+    return CSV.read_csv_text(s, root, fill=True)
+
+
 def _odd_date():
     """Order dates as text, some of them no dates (by o_orderkey mod 6)."""
     n = F.col("o_orderkey") % 6
@@ -218,6 +242,19 @@ def _fk_orphans(s, d):
     return out.unionByName(Q.fk_orphan_counts(with_customer, V.customers(s, d), [("cidFK", "cid")]))
 
 
+def _fk_orphans_one_pass(s, d):
+    """V1 for all three keys of the sales in one pass over them."""
+    return Q.fk_orphans_of(V.sales_with_gaps(s, d, with_customer=True), {
+        "ridFK": (V.reps(s, d), "rid"), "pidFK": (V.products(s, d), "pid"), "cidFK": (V.customers(s, d), "cid")})
+
+
+def _observed_checks(s, d):
+    """V3 and V4 counted by the job that writes the sales: (check, violations)."""
+    found = Q.checked_write(V.sales_with_gaps(s, d, with_customer=True), scratch_dir(s, "checked-sales"),
+                            ["date", "quantity", "ridFK", "pidFK", "cidFK"], {"quantity above 2": F.col("quantity") > 2})
+    return s.createDataFrame(sorted(found.items()), "check string, violations long")
+
+
 def _key_policy_append(s, d):
     """D8 over two appends: customers with even keys, then all of them; a key
     that the table holds stays as it is (its country was set to null)."""
@@ -272,7 +309,10 @@ QUERIES.update({
     "xml_product_scan": lambda s, d: X.leaf_text(_xml_txn(s, d), "prod"),
     "xml_multi_file": _xml_multi_file,
     "xml_rowtag_multi_file": _xml_rowtag_multi_file,
+    "xml_split_files": _xml_split_files,
     "csv_scan": _csv_scan,
+    "csv_split_scan": lambda s, d: _csv_scan(s, d, CSV.read_csv_split),
+    "csv_fill": _csv_fill,
     # ---------------------------------------------------------------- sinks
     "sink_overwrite": _sink_overwrite,
     "sink_append": _sink_append,
@@ -302,6 +342,8 @@ QUERIES.update({
         _strikes(s, d).strikes),
     # -------------------------------------------------------------- quality
     "fk_orphans": _fk_orphans,
+    "fk_orphans_one_pass": _fk_orphans_one_pass,
+    "observed_checks": _observed_checks,
     "pk_duplicates": lambda s, d: Q.pk_duplicates(
         V.table(s, d, "lineitem"), ["l_orderkey", "l_linenumber"]),
     "not_null_violations": lambda s, d: Q.not_null_violations(
@@ -328,7 +370,20 @@ def _upsert(s, d):
                             t.conditions, ["bord"])
 
 
+def _upsert_indexed(s, d, name):
+    """The same upsert on stored tables, through their key index and marks,
+    then compacted and read back."""
+    t, root = _strikes(s, d), scratch_dir(s, "strike-tables")
+    US.init_tables({"airports": t.airports, "flights": t.flights, "strikes": t.strikes, "conditions": t.conditions}, root)
+    US.upsert_batch(V.strike_batch(s, d), 0, root, ["bord"])
+    US.compact(s, root, 0)
+    return US.read_tables(s, root)[name]
+
+
 QUERIES.update({
+    "upsert_airports_indexed": lambda s, d: _upsert_indexed(s, d, "airports"),
+    "upsert_flights_indexed": lambda s, d: _upsert_indexed(s, d, "flights"),
+    "upsert_strikes_indexed": lambda s, d: _upsert_indexed(s, d, "strikes"),
     "upsert_airports": lambda s, d: _upsert(s, d)["airports"],
     "upsert_flights": lambda s, d: _upsert(s, d)["flights"],
     "upsert_strikes": lambda s, d: _upsert(s, d)["strikes"],

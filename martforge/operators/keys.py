@@ -20,6 +20,11 @@ row into one task):
 
 Rows identical in every column get consecutive ids in an arbitrary order;
 they are interchangeable.
+
+``dense_ids`` leaves step 1 to Spark's range partitioner, which samples the
+rows by running their plan once more.  ``dense_ids_by_range``, for wide records
+that are the result of joins, takes the bounds from the order columns alone
+(see ``operators.ranges``), so the records are computed, moved and written once.
 """
 
 from __future__ import annotations
@@ -31,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from martforge.operators import ranges as RG
 from martforge.session import scratch_dir
 
 _POS_BITS = 33  # monotonically_increasing_id = partition << 33 | position
@@ -109,6 +115,44 @@ def dense_ids(df: DataFrame, order_cols: Sequence, id_col: str = "id",
     return out.drop(*drop)
 
 
+def dense_ids_by_range(df: DataFrame, order_cols: Sequence[str], id_col: str = "id", offset: int = 0,
+                       num_partitions: int | None = None, bounds_from: DataFrame | None = None,
+                       keep_order_cols: bool = True) -> DataFrame:
+    """``dense_ids`` in ascending order of named columns (nulls first,
+    rows equal in all of them by a hash of the row) with one write of the
+    records and nothing else that reads them whole.
+
+    ``bounds_from``: a frame with the order columns and about the same
+    distribution, e.g. the table that the records were joined from; by default
+    ``df`` pruned to its order columns.  It decides how even the parts are,
+    never an id.  The leading order columns must be numbers, dates or times as
+    far as they are needed to split common values; if the first is not,
+    ``dense_ids`` does the work.
+    """
+    spark = df.sparkSession
+    n = num_partitions or _num_partitions(spark)
+    narrow = (df if bounds_from is None else bounds_from).select(*order_cols)
+    ranked = RG.rankable(df, order_cols)
+    if not ranked:
+        return dense_ids(df, order_cols, id_col, offset, n, stage_input=True, keep_order_cols=keep_order_cols)
+    bounds = RG.range_bounds(narrow, ranked, n)
+    work = df.withColumn("_dense_tb", row_hash(df)).withColumn("_dense_part", RG.range_number(df, ranked, bounds))
+    tagged = (work.repartitionById(len(bounds) + 1, F.col("_dense_part"))
+              .sortWithinPartitions(*_ordering([*order_cols, "_dense_tb"]))  # which orders the ranges, too
+              .withColumn("_dense_pos", F.monotonically_increasing_id())
+              .drop("_dense_tb", *([] if keep_order_cols else order_cols)))
+    target = scratch_dir(spark, "dense-ids")
+    tagged.write.parquet(target)
+    written = spark.read.parquet(target)
+    # Positions count on from the first one of a range, wherever it was written.
+    counts = written.groupBy("_dense_part").agg(F.count(F.lit(1)).alias("_dense_n"), F.min("_dense_pos").alias("_dense_first"))
+    w = Window.orderBy("_dense_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = counts.select("_dense_part", (F.coalesce(F.sum("_dense_n").over(w), F.lit(0)) - F.col("_dense_first")).alias("_dense_off"))
+    return (written.join(F.broadcast(offsets), "_dense_part")
+            .withColumn(id_col, (F.col("_dense_off") + F.col("_dense_pos") + F.lit(offset + 1)).cast("long"))
+            .drop("_dense_part", "_dense_pos", "_dense_off"))
+
+
 def dense_ids_by_int_key(df: DataFrame, key: str, id_col: str = "id", offset: int = 0,
                          bucket_size: int = 1 << 20) -> DataFrame:
     """Dense ids ``offset + 1..n`` in the order of a UNIQUE non-negative integer key.
@@ -154,12 +198,16 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order_col: str,
     """One row per key, the other columns taken from the FIRST row.
 
     ``min_by`` aggregates partially on the map side, so a hot key collapses
-    before the shuffle; no window over wide rows.
+    before the shuffle; no window over wide rows.  As Spark sorts the rows for
+    a ``min_by``, a numeric or date order is first reduced to its minimum per
+    key and values by hashing, and only those few rows are sorted.
     Output: key columns, ``first_order`` = min(order), and ``value_cols``.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if not value_cols:
         return df.groupBy(*keys).agg(F.min(order_col).alias("first_order"))
+    if RG.rankable(df, [order_col]) and not set(value_cols) & {*keys, order_col}:
+        df = df.groupBy(*keys, *value_cols).agg(F.min(order_col).alias(order_col))
     packed = F.struct(*[F.col(c) for c in value_cols])
     agg = df.groupBy(*keys).agg(F.min(order_col).alias("first_order"),
                                 F.min_by(packed, F.col(order_col)).alias("_first"))

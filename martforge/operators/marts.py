@@ -19,6 +19,13 @@ otherwise.
 Dimension keys (products.pid, reps.rid) are assumed unique, as their declared
 primary keys say; ``quality.pk_duplicates`` checks it.
 
+``prod_mart`` and ``rep_mart`` hold the same numbers nested: one row per id
+with its total and the arrays of its quarters and of its regions (products).
+They read the fact once: ``GROUPING SETS`` adds up all three grains in one
+partial aggregation, and their rows meet again per id.  ``unnest_mart`` makes
+the flat, fanned-out form of them where a reader wants it; reports that need
+the totals only read the nested form.
+
 Fan-out (reproduced on purpose): ``prod_facts`` joins the per-quarter and the
 per-region rows of a product only on the product id, so a product has
 (#quarters x #regions) rows and ``total_sold`` repeats on each of them.
@@ -29,6 +36,8 @@ regions.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -248,3 +257,66 @@ def rep_facts(sales: DataFrame, products: DataFrame, reps: DataFrame,
             .join(per_product, "rid", "left")
             .select("rid", "fname", "lname", "total_sold", "year", "quarter",
                     "pname", "total_sold_per_product"))
+
+
+# ------------------------------------------------------------ nested marts
+
+def _grains(sales: DataFrame, key: str, detail: Sequence[str]) -> DataFrame:
+    """(key, grain, year, quarter, *detail, qty): the sums of ``qty`` by the
+    key alone (grain "total"), by year and quarter ("quarter") and by
+    ``detail`` ("detail"), from one pass over ``sales``."""
+    period = ["year", "quarter"]
+    sums = sales.groupingSets([[key], [key, *period], [key, *detail]], key, *period, *detail).agg(
+        F.sum("qty").alias("qty"), F.grouping("year").alias("_no_period"), F.grouping(detail[0]).alias("_no_detail"))
+    grain = F.when(F.col("_no_period") == 0, "quarter").when(F.col("_no_detail") == 0, "detail").otherwise("total")
+    return sums.select(key, grain.alias("grain"), *period, *detail, "qty")
+
+
+def _nest(sums: DataFrame, key: str, detail: dict[str, str], kept) -> DataFrame:
+    """One row per key: total_sold, quarters and details as sorted arrays (a
+    key has no more rows than quarters and details)."""
+    of = lambda g: F.col("grain") == g
+    quarter = F.struct("year", "quarter", F.col("qty").alias("total_sold_per_quarter_and_year"))
+    row = F.struct(*[F.col(c).alias(n) for c, n in detail.items()])
+    return sums.groupBy(key).agg(F.max(F.when(of("total"), F.col("qty"))).alias("total_sold"),
+                                 F.sort_array(F.collect_list(F.when(of("quarter"), quarter))).alias("quarters"),
+                                 F.sort_array(F.collect_list(F.when(of("detail") & kept, row))).alias("details"))
+
+
+def prod_mart(sales: DataFrame, products: DataFrame, reps: DataFrame) -> DataFrame:
+    """M3 nested: pid, pname, total_sold, quarters array<(year, quarter,
+    total_sold_per_quarter_and_year)>, regions array<(region,
+    total_sold_per_region)>; sales of unknown reps count for the total and the
+    quarters but for no region."""
+    where = reps.where(F.col("rid").isNotNull()).select("rid", "region", F.lit(True).alias("known"))
+    rows = _fact_keys(sales).join(where, "rid", "left").select("pid", "year", "quarter", "region", F.coalesce("known", F.lit(False)).alias("known"), "qty")
+    nested = _nest(_grains(rows, "pid", ["known", "region"]), "pid", {"region": "region", "qty": "total_sold_per_region"}, F.col("known"))
+    return nested.join(products, "pid").select("pid", "pname", "total_sold", "quarters", F.col("details").alias("regions"))
+
+
+def rep_mart(sales: DataFrame, products: DataFrame, reps: DataFrame) -> DataFrame:
+    """M6 nested: rid, fname, lname, total_sold, quarters, products
+    array<(pname, total_sold_per_product)>; sales of unknown products count
+    for the total and the quarters only."""
+    named = products.where(F.col("pid").isNotNull()).select("pid", "pname", F.lit(True).alias("known"))
+    rows = _fact_keys(sales).join(named, "pid", "left").select("rid", "year", "quarter", "pname", F.coalesce("known", F.lit(False)).alias("known"), "qty")
+    nested = _nest(_grains(rows, "rid", ["known", "pname"]), "rid", {"pname": "pname", "qty": "total_sold_per_product"}, F.col("known"))
+    return (nested.join(reps.select("rid", "fname", "lname"), "rid")
+            .select("rid", "fname", "lname", "total_sold", "quarters", F.col("details").alias("products")))
+
+
+def unnest_mart(mart: DataFrame) -> DataFrame:
+    """The rows of ``prod_facts`` / ``rep_facts`` from a nested mart: each
+    quarter with each region (product) of an id (the fan-out of the module
+    doc); an id without any keeps one row with nulls."""
+    last = mart.columns[-1]
+    own = [c for c in mart.columns if c not in ("quarters", last)]
+    flat = mart.select(*own, last, F.inline_outer("quarters")).drop("total_sold_per_quarter_and_year")
+    return flat.select(*own, "year", "quarter", F.inline_outer(last))
+
+
+def top_of_mart(mart: DataFrame, k: int = 5) -> DataFrame:
+    """M9 from the nested form of M6: the reps with the highest totals, from
+    one row per rep instead of one per quarter and product."""
+    return (mart.select("rid", "fname", "lname", F.col("total_sold").alias("units")).where(F.col("units").isNotNull())
+            .orderBy(F.desc("units"), F.asc("rid")).limit(k).select("fname", "lname", "units"))

@@ -11,11 +11,9 @@ The sort by reign start (O4) numbers rows with ``keys.dense_ids``.
 
 Lineage (J9): a child's parent is the lowest-numbered row whose name
 contains the child's claim, case-insensitively (self allowed).  That is a
-substring ("theta") join.  It is computed exactly without a nested-loop
-join (see ``lineage``): short claims are grams themselves and are resolved
-from a per-gram minimum, longer claims join on their rarest 6-gram and are
-verified with ``contains``.  The result is identical to a full containment
-scan.
+substring ("theta") join.  It is computed exactly, without a nested-loop join
+and without pairs, by a sweep over claims and name suffixes in text order (see
+``lineage``).  The result is identical to a full containment scan.
 """
 
 from __future__ import annotations
@@ -24,12 +22,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from martforge.functions import clean as C
 from martforge.operators import keys as K
+from martforge.operators import ranges as RG
+from martforge.session import scratch_dir
 
-QMAX = 6   # longest gram used by the lineage join
-SALTS = 4  # parts over which the rows of one gram are spread
+KEYS = 4  # pieces of seven bytes by which the lineage sweep may split ranges of texts
 
 # Fixed values of the source cleaning: row positions dropped as invalid and
 # point corrections, as (row position, column, value).
@@ -143,92 +143,82 @@ def sort_people(df: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------- lineage
 
-def _grams(text: Column, n: int) -> Column:
-    """Array of the distinct substrings of length ``n`` of ``text``."""
-    length = F.length(text)
-    idx = F.sequence(F.lit(1), F.greatest(length - F.lit(n) + 1, F.lit(0)))
-    return F.array_distinct(F.filter(
-        F.transform(idx, lambda i: F.substring(text, i, n)),
-        lambda g: F.length(g) == F.lit(n)))
+def _suffixes(people: DataFrame, idx: str, name: str, longest: int) -> DataFrame:
+    """(text, p_idx): the distinct suffixes of the lower-cased names, cut to
+    ``longest`` characters, each with the lowest row that has it."""
+    n = F.lower(F.col(name))
+    names = (people.select(n.alias("n"), F.col(idx).alias("p_idx")).where(F.length("n") > 0)
+             .groupBy("n").agg(F.min("p_idx").alias("p_idx")))
+    cut = F.transform(F.sequence(F.lit(1), F.length("n")), lambda i: F.substring(F.col("n"), i, F.lit(longest)))
+    return names.select(F.explode(cut).alias("text"), "p_idx").groupBy("text").agg(F.min("p_idx").alias("p_idx"))
+
+
+def _text_keys(text: Column) -> dict[str, Column]:
+    """Whole numbers that order texts as their bytes do, seven bytes each."""
+    return {f"_k{i}": F.conv(F.rpad(F.hex(F.substring(text.cast("binary"), 7 * i + 1, 7)), 14, "0"), 16, 10).cast("long") for i in range(KEYS)}
 
 
 def lineage(people: DataFrame, idx: str = "idx", name: str = "Name", claim: str = "Claim",
-            earlier_only: bool = False, qmax: int = QMAX) -> DataFrame:
+            earlier_only: bool = False) -> DataFrame:
     """(child idx, parent idx) -- lowest row whose name contains the claim.
 
-    Exact (equal to a full containment scan), over DISTINCT claim texts and
-    distinct names (a name stands for its lowest row), so that a thousand
-    equal claims are one:
-
-    * a claim of length L <= ``qmax`` is itself one of the L-grams of every
-      name containing it, so its parent is the lowest row index among names
-      having that gram -- a pre-aggregate per gram, joined once per claim;
-      no (claim, name) pairs are formed;
-    * a longer claim is looked up by its two RAREST ``qmax``-grams
-      (frequencies counted over the names): a name must hold both, so the
-      candidates are those of the pair's intersection, joined on the name's
-      row and only then verified with ``contains``.  Grams travel with row
-      numbers only; names are fetched for candidates.  A gram of a third of
-      the names is met by few claims (those with no rarer gram); their rows
-      are spread over ``SALTS`` parts.
-
-    Only the gram lengths some claim needs are exploded.  ``earlier_only``
-    restricts parents to rows before the child (then the candidates of short
-    claims are rows, too, and repeated names aren't merged).
+    Exact (equal to a full containment scan) and in one sorted pass, with no
+    (claim, name) pairs.  A name contains a claim if one of its suffixes starts
+    with it, and in text order those suffixes follow the claim directly, with
+    only longer claims that start with it, and their suffixes, among them.  So
+    the distinct claims and the distinct suffixes of the names are dealt to
+    ranges of texts and sorted; each suffix sees the last claim before it
+    (carried into a range from the ranges before), and starts with just those
+    claims that are beginnings of what both have in common.  The lowest row of
+    each common beginning, cut to a length that some claim has, is then passed
+    on to its own beginnings of such lengths.
+
+    Rows that move: one per distinct suffix, a few per distinct claim.  Equal
+    suffixes (a third of the names may end alike) are merged before they move,
+    and ranges split any common beginning.  Null and empty claims have no
+    parent.  ``earlier_only`` restricts parents to rows before the child.
     """
-    rows = (people.select(F.col(idx).alias("p_idx"), F.lower(F.col(name)).alias("p_name"))
-            .where(F.col("p_name").isNotNull()))
-    names = rows if earlier_only else rows.groupBy("p_name").agg(F.min("p_idx").alias("p_idx"))
+    spark = people.sparkSession
     children = (people.select(F.col(idx).alias("c_idx"), F.lower(F.col(claim)).alias("c_claim"))
-                .where(F.col("c_claim").isNotNull() & (F.length("c_claim") > 0)))
-    claims = children.select("c_claim").distinct().withColumn("_len", F.length("c_claim"))
-    # Distinct gram lengths in use: at most qmax small integers.
-    lengths = sorted(r[0] for r in claims.select(F.least("_len", F.lit(qmax))).distinct().collect())
+                .where(F.length("c_claim") > 0))
+    claims = children.select(F.col("c_claim").alias("text")).distinct()
+    # Distinct lengths of claims: a short list of small integers.
+    lengths = sorted(r[0] for r in children.select(F.length("c_claim")).distinct().collect())
     if not lengths:
-        return people.sparkSession.createDataFrame([], "child_idx long, parent_idx long")
-    # One explode for every length in use, one aggregate per gram: the lowest
-    # row holding it and how many rows do (grams of different lengths are
-    # different strings, so they never mix).
-    grams = names.select("p_idx", F.explode(F.concat(*[_grams(F.col("p_name"), q) for q in lengths])).alias("g"))
-    stats = grams.groupBy("g").agg(F.min("p_idx").alias("first_p"), F.count(F.lit(1)).alias("df"))
-    whole = claims.where(F.col("_len") <= qmax).select("c_claim", F.col("c_claim").alias("g"))
-    if earlier_only:
-        found = [whole.join(grams, "g").select("c_claim", "p_idx")]
-    else:
-        found = [whole.join(stats, "g").select("c_claim", F.col("first_p").alias("p_idx"))]
-    if qmax in lengths:
-        found.append(_long_claims(claims.where(F.col("_len") > qmax).select("c_claim"), names,
-                                  grams.where(F.length("g") == qmax), stats, qmax))
-    parents = found[0]
-    for p in found[1:]:
-        parents = parents.unionByName(p)
-    if earlier_only:
-        return (children.join(parents, "c_claim").where(F.col("p_idx") < F.col("c_idx"))
-                .groupBy(F.col("c_idx").alias("child_idx")).agg(F.min("p_idx").alias("parent_idx")))
-    lowest = parents.groupBy("c_claim").agg(F.min("p_idx").alias("parent_idx"))
-    return children.join(lowest, "c_claim").select(F.col("c_idx").alias("child_idx"), "parent_idx")
-
-
-def _long_claims(claims: DataFrame, names: DataFrame, grams: DataFrame, stats: DataFrame, q: int) -> DataFrame:
-    """(c_claim, p_idx) of the names that contain a claim longer than ``q``."""
-    ranked = (claims.select("c_claim", F.explode(_grams(F.col("c_claim"), q)).alias("g"))
-              .join(stats.select("g", "df"), "g", "left")
-              .groupBy("c_claim")
-              .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "g"))).alias("rare")))
-    # A claim with a gram that no name holds has no parent.
-    rare = (ranked.where(F.col("rare")[0]["df"] > 0)
-            .select("c_claim", F.col("rare")[0]["g"].alias("g1"),
-                    F.coalesce(F.try_element_at("rare", F.lit(2))["g"], F.col("rare")[0]["g"]).alias("g2")))
-    salt = F.pmod(F.xxhash64("p_idx"), F.lit(SALTS)).cast("int")
-    spread = grams.withColumn("salt", salt)
-    asked = rare.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    # Distinct gram pairs are met with names once, however many claims share them.
-    pairs = asked.select("g1", "g2", "salt").distinct()
-    first = pairs.join(spread.withColumnRenamed("g", "g1"), ["g1", "salt"])
-    both = first.join(grams.withColumnRenamed("g", "g2"), ["g2", "p_idx"], "left_semi").select("g1", "g2", "p_idx")
-    held = both.join(names, "p_idx")
-    return (rare.join(held, ["g1", "g2"]).where(F.contains(F.col("p_name"), F.col("c_claim")))
-            .select("c_claim", "p_idx"))
+        return spark.createDataFrame([], "child_idx long, parent_idx long")
+    sizes = F.array(*[F.lit(n) for n in lengths])
+    path = scratch_dir(spark, "name-suffixes")
+    _suffixes(people, idx, name, lengths[-1]).write.parquet(path)
+    suffixes = spark.read.parquet(path)
+
+    keys = _text_keys(F.col("text"))
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bounds = RG.range_bounds(suffixes.withColumns(keys), list(keys), parts)
+
+    def dealt(df: DataFrame) -> DataFrame:
+        keyed = df.withColumns(keys)
+        return keyed.withColumn("part", RG.range_number(keyed, list(keys), bounds)).drop(*keys)
+
+    opened = dealt(claims)
+    # One row per range: the last claim of all ranges before it.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    last = opened.groupBy("part").agg(F.max("text").alias("text"))
+    carried = (spark.range(len(bounds) + 1).select(F.col("id").cast("int").alias("part")).join(last, "part", "left")
+               .select(F.last("text", ignorenulls=True).over(before).alias("text"), "part").where("text is not null"))
+    no_row = F.lit(None).cast(suffixes.schema["p_idx"].dataType)
+    swept = opened.unionByName(carried).withColumn("p_idx", no_row).unionByName(dealt(suffixes))
+    upto = (Window.partitionBy("part").orderBy(F.col("text"), F.col("p_idx").asc_nulls_first())
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    claim = F.last(F.when(F.col("p_idx").isNull(), F.col("text")), ignorenulls=True).over(upto)
+    met = swept.withColumn("claim", claim).where("p_idx is not null and claim is not null")
+    common = F.array_max(F.filter(sizes, lambda n: (n <= F.length("claim")) & F.startswith(F.col("text"), F.substring(F.col("claim"), F.lit(1), n))))
+    begins = (met.select("p_idx", F.substring("claim", F.lit(1), common).alias("begin")).where("begin is not null")
+              .groupBy("begin").agg(F.min("p_idx").alias("p_idx")))
+    heads = F.filter(sizes, lambda n: n <= F.length("begin"))
+    lowest = (begins.select("p_idx", F.explode(F.transform(heads, lambda n: F.substring(F.col("begin"), F.lit(1), n))).alias("c_claim"))
+              .groupBy("c_claim").agg(F.min("p_idx").alias("parent_idx")))
+    edges = children.join(lowest, "c_claim").select(F.col("c_idx").alias("child_idx"), "parent_idx")
+    return edges.where("parent_idx < child_idx") if earlier_only else edges
 
 
 # ------------------------------------------------------------ second reigns

@@ -19,12 +19,14 @@ Semantics (the evident intent of the procedure):
 Applying the same batch twice adds no airport or flight (their keys now
 exist) but adds the strikes again, as calling the procedure twice would.
 All steps are anti-joins, unions and joins on keys; the existing maxima are
-scalar subqueries; new ids come from ``keys.dense_ids``.
+scalar subqueries; new ids come from ``keys.dense_ids``.  A caller that keeps an
+index of flight keys and the highest ids (``streaming.upsert_stream``) hands
+them in, and then neither the flights are scanned nor any maximum taken.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,8 +37,8 @@ BATCH_FIELDS = ["date", "origin", "aircraft", "altitude", "numbirds", "condition
 FLIGHT_KEY = ["date", "origin", "aircraft"]
 
 
-def _max_plus(df: DataFrame, col: str, rel: str) -> F.Column:
-    base = F.coalesce(df.select(F.max(col)).scalar(), F.lit(0))
+def _max_plus(df: DataFrame, col: str, rel: str, mark: int | None = None) -> F.Column:
+    base = F.coalesce(df.select(F.max(col)).scalar(), F.lit(0)) if mark is None else F.lit(mark)
     return (base + F.col(rel)).cast("long")
 
 
@@ -50,9 +52,16 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]):
 
 def record_strikes(batch: DataFrame, airports: DataFrame, flights: DataFrame,
                    strikes: DataFrame, conditions: DataFrame,
-                   order_cols: Sequence[str]) -> dict[str, DataFrame]:
+                   order_cols: Sequence[str], known_flights: Callable[[DataFrame], DataFrame] | None = None,
+                   marks: Mapping[str, int] | None = None) -> dict[str, DataFrame]:
     """-> {"airports", "flights", "strikes"} after adding ``batch``, plus the
-    added rows alone as ``new_airports``, ``new_flights``, ``new_strikes``."""
+    added rows alone as ``new_airports``, ``new_flights``, ``new_strikes``.
+
+    ``known_flights`` maps a frame of natural keys to (key, fid) rows that hold
+    at least the known ones of them, by default from ``flights``; ``marks`` has
+    the highest id in use by table, by default the tables' maxima.
+    """
+    marks = marks or {}
     b = batch.withColumn("_bord", F.struct(*[F.col(c) for c in order_cols])) \
              .withColumn("_state", F.coalesce(F.col("origin"), F.lit("unknown")))
 
@@ -61,7 +70,7 @@ def record_strikes(batch: DataFrame, airports: DataFrame, flights: DataFrame,
     known = airports.select(F.col("airportState").alias("_state"))
     missing = states.join(known, "_state", "left_anti")
     new_airports = (K.dense_ids(missing, ["first_order"], "_rel", tie_breaker="_state")
-                    .select(_max_plus(airports, "aid", "_rel").alias("aid"),
+                    .select(_max_plus(airports, "aid", "_rel", marks.get("airports")).alias("aid"),
                             F.col("_state").alias("airportState"),
                             F.lit(None).cast("string").alias("airportCode")))
     airports2 = airports.select("aid", "airportState", "airportCode").unionByName(new_airports)
@@ -75,25 +84,26 @@ def record_strikes(batch: DataFrame, airports: DataFrame, flights: DataFrame,
                   F.min_by("altitude", F.col("_bord")).alias("altitude")))
     # Only the flights that the batch can meet take part in what follows.
     wanted = fkeys.select(*FLIGHT_KEY)
-    met = flights.join(wanted, _null_safe_on(flights, wanted, FLIGHT_KEY), "left_semi")
+    source = flights if known_flights is None else known_flights(wanted)
+    met = source.join(wanted, _null_safe_on(source, wanted, FLIGHT_KEY), "left_semi").select(*FLIGHT_KEY, "fid")
     existing = met.select(*FLIGHT_KEY)
     missing_f = fkeys.join(existing, _null_safe_on(fkeys, existing, FLIGHT_KEY), "left_anti")
     new_flights = (K.dense_ids(missing_f, ["first_order"], "_rel")
-                   .select(_max_plus(flights, "fid", "_rel").alias("fid"), "date", "origin",
+                   .select(_max_plus(flights, "fid", "_rel", marks.get("flights")).alias("fid"), "date", "origin",
                            F.lit("Unknown").alias("airline"), "aircraft",
                            F.col("altitude").cast("int").alias("altitude"),
                            F.lit(0).alias("heavy")))
     flights2 = flights.select(*new_flights.columns).unionByName(new_flights)
 
     # -- strikes: one per batch row
-    fid_of = met.select(*new_flights.columns).unionByName(new_flights).groupBy(*FLIGHT_KEY).agg(F.min("fid").alias("fid"))
+    fid_of = met.unionByName(new_flights.select(*FLIGHT_KEY, "fid")).groupBy(*FLIGHT_KEY).agg(F.min("fid").alias("fid"))
     bs = bf.join(fid_of, _null_safe_on(bf, fid_of, FLIGHT_KEY), "left")
     bs = bs.select(*[bf[c] for c in bf.columns], fid_of["fid"])
     cid_of = conditions.groupBy(F.col("sky_condition")).agg(F.min("cid").alias("cid"))
     bs = bs.join(cid_of, bs["conditions"].eqNullSafe(cid_of["sky_condition"]), "left")
     new_strikes = (K.dense_ids(bs.select("_bord", "fid", "numbirds", "altitude", "cid"),
                                ["_bord"], "_rel")
-                   .select(_max_plus(strikes, "sid", "_rel").alias("sid"), "fid",
+                   .select(_max_plus(strikes, "sid", "_rel", marks.get("strikes")).alias("sid"), "fid",
                            F.col("numbirds").cast("int").alias("numbirds"),
                            F.lit("N/A").alias("impact"), F.lit(0).alias("damage"),
                            F.col("altitude").cast("int").alias("altitude"),

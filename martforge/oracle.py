@@ -121,6 +121,7 @@ SQL: dict[str, str] = {
         "SELECT * FROM by_rid_name SEMI JOIN reps USING (rid)"),
     "prod_facts": with_("pfacts") + "SELECT * FROM pfacts",
     "prod_facts_shared": with_("pfacts") + "SELECT * FROM pfacts",
+    "prod_facts_unnested": with_("pfacts") + "SELECT * FROM pfacts",
     "rep_facts_shared": with_("rfacts") + "SELECT * FROM rfacts",
     "prod_facts_three_scans": with_("pfacts") + "SELECT * FROM pfacts",
     "rep_facts": with_("rfacts") + "SELECT * FROM rfacts",
@@ -404,6 +405,9 @@ DEPS.update({
                  "fact_flights", "flights2", "fact_strikes"),
 })
 SQL.update({
+    "upsert_airports_indexed": with_("airports2") + "SELECT * FROM airports2",
+    "upsert_flights_indexed": with_("flights2") + "SELECT * FROM flights2",
+    "upsert_strikes_indexed": with_("strikes2") + "SELECT * FROM strikes2",
     "upsert_airports": with_("airports2") + "SELECT * FROM airports2",
     "upsert_flights": with_("flights2") + "SELECT * FROM flights2",
     "upsert_strikes": with_("strikes2") + "SELECT * FROM strikes2",
@@ -670,3 +674,22 @@ SQL.update({
     "prod_facts_loaded": with_("pfacts_loaded") + "SELECT * FROM pfacts_loaded",
     "rep_facts_loaded": with_("rfacts_loaded") + "SELECT * FROM rfacts_loaded",
 })
+
+# ------------------------------------- other forms of the same results
+# The same rows by another plan share their SQL.
+SQL.update({
+    "rep_facts_unnested": SQL["rep_facts_shared"],
+    "top_reps_nested": SQL["top_reps"],
+    "xml_split_files": SQL["xml_multi_file"],
+    "csv_split_scan": SQL["csv_scan"],
+    "fk_orphans_one_pass": SQL["fk_orphans"],
+    "csv_fill": (
+        "SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber, l_returnflag, "
+        "CASE WHEN l_linenumber IN (4, 6) THEN '' ELSE l_linestatus END AS l_linestatus, "
+        "CASE WHEN l_linenumber % 2 = 1 THEN strftime(l_shipdate, '%Y-%m-%d') ELSE '' END AS shipped FROM lineitem"),
+    "observed_checks": with_("gaps") + (
+        "SELECT 'rows' AS \"check\", COUNT(*) AS violations FROM gaps "
+        + "".join(f"UNION ALL SELECT 'null {c}', COUNT(*) FILTER (WHERE {c} IS NULL) FROM gaps "
+                  for c in ("date", "quantity", "ridFK", "pidFK", "cidFK"))
+        + "UNION ALL SELECT 'check quantity above 2', COUNT(*) FILTER (WHERE NOT (quantity > 2)) FROM gaps"),
+})

@@ -36,21 +36,21 @@ TXN_FIELDS = ["date", "cust", "prod", "qty", "amount", "country", "repID"]
 REP_FIELDS = ["rID", "firstName", "lastName", "territory"]
 
 
-def stage_records(txn: DataFrame, order_cols: Sequence[str]) -> DataFrame:
+def stage_records(txn: DataFrame, order_cols: Sequence[str], order_source: DataFrame | None = None) -> DataFrame:
     """Number the records 1..n in record order (``tid``, D6).
 
     Records read from files with their position (``_file``, ``_pos``) are
     numbered from per-file counts, with no sort; any other order uses
-    ``dense_ids``.  Either way the numbered records are written once as a
-    table in the checkpoint folder and every later step reads them
-    (first appearance = smallest tid).
+    ``dense_ids_by_range``, whose bounds come from ``order_source`` (a table
+    with the order columns; the records themselves by default).  Either way
+    the numbered records are written once as a table in the checkpoint folder
+    and every later step reads them (first appearance = smallest tid).
     """
     order = list(order_cols)
     if order == ["_file", "_pos"]:
         numbered = K.ids_from_positions(txn, "_file", "_pos", "tid").drop("_file", "_pos")
         return write_staged(numbered)
-    # The records may be the result of joins: written once, then sampled and sorted.
-    return K.dense_ids(txn, order, "tid", keep_order_cols=False, stage_input=True)
+    return K.dense_ids_by_range(txn, order, "tid", bounds_from=order_source, keep_order_cols=False)
 
 
 def write_staged(df: DataFrame) -> DataFrame:
@@ -110,8 +110,8 @@ class SalesLoad:
     """The five tables, built on demand from one staging of the records."""
 
     def __init__(self, txn: DataFrame, rep_records: DataFrame, order_cols: Sequence[str],
-                 policy: str = "error"):
-        self._txn, self._reps_raw = txn, rep_records
+                 policy: str = "error", order_source: DataFrame | None = None):
+        self._txn, self._reps_raw, self._order_source = txn, rep_records, order_source
         self._order, self._policy = list(order_cols), policy
         self._cache: dict[str, DataFrame] = {}
 
@@ -128,7 +128,7 @@ class SalesLoad:
 
     @property
     def staged(self):
-        return self._get("staged", lambda: stage_records(self.records, self._order))
+        return self._get("staged", lambda: stage_records(self.records, self._order, self._order_source))
 
     def _source(self):
         """What a dimension is taken from: the numbered records if this load

@@ -35,11 +35,11 @@ CSV_FIELDS = ["rid", "flight_date", "origin", "airline", "aircraft", "altitude_f
               "heavy_flag", "sky_conditions", "wildlife_struck", "impact", "damage"]
 
 
-def stage_records(raw: DataFrame, order_cols: Sequence[str]) -> DataFrame:
-    """Number the records 1..n (``sid``) and stage them as a written table."""
+def stage_records(raw: DataFrame, order_cols: Sequence[str], order_source: DataFrame | None = None) -> DataFrame:
+    """Number the records 1..n (``sid``) and stage them as a written table;
+    ``order_source`` may name a table to take the range bounds from."""
     extra = [c for c in order_cols if c not in CSV_FIELDS]
-    # The records may be the result of joins: written once, then sampled and sorted.
-    return K.dense_ids(raw.select(*extra, *CSV_FIELDS), list(order_cols), "sid", stage_input=True)
+    return K.dense_ids_by_range(raw.select(*extra, *CSV_FIELDS), list(order_cols), "sid", bounds_from=order_source)
 
 
 def load_airports(records: DataFrame, order: str | Sequence[str] = "sid") -> DataFrame:
@@ -102,8 +102,9 @@ def first_strike_per_flight(strikes: DataFrame) -> DataFrame:
 class StrikesLoad:
     """The four tables, built on demand from one staging of the records."""
 
-    def __init__(self, raw: DataFrame, order_cols: Sequence[str], match_unknown: bool = False):
-        self._raw, self._order, self._match = raw, list(order_cols), match_unknown
+    def __init__(self, raw: DataFrame, order_cols: Sequence[str], match_unknown: bool = False,
+                 order_source: DataFrame | None = None):
+        self._raw, self._order, self._match, self._order_source = raw, list(order_cols), match_unknown, order_source
         self._cache: dict[str, DataFrame] = {}
 
     def _get(self, name, build):
@@ -113,7 +114,7 @@ class StrikesLoad:
 
     @property
     def staged(self):
-        return self._get("staged", lambda: stage_records(self._raw, self._order))
+        return self._get("staged", lambda: stage_records(self._raw, self._order, self._order_source))
 
     def _source(self):
         """What airports, conditions and flights are taken from: the numbered

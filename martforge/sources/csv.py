@@ -6,14 +6,24 @@ file is read with every column as text (header names kept, nothing inferred,
 so no extra pass over the data) and then:  null -> ``""``, ``"NA"`` -> null.
 Quotes inside quoted text are doubled, as ``read.csv`` and spreadsheets write
 them, and quoted text may hold line ends.
+
+``read_csv_text``   a file with line ends in quotes is read by one task.
+``read_csv_split``  any number of tasks read one file, line ends in quotes or
+                    not: a line starts inside quotes if the quotes before it in
+                    the file are odd in number, so each split counts its own
+                    and a prefix sum over the splits tells the rest.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
+
+_BAD = "_bad_record"
 
 
 def r_missing(c: str):
@@ -23,20 +33,122 @@ def r_missing(c: str):
             .otherwise(col).alias(c))
 
 
-def read_csv_text(spark: SparkSession, path: str,
-                  columns: Sequence[str] | None = None, multi_line: bool = True) -> DataFrame:
+def _header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of the first record."""
+    return (spark.read.option("header", "true").option("inferSchema", "false").option("escape", '"')
+            .option("multiLine", "true").csv(path).columns)
+
+
+def _text_schema(names: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+def n_fields(record: Column) -> Column:
+    """Fields of a CSV record: the commas outside quotes, and one."""
+    return F.regexp_count(F.regexp_replace(record, '"[^"]*"', ""), F.lit(",")) + 1
+
+
+def _too_long(record: Column, width: int) -> Column:
+    """True, or an error if the record has more than ``width`` fields."""
+    return F.when(n_fields(record) > width, F.raise_error(F.concat(
+        F.lit(f"record has more than {width} fields: "), F.substring(record, 1, 200))).cast("boolean")).otherwise(F.lit(True))
+
+
+def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+                  multi_line: bool = True, fill: bool = False) -> DataFrame:
     """All-text CSV scan with a header row; ``columns`` selects by name.
 
     With ``multi_line`` (the default, as in ``read.csv``) quoted text may hold
     line ends, and a file is read by one task; set it to False for large files
-    known to have one record per line, which Spark then splits.  A record
-    that does not fit the header makes the job fail instead of losing text.
+    known to have one record per line, which Spark then splits, or use
+    ``read_csv_split``.  A record that does not fit the header makes the job
+    fail instead of losing text.  ``fill``, like R's option of that name, adds
+    blank fields to records that are too short; longer ones still fail.
     """
-    df = (spark.read.option("header", "true").option("inferSchema", "false")
-          .option("escape", '"').option("mode", "FAILFAST")
-          .option("multiLine", str(multi_line).lower()).csv(path))
-    cols = list(columns) if columns else df.columns
-    return df.select(*[r_missing(c) for c in cols])
+    reader = (spark.read.option("header", "true").option("inferSchema", "false")
+              .option("escape", '"').option("multiLine", str(multi_line).lower()))
+    if not fill:
+        df = reader.option("mode", "FAILFAST").csv(path)
+        names = df.columns
+    else:
+        names = _header(spark, path)
+        # Records that don't fit arrive with their text.
+        schema = _text_schema([*names, _BAD])
+        df = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD).schema(schema).csv(path)
+        df = df.where(F.col(_BAD).isNull() | _too_long(F.col(_BAD), len(names)))
+    return df.select(*[r_missing(c) for c in (columns or names)])
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, seq, line, odd): the lines of all splits in reading
+    order; ``odd`` is 1 if the line has an odd number of quotes."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    # A split is read by one task from start to end, so the id follows its order.
+    return (spark.read.option("lineSep", "\n").text(path)
+            .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("seq"), F.col("value").alias("line"), (quotes % 2).alias("odd")))
+
+
+def _starts(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``before``: the parity of the quotes before a line in
+    its split, and ``heads0`` / ``heads1``: the records that start up to and
+    including the line, if the split itself starts outside / inside quotes."""
+    own = Window.partitionBy("file", "block").orderBy("seq")
+    before = F.coalesce(F.sum("odd").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
+    upto = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (lines.withColumn("before", before)
+            .withColumn("heads0", F.sum(F.lit(1) - F.col("before")).over(upto)).withColumn("heads1", F.sum("before").over(upto)))
+
+
+def read_csv_split(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+                   fill: bool = False, position: bool = False) -> DataFrame:
+    """``read_csv_text`` with quoted line ends for files of any size: the
+    splits of a file are read by many tasks.
+
+    Quotes must be written as in RFC 4180: around a field, and doubled within
+    it.  Then a line is inside quotes if the quotes before it are odd in
+    number.  Lines are parsed as they are; only records of several lines are
+    put together (and shuffled once more).  A file whose quotes are odd in
+    number makes the job fail, and so does a record that doesn't fit (see
+    ``fill``).  ``position`` adds ``_file`` and ``_pos``, the record's place
+    in its file from 0.
+
+    The lines move once, to the task of their split; what depends on the
+    splits before it is one row a split.  Line ends of two characters become
+    one, in quotes too, as in ``read_csv_text``.
+    """
+    names = _header(spark, path)
+    lines = _lines(spark, path)
+    # One row per split: its parity, and how many records start in it either way.
+    blocks = (_starts(lines.drop("line")).groupBy("file", "block")
+              .agg((F.sum("odd") % 2).alias("odd"), F.max("heads0").alias("h0"), F.max("heads1").alias("h1")))
+    files = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (blocks.withColumn("inside", F.coalesce(F.sum("odd").over(files), F.lit(0)) % 2)
+              .withColumn("records", F.coalesce(F.sum(F.when(F.col("inside") == 0, F.col("h0")).otherwise(F.col("h1"))).over(files), F.lit(0)))
+              .withColumn("open", F.sum("odd").over(Window.partitionBy("file")) % 2 == 1)
+              .select("file", "block", "inside", "records", "open"))
+    at = _starts(lines).join(blocks, ["file", "block"])
+    head = (F.col("before") + F.col("inside")) % 2 == 0
+    tail = (F.col("before") + F.col("inside") + F.col("odd")) % 2 == 0
+    no = F.col("records") + F.when(F.col("inside") == 0, F.col("heads0")).otherwise(F.col("heads1")) - 1
+    line = F.when(F.col("open"), F.raise_error(F.concat(F.lit("quotes not closed in "), F.col("file"))).cast("string")).otherwise(F.col("line"))
+    placed = at.select("file", no.alias("no"), "block", "seq", line.alias("line"), (head & tail).alias("whole"))
+    single = placed.where("whole").select("file", "no", "line")
+    parts = F.array_sort(F.collect_list(F.struct("block", "seq", "line")))  # the lines of one record
+    several = (placed.where(~F.col("whole")).groupBy("file", "no")
+               .agg(F.array_join(F.transform(parts, lambda p: p["line"]), "\n").alias("line")))
+    records = (single.unionByName(several).where("no > 0")  # the first record of a file is its header
+               .withColumn("line", F.regexp_replace("line", "\r(\n|$)", "$1")).where("line <> ''"))
+    options = {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE" if fill else "FAILFAST"}
+    if fill:
+        records = records.where(_too_long(F.col("line"), len(names)))
+    parsed = records.select("file", "no", F.from_csv("line", _ddl(names), options).alias("r"))
+    rows = parsed.select(F.col("file").alias("_file"), (F.col("no") - 1).alias("_pos"), *[F.col("r").getField(n).alias(n) for n in names])
+    return rows.select(*(["_file", "_pos"] if position else []), *[r_missing(c) for c in (columns or names)])
+
+
+def _ddl(names: Sequence[str]) -> str:
+    return ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
 
 
 def write_csv_text(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -54,6 +54,22 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]):
+    both = F.lit(True)
+    for k in keys:
+        both = both & left[k].eqNullSafe(right[k])
+    return both
+
+
+def stored_keys_met(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct keys of ``rows`` that ``table`` holds.  The table is the
+    streamed side: its key columns are scanned, and moved only if the keys of
+    ``rows`` are too many to broadcast."""
+    asked = rows.select(*keys).distinct()
+    have = table.select(*keys)
+    return have.join(asked, _same_keys(have, asked, keys), "left_semi").distinct()
+
+
 def materialize(df: DataFrame, name: str, schema: T.StructType | None = None,
                 mode: str = "overwrite", key: str | Sequence[str] | None = None,
                 key_policy: str = "keep_all", order_cols: Sequence | None = None,
@@ -64,7 +80,9 @@ def materialize(df: DataFrame, name: str, schema: T.StructType | None = None,
     ``append``.  ``key_policy`` applies to ``key`` (see keys.apply_key_policy);
     when appending it also covers the rows already in the table: with
     ``keep_first`` a key that the table holds is not added again, with
-    ``error`` it makes the job fail (null keys match null keys).
+    ``error`` it makes the job fail (null keys match null keys).  The stored
+    keys are scanned once against the new ones, which are the side that may be
+    broadcast; only keys found in both go on.
     """
     spark = df.sparkSession
     out = cast_to_schema(df, schema, lenient) if schema is not None else df
@@ -73,14 +91,10 @@ def materialize(df: DataFrame, name: str, schema: T.StructType | None = None,
         out = apply_key_policy(out, key, key_policy, order_cols)
         if mode == "append" and key_policy != "keep_all" and table_exists(spark, target):
             keys = [key] if isinstance(key, str) else list(key)
-            have = spark.read.parquet(target).select(*keys).distinct()
-            both = None
-            for k in keys:
-                e = out[k].eqNullSafe(have[k])
-                both = e if both is None else both & e
-            if key_policy == "error" and not out.join(have, both, "left_semi").isEmpty():
+            met = stored_keys_met(spark.read.parquet(target), out, keys)
+            if key_policy == "error" and not met.isEmpty():
                 raise ValueError(f"key {keys} already in {name}")
-            out = out.join(have, both, "left_anti")
+            out = out.join(met, _same_keys(out, met, keys), "left_anti")
     out.write.mode(mode).parquet(target)
     return spark.read.parquet(target)
 

@@ -1,14 +1,16 @@
 """XML record sources (S1-S4) on Spark's built-in XML data source.
 
-Two readers, both on Spark's ``rowTag`` reader: every element named
-``row_tag``, at any depth, becomes a row, child elements become string
-columns, attributes arrive as ``_<name>``.  Files are streamed, one task per
-file.  Malformed XML makes the job fail (``FAILFAST``), it loses no records.
-
-``read_xml_records``   rows carry their file (``_file``), in no order.
-``read_xml_documents`` exact order: adds ``_pos``, the position in the file;
-                       the parsed rows are written once below the checkpoint
-                       folder, so each file is parsed once.
+Every element named ``row_tag``, at any depth, becomes a row, child elements
+become string columns, attributes arrive as ``_<name>``.  Malformed XML makes
+the job fail (``FAILFAST``), it loses no records.
+
+``read_xml_records``   Spark's ``rowTag`` reader, one task per file; rows carry
+                       their file (``_file``), in no order.
+``read_xml_documents`` the same with exact order: adds ``_pos``, the position
+                       in the file; the parsed rows are written once below the
+                       checkpoint folder, so each file is parsed once.
+``read_xml_split``     ``read_xml_documents`` for large files: many tasks read
+                       one file, cut at the records' closing tags.
 
 ``file_regex`` keeps only files whose own name matches the unanchored regex
 (like listing a folder with a name pattern); folder names don't matter.
@@ -21,6 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from martforge.session import scratch_dir
 
@@ -61,6 +64,75 @@ def read_xml_documents(spark: SparkSession, path: str, row_tag: str,
             .select(*df.columns, "_pos"))
 
 
+def _pieces(text: Column, row_tag: str) -> Column:
+    """Struct (records, odd) of the text before a closing tag: the elements
+    that it holds, complete, and whether none is left open in it (as after the
+    last record).  What can't be cut at closing tags raises an error."""
+    name = rf"<{row_tag}(?=[\s/>])"
+    attributes = r"""(?:\s+[^\s=<>"'/]+\s*=\s*(?:"[^"<]*"|'[^'<]*'))*\s*"""
+    clean = F.regexp_replace(text, r"(?s)<!--.*?-->", "")
+
+    def fail(why: str, c: Column, kind: str) -> Column:
+        return F.raise_error(F.concat(F.lit(f"{why}, read it with read_xml_documents: "), F.substring(c, 1, 200))).cast(kind)
+
+    def of(c: Column) -> Column:
+        # Before the first start tag that isn't an empty element's; that tag and all after it.
+        before = F.regexp_replace(c, rf"(?s)<{row_tag}{attributes}>.*$", "")
+        last = F.substring(c, F.length(before) + 1, F.length(c))
+        body = F.regexp_replace(last, rf"^<{row_tag}{attributes}>", "")
+        empty = F.regexp_extract_all(before, F.lit(rf"<{row_tag}{attributes}/>"), F.lit(0))
+        cdata = F.regexp_replace(c, r"(?s)<!\[CDATA\[.*?\]\]>", "")
+        open_ = F.length(last) > 0
+        kind = "array<string>"
+        records = (F.when(F.contains(c, F.lit("<!--")) | F.contains(cdata, F.lit("<![CDATA[")), fail("closing tag in a comment or CDATA", c, kind))
+                   .when(F.rlike(body, F.lit(name)), fail(f"{row_tag} inside {row_tag}", c, kind))
+                   .when(F.size(empty) < F.regexp_count(before, F.lit(name)), fail(f"odd start tag of {row_tag}", c, kind))
+                   .when(open_, F.concat(empty, F.array(F.concat(last, F.lit(f"</{row_tag}>"))))).otherwise(empty))
+        return F.struct(records.alias("records"), (~open_).alias("closed"), (~open_ & F.rlike(c, F.lit(r"</[^<>]+>\s*$"))).alias("ends"))
+
+    return F.element_at(F.transform(F.array(clean), of), 1)
+
+
+def read_xml_split(spark: SparkSession, path: str, row_tag: str,
+                   fields: Sequence[str] | T.StructType,
+                   file_regex: str | None = None) -> DataFrame:
+    """S1 / S4 like ``read_xml_documents`` (``_file``, ``_pos``), for files of
+    any size: each is read by many tasks.
+
+    The text reader splits a file by bytes with ``</row_tag>`` as its record
+    separator, so what a task gets is one record and what stands before it.
+    Files are UTF-8 and end with a closing tag of their own, after the last
+    record; one that doesn't (a cut-off file) makes the job fail, as do a
+    malformed record, records inside each other and closing tags in comments
+    or CDATA.  Text between the records is not checked.  The parsed rows are
+    written once; positions are counted from them.
+    """
+    schema = fields if isinstance(fields, T.StructType) else string_schema(fields)
+    text = (spark.read.option("lineSep", f"</{row_tag}>").option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.xml*").text(path))
+    text = _filter_files(text.withColumn("_block", F.col("_metadata.file_block_start")), file_regex)
+    cut = text.select("_file", "_block", _pieces(F.col("value"), row_tag).alias("p"))
+    # A row for each record, and one with none for each piece that leaves no record open.
+    flat = cut.select("_file", "_block", F.col("p.ends").alias("_ends"), F.explode(F.concat(
+        "p.records", F.when(F.col("p.closed"), F.array(F.lit(None).cast("string"))).otherwise(F.array().cast("array<string>")))).alias("x"))
+    rows = flat.select("_file", "_block", (F.col("x").isNull() & F.col("_ends")).alias("_ends"), F.col("x").isNull().alias("_after"),
+                       F.from_xml("x", schema, {"mode": "FAILFAST", "rowTag": row_tag}).alias("r"))
+    target = scratch_dir(spark, "xml-rows")
+    # A split is read by one task from start to end, so this id follows its order.
+    rows.withColumn("_seq", F.monotonically_increasing_id()).write.parquet(target)
+    stored = spark.read.parquet(target)
+    blocks = stored.groupBy("_file", "_block").agg(F.min("_seq").alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # one row per split
+    blocks = blocks.select("_file", "_block", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    # The last piece of a file, and only that, is one without a record.
+    files = stored.groupBy("_file").agg(F.count_if("_after").alias("_tails"), F.max_by("_ends", F.struct("_block", "_seq")).alias("_whole"))
+    whole = (F.col("_tails") == 1) & F.col("_whole")
+    placed = stored.where(~F.col("_after")).join(blocks, ["_file", "_block"]).join(files, "_file")
+    file = F.when(whole, F.col("_file")).otherwise(F.raise_error(F.concat(F.lit(f"{row_tag} not closed, or text cut off, in "), F.col("_file"))).cast("string"))
+    return placed.select(*[F.col("r").getField(f.name).alias(f.name) for f in schema.fields], file.alias("_file"),
+                         (F.col("_shift") + F.col("_seq")).alias("_pos"))
+
+
 def leaf_text(df: DataFrame, element: str) -> DataFrame:
     """S3: a leaf element list as one column called ``text`` (no second read)."""
     return df.select(F.col(element).alias("text"))
