@@ -184,7 +184,7 @@ def _shingle_sets(lines: list[str]) -> Iterator[np.ndarray]:
     for s, e in chunks(padded, limit=PIECE):
         x, at = _shingle_hashes("".join(padded[s:e])), 0
         for t in padded[s:e]:
-            yield np.unique(x[at:at + len(t) - SHINGLE + 1])
+            yield _distinct(x[at:at + len(t) - SHINGLE + 1])
             at += len(t)
 
 
@@ -192,10 +192,17 @@ def _slot(x: np.ndarray) -> np.ndarray:
     return (x & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
+def _indexed(n: np.ndarray, similarity: float) -> np.ndarray:
+    """How many of a line's rarest shingles (of ``n``) it is found by: as many
+    as may be missing from a line of that similarity that isn't shorter, and one."""
+    return n - np.ceil(2 * similarity / (1 + similarity) * n - 1e-6).astype(np.int64) + 1
+
+
 def _prefixes(lines: DataFrame, similarity: float) -> DataFrame:
-    """(token, h, root, n, p0..) of ``lines`` (h, root, line): the rarest
-    shingles of each line, so many that lines of that similarity share one;
-    the number of its shingles and the parities of their hashes' classes.
+    """(token, h, root, n, at, p0..) of ``lines`` (h, root, line): the rarest
+    shingles of each line, so many that lines of that similarity share one,
+    with their places in the line's order; the number of its shingles and the
+    parities of their hashes' classes.
 
     Rarity is the count of a shingle's slot, gathered over all the lines: one
     order for all, of a size that doesn't grow.
@@ -230,11 +237,12 @@ def _prefixes(lines: DataFrame, similarity: float) -> DataFrame:
                 sums = np.stack(sums)[of - s]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(tokens).view(np.int64)), batch.column(0).take(pa.array(of)), batch.column(1).take(pa.array(of)),
-                     pa.array(np.array(sizes, np.int32)[of - s]), *(pa.array(sums[:, i]) for i in range(PARITY))],
-                    ["token", "h", "root", "n", *(f"p{i}" for i in range(PARITY))])
+                     pa.array(np.array(sizes, np.int32)[of - s]), pa.array(np.concatenate([np.arange(len(t), dtype=np.int32) for t in tokens])),
+                     *(pa.array(sums[:, i]) for i in range(PARITY))],
+                    ["token", "h", "root", "n", "at", *(f"p{i}" for i in range(PARITY))])
 
     return lines.select("h", "root", "line").mapInArrow(
-        run, "token long, h long, root long, n int, " + ", ".join(f"p{i} long" for i in range(PARITY)))
+        run, "token long, h long, root long, n int, at int, " + ", ".join(f"p{i} long" for i in range(PARITY)))
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,13 +276,19 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows.append(np.full(len(other), r))
             cells.append(_mix(token[r] + low * _LETTER[0] + high * _LETTER[1]))
         at = pa.array(np.concatenate(rows))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells).view(np.int64)), *(c.take(at) for c in batch.columns[1:4 + PARITY])],
-                                         ["cell", "h", "root", "n", *(f"p{i}" for i in range(PARITY))])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells).view(np.int64)), *(c.take(at) for c in batch.columns[1:5 + PARITY])],
+                                         ["cell", "h", "root", "n", "at", *(f"p{i}" for i in range(PARITY))])
 
 
 def _cell_pairs(similarity: float):
     """Pairs of lines of unlike roots in a cell, from rows in cell order, that
-    their numbers of shingles and parities allow to be so similar."""
+    may be so similar by their numbers of shingles, the places of the shared
+    one and their parities.
+
+    The shorter line of a pair must have the shared shingle among those that
+    it is found by, which are the rarest of its prefix.  So the lines of a
+    template meet only if they also share some of what tells them apart.
+    """
     share = (1 - similarity) / (1 + similarity)  # of both lines' shingles may differ
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,21 +304,29 @@ def _cell_pairs(similarity: float):
             yield from pairs(open_rows)
 
     def pairs(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        cell, h, root, n, *sums = rows
+        cell, h, root, n, at, *sums = rows
         if not len(cell):
             return
+        n, at, sums = n.astype(np.int64), at.astype(np.int64), [p.view(np.uint64) for p in sums]
         starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
-        first = np.repeat(starts, np.diff(np.append(starts, len(cell))))
-        at, step, found = np.arange(len(cell)), 0, []
-        while len(at):
-            step += 1
-            at = at[at - step >= first[at]]
-            x = at[root[at] != root[at - step]]
-            x = x[np.minimum(n[x], n[x - step]) >= similarity * np.maximum(n[x], n[x - step]) - 1e-6]
-            apart = sum((np.bitwise_count(p[x] ^ p[x - step]).astype(np.int64) for p in (s.view(np.uint64) for s in sums)), np.zeros(len(x), np.int64))
-            x = x[apart <= share * (n[x].astype(np.int64) + n[x - step]) + 1e-6]
+        size = np.diff(np.append(starts, len(cell)))
+        first, many = np.repeat(starts, size), np.repeat(size, size)
+        finders = np.flatnonzero(at < _indexed(n, similarity))
+        found = []
+        for s, e in chunks(many[finders].tolist(), size=int):
+            x, width = finders[s:e], many[finders[s:e]]
+            y = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width) + np.repeat(first[x], width)
+            x = np.repeat(x, width)
+            ok = (root[x] != root[y]) & ((n[x] < n[y]) | ((n[x] == n[y]) & (h[x] < h[y]))) & (n[x] >= similarity * n[y] - 1e-6)
+            x, y = x[ok], y[ok]
+            need = np.ceil(similarity / (1 + similarity) * (n[x] + n[y]) - 1e-6)
+            ok = (n[x] - at[x] >= need) & (n[y] - at[y] >= need)
+            x, y = x[ok], y[ok]
+            apart = sum((np.bitwise_count(p[x] ^ p[y]).astype(np.int64) for p in sums), np.zeros(len(x), np.int64))
+            ok = apart <= share * (n[x] + n[y]) + 1e-6
+            x, y = x[ok], y[ok]
             if len(x):
-                found.append(np.stack((np.minimum(h[x], h[x - step]), np.maximum(h[x], h[x - step])), 1))
+                found.append(np.stack((np.minimum(h[x], h[y]), np.maximum(h[x], h[y])), 1))
         if found:
             out = np.unique(np.concatenate(found), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["a", "b"])
@@ -317,36 +339,77 @@ def _crowd_pairs(lines: DataFrame, similarity: float) -> DataFrame:
     be so similar, no pair of that similarity left out: an indexed join over
     rarest-shingle prefixes whose long lists are spread over many tasks."""
     tokens = stage(_prefixes(lines, similarity), "line-prefixes")
-    each = tokens.groupBy("token", "root").agg(F.count("*").alias("n"))
+    finds = F.col("at") < F.col("n") - F.ceil(F.col("n") * (2 * similarity / (1 + similarity)) - 1e-6) + 1  # as _indexed
+    each = tokens.groupBy("token", "root").agg(F.count("*").alias("n"), F.max(finds).alias("finds"))
     big = F.col("n") > CELL
     lists = (each.groupBy("token").agg(F.count("*").alias("roots"), F.coalesce(F.sum(F.when(~big, F.col("n"))), F.lit(0)).alias("light"),
-                                       F.sort_array(F.collect_list(F.when(big, F.struct("root", "n")))).alias("heavy"))
-             .filter("roots > 1").drop("roots"))
+                                       F.sort_array(F.collect_list(F.when(big, F.struct("root", "n")))).alias("heavy"),
+                                       F.max("finds").alias("finds"))
+             .filter("roots > 1 and finds").drop("roots", "finds"))
     parts = [f"p{i}" for i in range(PARITY)]
-    dealt = (tokens.join(stage(lists, "line-lists"), "token").select("token", "h", "root", "n", *parts, "light", "heavy")
-             .mapInArrow(_cells, "cell long, h long, root long, n int, " + ", ".join(f"{p} long" for p in parts)))
+    dealt = (tokens.join(stage(lists, "line-lists"), "token").select("token", "h", "root", "n", "at", *parts, "light", "heavy")
+             .mapInArrow(_cells, "cell long, h long, root long, n int, at int, " + ", ".join(f"{p} long" for p in parts)))
     return (dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(_cell_pairs(similarity), "a long, b long").distinct())
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted, each value once (numpy's own ``unique`` hashes, which is slower here)."""
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
+#: Low bits of a shingle's hash that are compared; above them stands the number of a line or pair of a chunk.
+_SEEN = np.uint64(54)
+
+
+def _jaccards(left: list[str], right: list[str], similarity: float) -> np.ndarray:
+    """Jaccard similarity of the shingle sets of each pair of lines (at most
+    1024 pairs; shingles by 54 bits of their hashes); 0 for pairs whose sizes
+    differ too much for ``similarity``."""
+    number: dict[str, int] = {}
+    a, b = (np.fromiter((number.setdefault(t, len(number)) for t in side), np.int64, len(side)) for side in (left, right))
+    size = np.zeros(len(number), np.int64)
+    held = []
+    for s, e in chunks(padded := [t if len(t) >= SHINGLE else t.ljust(SHINGLE, "\0") for t in number], size=_room, limit=PIECE):
+        own = np.fromiter(map(len, padded[s:e]), np.int64, e - s)
+        x = _shingle_hashes("".join(padded[s:e]))
+        x >>= np.uint64(64) - _SEEN
+        x |= np.repeat(np.arange(e - s, dtype=np.uint64) << _SEEN, own)
+        # The last positions of a line would reach into the next one.
+        keep = np.ones(len(x), bool)
+        keep[(np.cumsum(own)[:, None] - np.arange(1, SHINGLE)).ravel()] = False
+        x = _distinct(x[keep])
+        size[s:e] = np.bincount((x >> _SEEN).astype(np.int64), minlength=e - s)
+        held.append(x & ((np.uint64(1) << _SEEN) - np.uint64(1)))
+    held, start = np.concatenate(held), np.cumsum(size) - size
+    out = np.zeros(len(a))
+    near = np.flatnonzero(np.minimum(size[a], size[b]) >= similarity * np.maximum(size[a], size[b]) - 1e-6)
+    if len(near):
+        # Both lines of a pair after each other: two ascending runs.
+        of = np.stack((a[near], b[near]), 1).ravel()
+        n = size[of]
+        rows = held[np.arange(n.sum()) + np.repeat(start[of] - (np.cumsum(n) - n), n)]
+        rows |= np.repeat(np.arange(len(near), dtype=np.uint64).repeat(2) << _SEEN, n)
+        rows.sort(kind="stable")
+        both = np.bincount((rows[1:][rows[1:] == rows[:-1]] >> _SEEN).astype(np.int64), minlength=len(near))
+        out[near] = both / (size[a[near]] + size[b[near]] - both)
+    return out
+
+
+def _room(line: str) -> int:
+    """Size of a line in a chunk of at most 512 lines."""
+    return max(len(line), PIECE >> 9)
+
+
 def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose shingle sets have at least that Jaccard similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known: dict[str, set[str]] = {}
-            keep = []
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                sets = []
-                for t in (a, b):
-                    if (s := known.get(t)) is None:
-                        s = known[t] = shingles(t)
-                    sets.append(s)
-                x, y = sets
-                low, high = sorted((len(x), len(y)))
-                both = len(x & y) if low >= similarity * high else 0
-                keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
-                if len(known) > 2000:
-                    known.clear()
+            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            keep = np.zeros(len(left), bool)
+            for s, e in chunks([_room(x) + _room(y) for x, y in zip(left, right)], size=int, limit=4 * PIECE):
+                keep[s:e] = _jaccards(left[s:e], right[s:e], similarity) >= similarity - 1e-9
             yield batch.select([0, 1]).rename_columns(["src", "dst"]).filter(pa.array(keep, pa.bool_()))
 
     a, b = (texts.select(F.col("h").alias(n), F.col("line").alias(f"line_{n}")) for n in "ab")
@@ -452,7 +515,8 @@ def line_report(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` (all rows, all columns) without the lines of ``repeated_lines``;
     a text that loses all its lines becomes empty, a null text stays null."""
-    gone = _removed_by_doc(docs, similarity, id_col, text_col).withColumnRenamed("removed", "_removed")
+    extra = "removed" + "_" * max(map(len, docs.columns))  # longer than any column of theirs
+    gone = _removed_by_doc(docs, similarity, id_col, text_col).withColumnRenamed("removed", extra)
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -469,4 +533,4 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
             yield pa.RecordBatch.from_arrays(columns, docs_columns)
 
     docs_columns = docs.columns
-    return docs.join(gone, id_col, "left").select(*docs.columns, "_removed").mapInArrow(run, docs.schema)
+    return docs.join(gone, id_col, "left").select(*docs.columns, extra).mapInArrow(run, docs.schema)
