@@ -170,16 +170,20 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, id_c
     """Fit on at most ``train_rows`` labelled rows that are not held out.
 
     A document labelled several times has the majority label (ties: 1), null
-    labels are ignored; of a repeated document one row counts.  Only the
-    bounded sample's features reach the driver.
+    labels are ignored; of rows that share an id the one with the smallest
+    hash of the text counts (picked per id before features are made, so an id
+    on a million rows is one row of the sample).  Only the bounded sample's
+    features reach the driver.  Without rows the model calls all texts good.
     """
     marks = (labels.filter(F.col("quality").isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
              .groupBy(id_col).agg((F.avg("quality") >= 0.5).cast("int").alias("_label"))
              .join(docs.select(id_col), id_col, "left_semi")
              .orderBy(F.xxhash64(id_col), id_col).limit(train_rows))
     chars = F.col(chars_col) if chars_col in docs.columns else F.lit(None)
-    rows = (docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("_text"), chars.cast("long").alias("_chars"))
-            .join(F.broadcast(marks), id_col).select(id_col, "_label", "_text", "_chars"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = (docs.select(id_col, text.alias("_text"), chars.cast("long").alias("_chars")).join(F.broadcast(marks), id_col)
+            .groupBy(id_col, "_label").agg(F.min(F.struct(F.xxhash64("_text"), "_text", "_chars")).alias("r"))
+            .select(id_col, "_label", "r._text", "r._chars"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Features()

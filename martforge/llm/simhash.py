@@ -52,19 +52,25 @@ def fingerprint_texts(texts: list[bytes], words: int, seed: int = 42) -> np.ndar
     return np.packbits(2 * ones > shingles[:, None], axis=1, bitorder="little").view("<i8")[:, 0]
 
 
+def text_digest(text: Column) -> Column:
+    """64-bit hash of a text (null: empty), to tell apart rows of one id."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, fp long): the SimHash of each whole text's word shingles."""
+    """(id_col, digest long, fp long): a hash and the SimHash of each whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
+            texts = batch.column(2).to_pylist()
             for s, e in chunks(texts):
                 yield pa.RecordBatch.from_arrays(
-                    [keys.slice(s, e - s), pa.array(fingerprint_texts(texts[s:e], words), pa.int64())], [id_col, "fp"])
+                    [batch.column(0).slice(s, e - s), batch.column(1).slice(s, e - s),
+                     pa.array(fingerprint_texts(texts[s:e], words), pa.int64())], [id_col, "digest", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return (docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-            .mapInArrow(run, f"`{id_col}` {kind}, fp long"))
+    return (docs.select(F.col(id_col), text_digest(F.col(text_col)).alias("digest"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+            .mapInArrow(run, f"`{id_col}` {kind}, digest long, fp long"))
 
 
 def _bits_apart(a: Column, b: Column) -> Column:
@@ -129,6 +135,20 @@ def _neighbour_links(nodes: DataFrame, max_bits: int) -> DataFrame:
             .select(F.col("node").alias("src"), "dst").distinct())
 
 
+def components(docs: DataFrame, words: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
+    """(id_col, digest, fp, component_id) of every row: ``digest`` is a hash of
+    the text, null ids have no component."""
+    if max_bits % 2:
+        raise ValueError("max_bits must be even")
+    fps = stage(fingerprints(docs, words, id_col, text_col), "simhash-fingerprints")
+    nodes = stage(fps.filter(F.col(id_col).isNotNull()).groupBy("fp").agg(F.min(id_col).alias("node")), "simhash-nodes")
+    roots = connected_components(links(nodes, max_bits), "simhash-components")
+    of_fp = (nodes.join(roots, "node", "left")
+             .select("fp", F.coalesce("root", "node").alias("component_id")))
+    return (fps.join(of_fp, "fp", "left")
+            .select(id_col, "digest", "fp", F.when(F.col(id_col).isNotNull(), F.col("component_id")).alias("component_id")))
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """SimHash near-duplicates: (id_col, fingerprint, component_id).
@@ -141,22 +161,20 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2,
     null ``component_id`` and link nothing; repeated rows are returned as
     often; an empty table gives no rows; other columns are not read.
     """
-    if max_bits % 2:
-        raise ValueError("max_bits must be even")
-    fps = stage(fingerprints(docs, words, id_col, text_col), "simhash-fingerprints")
-    nodes = stage(fps.filter(F.col(id_col).isNotNull()).groupBy("fp").agg(F.min(id_col).alias("node")), "simhash-nodes")
-    roots = connected_components(links(nodes, max_bits), "simhash-components")
-    of_fp = (nodes.join(roots, "node", "left")
-             .select("fp", F.coalesce("root", "node").alias("component_id")))
-    return (fps.join(of_fp, "fp", "left")
-            .select(F.col(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-                    F.when(F.col(id_col).isNotNull(), F.col("component_id")).alias("component_id")))
+    return (components(docs, words, max_bits, id_col, text_col)
+            .select(F.col(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
 
 def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the smallest id of each component left; rows with a null
-    id stay, repeated rows of a kept id become one."""
-    found = near_duplicates(docs, words, max_bits, id_col, text_col)
-    kept = found.filter(F.col(id_col) == F.col("component_id")).select(id_col)
-    return (docs.join(kept, id_col, "left_semi").dropDuplicates([id_col])
+    """``docs`` with one document of each component left: a row of its
+    smallest id.  Of rows that share this id but not the text, it is the one
+    with the smallest hash of the text; rows of that id in other components
+    stay for those.  Rows equal in id and text become one.  Rows with a null
+    id stay; an empty table gives no rows."""
+    found = components(docs, words, max_bits, id_col, text_col)
+    mark = "digest" + "_" * max(map(len, docs.columns))  # longer than any column of theirs
+    kept = (found.filter(F.col(id_col) == F.col("component_id")).groupBy(id_col, "component_id").agg(F.min("digest").alias(mark))
+            .select(id_col, mark))
+    known = docs.filter(F.col(id_col).isNotNull()).withColumn(mark, text_digest(F.col(text_col)))
+    return (known.join(kept, [id_col, mark], "left_semi").dropDuplicates([id_col, mark]).select(*docs.columns)
             .unionByName(docs.filter(F.col(id_col).isNull())))

@@ -116,3 +116,35 @@ def test_template_lines_that_do_not_all_link(spark, monkeypatch, cell):
     got = sorted((r.doc_id, r.line_no) for r in L.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     want, edges = brute(rows)
     assert len(edges) == 200 and got == want
+
+
+def test_columns_of_the_table_may_have_any_name(spark):
+    docs = spark.createDataFrame([(1, "the same long line\nown", 1, "x"), (2, "the same long line\nother", 2, "y")],
+                                 "doc_id long, text string, _removed int, removed string")
+    got = sorted(tuple(r) for r in L.dedup_lines(docs).collect())
+    assert got == [(1, "the same long line\nown", 1, "x"), (2, "other", 2, "y")] and L.dedup_lines(docs).schema == docs.schema
+
+
+def test_similarities_from_hashes_are_those_of_the_sets():
+    rng = random.Random(31)
+    letters = "ab é中"
+    line = lambda: "".join(rng.choice(letters) for _ in range(rng.choice([1, 3, 7, 8, 30, 200])))
+    left, right = [line() for _ in range(400)], [line() for _ in range(400)]
+    right[:50] = left[:50]
+    right[50:150] = [t[:-1] + "x" for t in left[50:150]]
+    got = L._jaccards(left, right, 0.0)
+    assert np.allclose(got, [jaccard(a, b) for a, b in zip(left, right)])
+    near = L._jaccards(left, right, 0.8)
+    assert all(abs(x - y) < 1e-12 for x, y in zip(near, got) if y >= 0.8)
+
+
+def test_template_lines_meet_only_by_what_tells_them_apart(spark):
+    """Lines of one template that are below the similarity: hardly a pair is made."""
+    import uuid
+    rng = random.Random(32)
+    lines = [f"Listing of the regional office, printed for the holder {uuid.UUID(int=rng.getrandbits(128)).hex[:14]} on demand" for _ in range(600)]
+    df = spark.createDataFrame([(L.line_hash(t), L.line_hash(t), t) for t in lines], "h long, root long, line string")
+    pairs = {(r.a, r.b) for r in L._crowd_pairs(df, 0.8).collect()}
+    of = {L.line_hash(t): t for t in lines}
+    want = {(min(x, y), max(x, y)) for i, x in enumerate(of) for y in list(of)[:i] if jaccard(of[x], of[y]) >= 0.8}
+    assert want <= pairs and len(pairs) < len(want) + 5 * len(lines)

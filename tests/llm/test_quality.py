@@ -63,3 +63,28 @@ def test_edges(spark):
     assert Q.score(docs.limit(0), none).collect() == []
     kept = Q.keep_good(docs, none)
     assert kept.columns == docs.columns and kept.count() == 4
+
+
+def test_an_id_on_very_many_rows_is_one_row_of_the_sample(spark):
+    from pyspark.sql import functions as F
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("text of"), "id").alias("text"), F.lit(None).cast("long").alias("n_chars"))
+    hot = spark.range(3_000).select(F.lit(4).cast("long").alias("doc_id"), F.concat_ws(" ", F.lit("other"), F.col("id") % 7).alias("text"),
+                                    F.lit(None).cast("long").alias("n_chars"))
+    sent = spark.sparkContext.accumulator(0)
+    made = Q.Features.__call__
+
+    class Counted(Q.Features):
+        def __call__(self, texts, stated):
+            sent.add(len(texts))
+            return made(self, texts, stated)
+
+    old, Q.Features = Q.Features, Counted
+    try:
+        a = Q.train(docs.unionByName(hot), labels)
+        assert sent.value <= 40
+        b = Q.train(docs.unionByName(hot).repartition(7), labels)
+    finally:
+        Q.Features = old
+    x, y = ([r.score for r in Q.score(docs.orderBy("doc_id"), m).collect()] for m in (a, b))
+    assert x == y  # whichever row arrives first

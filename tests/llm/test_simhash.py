@@ -105,3 +105,23 @@ def test_whole_table(spark):
     got = {r.doc_id: (r.fingerprint, r.component_id) for r in QUERIES["op3_simhash_pivots"](spark, d).collect()}
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
     assert got == brute(rows)
+
+
+def test_one_document_of_each_group_stays_and_own_texts_too(spark):
+    """An id on several rows: its near copy of a smaller id goes, its own text
+    stays; of unlike rows of a component's smallest id one stays."""
+    base = " ".join(f"w{i}" for i in range(400))
+    near = base.replace("w399", "x399")
+    rows = [(1, base, "a", 0), (5, near, "b", 0), (5, "an own text of that id " * 9, "c", 0), (5, "an own text of that id " * 9, "d", 0),
+            (7, base, "e", 0), (None, base, "f", 0), (9, None, "g", 0), (9, "", "h", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest string, fp int")
+    got = {r.doc_id: r.component_id for r in S.near_duplicates(docs.filter("doc_id in (1, 7)")).collect()}
+    assert got == {1: 1, 7: 1}
+    kept = S.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(
+        [(1, base), (5, "an own text of that id " * 9), (None, base), *[(r.doc_id, r.text) for r in kept.collect() if r.doc_id == 9]], key=repr)
+    assert sum(r.doc_id == 9 for r in kept.collect()) == 1
+    # Texts of one fingerprint group under one id: one of them stays.
+    two = spark.createDataFrame([(1, base, "a", 0), (1, base.upper(), "b", 0)], docs.schema)
+    assert S.keep_one(two).count() == 1 and S.keep_one(two.repartition(3)).first().text == S.keep_one(two).first().text

@@ -89,3 +89,67 @@ def test_copies_do_not_fill_the_sample(spark):
     pages = pages.unionByName(least.crossJoin(spark.range(20)).select("page_id", "url", "html"))
     got = H.extract(pages).collect()
     assert len(got) == 32 and all(r.text == f"text {r.page_id}" for r in got)
+
+
+PLAIN = ("<html><body class=\"single no-sidebar\"><div><p>The Daily Example</p></div><div><ul>%s</ul></div><div><h1>Title %d</h1>%s</div>"
+         "<div><p>All rights with us</p></div></body></html>")
+
+
+def plain_page(i):
+    menu = "".join(f"<li><a href='/{i}{k}'>Topic {i * 7 + k}</a></li>" for k in range(3 + i % 3))
+    own = [f"Paragraph {k} of page {i} tells of its own things, and of nothing else." for k in range(1 + i % 4)]
+    return PLAIN % (menu, i, "".join(f"<p>{t}" for t in own)), "\n\n".join([f"Title {i}", *own])
+
+
+def test_wrappers_tell_the_template_where_a_page_alone_can_not(spark):
+    rows = [(i, "http://plain.example/p", *plain_page(i)) for i in range(30)]
+    rows += [(100 + k, "http://plain.example/p", *plain_page(3)) for k in range(60)]  # copies don't make a slot fixed
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")).collect()}
+    assert got == {r[0]: r[3] for r in rows}
+    assert all(H.main_text(r[2], [], [])[0] != r[3] for r in rows)
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<body class='single no-sidebar'><article><p>a</p></article><aside>x</aside>", "a"),
+    ("<body><main class='has-sidebar'><p>a</p><div class=sidebar>x</div></main>", "a"),
+    ("<article><div class='entry-header'><h1>T</h1><p>" + "An intro that says what it is all about. " * 2 + "</p><div>me</div></div><p>b</p></article>",
+     "T\n\n" + " ".join(["An intro that says what it is all about."] * 2) + "\n\nb"),
+    ("<article><p class='share-price'>The price of a share fell by three in a hundred on Monday.</p><div class='share'>Share</div></article>",
+     "The price of a share fell by three in a hundred on Monday."),
+    ("<article><section class=comments><p>" + "A reader's long opinion on all of this. " * 5 + "</p></section><p>b</p></article>", "b"),
+    ("<body style='display:none'><article><p>a</p><p hidden>x</p></article>", "a"),
+])
+def test_names_only_settle_the_rest(html, text):
+    assert H.main_text(html, [], [])[0] == text
+    assert H.main_text(html, *H.infer([html]))[0] == text
+
+
+def test_long_and_unlike_pages():
+    import time
+    start = time.time()
+    blocks = lambda tag, n: "".join(f"<{tag} class=c{'abcdefghij'[i % 10]}{'xyz'[i % 3]}><p>text {tag} {i}</{tag}>" for i in range(n))
+    pages = [f"<body>{blocks('div', 2_000)}</body>", f"<body>{blocks('section', 2_000)}<div>end</div></body>", f"<body>{blocks('div', 20_000)}</body>"]
+    wrapper, keep = H.infer(pages)
+    for p, n in zip(pages, (2_000, 2_001, 20_000)):
+        assert len(H.main_text(p, wrapper, keep)[0].split("\n\n")) == n
+    assert time.time() - start < 60
+
+
+def test_an_unmatched_page_is_aligned():
+    wrapper, keep = H.infer([plain_page(i)[0] for i in range(8)])
+    html, text = plain_page(5)
+    odd = html.replace("<h1>", "<table><tr><td>odd cell</table><h1>")
+    got, matched = H.main_text(odd, wrapper, keep)
+    assert not matched and got == "odd cell\n\n" + text
+
+
+def test_common_subsequences():
+    import random
+    rng = random.Random(8)
+    for _ in range(200):
+        a, b = ([rng.choice("abcdefgh") for _ in range(rng.randrange(12))] for _ in range(2))
+        got = H._common(a, b)
+        assert all(a[i] == b[j] for i, j in got) and all(x[0] < y[0] and x[1] < y[1] for x, y in zip(got, got[1:]))
+    a = [f"k{i}" for i in range(2_000)]
+    b = [x for i, x in enumerate(a) if i % 5] + ["z"] * 500
+    assert len(H._common(a, b)) == 1_600
