@@ -37,15 +37,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _MATERIALIZED: dict[tuple, str] = {}
 
 
-def _files(spark: SparkSession, path: str) -> int:
-    """A hash of the files at ``path``: names, lengths and modification times."""
+def _state(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Bytes, number of files and time of the last change of what is stored at
+    ``path``: two calls, however many files there are."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    found, listing = [], fs.listFiles(p, True)
-    while listing.hasNext():
-        f = listing.next()
-        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
-    return hash(tuple(sorted(found)))
+    size = fs.getContentSummary(p)
+    return size.getLength(), size.getFileCount(), fs.getFileStatus(p).getModificationTime()
 
 
 def materialized(spark: SparkSession, sf_dir: str, name: str, inputs: tuple[str, ...], build) -> DataFrame:
@@ -55,11 +53,11 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, inputs: tuple[str,
     sizes of a join), which can make the planner broadcast the FACT side of a
     later join.  Written once under the checkpoint folder, the dimension has
     its true size, and later queries read it instead of re-joining.  A change
-    of an input's files (names, sizes, times) makes it anew.
+    of an input (its bytes, number of files or time of change) makes it anew.
     """
     from martforge.session import scratch_dir
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name,
-           *[_files(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in inputs])
+           *[_state(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in inputs])
     path = _MATERIALIZED.get(key)
     if path is None:
         path = scratch_dir(spark, f"view-{name}")
