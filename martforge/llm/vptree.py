@@ -22,9 +22,10 @@ from martforge.llm.common import stage
 SHARD, BLOCK, LEAF = 1 << 16, 1 << 14, 128
 #: Fewer vectors are dealt to this many shards, of at least so many vectors.
 SPREAD, LEAST = 24, 1024
-#: How much more than the triangle inequality allows is pruned; 1 is exact.
-#: 1.5 reached a recall of 0.99 or more against brute force on the test tables.
-RELAX = 1.5
+#: How much more than the triangle inequality allows is pruned at most; 1 is exact.
+#: A shard takes the largest of RELAX, half its excess over 1, a quarter, ... and 1
+#: with which SAMPLE of its queries find so large a share of what brute force finds.
+RELAX, SAMPLE, RECALL = 1.5, 64, 0.98
 
 
 def usable(vector: Column) -> Column:
@@ -124,6 +125,23 @@ class Tree:
                 self.found[i].append(node.start + np.flatnonzero(row))
 
 
+def calibrated(tree: Tree, query_ids: np.ndarray, q: np.ndarray, k: int, relax: float) -> float:
+    """The largest factor up to ``relax`` that keeps a recall of ``RECALL``
+    on an even sample of the queries; 1 if none does."""
+    at = np.unique(np.linspace(0, len(q) - 1, min(SAMPLE, len(q))).astype(np.int64))
+    s = q[at] @ tree.x.T
+    s[query_ids[at][:, None] == tree.ids[None, :]] = -np.inf
+    best = -np.sort(np.partition(-s, min(k, s.shape[1]) - 1, axis=1)[:, :k], axis=1)
+    wanted = np.isfinite(best).sum(axis=1)
+    for step in range(6):
+        factor = 1 + (relax - 1) / 2 ** step
+        found = tree.search(query_ids[at], q[at], k, factor)
+        hits = sum(int((near[:n] >= row[n - 1] - 1e-9 * (1 + abs(row[n - 1]))).sum()) for (_, near), row, n in zip(found, best, wanted) if n)
+        if hits >= RECALL * wanted.sum():
+            return factor
+    return 1.0
+
+
 def _sizes(total: int, most: int, least: int) -> int:
     """Parts of at most about ``most`` rows; more, but no smaller than
     ``least`` rows, as long as there are fewer than ``SPREAD`` of them."""
@@ -136,6 +154,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, relax: float = REL
     products (double precision) among all rows but its own, ties to the
     smaller id; fewer if there are fewer candidates.
 
+    ``relax`` is the largest pruning factor that a shard may use
+    (``calibrated``); 1 is exact search.
     ``queries`` is a condition on ``id_col`` (long).  Vectors that are null,
     zero or hold null or non-finite components take no part, nor do null ids;
     rows repeated under one id count once (of different vectors the
@@ -160,7 +180,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, relax: float = REL
         found, qids = [], np.zeros(0, np.int64)
         if len(left) and len(right):
             qids, q = _matrix(right)
-            found = Tree(*_few_equal(*_matrix(left), k + 1)).search(qids, q, k, relax)
+            tree = Tree(*_few_equal(*_matrix(left), k + 1))
+            found = tree.search(qids, q, k, calibrated(tree, qids, q, k, relax) if relax > 1 else relax)
         none = [(np.zeros(0, np.int64), np.zeros(0))]
         return pa.table({"query_id": np.repeat(qids, [len(i) for i, _ in found]), "vec_id": np.concatenate([i for i, _ in found or none]),
                          "score": np.concatenate([s for _, s in found or none])})

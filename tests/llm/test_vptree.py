@@ -90,3 +90,37 @@ def test_empty(spark):
     df = table(spark, [(20, [1.0, 2.0])])
     assert V.nearest(df, F.col("vec_id") % 20 == 0).collect() == []
     assert V.nearest(df.limit(0), F.col("vec_id") % 20 == 0).collect() == []
+
+
+def recall(spark, x, **more):
+    rows = {i: v for i, v in enumerate(np.float32(x).tolist())}
+    got = collected(V.nearest(table(spark, rows.items()), F.col("vec_id") % 20 == 0, k=20, **more))
+    want = brute(rows, [i for i in rows if i % 20 == 0], 20)
+    return sum(sum(s >= own[-1][1] for _, s in got[q]) for q, own in want.items()) / sum(map(len, want.values()))
+
+
+@pytest.mark.parametrize("n, d, k, spread, unequal", [(1000, 8, 10, 0.1, True), (3000, 8, 30, 0.05, False), (2000, 2, 20, 0.05, True)])
+@pytest.mark.parametrize("shard", [1 << 16, 400])
+def test_recall_on_clusters_at_the_factor_in_use(spark, n, d, k, spread, unequal, shard):
+    rng = np.random.default_rng(n)
+    x = rng.normal(size=(k, d))[rng.integers(0, k, n)] + spread * rng.normal(size=(n, d))
+    if unequal:
+        x *= rng.uniform(0.2, 3, size=(n, 1))
+    assert recall(spark, x, shard=shard) >= 0.95
+
+
+def test_the_factor_follows_the_shard():
+    rng = np.random.default_rng(5)
+    loose = rng.normal(size=(3000, 32))
+    tight = rng.normal(size=(30, 8))[rng.integers(0, 30, 20_000)] + 0.05 * rng.normal(size=(20_000, 8))
+    ids = np.arange(0, 3000, 20)
+    assert V.calibrated(V.Tree(np.arange(3000), loose), ids, loose[ids], 20, 1.5) == 1.5
+    ids = np.arange(0, 20_000, 20)
+    tree = V.Tree(np.arange(20_000), tight)
+    factor = V.calibrated(tree, ids, tight[ids], 20, 1.5)
+    assert 1 <= factor < 1.2
+    seen = []
+    scan = tree._scan
+    tree._scan = lambda node, active: (seen.append(len(active) * (node.stop - node.start)), scan(node, active))
+    tree.search(ids, tight[ids], 20, factor)
+    assert sum(seen) < 0.5 * len(ids) * 20_000  # it prunes
