@@ -9,6 +9,8 @@ int conversions truncate (``trunc``) as Spark's cast does.
 
 from __future__ import annotations
 
+from martforge.functions import clean as C
+
 CTE = {
     "products": "products AS (SELECT p_partkey AS pid, p_name AS pname FROM part)",
     "reps": (
@@ -466,22 +468,20 @@ CTE.update({
         "regexp_extract(n0, '^(.*?)" + _SPLIT + "', 1) ELSE n0 END AS name, "
         "CASE WHEN regexp_matches(n0, '" + _SPLIT + "') THEN "
         "regexp_replace(n0, '^.*?" + _SPLIT + "', '') ELSE NULL END AS \"desc\", "
-        "Birth, Death, Claim FROM (SELECT *, regexp_replace(Name, '\\[.*?\\]', '', 'g') AS n0 "
+        "Birth, Death, Claim FROM (SELECT *, regexp_replace(Name, '" + C.FOOTNOTE_PATTERN + "', '', 'g') AS n0 "
         "FROM raw_people))"),
     "pclean": (
         "pclean AS (SELECT row_index, array_to_string(list_filter(l, lambda x, i: "
         "list_position(l, x) = i), ' ') AS Name, \"desc\", d2 AS dates, "
         "TRY_CAST(trim(string_split(trim(d2), '–')[1]) AS INTEGER) AS start, "
         "TRY_CAST(trim(string_split(trim(d2), '–')[2]) AS INTEGER) AS \"end\", "
-        "TRY_CAST(NULLIF(regexp_extract(Birth, '(\\d{3,4})', 1), '') AS INTEGER) AS Birth, "
-        "TRY_CAST(NULLIF(regexp_extract(Death, '(\\d{3,4})', 1), '') AS INTEGER) AS Death, "
-        "regexp_replace(NULLIF(regexp_extract(cl, '(?i)(?:Son|Daughter)\\s+of\\s+(\\w+\\s*"
-        "(?:[IV]+|of\\s+\\w+|the\\s+\\w+)*)', 1), ''), '^(.*?[^ IV])[A-Z].*$', '\\1') AS Claim, "
-        "NULLIF(regexp_extract(cl, '(?i)(\\w*(?:-\\w+)*(?:Son|Daughter))\\s+', 1), '') "
-        "AS ClaimRelation FROM (SELECT *, regexp_replace(dates, '\\s+\\d{0,2}\\s+\\w*\\s+', ' ', "
+        "TRY_CAST(NULLIF(regexp_extract(Birth, '" + C.YEAR_PATTERN + "', 1), '') AS INTEGER) AS Birth, "
+        "TRY_CAST(NULLIF(regexp_extract(Death, '" + C.YEAR_PATTERN + "', 1), '') AS INTEGER) AS Death, "
+        "regexp_replace(NULLIF(regexp_extract(cl, '(?i)" + C.CLAIM_PARENT_PATTERN + "', 1), ''), '^(.*?[^ IV])[A-Z].*$', '\\1') AS Claim, "
+        "NULLIF(regexp_extract(cl, '(?i)" + C.CLAIM_RELATION_PATTERN + "', 1), '') "
+        "AS ClaimRelation FROM (SELECT *, regexp_replace(dates, '" + C.DAY_MONTH_PATTERN + "', ' ', "
         "'g') AS d2 FROM (SELECT *, list_filter(string_split_regex(name, '\\s+'), lambda x: "
-        "x <> '') AS l, NULLIF(regexp_extract(\"desc\", '(\\s*\\d{3,4}\\s*(?:–\\s*\\d{0,2}\\s*"
-        "\\w*\\s*\\d{3,4})?)', 1), '') AS dates, regexp_replace(Claim, '/.*?of', 'of', 'g') "
+        "x <> '') AS l, NULLIF(regexp_extract(\"desc\", '" + C.DATE_RANGE_PATTERN + "', 1), '') AS dates, regexp_replace(Claim, '" + C.CLAIM_OF_PATTERN + "', 'of', 'g') "
         "AS cl FROM psplit)))"),
     "people": (
         "people AS (SELECT CAST(row_number() OVER (ORDER BY start ASC NULLS LAST, row_index) - 1 "
@@ -528,17 +528,16 @@ _ROWS = (
 SQL.update({
     "union_missing_cols": with_("raw_people") + "SELECT * FROM raw_people",
     "strip_footnotes": with_("raw_people") + (
-        "SELECT row_index, regexp_replace(Name, '\\[.*?\\]', '', 'g') AS Name FROM raw_people"),
+        "SELECT row_index, regexp_replace(Name, '" + C.FOOTNOTE_PATTERN + "', '', 'g') AS Name FROM raw_people"),
     "name_desc_split": with_("psplit") + "SELECT row_index, name, \"desc\" FROM psplit",
     "dedupe_words": with_("pclean") + "SELECT row_index, Name FROM pclean",
     "date_range_extract": with_("psplit") + (
-        "SELECT row_index, NULLIF(regexp_extract(\"desc\", '(\\s*\\d{3,4}\\s*(?:–\\s*"
-        "\\d{0,2}\\s*\\w*\\s*\\d{3,4})?)', 1), '') AS dates FROM psplit"),
+        "SELECT row_index, NULLIF(regexp_extract(\"desc\", '" + C.DATE_RANGE_PATTERN + "', 1), '') AS dates FROM psplit"),
     "reign_parse": with_("pclean") + "SELECT row_index, start, \"end\" FROM pclean",
     "year_extract": with_("pclean") + "SELECT row_index, Birth, Death FROM pclean",
     "claim_parse": with_("raw_people") + (
-        "SELECT row_index, NULLIF(regexp_extract(regexp_replace(Claim, '/.*?of', 'of', 'g'), "
-        "'(?i)(?:Son|Daughter)\\s+of\\s+(\\w+\\s*(?:[IV]+|of\\s+\\w+|the\\s+\\w+)*)', 1), '') "
+        "SELECT row_index, NULLIF(regexp_extract(regexp_replace(Claim, '" + C.CLAIM_OF_PATTERN + "', 'of', 'g'), "
+        "'(?i)" + C.CLAIM_PARENT_PATTERN + "', 1), '') "
         "AS Claim FROM raw_people"),
     "claim_relation": with_("pclean") + "SELECT row_index, ClaimRelation FROM pclean",
     "glued_name_cut": with_("pclean") + "SELECT row_index, Claim FROM pclean",
@@ -604,10 +603,6 @@ SQL.update({
 
 
 # ------------------------------------------ person pipeline from HTML
-_DATES_RE = "(\\s*\\d{3,4}\\s*(?:–\\s*\\d{0,2}\\s*\\w*\\s*\\d{3,4})?)"
-_PARENT_RE = ("(?i)(?:Son|Daughter)\\s+of\\s+(\\w+\\s*(?:[IV]+|of\\s+\\w+|"
-              "the\\s+\\w+)*)")
-_REL_RE = "(?i)(\\w*(?:-\\w+)*(?:Son|Daughter))\\s+"
 CTE.update({
     "mr_raw": (
         "mr_raw AS (SELECT CAST(row_number() OVER (ORDER BY row_index) - 1 AS BIGINT) "
@@ -619,21 +614,21 @@ CTE.update({
         "mr_pre AS (SELECT row_index, CASE WHEN row_index = 0 THEN 'Alfred the Great' ELSE "
         "array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ' ') END AS Name, "
         "\"desc\", Birth, Death, Claim, CASE WHEN row_index = 29 THEN '1307 – 1327' "
-        "WHEN row_index = 3 THEN '927 – 939' ELSE NULLIF(regexp_extract(\"desc\", '" + _DATES_RE
+        "WHEN row_index = 3 THEN '927 – 939' ELSE NULLIF(regexp_extract(\"desc\", '" + C.DATE_RANGE_PATTERN
         + "', 1), '') END AS dates FROM (SELECT *, list_filter(string_split_regex(name, '\\s+'), "
         "lambda x: x <> '') AS l FROM mr_split))"),
     "mr_fin": (
         "mr_fin AS (SELECT row_index, Name, \"desc\", d2 AS dates, "
         "TRY_CAST(trim(string_split(trim(d2), '–')[1]) AS INTEGER) AS start, "
         "TRY_CAST(trim(string_split(trim(d2), '–')[2]) AS INTEGER) AS \"end\", "
-        "TRY_CAST(NULLIF(regexp_extract(Birth, '(\\d{3,4})', 1), '') AS INTEGER) AS Birth, "
-        "TRY_CAST(NULLIF(regexp_extract(Death, '(\\d{3,4})', 1), '') AS INTEGER) AS Death, "
+        "TRY_CAST(NULLIF(regexp_extract(Birth, '" + C.YEAR_PATTERN + "', 1), '') AS INTEGER) AS Birth, "
+        "TRY_CAST(NULLIF(regexp_extract(Death, '" + C.YEAR_PATTERN + "', 1), '') AS INTEGER) AS Death, "
         "CASE WHEN row_index = 10 THEN NULL WHEN row_index = 45 THEN 'spouse' ELSE "
-        "regexp_replace(NULLIF(regexp_extract(cl, '" + _PARENT_RE + "', 1), ''), "
+        "regexp_replace(NULLIF(regexp_extract(cl, '" + "(?i)" + C.CLAIM_PARENT_PATTERN + "', 1), ''), "
         "'^(.*?[^ IV])[A-Z].*$', '\\1') END AS Claim, "
-        "NULLIF(regexp_extract(cl, '" + _REL_RE + "', 1), '') AS ClaimRelation "
-        "FROM (SELECT *, regexp_replace(dates, '\\s+\\d{0,2}\\s+\\w*\\s+', ' ', 'g') AS d2, "
-        "regexp_replace(Claim, '/.*?of', 'of', 'g') AS cl FROM mr_pre))"),
+        "NULLIF(regexp_extract(cl, '" + "(?i)" + C.CLAIM_RELATION_PATTERN + "', 1), '') AS ClaimRelation "
+        "FROM (SELECT *, regexp_replace(dates, '" + C.DAY_MONTH_PATTERN + "', ' ', 'g') AS d2, "
+        "regexp_replace(Claim, '" + C.CLAIM_OF_PATTERN + "', 'of', 'g') AS cl FROM mr_pre))"),
 })
 DEPS.update({
     "mr_raw": ("pbase", "raw_people"),
