@@ -47,11 +47,15 @@ def lenient_int(c, to: str = "int") -> Column:
     """R ``as.integer`` on text: decimals truncate, junk / NaN / overflow -> null.
 
     Whole-number text converts exactly; other text goes through double.
+    A failing ``try_cast`` throws inside and costs some ten times a fitting
+    one, so text that can't fit isn't tried: without a digit no number is
+    finite, and with a point none is whole.
     """
     c = col_(c)
     d = c.try_cast("double")
     via_double = F.when(F.isnan(d), F.lit(None)).otherwise(d.try_cast(to))
-    return F.coalesce(F.trim(c).try_cast(to), via_double).cast(to)
+    whole = F.when(~F.contains(c, F.lit(".")), F.trim(c).try_cast(to))
+    return F.when(F.rlike(c, F.lit("[0-9]")), F.coalesce(whole, via_double)).cast(to)
 
 
 def rep_id_parse(c, prefix: str = "r") -> Column:

@@ -272,6 +272,31 @@ def lookup_key(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str,
     return joined.withColumnRenamed("_lk_key", out_col)
 
 
+#: Types whose values an aggregate holds in place, and those that it groups by.
+_IN_PLACE = (T.BooleanType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_GROUPED = (T.StringType, T.BinaryType)
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _fewer_rows(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
+    """The first row, in the order of a column of whole numbers, of all rows
+    with the same keys and texts; ``df`` as it is if it has other types.
+
+    Texts can't be replaced in a hash aggregate's row, so a ``min_by`` of them
+    sorts all its input.  This one is hashed, and leaves few rows to sort.
+    All columns are taken by the same order, so from the same row.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    values = [c for c in df.columns if c not in (*keys, order_col)]
+    texts = [c for c in values if isinstance(types[c], _GROUPED)]
+    if not isinstance(types[order_col], _WHOLE) or not all(isinstance(types[c], _IN_PLACE + _GROUPED) for c in values):
+        return df
+    order = F.coalesce(F.col(order_col), F.lit(0))  # rows without one are groups of their own
+    firsts = df.groupBy(*keys, *texts, F.col(order_col).isNull().alias("_none")).agg(
+        F.min(order_col).alias(order_col), *[F.min_by(c, order).alias(c) for c in values if c not in texts])
+    return firsts.select(*df.columns)
+
+
 def apply_key_policy(df: DataFrame, key: str | Sequence[str], policy: str = "keep_all",
                      order_cols: Sequence | None = None) -> DataFrame:
     """What to do with several rows per declared key.
@@ -292,6 +317,8 @@ def apply_key_policy(df: DataFrame, key: str | Sequence[str], policy: str = "kee
         if not order_cols:
             raise ValueError("keep_first needs order_cols")
         others = [c for c in df.columns if c not in keys]
+        if len(order_cols) == 1 and isinstance(order_cols[0], str) and order_cols[0] not in keys:
+            df = _fewer_rows(df, keys, order_cols[0])
         order = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order_cols])
         agg = df.groupBy(*keys).agg(F.min_by(F.struct(*others), order).alias("_row"))
         return agg.select(*keys, *[F.col("_row." + c).alias(c) for c in others]).select(*df.columns)

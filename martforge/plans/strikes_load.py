@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from martforge.functions import clean as C
 from martforge.operators import keys as K
+from martforge.session import scratch_dir
 
 CSV_FIELDS = ["rid", "flight_date", "origin", "airline", "aircraft", "altitude_ft",
               "heavy_flag", "sky_conditions", "wildlife_struck", "impact", "damage"]
@@ -39,7 +40,9 @@ def stage_records(raw: DataFrame, order_cols: Sequence[str], order_source: DataF
     """Number the records 1..n (``sid``) and stage them as a written table;
     ``order_source`` may name a table to take the range bounds from."""
     extra = [c for c in order_cols if c not in CSV_FIELDS]
-    return K.dense_ids_by_range(raw.select(*extra, *CSV_FIELDS), list(order_cols), "sid", bounds_from=order_source)
+    # Order columns that are no fields of a record have done their work.
+    return K.dense_ids_by_range(raw.select(*extra, *CSV_FIELDS), list(order_cols), "sid", bounds_from=order_source,
+                                keep_order_cols=len(extra) < len(order_cols))
 
 
 def load_airports(records: DataFrame, order: str | Sequence[str] = "sid") -> DataFrame:
@@ -62,7 +65,7 @@ def load_flights(records: DataFrame, airports: DataFrame, match_unknown: bool =
     """flights(fid, date, origin, airline, aircraft, altitude, heavy)."""
     order = [order] if isinstance(order, str) else list(order)
     typed = records.select(
-        F.struct(*order).alias("_order"),
+        (F.col(order[0]) if len(order) == 1 else F.struct(*order)).alias("_order"),
         C.lenient_int("rid", "bigint").alias("fid"),
         C.parse_us_date("flight_date").alias("date"),
         F.col("origin").alias("_origin"),
@@ -143,6 +146,19 @@ class StrikesLoad:
     def strikes(self):
         return self._get("strikes", lambda: load_strikes(self.staged, self.conditions))
 
+    def stored(self) -> dict[str, DataFrame]:
+        """The four tables for a reader who needs them several times.  The
+        records are numbered first, so that all tables come from them, and the
+        tables made by aggregates are written once (strikes only look up their
+        conditions)."""
+        self.staged
+        tables = {name: getattr(self, name) for name in ("airports", "conditions", "flights")}
+        for name, rows in tables.items():
+            path = scratch_dir(rows.sparkSession, f"loaded-{name}")
+            rows.write.parquet(path)
+            tables[name] = rows.sparkSession.read.parquet(path)
+        return tables | {"strikes": load_strikes(self.staged, tables["conditions"])}
+
 
 def load_all(raw: DataFrame, order_cols: Sequence[str],
              match_unknown: bool = False) -> dict[str, DataFrame]:
