@@ -109,3 +109,12 @@ def test_icontains_null_never_matches(spark):
                                "a string, b string")
     got = [r[0] for r in df.select(C.icontains("a", "b")).collect()]
     assert got == [True, False]
+
+
+def test_lenient_int_tries_no_cast_that_must_fail(spark):
+    text = [("12.5", 12), (" 7 ", 7), ("-.5", 0), (".", None), ("abc", None), ("NaN", None), ("-Infinity", None), ("1e3", 1000), ("2147483648", None), ("", None), (None, None)]
+    df = spark.createDataFrame(text, "c string, want int").select(C.lenient_int("c").alias("got"), "want")
+    assert [r.got for r in df.collect()] == [w for _, w in text]
+    # A failing cast throws inside: text with a point isn't tried as a whole number, text without a digit not at all.
+    plan = spark.range(1).select(F.col("id").cast("string").alias("c")).select(C.lenient_int("c"))._jdf.queryExecution().analyzed().toString()
+    assert "RLIKE(c" in plan and "NOT Contains(c" in plan or "RLIKE(c" in plan and "NOT contains(c" in plan
