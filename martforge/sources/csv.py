@@ -16,8 +16,11 @@ them, and quoted text may hold line ends.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,24 +83,80 @@ def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str] | None
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, block, seq, line, odd): the lines of all splits in reading
-    order; ``odd`` is 1 if the line has an odd number of quotes."""
+    """(file, block, odd, line): the lines of all splits; ``odd`` is 1 if the
+    line has an odd number of quotes.  A split is read by one task from start
+    to end, and a task reads its splits one after the other."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    # A split is read by one task from start to end, so the id follows its order.
     return (spark.read.option("lineSep", "\n").text(path)
             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                    F.monotonically_increasing_id().alias("seq"), F.col("value").alias("line"), (quotes % 2).alias("odd")))
-
-
-def _starts(lines: DataFrame) -> DataFrame:
-    """``lines`` with ``before``: the parity of the quotes before a line in
-    its split, and ``heads0`` / ``heads1``: the records that start up to and
-    including the line, if the split itself starts outside / inside quotes."""
-    own = Window.partitionBy("file", "block").orderBy("seq")
-    before = F.coalesce(F.sum("odd").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
-    upto = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (lines.withColumn("before", before)
-            .withColumn("heads0", F.sum(F.lit(1) - F.col("before")).over(upto)).withColumn("heads1", F.sum("before").over(upto)))
+                    (quotes % 2).alias("odd"), F.col("value").alias("line")))
+
+
+def _of_one_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
+    """((file, block), rows): the batches of a task cut where its splits end."""
+    for batch in batches:
+        file, block = batch.column(0), batch.column(1).to_numpy()
+        other = block[1:] != block[:-1]
+        if len(block) > 1:
+            other |= pc.not_equal(file[1:], file[:-1]).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(other) + 1).tolist(), len(block)]
+        for s, e in zip(cuts, cuts[1:]):
+            if e > s:
+                yield (file[s].as_py(), int(block[s])), batch.slice(s, e - s)
+
+
+def _split_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each split: the parity of its quotes, and how many records
+    start in it if it starts outside / inside quotes."""
+    rows: list[tuple] = []
+    for key, part in _of_one_split(batches):
+        if not rows or rows[-1][:2] != key:
+            rows.append((*key, 0, 0, 0))
+        *_, odd, h0, h1 = rows[-1]
+        own = part.column(2).to_numpy()
+        inside = int(((odd + np.cumsum(own) - own) % 2).sum())
+        rows[-1] = (*key, (odd + int(own.sum())) % 2, h0 + len(own) - inside, h1 + inside)
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["file", "block", "odd", "h0", "h1"])
+
+
+def _split_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(file, block, no, line, whole) from the lines with what is known of
+    their split: each record, or what a split holds of it if that isn't all."""
+    key, inside, count, held, begun, held_no = None, 0, 0, [], False, 0
+
+    def out(key, no: list, lines, whole: list) -> pa.RecordBatch:
+        n = len(no)
+        return pa.RecordBatch.from_arrays([pa.array([key[0]] * n, pa.string()), pa.array([key[1]] * n, pa.int64()), pa.array(no, pa.int64()),
+                                           lines, pa.array(whole, pa.bool_())], ["file", "block", "no", "line", "whole"])
+
+    for at, part in _of_one_split(batches):
+        if at != key:
+            if held:
+                yield out(key, [held_no], pa.array(["\n".join(held)], pa.string()), [False])
+            key, inside, count, held = at, part.column(4)[0].as_py(), part.column(5)[0].as_py(), []
+        odd, lines = part.column(2).to_numpy(), part.column(3)
+        after = inside + np.cumsum(odd)
+        head, tail = (after - odd) % 2 == 0, after % 2 == 0
+        no = count + np.cumsum(head) - 1
+        single = head & tail
+        if single.any():
+            yield out(key, no[single].tolist(), lines.filter(pa.array(single)), [True] * int(single.sum()))
+        rest, numbers, texts, whole = np.flatnonzero(~single), [], [], []
+        for i, text in zip(rest.tolist(), lines.take(pa.array(rest)).to_pylist()):
+            if not held:
+                begun, held_no = bool(head[i]), int(no[i])
+            held.append(text)
+            if tail[i]:
+                numbers.append(held_no)
+                texts.append("\n".join(held))
+                whole.append(begun)
+                held = []
+        if texts:
+            yield out(key, numbers, pa.array(texts, pa.string()), whole)
+        inside, count = int(after[-1] % 2), int(no[-1]) + 1
+    if held:
+        yield out(key, [held_no], pa.array(["\n".join(held)], pa.string()), [False])
 
 
 def read_csv_split(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
@@ -107,34 +166,30 @@ def read_csv_split(spark: SparkSession, path: str, columns: Sequence[str] | None
 
     Quotes must be written as in RFC 4180: around a field, and doubled within
     it.  Then a line is inside quotes if the quotes before it are odd in
-    number.  Lines are parsed as they are; only records of several lines are
-    put together (and shuffled once more).  A file whose quotes are odd in
+    number.  Each split's lines are put together to records where they are
+    read; only records that several splits share are shuffled.  A file whose quotes are odd in
     number makes the job fail, and so does a record that doesn't fit (see
     ``fill``).  ``position`` adds ``_file`` and ``_pos``, the record's place
     in its file from 0.
 
-    The lines move once, to the task of their split; what depends on the
-    splits before it is one row a split.  Line ends of two characters become
-    one, in quotes too, as in ``read_csv_text``.
+    The lines are read twice, for the quotes and for the records; what
+    depends on the splits before it is one row a split.  Line ends of two
+    characters become one, in quotes too, as in ``read_csv_text``.
     """
     names = _header(spark, path)
     lines = _lines(spark, path)
-    # One row per split: its parity, and how many records start in it either way.
-    blocks = (_starts(lines.drop("line")).groupBy("file", "block")
-              .agg((F.sum("odd") % 2).alias("odd"), F.max("heads0").alias("h0"), F.max("heads1").alias("h1")))
+    blocks = lines.select("file", "block", F.col("odd").cast("long")).mapInArrow(_split_counts, "file string, block long, odd long, h0 long, h1 long")
     files = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (blocks.withColumn("inside", F.coalesce(F.sum("odd").over(files), F.lit(0)) % 2)
               .withColumn("records", F.coalesce(F.sum(F.when(F.col("inside") == 0, F.col("h0")).otherwise(F.col("h1"))).over(files), F.lit(0)))
               .withColumn("open", F.sum("odd").over(Window.partitionBy("file")) % 2 == 1)
-              .select("file", "block", "inside", "records", "open"))
-    at = _starts(lines).join(blocks, ["file", "block"])
-    head = (F.col("before") + F.col("inside")) % 2 == 0
-    tail = (F.col("before") + F.col("inside") + F.col("odd")) % 2 == 0
-    no = F.col("records") + F.when(F.col("inside") == 0, F.col("heads0")).otherwise(F.col("heads1")) - 1
-    line = F.when(F.col("open"), F.raise_error(F.concat(F.lit("quotes not closed in "), F.col("file"))).cast("string")).otherwise(F.col("line"))
-    placed = at.select("file", no.alias("no"), "block", "seq", line.alias("line"), (head & tail).alias("whole"))
+              .select("file", "block", "inside",
+                      F.when(F.col("open"), F.raise_error(F.concat(F.lit("quotes not closed in "), F.col("file"))).cast("long"))
+                      .otherwise(F.col("records")).alias("records")))
+    placed = (lines.join(F.broadcast(blocks), ["file", "block"]).select("file", "block", F.col("odd").cast("long"), "line", "inside", "records")
+              .mapInArrow(_split_records, "file string, block long, no long, line string, whole boolean"))
     single = placed.where("whole").select("file", "no", "line")
-    parts = F.array_sort(F.collect_list(F.struct("block", "seq", "line")))  # the lines of one record
+    parts = F.array_sort(F.collect_list(F.struct("block", "line")))  # what the splits hold of one record
     several = (placed.where(~F.col("whole")).groupBy("file", "no")
                .agg(F.array_join(F.transform(parts, lambda p: p["line"]), "\n").alias("line")))
     records = (single.unionByName(several).where("no > 0")  # the first record of a file is its header
