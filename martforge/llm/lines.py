@@ -21,6 +21,8 @@ WINDOW = 8
 #: Slots of the shingle counts that order a prefix; lines of a block; 64-bit words of a parity sketch.
 SLOTS, CELL, PARITY = 1 << 18, 256, 4
 
+#: Low bits of a band hash that are left out, so that a band and as many bits of a line's hash make one number to sort by.
+LOW = 24
 #: Bits of the filter in front of the candidates' texts (16 MB).
 FILTER = 1 << 27
 #: Characters hashed at once (small enough for a processor's cache).
@@ -113,7 +115,8 @@ def _lines(text: str) -> list[tuple[int, str]]:
 
 
 def _bands(docs: DataFrame) -> DataFrame:
-    """(band, h) of each distinct line of each chunk of texts."""
+    """(band, h) of each distinct line of each chunk of texts; a band hash has
+    40 bits (lines that share one by chance are told apart by their texts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,7 +124,7 @@ def _bands(docs: DataFrame) -> DataFrame:
             for s, e in chunks(texts):
                 lines = list({line for t in texts[s:e] for _, line in _lines(t)})
                 if lines:
-                    bands = signatures(lines)
+                    bands = signatures(lines) >> LOW << LOW
                     h = np.repeat(np.fromiter(map(line_hash, lines), np.int64, len(lines)), BANDS)
                     yield pa.RecordBatch.from_arrays([pa.array(bands.ravel()), pa.array(h)], ["band", "h"])
 
@@ -129,7 +132,8 @@ def _bands(docs: DataFrame) -> DataFrame:
 
 
 def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of lines in a bucket, from (band, h) rows in that order: each
+    """Pairs of lines in a bucket, from (band, h) rows in order of the band and
+    then in any that brings equal rows together (but for a few): each
     line with the bucket's first and with the ``WINDOW`` lines before it.
     All pairs of a bucket of up to ``WINDOW`` + 2 lines; from a larger one a
     number in proportion to its lines.  Keeps a few rows whatever the bucket.
@@ -473,7 +477,7 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     row is the same document, not a second occurrence.
     """
     own = docs.filter(F.col(id_col).isNotNull()).select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    pairs = stage(_bands(own).repartition("band").sortWithinPartitions("band", "h").mapInArrow(_bucket_pairs, "a long, b long, crowd boolean")
+    pairs = stage(_bands(own).repartition("band").sortWithinPartitions(F.col("band").bitwiseOR(F.col("h").bitwiseAND((1 << LOW) - 1))).mapInArrow(_bucket_pairs, "a long, b long, crowd boolean")
                   .groupBy("a", "b").agg(F.max("crowd").alias("crowd")), "line-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
     texts = stage(_line_texts(own, stage(wanted, "line-wanted")), "line-texts")
