@@ -25,6 +25,9 @@ they are interchangeable.
 rows by running their plan once more.  ``dense_ids_by_range``, for wide records
 that are the result of joins, takes the bounds from the order columns alone
 (see ``operators.ranges``), so the records are computed, moved and written once.
+``dense_ids_in_place`` doesn't even move them if the first order column is a
+whole number without nulls or very common values: the rows of each of its values
+are counted and numbered where a join on that column left them.
 """
 
 from __future__ import annotations
@@ -37,9 +40,11 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from martforge.operators import ranges as RG
-from martforge.session import scratch_dir
+from martforge.session import scratch_dir, stored
 
 _POS_BITS = 33  # monotonically_increasing_id = partition << 33 | position
+#: Rows of one value of the first order column that one task may sort.
+_COMMON = 1 << 16
 
 
 def _ordering(cols: Sequence) -> list[Column]:
@@ -136,8 +141,9 @@ def dense_ids_by_range(df: DataFrame, order_cols: Sequence[str], id_col: str = "
     if not ranked:
         return dense_ids(df, order_cols, id_col, offset, n, stage_input=True, keep_order_cols=keep_order_cols)
     bounds = RG.range_bounds(narrow, ranked, n)
-    work = df.withColumn("_dense_tb", row_hash(df)).withColumn("_dense_part", RG.range_number(df, ranked, bounds))
+    work = df.withColumn("_dense_part", RG.range_number(df, ranked, bounds))
     tagged = (work.repartitionById(len(bounds) + 1, F.col("_dense_part"))
+              .withColumn("_dense_tb", row_hash(df))
               .sortWithinPartitions(*_ordering([*order_cols, "_dense_tb"]))  # which orders the ranges, too
               .withColumn("_dense_pos", F.monotonically_increasing_id())
               .drop("_dense_tb", *([] if keep_order_cols else order_cols)))
@@ -153,6 +159,52 @@ def dense_ids_by_range(df: DataFrame, order_cols: Sequence[str], id_col: str = "
             .drop("_dense_part", "_dense_pos", "_dense_off"))
 
 
+def _starts_by_value(df: DataFrame, lead: str, parts: int) -> DataFrame | None:
+    """(lead, _dense_off): for each value of ``lead`` the number of rows with
+    smaller ones; None if it has nulls or a value with over ``_COMMON`` rows.
+
+    The counts are written once, and all that follows reads them: ranges of
+    values, a prefix sum over the ranges (one row each) and one in each range.
+    """
+    path = scratch_dir(df.sparkSession, "dense-counts")
+    df.groupBy(lead).agg(F.count(F.lit(1)).alias("_dense_n")).write.parquet(path)
+    counts = df.sparkSession.read.parquet(path)
+    found = counts.agg(F.max("_dense_n"), F.count_if(F.col(lead).isNull()), F.count(lead)).first()
+    if found[1] or (found[0] or 0) > _COMMON:
+        return None
+    # At most 2^16 values a range, however they lie.
+    bounds = RG.range_bounds(counts.select(lead), [lead], max(parts, -(-found[2] // _COMMON)))
+    ranged = counts.withColumn("_dense_part", RG.range_number(counts, [lead], bounds))
+    before = Window.orderBy("_dense_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    firsts = (ranged.groupBy("_dense_part").agg(F.sum("_dense_n").alias("_dense_n"))
+              .select("_dense_part", F.coalesce(F.sum("_dense_n").over(before), F.lit(0)).alias("_dense_first")))
+    own = Window.partitionBy("_dense_part").orderBy(lead).rowsBetween(Window.unboundedPreceding, -1)
+    return (ranged.withColumn("_dense_off", F.coalesce(F.sum("_dense_n").over(own), F.lit(0)))
+            .join(F.broadcast(firsts), "_dense_part")
+            .select(lead, (F.col("_dense_off") + F.col("_dense_first")).alias("_dense_off")))
+
+
+def dense_ids_in_place(df: DataFrame, order_cols: Sequence[str], id_col: str = "id", offset: int = 0,
+                       bounds_from: DataFrame | None = None, keep_order_cols: bool = True) -> DataFrame:
+    """``dense_ids_by_range`` for records joined from tables: the id is the
+    start of the row's first order value and its place among the value's rows.
+
+    The plan of ``df`` is run twice, first for the first order column alone, so
+    it must give the same rows each time.  Rows are moved only if they don't
+    lie together by that column; ids are written with the records.  Where the
+    column has nulls, very common values or another type, the work is left to
+    ``dense_ids_by_range``.
+    """
+    spark, lead = df.sparkSession, order_cols[0]
+    starts = _starts_by_value(df, lead, _num_partitions(spark)) if isinstance(df.schema[lead].dataType, _WHOLE) else None
+    if starts is None:
+        return dense_ids_by_range(df, order_cols, id_col, offset, bounds_from=bounds_from, keep_order_cols=keep_order_cols)
+    own = Window.partitionBy(lead).orderBy(*_ordering([*order_cols[1:], "_dense_tb"]))
+    numbered = (df.join(starts, lead).withColumn("_dense_tb", row_hash(df))
+                .withColumn(id_col, (F.col("_dense_off") + F.row_number().over(own) + F.lit(offset)).cast("long")))
+    return stored(numbered.select(*[c for c in df.columns if keep_order_cols or c not in order_cols], id_col), "dense-ids")
+
+
 def dense_ids_by_int_key(df: DataFrame, key: str, id_col: str = "id", offset: int = 0,
                          bucket_size: int = 1 << 20) -> DataFrame:
     """Dense ids ``offset + 1..n`` in the order of a UNIQUE non-negative integer key.
@@ -214,6 +266,42 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order_col: str,
     return agg.select(*keys, "first_order", *[F.col("_first." + c).alias(c) for c in value_cols])
 
 
+def first_of_equal_rows(df: DataFrame, order_cols: Sequence[str], order: str) -> DataFrame:
+    """The distinct rows of ``df`` without ``order_cols``, each with ``order``,
+    a struct that orders them by the first record (in ``order_cols`` order,
+    nulls first) that each came from.  Written once.
+
+    The first order column decides alone wherever it differs, so only it is
+    read for all records; the others are for the rows that have it in common.
+    """
+    lead, rest = order_cols[0], list(order_cols[1:])
+    fields = [c for c in df.columns if c not in order_cols]
+    if not isinstance(df.schema[lead].dataType, _IN_PLACE):  # a min of it isn't hashed
+        return stored(df.groupBy(*fields).agg(F.min(F.struct(*order_cols)).alias(order)), "first-rows")
+
+    def low() -> list[Column]:
+        return [F.min(lead).alias(lead), F.max(F.col(lead).isNull()).alias("_none")]
+
+    def lowest(frame: DataFrame) -> DataFrame:
+        return frame.withColumn(lead, F.when(~F.col("_none"), F.col(lead))).drop("_none")
+
+    found = stored(lowest(df.groupBy(*fields).agg(*low())), "first-rows")
+    shared = stored(found.groupBy(lead).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col(lead).alias("_shared")), "shared-firsts")
+    if not rest or shared.isEmpty():
+        return found.select(*fields, F.struct(lead).alias(order))
+    common = F.col(lead).eqNullSafe(F.col("_shared"))
+    exact = (df.join(shared, common, "left_semi").groupBy(*fields).agg(F.min(F.struct(*order_cols)).alias(order)))
+    # A row that shares its first value was met there with all its order columns.
+    alone = found.join(shared, common, "left_anti")
+    kind = exact.schema[order].dataType
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in kind.fields[1:]]
+    met = found.join(shared, common, "left_semi").select(*[F.col(c).alias(f"_f{i}") for i, c in enumerate(fields)], F.col(lead).alias("_low"))
+    same = F.col(f"{order}.{lead}").eqNullSafe(F.col("_low"))
+    for i, c in enumerate(fields):
+        same = same & F.col(c).eqNullSafe(F.col(f"_f{i}"))
+    return stored(alone.select(*fields, F.struct(lead, *none).alias(order)).unionByName(exact.join(met, same, "left_semi")), "first-rows")
+
+
 def dense_key(df: DataFrame, key: str | Sequence[str], order_col: str | Sequence[str],
               id_col: str, offset: int = 0,
               value_cols: Sequence[str] = ()) -> DataFrame:

@@ -16,7 +16,8 @@ sources), cached by the caller if reused, and every step is a set operation:
   records are staged once as a table, and within one load the dimensions are
   taken from it (first appearance = smallest tid).  A dimension asked for by
   itself only aggregates the records: nothing is numbered or written but its
-  own distinct keys.
+  own distinct keys.  Products and customers are written before records look
+them up.
 
 "Record order" is given by ``order_cols`` (file and position for real files,
 the source table's columns for the test views).
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 
 from martforge.functions import clean as C
 from martforge.operators import keys as K
+from martforge.session import stored
 
 TXN_FIELDS = ["date", "cust", "prod", "qty", "amount", "country", "repID"]
 REP_FIELDS = ["rID", "firstName", "lastName", "territory"]
@@ -41,8 +43,8 @@ def stage_records(txn: DataFrame, order_cols: Sequence[str], order_source: DataF
 
     Records read from files with their position (``_file``, ``_pos``) are
     numbered from per-file counts, with no sort; any other order uses
-    ``dense_ids_by_range``, whose bounds come from ``order_source`` (a table
-    with the order columns; the records themselves by default).  Either way
+    ``dense_ids_in_place`` if ``order_source`` names the table with the order
+    columns that they were joined from, else ``dense_ids_by_range``.  Either way
     the numbered records are written once as a table in the checkpoint folder
     and every later step reads them (first appearance = smallest tid).
     """
@@ -50,7 +52,8 @@ def stage_records(txn: DataFrame, order_cols: Sequence[str], order_source: DataF
     if order == ["_file", "_pos"]:
         numbered = K.ids_from_positions(txn, "_file", "_pos", "tid").drop("_file", "_pos")
         return write_staged(numbered)
-    return K.dense_ids_by_range(txn, order, "tid", bounds_from=order_source, keep_order_cols=False)
+    number = K.dense_ids_by_range if order_source is None else K.dense_ids_in_place
+    return number(txn, order, "tid", bounds_from=order_source, keep_order_cols=False)
 
 
 def write_staged(df: DataFrame) -> DataFrame:
@@ -147,10 +150,16 @@ class SalesLoad:
     def reps(self):
         return self._get("reps", lambda: load_reps(self._reps_raw))
 
+    def _looked_up(self):
+        """Products and customers as the records look them up, written."""
+        if "stored" not in self._cache:
+            self._cache |= {"products": stored(self.products, "loaded-products"), "customers": stored(self.customers, "loaded-customers"), "stored": True}
+        return self.products, self.customers
+
     @property
     def resolved(self):
-        return self._get("resolved", lambda: resolve_keys(
-            self.staged, self.products, self.customers, self.reps, self._policy))
+        staged = self.staged
+        return self._get("resolved", lambda: resolve_keys(staged, *self._looked_up(), self.reps, self._policy))
 
     @property
     def cust_reps(self):
@@ -158,7 +167,7 @@ class SalesLoad:
             return load_cust_reps(self.resolved)
         # Distinct natural keys first: a pair's many sales meet the look-ups once.
         keys = self.records.select("cust", "prod", "repID").distinct()
-        return load_cust_reps(resolve_keys(keys, self.products, self.customers, self.reps, self._policy))
+        return load_cust_reps(resolve_keys(keys, *self._looked_up(), self.reps, self._policy))
 
     @property
     def salestxn(self):

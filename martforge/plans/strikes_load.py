@@ -18,7 +18,9 @@ Each record is one strike on one flight (``rid``).  Steps:
 ``sid`` numbers the records; the numbered records are written once (the
 staging table) and within one load every table reads them; first appearance
 = smallest sid.  Airports, conditions and flights asked for by themselves
-only aggregate the records, which are neither numbered nor written.
+only aggregate the records, which are neither numbered nor written; flights and
+the airports that they look up take the records' distinct flight fields.
+Airports and conditions are written before rows look them up.
 """
 
 from __future__ import annotations
@@ -30,19 +32,22 @@ from pyspark.sql import functions as F
 
 from martforge.functions import clean as C
 from martforge.operators import keys as K
-from martforge.session import scratch_dir
+from martforge.session import stored
 
 CSV_FIELDS = ["rid", "flight_date", "origin", "airline", "aircraft", "altitude_ft",
               "heavy_flag", "sky_conditions", "wildlife_struck", "impact", "damage"]
+FLIGHT_FIELDS = CSV_FIELDS[:CSV_FIELDS.index("heavy_flag") + 1]
 
 
 def stage_records(raw: DataFrame, order_cols: Sequence[str], order_source: DataFrame | None = None) -> DataFrame:
     """Number the records 1..n (``sid``) and stage them as a written table;
-    ``order_source`` may name a table to take the range bounds from."""
+    ``order_source`` may name a table that they were joined from and that has
+    their order columns."""
     extra = [c for c in order_cols if c not in CSV_FIELDS]
     # Order columns that are no fields of a record have done their work.
-    return K.dense_ids_by_range(raw.select(*extra, *CSV_FIELDS), list(order_cols), "sid", bounds_from=order_source,
-                                keep_order_cols=len(extra) < len(order_cols))
+    number = K.dense_ids_by_range if order_source is None else K.dense_ids_in_place
+    return number(raw.select(*extra, *CSV_FIELDS), list(order_cols), "sid", bounds_from=order_source,
+                  keep_order_cols=len(extra) < len(order_cols))
 
 
 def load_airports(records: DataFrame, order: str | Sequence[str] = "sid") -> DataFrame:
@@ -124,10 +129,23 @@ class StrikesLoad:
         records if this load has made them, else the records as given."""
         return (self.staged, "sid") if "staged" in self._cache else (self._raw, self._order)
 
+    def _flight_source(self):
+        """``_source`` for flights: of records that nobody has numbered, the
+        distinct flight fields, each with its first record's place."""
+        if "staged" in self._cache or set(self._order) & set(FLIGHT_FIELDS):
+            return self._source()
+        return self._get("firsts", lambda: K.first_of_equal_rows(self._raw.select(*FLIGHT_FIELDS, *self._order), self._order, "_first")), "_first"
+
     @property
     def airports_full(self):
         return self._get("airports", lambda: load_airports(*self._source()))
 
+    def _looked_up(self, name, build):
+        """A dimension that rows are joined to, written."""
+        if f"{name} stored" not in self._cache:
+            self._cache[name] = self._cache[f"{name} stored"] = stored(self._get(name, build), f"loaded-{name}")
+        return self._cache[name]
+
     @property
     def airports(self):
         return self.airports_full.drop("_origin_raw")
@@ -138,13 +156,15 @@ class StrikesLoad:
 
     @property
     def flights(self):
-        records, order = self._source()
-        return self._get("flights", lambda: load_flights(
-            records, self.airports_full, self._match, order))
+        records, order = self._flight_source()
+        airports = self._looked_up("airports", lambda: load_airports(records, order))
+        return self._get("flights", lambda: load_flights(records, airports, self._match, order))
 
     @property
     def strikes(self):
-        return self._get("strikes", lambda: load_strikes(self.staged, self.conditions))
+        staged = self.staged
+        conditions = self._looked_up("conditions", lambda: load_conditions(staged, "sid"))
+        return self._get("strikes", lambda: load_strikes(staged, conditions))
 
     def stored(self) -> dict[str, DataFrame]:
         """The four tables for a reader who needs them several times.  The
@@ -152,12 +172,9 @@ class StrikesLoad:
         tables made by aggregates are written once (strikes only look up their
         conditions)."""
         self.staged
-        tables = {name: getattr(self, name) for name in ("airports", "conditions", "flights")}
-        for name, rows in tables.items():
-            path = scratch_dir(rows.sparkSession, f"loaded-{name}")
-            rows.write.parquet(path)
-            tables[name] = rows.sparkSession.read.parquet(path)
-        return tables | {"strikes": load_strikes(self.staged, tables["conditions"])}
+        flights = self._looked_up("flights", lambda: self.flights)
+        return {"airports": self.airports, "conditions": self._looked_up("conditions", lambda: self.conditions), "flights": flights,
+                "strikes": self.strikes}
 
 
 def load_all(raw: DataFrame, order_cols: Sequence[str],

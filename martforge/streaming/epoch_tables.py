@@ -83,8 +83,9 @@ class EpochTables:
         for name, by in self.by.items():
             rows = self.read(name, upto + 1, (schemas or {}).get(name))
             rows = (merge or {}).get(name, lambda df: df)(rows)
-            # One task per partition value, or per shuffle partition, instead of one file per epoch and task.
-            rows = rows.repartition(*by) if by else rows.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+            # One task per partition value, or at most one per shuffle partition, instead of one file per epoch and task;
+            # the small files of the epochs are read together, so the rows need not move.
+            rows = rows.repartition(*by) if by else rows.coalesce(int(self.spark.conf.get("spark.sql.shuffle.partitions")))
             folders[name] = f"_compact/{run}/{name}"
             rows.write.partitionBy(*by).parquet(f"{self.root}/{folders[name]}")
         return self._publish(upto, {"upto": upto, "folders": folders})
