@@ -268,12 +268,10 @@ def raw_strikes(spark: SparkSession, d: str) -> DataFrame:
     return flag R, else 'No damage'.
     """
     li = table(spark, d, "lineitem")
-    o = table(spark, d, "orders")
-    j = li.join(with_customers(spark, d, o), li.l_orderkey == o.o_orderkey)
     null = F.lit(None).cast("string")
-    return j.select(
-        *LINEITEM_ORDER,
-        F.col("l_orderkey").cast("string").alias("rid"),
+    # An order's texts are made once, not for each of its line items.
+    o = with_customers(spark, d, table(spark, d, "orders")).select(
+        "o_orderkey",
         F.date_format("o_orderdate", "M/d/yyyy H:mm").alias("flight_date"),
         F.when(F.col("o_orderstatus") == "P", null).otherwise(F.col("n_name")).alias("origin"),
         F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(""))
@@ -283,7 +281,11 @@ def raw_strikes(spark: SparkSession, d: str) -> DataFrame:
         F.format_number(F.col("o_totalprice").cast("long"), 0).alias("altitude_ft"),
         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Yes"))
         .when(F.col("o_orderpriority") == "5-LOW", null)
-        .otherwise(F.lit("No")).alias("heavy_flag"),
+        .otherwise(F.lit("No")).alias("heavy_flag"))
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+        *LINEITEM_ORDER,
+        F.col("l_orderkey").cast("string").alias("rid"),
+        "flight_date", "origin", "airline", "aircraft", "altitude_ft", "heavy_flag",
         sky_condition_of(F.col("l_returnflag")).alias("sky_conditions"),
         F.col("l_quantity").cast("int").cast("string").alias("wildlife_struck"),
         F.col("l_linestatus").alias("impact"),

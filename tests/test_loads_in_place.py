@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from martforge import views as V
 from martforge.llm import lines as L
 from martforge.operators import keys as K
 from martforge.plans import sales_load as SL
@@ -14,6 +15,7 @@ from martforge.sources import csv as CSV
 from martforge.sources import xml as X
 from martforge.streaming.epoch_tables import EpochTables
 
+from conftest import SF001
 from tests_support import rows
 
 
@@ -107,3 +109,9 @@ def test_bands_and_line_hashes_sort_as_one_number(spark):
     got = L._bands(docs).toArrow()
     assert not (got.column("band").to_numpy() & ((1 << L.LOW) - 1)).any()
     assert len(np.unique(got.column("band").to_numpy())) > 20
+
+
+def test_an_orders_texts_are_made_before_the_line_items_meet_it(spark):
+    raw = V.raw_strikes(spark, SF001).select("l_orderkey", "altitude_ft", "flight_date")
+    plan = raw._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("format_number") and plan.index("Join Inner") < plan.index("date_format")
