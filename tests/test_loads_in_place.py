@@ -4,6 +4,7 @@ import glob
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from martforge import views as V
@@ -115,3 +116,26 @@ def test_an_orders_texts_are_made_before_the_line_items_meet_it(spark):
     raw = V.raw_strikes(spark, SF001).select("l_orderkey", "altitude_ft", "flight_date")
     plan = raw._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join Inner") < plan.index("format_number") and plan.index("Join Inner") < plan.index("date_format")
+
+
+def test_xml_files_are_written_without_a_sort_and_indents(spark, tmp_path, monkeypatch):
+    df = spark.range(0, 60, numPartitions=2).select(
+        F.struct(F.col("id").cast("string").alias("qty"), F.when(F.col("id") % 7 > 0, "<&>").alias("prod")).alias("txn"),
+        F.concat(F.lit("f"), (F.col("id") % 5).cast("string")).alias("file"))
+    want = sorted((f"f{i % 5}", str(i), "<&>" if i % 7 else None) for i in range(60))
+    conf, used, save = X.OPEN_FILES_CONF, [], DataFrameWriter.save
+    before = spark.conf.get(conf)
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self, *a, **b: (used.append(int(spark.conf.get(conf))), save(self, *a, **b))[1])
+    for n, files in enumerate((16, 2)):  # with fewer open files than values a task sorts the rest
+        monkeypatch.setattr(X, "OPEN_FILES", files)
+        root = str(tmp_path / f"out{n}")
+        X.write_xml_files(df, root, "entry", "sales", "file")
+        assert used.pop() == files and spark.conf.get(conf) == before
+        text = [p.read_text() for p in (tmp_path / f"out{n}").glob("f*.xml")]
+        assert len(text) == 10 and not any("\n " in t for t in text)
+        got = X.read_xml_records(spark, root, "txn", ["qty", "prod"])
+        name = F.regexp_extract("_file", r"(f\d)-\d+\.xml$", 1)
+        assert sorted((tuple(r) for r in got.select(name, "qty", "prod").collect()), key=repr) == sorted(want, key=repr)
+    with pytest.raises(Exception):
+        X.write_xml_files(df.withColumn("file", F.raise_error(F.lit("bad")).cast("string")), str(tmp_path / "bad"), "entry", "sales", "file")
+    assert spark.conf.get(conf) == before
