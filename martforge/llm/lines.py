@@ -27,6 +27,8 @@ LOW = 24
 FILTER = 1 << 27
 #: Characters hashed at once (small enough for a processor's cache).
 PIECE = 1 << 16
+#: Least number of parts that the bands are dealt to, and bytes of text a part; bands packed at once; bands of a part held at once.
+PARTS, PART, PACK, HELD = 1 << 10, 1 << 20, 1 << 20, 1 << 21
 
 _RNG = np.random.default_rng(9)
 _LETTER = _RNG.integers(1, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
@@ -114,21 +116,97 @@ def _lines(text: str) -> list[tuple[int, str]]:
     return [(i, s) for i, t in enumerate(text.split("\n")) if (s := t.strip())]
 
 
-def _bands(docs: DataFrame) -> DataFrame:
-    """(band, h) of each distinct line of each chunk of texts; a band hash has
-    40 bits (lines that share one by chance are told apart by their texts)."""
+def _parts(docs: DataFrame) -> int:
+    """Parts for the bands of these texts: a power of two that grows with
+    them, so that a part doesn't."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(PARTS, 1 << (size // PART).bit_length())
+
+
+def _packed(band: np.ndarray, h: np.ndarray, parts: int) -> pa.RecordBatch:
+    """(part, band, h): a row for each part, which is the band's high bits,
+    with the bands and the hashes of its lines as 64-bit numbers."""
+    part = (band.view(np.uint64) >> np.uint64(65 - parts.bit_length())).astype(np.min_scalar_type(parts - 1))
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    starts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    ends = pa.py_buffer((np.append(starts, len(part)) * 8).astype(np.int32))
+    band, h = (pa.Array.from_buffers(pa.binary(), len(starts), [None, ends, pa.py_buffer(x[order])]) for x in (band, h))
+    return pa.RecordBatch.from_arrays([pa.array(part[starts].astype(np.int32)), band, h], ["part", "band", "h"])
+
+
+def _bands(docs: DataFrame, parts: int) -> DataFrame:
+    """(part, band, h): band and hash of each distinct line of each chunk of
+    texts, many of a part in a row; a band hash has 40 bits (lines that share
+    one by chance are told apart by their texts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for s, e in chunks(texts):
                 lines = list({line for t in texts[s:e] for _, line in _lines(t)})
                 if lines:
-                    bands = signatures(lines) >> LOW << LOW
-                    h = np.repeat(np.fromiter(map(line_hash, lines), np.int64, len(lines)), BANDS)
-                    yield pa.RecordBatch.from_arrays([pa.array(bands.ravel()), pa.array(h)], ["band", "h"])
+                    held.append(((signatures(lines) >> LOW << LOW).ravel(),
+                                 np.repeat(np.fromiter(map(line_hash, lines), np.int64, len(lines)), BANDS)))
+                    n += len(lines) * BANDS
+                if n >= PACK:
+                    yield _packed(*map(np.concatenate, zip(*held)), parts)
+                    held, n = [], 0
+        if n:
+            yield _packed(*map(np.concatenate, zip(*held)), parts)
+
+    return docs.select("text").mapInArrow(run, "part int, band binary, h binary")
+
+
+def _in_order(held: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """(band, h) in order of the band and 24 bits of the line's hash, equal
+    neighbours once."""
+    band, h = map(np.concatenate, zip(*held))
+    order = np.argsort(band | (h & ((1 << LOW) - 1)))
+    band, h = band[order], h[order]
+    fresh = np.append(True, (band[1:] != band[:-1]) | (h[1:] != h[:-1]))
+    return band[fresh], h[fresh]
+
+
+def _part_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of lines in a bucket, from packed rows in order of the part.
+
+    A part with more than ``HELD`` bands has very large buckets: the pairs so
+    far are made, and of each bucket its first line and its last ``WINDOW``
+    stay to be compared with the lines to come.
+    """
 
-    return docs.select("text").mapInArrow(run, "band long, h long")
+    def pairs(band: np.ndarray, h: np.ndarray) -> Iterator[pa.RecordBatch]:
+        same = band[1:] == band[:-1]
+        some = np.append(same, False) | np.append(False, same)
+        if some.any():
+            yield from _bucket_pairs(iter([pa.RecordBatch.from_arrays([pa.array(band[some]), pa.array(h[some])], ["band", "h"])]))
+
+    held, n, room, open_part = [], 0, HELD, None
+    for batch in batches:
+        part = batch.column(0).to_numpy()
+        starts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
+        for s, e in zip(starts, [*starts[1:], len(part)]):
+            if part[s] != open_part:
+                if held:
+                    yield from pairs(*_in_order(held))
+                held, n, room, open_part = [], 0, HELD, part[s]
+            held.append(tuple(np.frombuffer(b"".join(batch.column(i)[s:e].to_pylist()), np.int64) for i in (1, 2)))
+            n += len(held[-1][0])
+            if n > room:
+                band, h = _in_order(held)
+                if len(band) > room // 2:
+                    yield from pairs(band, h)
+                    first = np.flatnonzero(np.append(True, band[1:] != band[:-1]))
+                    size = np.diff(np.append(first, len(band)))
+                    place = np.arange(len(band)) - np.repeat(first, size)
+                    stay = (place == 0) | (place >= np.repeat(size, size) - WINDOW)
+                    band, h = band[stay], h[stay]
+                held, n = [(band, h)], len(band)
+                room = max(HELD, 2 * n)
+    if held:
+        yield from pairs(*_in_order(held))
 
 
 def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -362,6 +440,8 @@ def _distinct(x: np.ndarray) -> np.ndarray:
     return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
 
 
+#: Classes of shingles by which unlike lines are told apart before their sets are made.
+MARKS = 1 << 10
 #: Low bits of a shingle's hash that are compared; above them stands the number of a line or pair of a chunk.
 _SEEN = np.uint64(54)
 
@@ -369,25 +449,41 @@ _SEEN = np.uint64(54)
 def _jaccards(left: list[str], right: list[str], similarity: float) -> np.ndarray:
     """Jaccard similarity of the shingle sets of each pair of lines (at most
     1024 pairs; shingles by 54 bits of their hashes); 0 for pairs whose sizes
-    differ too much for ``similarity``."""
+    or classes of shingles differ too much for ``similarity``."""
     number: dict[str, int] = {}
     a, b = (np.fromiter((number.setdefault(t, len(number)) for t in side), np.int64, len(side)) for side in (left, right))
-    size = np.zeros(len(number), np.int64)
-    held = []
-    for s, e in chunks(padded := [t if len(t) >= SHINGLE else t.ljust(SHINGLE, "\0") for t in number], size=_room, limit=PIECE):
-        own = np.fromiter(map(len, padded[s:e]), np.int64, e - s)
+    padded = [t if len(t) >= SHINGLE else t.ljust(SHINGLE, "\0") for t in number]
+    room = np.fromiter(map(len, padded), np.int64, len(padded)) - SHINGLE + 1  # shingles, repeats included
+    marks = np.empty((len(padded), MARKS // 64), np.uint64)
+    pieces = []
+    for s, e in chunks(padded, size=_room, limit=PIECE):
+        own = room[s:e] + SHINGLE - 1
         x = _shingle_hashes("".join(padded[s:e]))
-        x >>= np.uint64(64) - _SEEN
-        x |= np.repeat(np.arange(e - s, dtype=np.uint64) << _SEEN, own)
         # The last positions of a line would reach into the next one.
         keep = np.ones(len(x), bool)
         keep[(np.cumsum(own)[:, None] - np.arange(1, SHINGLE)).ravel()] = False
-        x = _distinct(x[keep])
+        x = x[keep]
+        seen = np.zeros((e - s) * MARKS, bool)
+        seen[(x & np.uint64(MARKS - 1)).astype(np.int64) + np.repeat(np.arange(0, len(seen), MARKS), room[s:e])] = True
+        marks[s:e] = np.packbits(seen).view(np.uint64).reshape(e - s, -1)
+        x >>= np.uint64(64) - _SEEN
+        pieces.append((s, e, x))
+    # Each class that only one line has a shingle of is a shingle that the other lacks: no more of them than may differ.
+    apart = np.bitwise_count(marks[a] ^ marks[b]).sum(1, dtype=np.int64)
+    maybe = apart <= (1 - similarity) / (1 + similarity) * (room[a] + room[b]) + 1e-6
+    used = np.zeros(len(padded), bool)
+    used[a[maybe]] = used[b[maybe]] = True
+    size = np.zeros(len(padded), np.int64)
+    held = []
+    for s, e, x in pieces:
+        x = x[np.repeat(used[s:e], room[s:e])]
+        x |= np.repeat(np.flatnonzero(used[s:e]).astype(np.uint64) << _SEEN, room[s:e][used[s:e]])
+        x = _distinct(x)
         size[s:e] = np.bincount((x >> _SEEN).astype(np.int64), minlength=e - s)
         held.append(x & ((np.uint64(1) << _SEEN) - np.uint64(1)))
     held, start = np.concatenate(held), np.cumsum(size) - size
     out = np.zeros(len(a))
-    near = np.flatnonzero(np.minimum(size[a], size[b]) >= similarity * np.maximum(size[a], size[b]) - 1e-6)
+    near = np.flatnonzero(maybe & (np.minimum(size[a], size[b]) >= similarity * np.maximum(size[a], size[b]) - 1e-6))
     if len(near):
         # Both lines of a pair after each other: two ascending runs.
         of = np.stack((a[near], b[near]), 1).ravel()
@@ -477,7 +573,7 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     row is the same document, not a second occurrence.
     """
     own = docs.filter(F.col(id_col).isNotNull()).select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    pairs = stage(_bands(own).repartition("band").sortWithinPartitions(F.col("band").bitwiseOR(F.col("h").bitwiseAND((1 << LOW) - 1))).mapInArrow(_bucket_pairs, "a long, b long, crowd boolean")
+    pairs = stage(_bands(own, _parts(own)).repartition("part").sortWithinPartitions("part").mapInArrow(_part_pairs, "a long, b long, crowd boolean")
                   .groupBy("a", "b").agg(F.max("crowd").alias("crowd")), "line-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
     texts = stage(_line_texts(own, stage(wanted, "line-wanted")), "line-texts")
@@ -489,7 +585,7 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
         more = stage(_similar(_crowd_pairs(crowd, similarity), texts, similarity), "line-more")
         if not more.isEmpty():
             roots = connected_components(roots.select(F.col("node").alias("src"), F.col("root").alias("dst")).unionByName(more), "line-components")
-    seen = stage(_occurrences(own, id_col).distinct(), "line-occurrences")
+    seen = stage(_occurrences(own, id_col), "line-occurrences")
     nodes = (seen.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct(id_col, "line_no")).alias("first"))
              .join(roots.withColumnRenamed("node", "h"), "h", "left").filter("n > 1 or root is not null")
              .select("h", "first", F.coalesce("root", "h").alias("root")))
@@ -497,7 +593,9 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     # Written, so that the join below may split a component with very many lines.
     first = stage(nodes.groupBy("root").agg(F.min("first").alias("kept")), "line-first")
     kept = nodes.join(first, "root").select("h", "kept")
-    return (seen.join(kept, "h").filter(F.struct(id_col, "line_no") != F.col("kept")).select(id_col, "line_no"))
+    # A repeated row's lines are removed once; dealt by id first, as the join must be free to split a frequent line.
+    return (seen.join(kept, "h").filter(F.struct(id_col, "line_no") != F.col("kept")).select(id_col, "line_no", "h")
+            .repartition(id_col).distinct().select(id_col, "line_no"))
 
 
 def _removed_by_doc(docs: DataFrame, similarity: float, id_col: str, text_col: str) -> DataFrame:

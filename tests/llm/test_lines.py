@@ -148,3 +148,72 @@ def test_template_lines_meet_only_by_what_tells_them_apart(spark):
     of = {L.line_hash(t): t for t in lines}
     want = {(min(x, y), max(x, y)) for i, x in enumerate(of) for y in list(of)[:i] if jaccard(of[x], of[y]) >= 0.8}
     assert want <= pairs and len(pairs) < len(want) + 5 * len(lines)
+
+
+def test_bands_are_shuffled_in_packs(spark):
+    rows = corpus(33, 300)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", "text").coalesce(1)
+    lines = sorted({s for _, t in rows for _, s in L._lines(t)})
+    got = L._bands(docs, L.PARTS).collect()
+    have = {(r.part, b, h) for r in got for b, h in zip(np.frombuffer(r.band, np.int64).tolist(), np.frombuffer(r.h, np.int64).tolist())}
+    bands = L.signatures(lines) >> L.LOW << L.LOW
+    want = {(int(np.uint64(b & (2 ** 64 - 1)) >> np.uint64(54)), b, L.line_hash(t)) for t, own in zip(lines, bands.tolist()) for b in own}
+    assert L.PARTS == 1024 and have == want and len(got) <= L.PARTS < len(want) / 4
+    assert L._parts(docs) == L.PARTS and L._parts(docs.limit(0)) == L.PARTS
+
+
+def test_parts_grow_with_the_texts(spark, monkeypatch):
+    monkeypatch.setattr(L, "PART", 64)
+    assert L._parts(spark.createDataFrame([(1, "x" * 200_000)], "doc_id long, text string")) == 4096
+
+
+@pytest.mark.parametrize("held", [64, 1 << 21])
+@pytest.mark.parametrize("size", [1, 7, 1000])
+def test_pairs_of_packed_bands(monkeypatch, held, size):
+    """Buckets of all sizes in parts that are held whole, or thinned as they come."""
+    monkeypatch.setattr(L, "HELD", held)
+    rng = np.random.default_rng(3)
+    bucket = np.concatenate((rng.integers(0, 300, 600), rng.integers(300, 304, 900), np.full(900, 304)))
+    band = (L._mix(bucket.astype(np.uint64) + np.uint64(1)) >> np.uint64(L.LOW) << np.uint64(L.LOW)).view(np.int64)
+    h = L._mix(rng.integers(1, 2000, len(band)).astype(np.uint64)).view(np.int64)
+    order = rng.permutation(len(band))
+    packs = [L._packed(band[x], h[x], 8) for x in np.array_split(order, 40)]
+    table = pa.Table.from_batches(packs).sort_by("part")
+    out = list(L._part_pairs(iter(table.to_batches(max_chunksize=size))))
+    got = {(a, b): c for x in out for a, b, c in zip(*(x.column(i).to_pylist() for i in range(3)))}
+    crowd = {x for (a, b), c in got.items() if c for x in (a, b)}
+    crowd |= {x for o in out for a, b, c in zip(*(o.column(i).to_pylist() for i in range(3))) if c for x in (a, b)}
+    plain = set()
+    for one in np.unique(band):
+        own = np.unique(h[band == one]).tolist()
+        assert len(own) <= 1 or len(set(union(own, [p for p in got if p[0] in own and p[1] in own]).values())) == 1
+        assert len(own) <= L.WINDOW + 1 or crowd.issuperset(own)
+        if len(own) <= L.WINDOW + 2:
+            assert all((x, y) in got or (y, x) in got for i, x in enumerate(own) for y in own[:i])
+    if held > len(band):
+        b, x = L._in_order([(band, h)])
+        for o in L._bucket_pairs(iter([pa.RecordBatch.from_arrays([pa.array(b), pa.array(x)], ["band", "h"])])):
+            plain |= set(zip(*(o.column(i).to_pylist() for i in range(2))))
+        assert plain == set(got)
+    assert len(got) <= (L.WINDOW + 1) * len(band) * 2
+
+
+def test_repeated_rows_are_removed_from_once(spark):
+    rows = [(1, "a line of its own\nthe same long line"), (2, "the same long line"), (2, "the same long line"), (2, "the same long line"),
+            (3, "other\nthe same long line"), (3, "the same long line\nthe same long line"), (4, "met in one document only"), (4, "met in one document only")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id, r.line_no) for r in L.repeated_lines(docs).collect()) == [(2, 0), (3, 0), (3, 1)]
+    report = sorted((r.doc_id, r.n_lines, r.n_removed, tuple(r.removed)) for r in L.line_report(docs).collect())
+    assert report == [(1, 2, 0, ()), (2, 1, 1, (0,)), (2, 1, 1, (0,)), (2, 1, 1, (0,)), (3, 2, 2, (0, 1)), (3, 2, 2, (0, 1)), (4, 1, 0, ()), (4, 1, 0, ())]
+
+
+def test_unlike_lines_are_told_apart_before_their_sets_are_made(monkeypatch):
+    rng = random.Random(34)
+    line = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(30))
+    sorted_numbers = []
+    distinct = L._distinct
+    monkeypatch.setattr(L, "_distinct", lambda x: sorted_numbers.append(len(x)) or distinct(x))
+    left, right = [line() for _ in range(200)], [line() for _ in range(200)]
+    assert not L._jaccards(left, right, 0.8).any() and sum(sorted_numbers) == 0
+    near = L._jaccards(left, [t[:-1] + "x" for t in left], 0.8)
+    assert (near > 0.9).all()
