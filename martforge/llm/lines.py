@@ -135,28 +135,36 @@ def _packed(band: np.ndarray, h: np.ndarray, parts: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(part[starts].astype(np.int32)), band, h], ["part", "band", "h"])
 
 
-def _bands(docs: DataFrame, parts: int) -> DataFrame:
-    """(part, band, h): band and hash of each distinct line of each chunk of
-    texts, many of a part in a row; a band hash has 40 bits (lines that share
-    one by chance are told apart by their texts)."""
+def _bands(docs: DataFrame, parts: int = 0) -> DataFrame:
+    """(band, h) of each distinct line of each chunk of texts; a band hash has
+    40 bits (lines that share one by chance are told apart by their texts).
+    With ``parts``, a power of two: (part, band, h), many of a part in a row."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for s, e in chunks(texts):
                 lines = list({line for t in texts[s:e] for _, line in _lines(t)})
                 if lines:
-                    held.append(((signatures(lines) >> LOW << LOW).ravel(),
-                                 np.repeat(np.fromiter(map(line_hash, lines), np.int64, len(lines)), BANDS)))
-                    n += len(lines) * BANDS
-                if n >= PACK:
-                    yield _packed(*map(np.concatenate, zip(*held)), parts)
-                    held, n = [], 0
+                    yield (signatures(lines) >> LOW << LOW).ravel(), np.repeat(np.fromiter(map(line_hash, lines), np.int64, len(lines)), BANDS)
+
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for band, h in each(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(band), pa.array(h)], ["band", "h"])
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for band, h in each(batches):
+            held.append((band, h))
+            n += len(band)
+            if n >= PACK:
+                yield _packed(*map(np.concatenate, zip(*held)), parts)
+                held, n = [], 0
         if n:
             yield _packed(*map(np.concatenate, zip(*held)), parts)
 
-    return docs.select("text").mapInArrow(run, "part int, band binary, h binary")
+    texts = docs.select("text")
+    return texts.mapInArrow(packed, "part int, band binary, h binary") if parts else texts.mapInArrow(plain, "band long, h long")
 
 
 def _in_order(held: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
