@@ -113,3 +113,26 @@ def test_whole_table(spark):
     out = [r for r in got if r.held_out]
     print("held out: base", sum(r.base_score for r in out) / sum(r.n_tokens for r in out), "model", sum(r.score for r in out) / sum(r.n_tokens for r in out))
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
+
+
+def test_what_occurs_twice_counts_in_a_large_corpus(spark):
+    """Nine million tokens of other words leave the model of a text that occurs twice as it is."""
+    twice = " ".join("q%d" % i for i in range(20))
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 7 != 2]
+    docs = (spark.createDataFrame([(ids[0], twice), (ids[1], twice)], "doc_id long, text string")
+            .unionByName(spark.createDataFrame([(i,) for i in ids[2:32]], "doc_id long").selectExpr("doc_id", "repeat('z ', 300000) AS text")))
+    got = {r.doc_id: r for r in lm.score(docs).collect()}
+    assert got[ids[0]].train_tokens > 9_000_000
+    # All but the first and the last pair have the whole of their words' followers.
+    assert got[ids[0]].score == got[ids[1]].score > -16
+    assert got[ids[0]].base_score < -100
+
+
+@pytest.mark.parametrize("part,hot", [(500, 1 << 17), (500, 4), (100_000, 1 << 17)])
+def test_filter_in_parts_against_brute_force(spark, monkeypatch, part, hot):
+    rng = np.random.default_rng(4)
+    rows = ROWS + [(i, " ".join("w%d" % min(199, x) for x in rng.geometric(0.03, 60))) for i in range(10, 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(lm, "PART_TOKENS", part)
+    monkeypatch.setattr(lm, "HOT", hot)
+    check(lm.score(docs).collect(), rows, 0.02)
