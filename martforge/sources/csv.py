@@ -82,17 +82,19 @@ def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str] | None
     return df.select(*[r_missing(c) for c in (columns or names)])
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
+def _lines(spark: SparkSession, path: str, names: bool = True) -> DataFrame:
     """(file, block, odd, line): the lines of all splits; ``odd`` is 1 if the
     line has an odd number of quotes.  A split is read by one task from start
-    to end, and a task reads its splits one after the other."""
+    to end, and a task reads its splits one after the other.  A file's path is
+    longer than most lines, so that it is sent as its hash unless asked for."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    file = F.col("_metadata.file_path")
     return (spark.read.option("lineSep", "\n").text(path)
-            .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                    (quotes % 2).alias("odd"), F.col("value").alias("line")))
+            .select((file if names else F.xxhash64(file)).alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    (quotes % 2).cast("byte").alias("odd"), F.col("value").alias("line")))
 
 
-def _of_one_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
+def _of_one_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str | int, int], pa.RecordBatch]]:
     """((file, block), rows): the batches of a task cut where its splits end."""
     for batch in batches:
         file, block = batch.column(0), batch.column(1).to_numpy()
@@ -120,43 +122,51 @@ def _split_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["file", "block", "odd", "h0", "h1"])
 
 
-def _split_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _split_records(batches: Iterator[pa.RecordBatch], wanted: Sequence[bool] = (True, False)) -> Iterator[pa.RecordBatch]:
     """(file, block, no, line, whole) from the lines with what is known of
-    their split: each record, or what a split holds of it if that isn't all."""
-    key, inside, count, held, begun, held_no = None, 0, 0, [], False, 0
+    their split: each record, or what a split holds of it if that isn't all
+    (two rows of a split at most); only those whose ``whole`` is wanted."""
+    key, inside, count, held, held_no, begun = None, 0, 0, [], 0, False
 
-    def out(key, no: list, lines, whole: list) -> pa.RecordBatch:
+    def out(no: np.ndarray, lines: pa.Array, whole: bool) -> pa.RecordBatch:
         n = len(no)
-        return pa.RecordBatch.from_arrays([pa.array([key[0]] * n, pa.string()), pa.array([key[1]] * n, pa.int64()), pa.array(no, pa.int64()),
-                                           lines, pa.array(whole, pa.bool_())], ["file", "block", "no", "line", "whole"])
+        return pa.RecordBatch.from_arrays([pa.array([key[0]] * n), pa.array([key[1]] * n, pa.int64()), pa.array(no, pa.int64()), lines, pa.array([whole] * n, pa.bool_())],
+                                          ["file", "block", "no", "line", "whole"])
+
+    def joined() -> pa.Array:
+        return pa.array(["\n".join(held)], pa.string())
 
     for at, part in _of_one_split(batches):
         if at != key:
-            if held:
-                yield out(key, [held_no], pa.array(["\n".join(held)], pa.string()), [False])
-            key, inside, count, held = at, part.column(4)[0].as_py(), part.column(5)[0].as_py(), []
+            if held and False in wanted:
+                yield out([held_no], joined(), False)
+            key, inside, count = at, part.column(4)[0].as_py(), part.column(5)[0].as_py()
+            held, held_no, begun = [], count - 1, False
         odd, lines = part.column(2).to_numpy(), part.column(3)
         after = inside + np.cumsum(odd)
         head, tail = (after - odd) % 2 == 0, after % 2 == 0
         no = count + np.cumsum(head) - 1
-        single = head & tail
-        if single.any():
-            yield out(key, no[single].tolist(), lines.filter(pa.array(single)), [True] * int(single.sum()))
-        rest, numbers, texts, whole = np.flatnonzero(~single), [], [], []
-        for i, text in zip(rest.tolist(), lines.take(pa.array(rest)).to_pylist()):
-            if not held:
-                begun, held_no = bool(head[i]), int(no[i])
-            held.append(text)
-            if tail[i]:
-                numbers.append(held_no)
-                texts.append("\n".join(held))
-                whole.append(begun)
+        start, stop = 0, len(odd)
+        if inside:               # a record goes on
+            start = int(tail.argmax()) + 1 if tail.any() else len(odd)
+            held += lines[:start].to_pylist()
+            if tail.any():
+                if begun in wanted:
+                    yield out([held_no], joined(), begun)
                 held = []
-        if texts:
-            yield out(key, numbers, pa.array(texts, pa.string()), whole)
+        if after[-1] % 2 and head.any():
+            stop = int(np.flatnonzero(head)[-1])
+        if True in wanted and stop > start:
+            single = (head & tail)[start:stop]
+            rest, own = np.flatnonzero(~single) + start, lines[start:stop]
+            ends = np.flatnonzero(tail[rest]) + 1
+            several = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), lines.take(pa.array(rest))), "\n")
+            yield out(np.concatenate((no[start:stop][single], no[rest[ends - 1]])), pa.concat_arrays([own.filter(pa.array(single)), several]), True)
+        if stop < len(odd):
+            held, held_no, begun = lines[stop:].to_pylist(), int(no[stop]), True
         inside, count = int(after[-1] % 2), int(no[-1]) + 1
-    if held:
-        yield out(key, [held_no], pa.array(["\n".join(held)], pa.string()), [False])
+    if held and False in wanted:
+        yield out([held_no], joined(), False)
 
 
 def read_csv_split(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
@@ -177,28 +187,38 @@ def read_csv_split(spark: SparkSession, path: str, columns: Sequence[str] | None
     characters become one, in quotes too, as in ``read_csv_text``.
     """
     names = _header(spark, path)
-    lines = _lines(spark, path)
-    blocks = lines.select("file", "block", F.col("odd").cast("long")).mapInArrow(_split_counts, "file string, block long, odd long, h0 long, h1 long")
+    lines = _lines(spark, path, position)
+    kind = lines.schema["file"].dataType.simpleString()
+    blocks = lines.select("file", "block", "odd").mapInArrow(_split_counts, f"file {kind}, block long, odd long, h0 long, h1 long")
     files = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (blocks.withColumn("inside", F.coalesce(F.sum("odd").over(files), F.lit(0)) % 2)
               .withColumn("records", F.coalesce(F.sum(F.when(F.col("inside") == 0, F.col("h0")).otherwise(F.col("h1"))).over(files), F.lit(0)))
               .withColumn("open", F.sum("odd").over(Window.partitionBy("file")) % 2 == 1)
               .select("file", "block", "inside",
-                      F.when(F.col("open"), F.raise_error(F.concat(F.lit("quotes not closed in "), F.col("file"))).cast("long"))
+                      F.when(F.col("open"), F.raise_error(F.concat(F.lit("quotes not closed in "), F.col("file") if position else F.lit(f"a file of {path}"))).cast("long"))
                       .otherwise(F.col("records")).alias("records")))
-    placed = (lines.join(F.broadcast(blocks), ["file", "block"]).select("file", "block", F.col("odd").cast("long"), "line", "inside", "records")
-              .mapInArrow(_split_records, "file string, block long, no long, line string, whole boolean"))
-    single = placed.where("whole").select("file", "no", "line")
+    placed = lines.join(F.broadcast(blocks), ["file", "block"]).select("file", "block", "odd", "line", "inside", "records")
+    used = ["file", "no", "line"] if position else ["line"]
+
+    def records_of(wanted: bool, columns: Sequence[str]) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in _split_records(batches, [wanted]):
+                yield batch.filter(pc.greater(batch.column(2), 0)).select(columns)  # the first record of a file is its header
+
+        types = {"file": kind, "line": "string"}
+        return placed.mapInArrow(run, ", ".join(f"{c} {types.get(c, 'long')}" for c in columns))
+
     parts = F.array_sort(F.collect_list(F.struct("block", "line")))  # what the splits hold of one record
-    several = (placed.where(~F.col("whole")).groupBy("file", "no")
+    several = (records_of(False, ["file", "block", "no", "line"]).groupBy("file", "no")
                .agg(F.array_join(F.transform(parts, lambda p: p["line"]), "\n").alias("line")))
-    records = (single.unionByName(several).where("no > 0")  # the first record of a file is its header
-               .withColumn("line", F.regexp_replace("line", "\r(\n|$)", "$1")).where("line <> ''"))
+    line = F.when(F.contains("line", F.lit("\r")), F.regexp_replace("line", "\r(\n|$)", "$1")).otherwise(F.col("line"))
+    records = records_of(True, used).unionByName(several.select(*used)).withColumn("line", line).where("line <> ''")
     options = {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE" if fill else "FAILFAST"}
     if fill:
         records = records.where(_too_long(F.col("line"), len(names)))
-    parsed = records.select("file", "no", F.from_csv("line", _ddl(names), options).alias("r"))
-    rows = parsed.select(F.col("file").alias("_file"), (F.col("no") - 1).alias("_pos"), *[F.col("r").getField(n).alias(n) for n in names])
+    place = [F.col("file").alias("_file"), (F.col("no") - 1).alias("_pos")] if position else []
+    parsed = records.select(*used[:-1], F.from_csv("line", _ddl(names), options).alias("r"))
+    rows = parsed.select(*place, *[F.col("r").getField(n).alias(n) for n in names])
     return rows.select(*(["_file", "_pos"] if position else []), *[r_missing(c) for c in (columns or names)])
 
 

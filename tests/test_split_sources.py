@@ -1,6 +1,7 @@
 """Large files read by many tasks: the same rows as one task reads."""
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,3 +116,40 @@ def test_xml_that_does_not_fit_fails(spark, tmp_path, text):
 def test_xml_without_records(spark, tmp_path):
     (tmp_path / "none.xml").write_text("<log><day/></log>")
     assert X.read_xml_split(spark, str(tmp_path), "txn", FIELDS).count() == 0
+
+
+def test_csv_lines_travel_without_their_path_and_once(spark, tmp_path):
+    """The path of a file, longer than its lines, goes with none of them, and
+    what splits share is all that is gathered (seeded)."""
+    (tmp_path / "a.csv").write_text('a,b\n1,"x\ny"\n')
+    assert CSV._lines(spark, str(tmp_path), False).schema["file"].dataType.simpleString() == "bigint"
+    r = random.Random(5)
+    for _ in range(60):
+        lines = [r.choice(["1,2", 'a,"b', 'c"', '"d"', '",x,"', ""]) for _ in range(r.randrange(1, 40))]
+        if sum(x.count('"') for x in lines) % 2:
+            lines.append('"')
+        want, state = [], 0
+        for x in lines:
+            want = [*want[:-1], want[-1] + "\n" + x] if state else [*want, x]
+            state = (state + x.count('"')) % 2
+        batches, at, state, records = [], 0, 0, 0
+        while at < len(lines):
+            split, known = lines[at:at + r.randrange(1, 9)], (state, records)
+            block = at
+            while split:
+                own, split = split[:(k := r.randrange(1, 5))], split[k:]
+                odd = [x.count('"') % 2 for x in own]
+                batches.append(pa.RecordBatch.from_arrays([pa.array([7] * len(own)), pa.array([block] * len(own)), pa.array(odd, pa.int8()), pa.array(own),
+                                                           pa.array([known[0]] * len(own)), pa.array([known[1]] * len(own))],
+                                                          ["file", "block", "odd", "line", "inside", "records"]))
+                for x in odd:
+                    records += state == 0
+                    state = (state + x) % 2
+                at += len(own)
+        whole, shared = ([x for b in CSV._split_records(iter(batches), [w]) for x in b.to_pylist()] for w in (True, False))
+        got = {x["no"]: x["line"] for x in whole}
+        assert len(got) == len(whole)
+        for x in sorted(shared, key=lambda x: x["block"]):
+            assert x["no"] not in {y["no"] for y in whole}
+            got[x["no"]] = got[x["no"]] + "\n" + x["line"] if x["no"] in got else x["line"]
+        assert [got[i] for i in range(len(want))] == want and len(got) == len(want)
